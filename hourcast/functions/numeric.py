@@ -17,9 +17,19 @@ def coerce_double(x) -> Column:
     return F.nanvl(v, F.lit(None).cast("double"))
 
 
+# relative nudge that absorbs summation-order noise (a few ulps) before rounding
+STABLE_NUDGE = 1e-12
+
+
+def round_stable(x, scale: int) -> Column:
+    """Half away from zero, stable under summation order: a mean that is a decimal
+    tie up to float noise rounds the same way on every partitioning/engine."""
+    return F.round(_c(x) * F.lit(1.0 + STABLE_NUDGE), scale)
+
+
 def round4(x) -> Column:
-    """Documented rounding of window means: HALF_UP on the decimal representation."""
-    return F.round(_c(x), 4)
+    """Documented rounding of window means (see :func:`round_stable`)."""
+    return round_stable(x, 4)
 
 
 def round_half_even(x, scale: int = 0) -> Column:

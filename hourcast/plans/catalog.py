@@ -139,3 +139,240 @@ def q_engineered_features(spark, sf):
 @query("engineered_features_halo", ENGINEERED_SQL)
 def q_engineered_features_halo(spark, sf):
     return r6(WN.add_engineered_features(TB.obs_hourly(spark, sf), strategy="halo"))
+
+
+# ---- M1: sources, typing, filters -------------------------------------------------------
+from hourcast.operators import joins as J  # noqa: E402
+from hourcast.operators import ordering as O  # noqa: E402
+from hourcast.sources import payload as P  # noqa: E402
+from hourcast.schema import FORECAST_COLUMNS, FORECAST_WINDOW_COLUMNS  # noqa: E402
+
+AS_OF = "2024-01-20 12:30:00"
+AS_OF_HOUR = "TIMESTAMP '2024-01-20 12:00:00'"
+CUTOFF = "2024-01-21 00:00:00"
+
+
+@query("json_arrays_to_rows", f"""
+WITH {S.OBS}
+SELECT series, timestamp, {', '.join(S.r6(c) + ' AS ' + c for c in ['pm25', 'pm10', 'co', 'no2', 'so2', 'o3'])},
+       {S.r6(S.aqi_sql('pm25'))} AS aqi
+FROM obs""")
+def q_json_arrays_to_rows(spark, sf):
+    landed = P.build_payloads(TB.obs_hourly(spark, sf), P.AIR_FIELDS)
+    return r6(P.parse_air_payload(landed))
+
+
+@query("weather_payload_rows", f"""
+WITH {S.OBS}
+SELECT series, timestamp, {', '.join(S.r6(c) + ' AS ' + c for c in ['temperature', 'humidity', 'wind_speed'])}
+FROM obs""")
+def q_weather_payload_rows(spark, sf):
+    landed = P.build_payloads(TB.weather_hourly(spark, sf), P.WEATHER_FIELDS)
+    return r6(P.parse_payload(landed, P.WEATHER_FIELDS))
+
+
+@query("forecast_payload_rows", f"""
+WITH {S.EV}, {S.FORECAST}
+SELECT series, timestamp, {', '.join(S.r6(c) + ' AS ' + c for c in FORECAST_COLUMNS)} FROM fc""")
+def q_forecast_payload_rows(spark, sf):
+    landed = P.build_payloads(TB.forecast_hourly(spark, sf), P.FORECAST_FIELDS)
+    return r6(P.parse_payload(landed, P.FORECAST_FIELDS))
+
+
+@query("coerce", """
+SELECT event_id, TRY_CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k,
+       TRY_CAST(event_type AS DOUBLE) AS junk FROM events""")
+def q_coerce(spark, sf):
+    from hourcast.functions.numeric import coerce_double
+    ev = table(spark, sf, "events")
+    return ev.select("event_id", coerce_double(F.get_json_object("props", "$.k")).alias("k"),
+                     coerce_double("event_type").alias("junk"))
+
+
+@query("historical_scan", """
+SELECT event_id, ts, value FROM events
+WHERE ts >= TIMESTAMP '2024-01-05 00:00:00' AND ts < TIMESTAMP '2024-01-12 00:00:00'""")
+def q_historical_scan(spark, sf):
+    ev = table(spark, sf, "events")
+    lo, hi = F.lit("2024-01-05 00:00:00").cast("timestamp_ntz"), F.lit("2024-01-12 00:00:00").cast("timestamp_ntz")
+    return r6(ev.filter((F.col("ts") >= lo) & (F.col("ts") < hi)).select("event_id", "ts", "value"))
+
+
+@query("current_or_last", f"""
+WITH {S.OBS}, t AS (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY (timestamp = {AS_OF_HOUR}) DESC, timestamp DESC) AS rk
+  FROM obs WHERE timestamp <= {AS_OF_HOUR} + INTERVAL 6 HOUR)
+{S.round_all(['aqi'] + MEASURES[1:], ['series', 'timestamp'], src='t WHERE rk = 1')}""")
+def q_current_or_last(spark, sf):
+    obs = TB.obs_hourly(spark, sf)
+    window_end = F.lit(AS_OF).cast("timestamp_ntz")
+    recent = obs.filter(F.col("timestamp") <= F.date_trunc("hour", window_end).cast("timestamp_ntz")
+                        + F.expr("INTERVAL 6 HOURS"))
+    return r6(O.current_or_last(recent, AS_OF))
+
+
+@query("carry_forward", f"""
+WITH {S.OBS}, hist AS (SELECT * FROM obs WHERE timestamp < TIMESTAMP '{CUTOFF}' AND series <> 'purchase'),
+ser AS (SELECT DISTINCT event_type AS series FROM events),
+t0 AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM hist),
+t1 AS (SELECT ser.series, t0.* EXCLUDE (series, timestamp, rk) FROM ser LEFT JOIN t0 ON ser.series = t0.series AND t0.rk = 1),
+t AS (SELECT series, {AS_OF_HOUR} AS timestamp, * EXCLUDE (series) FROM t1)
+{S.round_all(['aqi'] + MEASURES[1:], ['series', 'timestamp'])}""")
+def q_carry_forward(spark, sf):
+    obs = TB.obs_hourly(spark, sf)
+    # one series has no history at all in this query, so its fallback row is all-NULL
+    hist = obs.filter((F.col("timestamp") < F.lit(CUTOFF).cast("timestamp_ntz")) & (F.col("series") != "purchase"))
+    series_list = table(spark, sf, "events").select(F.col("event_type").alias("series"))
+    return r6(O.carry_forward(hist, series_list, AS_OF))
+
+
+@query("alert", f"""
+WITH {S.OBS}, {S.FORECAST.replace('fc AS', 'fc AS', 1)},
+base AS (SELECT series, timestamp FROM obs WHERE timestamp = {AS_OF_HOUR}),
+pred AS (
+  SELECT b.series, h.horizon, {S.aqi_sql('avg(f.fc_pm25)')} AS prediction
+  FROM base b CROSS JOIN (VALUES (24, 0), (48, 24), (72, 48)) h(horizon, h0)
+  JOIN fc f ON f.series = b.series AND f.timestamp >= b.timestamp + to_hours(h.h0)
+       AND f.timestamp < b.timestamp + to_hours(h.h0 + 24)
+  GROUP BY b.series, h.horizon)
+SELECT series, bool_or(prediction > 150) AS alert,
+       COALESCE(string_agg(CASE WHEN prediction > 150 THEN horizon || 'h' END, ', ' ORDER BY horizon), '') AS horizons,
+       {S.r6('max(prediction)')} AS max_prediction
+FROM pred GROUP BY series""")
+def q_alert(spark, sf):
+    from hourcast.plans.scoring import alerts
+    obs = TB.obs_hourly(spark, sf)
+    base = obs.filter(F.col("timestamp") == F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz")).select("series", "timestamp")
+    win = J.forecast_windows(base, TB.forecast_hourly(spark, sf), decimals=None)
+    preds = win.select("series", F.explode(F.array(*[
+        F.struct(F.lit(h).alias("horizon"), A.pm25_to_aqi(F.col(f"fc_pm25_{h}h")).alias("prediction"))
+        for h in (24, 48, 72)])).alias("p")).select("series", "p.*").filter(F.col("prediction").isNotNull())
+    return r6(alerts(preds))
+
+
+# ---- M2: joins, unions, ordering ----------------------------------------------------------
+
+@query("join_weather", f"""
+WITH {S.OBS}
+SELECT series, timestamp, {', '.join(S.r6(c) + ' AS ' + c for c in MEASURES[1:])} FROM obs""")
+def q_join_weather(spark, sf):
+    return r6(J.join_on_time(TB.air_hourly(spark, sf), TB.weather_hourly(spark, sf)))
+
+
+@query("weather_lookup", f"""
+WITH {S.OBS}, cur AS (
+  SELECT *, row_number() OVER (PARTITION BY series ORDER BY (timestamp = {AS_OF_HOUR}) DESC, timestamp DESC) AS rk
+  FROM (SELECT series, timestamp, pm25 FROM obs WHERE timestamp <= {AS_OF_HOUR})),
+wx AS (SELECT series, timestamp, temperature, humidity, wind_speed FROM obs WHERE wind_speed >= 2)
+SELECT c.series, c.timestamp, {S.r6('c.pm25')} AS pm25, {S.r6('wx.temperature')} AS temperature,
+       {S.r6('wx.humidity')} AS humidity, {S.r6('wx.wind_speed')} AS wind_speed
+FROM cur c LEFT JOIN wx ON wx.series = c.series AND wx.timestamp = c.timestamp WHERE c.rk = 1""")
+def q_weather_lookup(spark, sf):
+    air = TB.air_hourly(spark, sf).select("series", "timestamp", "pm25")
+    air = air.filter(F.col("timestamp") <= F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz"))
+    cur = O.current_or_last(air, AS_OF)
+    wx = TB.weather_hourly(spark, sf).filter(F.col("wind_speed") >= 2)
+    return r6(J.join_on_time(cur, wx, "left"))
+
+
+_fc_join, _fc_sel = S.fc_window_sql()
+
+
+@query("forecast_windows", f"""
+WITH {S.OBS}, {S.FORECAST}, base AS (SELECT series, timestamp FROM obs),
+j AS ({_fc_join}),
+t AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp)
+{S.round_all(FORECAST_WINDOW_COLUMNS, ['series', 'timestamp'])}""")
+def q_forecast_windows(spark, sf):
+    base = TB.obs_hourly(spark, sf).select("series", "timestamp")
+    return r6(J.forecast_windows(base, TB.forecast_hourly(spark, sf)))
+
+
+@query("forecast_windows_latest", f"""
+WITH {S.OBS}, {S.FORECAST}, base AS (SELECT series, max(timestamp) - INTERVAL 80 HOUR AS timestamp FROM obs GROUP BY series),
+j AS ({_fc_join}),
+t AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp)
+{S.round_all(FORECAST_WINDOW_COLUMNS, ['series', 'timestamp'])}""")
+def q_forecast_windows_latest(spark, sf):
+    obs = TB.obs_hourly(spark, sf)
+    cur = obs.groupBy("series").agg((F.max("timestamp") - F.expr("INTERVAL 80 HOURS")).alias("timestamp"))
+    return r6(J.forecast_windows(cur, TB.forecast_hourly(spark, sf)))
+
+
+@query("anti_join_new", f"""
+WITH {S.OBS}
+SELECT series, timestamp, {S.r6('aqi')} AS aqi FROM obs o
+WHERE NOT EXISTS (SELECT 1 FROM obs e WHERE e.series = o.series AND e.timestamp = o.timestamp
+                  AND e.timestamp < TIMESTAMP '{CUTOFF}')""")
+def q_anti_join_new(spark, sf):
+    obs = TB.obs_hourly(spark, sf)
+    existing = obs.filter(F.col("timestamp") < F.lit(CUTOFF).cast("timestamp_ntz"))
+    return r6(J.anti_join_new(obs.select("series", "timestamp", "aqi"), existing))
+
+
+@query("semi_join_forecast", f"""
+WITH {S.OBS}, {S.FORECAST}
+SELECT series, timestamp, {S.r6('aqi')} AS aqi FROM obs o
+WHERE EXISTS (SELECT 1 FROM fc f WHERE f.series = o.series AND f.timestamp = o.timestamp)""")
+def q_semi_join_forecast(spark, sf):
+    obs = TB.obs_hourly(spark, sf).select("series", "timestamp", "aqi")
+    return r6(J.semi_join(obs, TB.forecast_hourly(spark, sf), ["series", "timestamp"]))
+
+
+@query("union_by_name", f"""
+WITH {S.EV},
+air AS (SELECT series, timestamp, {S.AIR_AGGS} FROM ev GROUP BY series, timestamp),
+wx AS (SELECT series, timestamp, {S.WEATHER_AGGS} FROM ev GROUP BY series, timestamp),
+t AS (SELECT * FROM air UNION ALL BY NAME SELECT * FROM wx)
+{S.round_all(MEASURES[1:], ['series', 'timestamp'])}""")
+def q_union_by_name(spark, sf):
+    return r6(J.union_by_name(TB.air_hourly(spark, sf), TB.weather_hourly(spark, sf)))
+
+
+@query("latest_n", f"""
+WITH {S.OBS}, t AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM obs)
+SELECT series, timestamp, {S.r6('aqi')} AS aqi FROM t WHERE rk <= 50""")
+def q_latest_n(spark, sf):
+    return r6(O.latest_n(TB.obs_hourly(spark, sf).select("series", "timestamp", "aqi"), 50))
+
+
+@query("latest_n_then_filter", f"""
+WITH {S.OBS}, t AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM obs)
+SELECT series, timestamp, {S.r6('no2')} AS no2 FROM t WHERE rk <= 500 AND no2 IS NOT NULL""")
+def q_latest_n_then_filter(spark, sf):
+    obs = TB.obs_hourly(spark, sf).select("series", "timestamp", "no2")
+    return r6(O.latest_n_then_filter(obs, 500, F.col("no2").isNotNull()))
+
+
+@query("sample_hash", f"""
+SELECT event_id, {S.r6('value')} AS pm25, {S.r6(S.aqi_sql('value'))} AS aqi_calc FROM events
+WHERE value IS NOT NULL
+ORDER BY (((event_id % 2147483647) * 48271 + 42) % 2147483647), event_id LIMIT 2000""")
+def q_sample_hash(spark, sf):
+    ev = table(spark, sf, "events").filter(F.col("value").isNotNull())
+    s = O.deterministic_sample(ev.select("event_id", "value"), 2000, "event_id", 42)
+    return r6(s.select("event_id", F.col("value").alias("pm25"), A.pm25_to_aqi("value").alias("aqi_calc")))
+
+
+@query("dedupe", f"""
+WITH t AS (SELECT event_type AS series, date_trunc('hour', ts) AS timestamp, ts, event_id, value,
+  row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY ts DESC, event_id DESC) AS rk FROM events)
+SELECT series, timestamp, ts, event_id, {S.r6('value')} AS value FROM t WHERE rk = 1""")
+def q_dedupe(spark, sf):
+    from hourcast.functions.calendar import floor_hour
+    ev = table(spark, sf, "events").select(F.col("event_type").alias("series"), floor_hour("ts").alias("timestamp"),
+                                           "ts", "event_id", "value")
+    return r6(O.dedupe_latest(ev, ["series", "timestamp"], [F.col("ts"), F.col("event_id")]))
+
+
+@query("clamp_time", f"""
+WITH {S.OBS}
+SELECT series, least(max(timestamp), TIMESTAMP '{CUTOFF}') AS shown_ts,
+       strftime(timezone('Asia/Karachi', least(max(timestamp), TIMESTAMP '{CUTOFF}') AT TIME ZONE 'UTC'), '%Y-%m-%d %I:%M %p') AS shown_local
+FROM obs GROUP BY series""")
+def q_clamp_time(spark, sf):
+    from hourcast.functions.calendar import local_time
+    obs = TB.obs_hourly(spark, sf)
+    latest = obs.groupBy("series").agg(F.max("timestamp").alias("ts"))
+    shown = latest.select("series", O.clamp_time("ts", CUTOFF).alias("shown_ts"))
+    return shown.withColumn("shown_local", F.date_format(local_time("shown_ts"), "yyyy-MM-dd hh:mm a"))

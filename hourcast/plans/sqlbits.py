@@ -105,3 +105,27 @@ def feat_cols(src: str = "obs") -> str:
 def round_all(cols_double, cols_other=(), cols_float=(), src="t") -> str:
     parts = list(cols_other) + [f"{r6(c)} AS {c}" for c in cols_double] + [f"{r6f(c)} AS {c}" for c in cols_float]
     return f"SELECT {', '.join(parts)} FROM {src}"
+
+FEAT = f"""{OBS},
+feat AS ({feat_cols('obs')})"""
+
+FEAT_COLS_ORDER = ["series", "timestamp", "aqi", "pm25", "pm10", "o3", "no2", "so2", "co", "temperature",
+                   "humidity", "wind_speed", "hour_of_day", "day_of_week", "month", "hour_sin", "hour_cos",
+                   "dow_sin", "dow_cos", "hours_since_prev", "is_gap", "aqi_lag_1h", "aqi_lag_3h", "aqi_lag_6h",
+                   "aqi_lag_12h", "aqi_lag_24h", "rolling_mean_6h", "rolling_mean_24h", "rolling_std_6h",
+                   "rolling_std_24h"]
+
+
+def fc_window_sql(base: str = "base", fc: str = "fc", cols=None, decimals: int = 4) -> str:
+    """Oracle for the forecast range aggregate: explicit range join + conditional avg."""
+    from hourcast.schema import FORECAST_COLUMNS, FORECAST_WINDOWS
+    cols = cols or FORECAST_COLUMNS
+    sel = []
+    for label, h0, h1 in FORECAST_WINDOWS:
+        for c in cols:
+            cond = f"j_ts >= timestamp + INTERVAL {h0} HOUR AND j_ts < timestamp + INTERVAL {h1} HOUR"
+            sel.append(f"round(avg(CASE WHEN {cond} THEN j_{c} END) * (1 + 1e-12), {decimals}) AS {c}_{label}")
+    jcols = ", ".join(f"f.{c} AS j_{c}" for c in cols)
+    return f"""SELECT b.*, f.timestamp AS j_ts, {jcols}
+      FROM {base} b LEFT JOIN {fc} f ON f.series = b.series AND f.timestamp >= b.timestamp
+        AND f.timestamp < b.timestamp + INTERVAL 72 HOUR""", ",\n  ".join(sel)

@@ -131,10 +131,21 @@ def forward_fill(df: DataFrame, columns, partition=(SERIES,), ts=TS, fill: float
 
 
 def chronological_split(df: DataFrame, fraction: float = 0.8, series=SERIES, ts=TS,
-                        column: str = "split") -> DataFrame:
+                        column: str = "split", strategy: str = "plain") -> DataFrame:
     """First ``int(fraction * n)`` rows of each series -> 'train', rest -> 'test'.
-    Counts come from a grouped aggregate, positions from a row_number."""
+
+    ``plain``: count and row_number windows per series. ``halo``: positions from
+    time buckets (:func:`hourcast.operators.halo.positions`) and per-series
+    counts from a grouped aggregate (one row per series), so no task ever holds
+    a whole series."""
+    from hourcast.operators.halo import RN, positions
     keys = [series] if isinstance(series, str) else list(series)
+    if strategy == "halo":
+        pos = positions(df, keys, ts)
+        n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        out = pos.join(n, keys)
+        label = F.when(F.col(RN) <= F.floor(F.col("_n") * F.lit(fraction)), F.lit("train")).otherwise(F.lit("test"))
+        return out.withColumn(column, label).drop(RN, "_n")
     w = Window.partitionBy(*keys).orderBy(ts)
     n = F.count(F.lit(1)).over(Window.partitionBy(*keys))
     rn = F.row_number().over(w)

@@ -376,3 +376,178 @@ def q_clamp_time(spark, sf):
     latest = obs.groupBy("series").agg(F.max("timestamp").alias("ts"))
     shown = latest.select("series", O.clamp_time("ts", CUTOFF).alias("shown_ts"))
     return shown.withColumn("shown_local", F.date_format(local_time("shown_ts"), "yyyy-MM-dd hh:mm a"))
+
+
+# ---- M3: targets, back-fill, fills, splits, sequences, append row -------------------------
+from hourcast.operators import coverage as CV  # noqa: E402
+from hourcast.plans.backfill import build_backfill_dataset  # noqa: E402
+from hourcast.schema import FORECAST_BASE_FEATURES  # noqa: E402
+
+
+def _features(spark, sf):
+    return WN.add_engineered_features(TB.obs_hourly(spark, sf))
+
+
+for _h in (24, 48, 72):
+    def _mk(h):
+        def q(spark, sf):
+            return r6(WN.build_training_frame(_features(spark, sf), h))
+        return q
+
+    def _mk_halo(h):
+        def q(spark, sf):
+            return r6(WN.build_training_frame(WN.add_engineered_features(TB.obs_hourly(spark, sf), strategy="halo"),
+                                              h, strategy="halo"))
+        return q
+    _sql = f"""
+WITH {S.FEAT}, t AS ({S.target_sql('feat', _h)})
+{S.round_all(FEATURE_DOUBLES + [f'aqi_next_{_h}h'], FEATURE_OTHER, ['hours_since_prev'])}"""
+    query(f"target_{_h}h", _sql)(_mk(_h))
+    if _h == 72:
+        query(f"target_{_h}h_halo", _sql)(_mk_halo(_h))
+
+
+@query("target_double_filter", f"""
+WITH {S.FEAT}, t1 AS ({S.target_sql('feat', 24)}), t2 AS (SELECT * FROM t1 WHERE aqi_next_24h IS NOT NULL),
+t AS (SELECT series, timestamp, aqi_next_24h FROM (
+  SELECT *, lead(timestamp, 24) OVER w AS _t2 FROM t2 WINDOW w AS {S.W})
+  WHERE (epoch_us(_t2) - epoch_us(timestamp)) / 3.6e9 = 24.0)
+{S.round_all(['aqi_next_24h'], ['series', 'timestamp'])}""")
+def q_target_double_filter(spark, sf):
+    tf = WN.build_training_frame(_features(spark, sf), 24).filter(F.col("aqi_next_24h").isNotNull())
+    return r6(WN.exact_horizon_recheck(tf, 24).select("series", "timestamp", "aqi_next_24h"))
+
+
+@query("shifted_backfill", f"""
+WITH {S.FEAT}, {S.FORECAST}, base AS (SELECT * FROM feat),
+j AS ({_fc_join}),
+fw AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp),
+withfc AS (SELECT feat.*, fw.* EXCLUDE (series, timestamp) FROM feat JOIN fw USING (series, timestamp)),
+t AS ({S.backfill_sql('withfc')})
+{S.round_all(FEATURE_DOUBLES + FORECAST_WINDOW_COLUMNS, FEATURE_OTHER, ['hours_since_prev'])}""")
+def q_shifted_backfill(spark, sf):
+    return r6(build_backfill_dataset(TB.air_hourly(spark, sf), TB.weather_hourly(spark, sf),
+                                     TB.forecast_hourly(spark, sf)))
+
+
+@query("full_backfill_halo", f"""
+WITH {S.FEAT}, {S.FORECAST}, base AS (SELECT * FROM feat),
+j AS ({_fc_join}),
+fw AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp),
+withfc AS (SELECT feat.*, fw.* EXCLUDE (series, timestamp) FROM feat JOIN fw USING (series, timestamp)),
+t AS ({S.backfill_sql('withfc')})
+{S.round_all(FEATURE_DOUBLES + FORECAST_WINDOW_COLUMNS, FEATURE_OTHER, ['hours_since_prev'])}""")
+def q_full_backfill_halo(spark, sf):
+    return r6(build_backfill_dataset(TB.air_hourly(spark, sf), TB.weather_hourly(spark, sf),
+                                     TB.forecast_hourly(spark, sf), strategy="halo"))
+
+
+_SPLIT_SQL = f"""{S.OBS}, sp AS (
+  SELECT *, CASE WHEN row_number() OVER (PARTITION BY series ORDER BY timestamp)
+                      <= floor(count(*) OVER (PARTITION BY series) * 0.8) THEN 'train' ELSE 'test' END AS split
+  FROM obs)"""
+
+
+@query("split_80_20", f"""
+WITH {_SPLIT_SQL}
+SELECT series, timestamp, split FROM sp""")
+def q_split(spark, sf):
+    return WN.chronological_split(TB.obs_hourly(spark, sf).select("series", "timestamp"))
+
+
+@query("split_80_20_halo", f"""
+WITH {_SPLIT_SQL}
+SELECT series, timestamp, split FROM sp""")
+def q_split_halo(spark, sf):
+    return WN.chronological_split(TB.obs_hourly(spark, sf).select("series", "timestamp"), strategy="halo")
+
+
+@query("ffill", f"""
+WITH {_SPLIT_SQL}, t AS (SELECT series, timestamp, split,
+  COALESCE(last_value(no2 IGNORE NULLS) OVER (PARTITION BY series, split ORDER BY timestamp
+           ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0.0) AS no2 FROM sp)
+{S.round_all(['no2'], ['series', 'timestamp', 'split'])}""")
+def q_ffill(spark, sf):
+    obs = TB.obs_hourly(spark, sf).select("series", "timestamp", "no2")
+    sp = WN.chronological_split(obs)
+    return r6(WN.forward_fill(sp, ["no2"], partition=("series", "split")))
+
+
+@query("cumulative_gap_share", f"""
+WITH {S.OBS}, g AS (SELECT series, timestamp,
+  (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER w)) / 3.6e9 AS gap_hours FROM obs WINDOW w AS {S.W}),
+t AS (SELECT series, timestamp, gap_hours, row_number() OVER w AS step,
+  sum(CAST(gap_hours = 1.0 AS BIGINT)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) * 100.0
+    / row_number() OVER w AS cum_one_hour_pct
+  FROM g WHERE gap_hours IS NOT NULL WINDOW w AS {S.W})
+{S.round_all(['gap_hours', 'cum_one_hour_pct'], ['series', 'timestamp', 'step'])}""")
+def q_cumulative_gap_share(spark, sf):
+    return r6(WN.cumulative_gap_share(TB.obs_hourly(spark, sf).select("series", "timestamp")))
+
+
+SEQ_FEATS = ["aqi", "pm25", "hour_sin", "rolling_mean_6h"]
+
+
+@query("sequences", f"""
+WITH {S.FEAT}, tf AS ({S.target_sql('feat', 24)}),
+t AS (SELECT series, timestamp,
+  list([{', '.join(f'CAST({c} AS FLOAT)' for c in SEQ_FEATS)}]) OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS x,
+  count(*) OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS n,
+  CAST(aqi_next_24h AS FLOAT) AS y FROM tf WINDOW w AS {S.W})
+SELECT series, timestamp, x, y FROM t WHERE n = 24 AND y IS NOT NULL""")
+def q_sequences(spark, sf):
+    tf = WN.build_training_frame(_features(spark, sf), 24)
+    return WN.sequences(tf, SEQ_FEATS, "aqi_next_24h", 24)
+
+
+@query("append_row", f"""
+WITH {S.OBS}, u AS (SELECT * FROM obs WHERE timestamp < TIMESTAMP '{CUTOFF}' AND aqi IS NOT NULL
+                    UNION ALL SELECT * FROM obs WHERE timestamp = TIMESTAMP '{CUTOFF}'),
+f AS ({S.feat_cols('u')}),
+t AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM f)
+      WHERE rk = 1)
+{S.round_all(FEATURE_DOUBLES, FEATURE_OTHER, ['hours_since_prev'])}""")
+def q_append_row(spark, sf):
+    obs = TB.obs_hourly(spark, sf)
+    cut = F.lit(CUTOFF).cast("timestamp_ntz")
+    return r6(WN.append_row_features(obs.filter(F.col("timestamp") < cut), obs.filter(F.col("timestamp") == cut)))
+
+
+def _cov_sql():
+    parts = []
+    for h in (24, 48, 72):
+        label = f"{h}h"
+        for b in FORECAST_BASE_FEATURES:
+            c = f"{b}_{label}"
+            parts.append(f"SELECT {h} AS horizon, '{c}' AS feature, {S.r6(f'avg(CAST({c} IS NOT NULL AS DOUBLE))')} AS coverage, "
+                         f"avg(CAST({c} IS NOT NULL AS DOUBLE)) >= 0.05 AS kept FROM tf{h}")
+    ctes = ", ".join(f"tf{h} AS ({S.target_sql('withfc', h)})" for h in (24, 48, 72))
+    return f"""
+WITH {S.FEAT}, {S.EV.replace('ev AS', 'ev2 AS', 1)}, {S.FORECAST}, base AS (SELECT * FROM feat),
+j AS ({_fc_join}),
+fw AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp),
+withfc AS (SELECT feat.*, fw.* EXCLUDE (series, timestamp) FROM feat JOIN fw USING (series, timestamp)),
+{ctes}
+{' UNION ALL '.join(parts)}"""
+
+
+@query("coverage_gate", _cov_sql())
+def q_coverage_gate(spark, sf):
+    feats = J.forecast_windows(_features(spark, sf), TB.forecast_hourly(spark, sf))
+    out = None
+    for h in (24, 48, 72):
+        d = CV.coverage_decisions(WN.build_training_frame(feats, h), h)
+        out = d if out is None else out.unionByName(d)
+    return r6(out)
+
+
+@query("rows_with_forecast", f"""
+WITH {S.FEAT}, {S.FORECAST}, base AS (SELECT * FROM feat),
+j AS ({_fc_join}),
+fw AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp)
+SELECT count(*) AS n_rows, count(*) FILTER (WHERE COALESCE({', '.join(c for c in FORECAST_WINDOW_COLUMNS if not c.startswith('fc_pm25'))}) IS NOT NULL)
+  AS rows_with_forecast FROM fw""")
+def q_rows_with_forecast(spark, sf):
+    from hourcast.schema import FORECAST_FEATURE_COLS
+    feats = J.forecast_windows(TB.obs_hourly(spark, sf).select("series", "timestamp"), TB.forecast_hourly(spark, sf))
+    return CV.rows_with_any(feats, FORECAST_FEATURE_COLS)

@@ -129,3 +129,21 @@ def fc_window_sql(base: str = "base", fc: str = "fc", cols=None, decimals: int =
     return f"""SELECT b.*, f.timestamp AS j_ts, {jcols}
       FROM {base} b LEFT JOIN {fc} f ON f.series = b.series AND f.timestamp >= b.timestamp
         AND f.timestamp < b.timestamp + INTERVAL 72 HOUR""", ",\n  ".join(sel)
+
+
+def target_sql(src: str, h: int) -> str:
+    return f"""SELECT * EXCLUDE (_tt) FROM (
+      SELECT *, lead(aqi, {h}) OVER w AS aqi_next_{h}h, lead(timestamp, {h}) OVER w AS _tt
+      FROM {src} WINDOW w AS {W}) WHERE (epoch_us(_tt) - epoch_us(timestamp)) / 3.6e9 = {float(h)}"""
+
+
+def backfill_sql(src: str) -> str:
+    from hourcast.schema import SHIFT_BACKFILL_SOURCES, ZERO_BACKFILL_COLUMNS
+    sets = []
+    for label, h in (("24h", 24), ("48h", 48), ("72h", 72)):
+        for fc, s in SHIFT_BACKFILL_SOURCES:
+            sets.append(f"COALESCE({fc}_{label}, lead({s}, {h}) OVER w) AS {fc}_{label}")
+        for fc in ZERO_BACKFILL_COLUMNS:
+            sets.append(f"COALESCE({fc}_{label}, 0.0) AS {fc}_{label}")
+    names = [s.rsplit(' AS ', 1)[1] for s in sets]
+    return f"SELECT * EXCLUDE ({', '.join(names)}), {', '.join(sets)} FROM {src} WINDOW w AS {W}"

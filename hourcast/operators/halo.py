@@ -36,10 +36,12 @@ DEFAULT_CHUNK_ROWS = 4096
 
 
 def positions(df: DataFrame, series=SERIES, ts=TS, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-              rn: str = RN) -> DataFrame:
-    """Add the 1-based position of each row within its series ordered by ``ts``."""
+              rn: str = RN, bucket=None) -> DataFrame:
+    """Add the 1-based position of each row within its series ordered by ``ts``
+    (any orderable column). ``bucket`` must be monotone in ``ts``; by default
+    fixed-width time buckets of ``bucket_seconds``."""
     keys = [series] if isinstance(series, str) else list(series)
-    b = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds))
+    b = bucket if bucket is not None else F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds))
     staged = df.withColumn(BUCKET, b)
     counts = staged.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(

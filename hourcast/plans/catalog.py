@@ -551,3 +551,295 @@ def q_rows_with_forecast(spark, sf):
     from hourcast.schema import FORECAST_FEATURE_COLS
     feats = J.forecast_windows(TB.obs_hourly(spark, sf).select("series", "timestamp"), TB.forecast_hourly(spark, sf))
     return CV.rows_with_any(feats, FORECAST_FEATURE_COLS)
+
+
+# ---- M4: aggregations ---------------------------------------------------------------------
+from hourcast.functions.numeric import round_stable  # noqa: E402
+from hourcast.operators import aggregates as AG  # noqa: E402
+from hourcast.operators import stats as ST  # noqa: E402
+from hourcast.schema import POLLUTANTS  # noqa: E402
+
+LOCAL = f"""{S.FEAT}, l AS (SELECT *, timezone('Asia/Karachi', timestamp AT TIME ZONE 'UTC') AS lt FROM feat)"""
+
+
+def _prof_sql(key_expr: str, key: str, std: bool = False, having: str = "") -> str:
+    extra = f", {S.r6('stddev_samp(aqi)')} AS std" if std else ""
+    return f"""
+WITH {LOCAL}
+SELECT series, {key_expr} AS {key}, {S.r6('avg(aqi)')} AS mean{extra} FROM l GROUP BY series, {key_expr} {having}"""
+
+
+def _prof(by, std=False):
+    def q(spark, sf):
+        return r6(AG.profile(_features(spark, sf), by, std=std))
+    return q
+
+
+query("by_hour", _prof_sql("CAST(hour(lt) AS BIGINT)", "local_hour", std=True))(_prof("local_hour", True))
+query("by_dow", _prof_sql("CAST(isodow(lt) - 1 AS BIGINT)", "local_dow"))(_prof("local_dow"))
+query("by_month", _prof_sql("CAST(month(lt) AS BIGINT)", "local_month"))(_prof("local_month"))
+query("by_period", _prof_sql("strftime(lt, '%Y-%m')", "local_period"))(_prof("local_period"))
+query("by_date", _prof_sql("CAST(lt AS DATE)", "local_date"))(_prof("local_date"))
+
+
+@query("resample_daily", _prof_sql("CAST(lt AS DATE)", "local_date", having="HAVING avg(aqi) IS NOT NULL"))
+def q_resample_daily(spark, sf):
+    return r6(AG.daily_resample(_features(spark, sf)))
+
+
+@query("argmax_hour", f"""
+WITH {LOCAL}, p AS (SELECT series, CAST(hour(lt) AS BIGINT) AS h, avg(aqi) AS m FROM l GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY m DESC, h) AS top,
+             row_number() OVER (PARTITION BY series ORDER BY m ASC, h) AS bot FROM p)
+SELECT series, max(CASE WHEN top = 1 THEN h END) AS peak, max(CASE WHEN bot = 1 THEN h END) AS clean
+FROM r GROUP BY series""")
+def q_argmax_hour(spark, sf):
+    return AG.arg_extremes(AG.profile(_features(spark, sf), "local_hour"), "local_hour")
+
+
+@query("argmax_period", f"""
+WITH {LOCAL}, p AS (SELECT series, strftime(lt, '%Y-%m') AS h, avg(aqi) AS m FROM l GROUP BY 1, 2),
+r AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY m DESC, h) AS top,
+             row_number() OVER (PARTITION BY series ORDER BY m ASC, h) AS bot FROM p)
+SELECT series, max(CASE WHEN top = 1 THEN h END) AS peak, max(CASE WHEN bot = 1 THEN h END) AS clean
+FROM r GROUP BY series""")
+def q_argmax_period(spark, sf):
+    return AG.arg_extremes_str(AG.profile(_features(spark, sf), "local_period"), "local_period")
+
+
+@query("global_stats", f"""
+WITH {S.FEAT}
+SELECT series, count(aqi) AS n, {S.r6('avg(aqi)')} AS mean, {S.r6('stddev_samp(aqi)')} AS std,
+       {S.r6('min(aqi)')} AS min, {S.r6('max(aqi)')} AS max, min(timestamp) AS first_ts, max(timestamp) AS last_ts,
+       {S.r6('quantile_cont(aqi, 0.5)')} AS median
+FROM feat GROUP BY series""")
+def q_global_stats(spark, sf):
+    return r6(AG.global_stats(_features(spark, sf)))
+
+
+@query("shares", f"""
+WITH {S.FEAT}
+SELECT series, {S.r6('avg(COALESCE(CAST(aqi <= 50 AS DOUBLE), 0.0)) * 100.0')} AS good_pct,
+       {S.r6('avg(COALESCE(CAST(aqi > 50 AND aqi <= 100 AS DOUBLE), 0.0)) * 100.0')} AS moderate_pct,
+       {S.r6('avg(COALESCE(CAST(aqi > 100 AS DOUBLE), 0.0)) * 100.0')} AS unhealthy_pct
+FROM feat GROUP BY series""")
+def q_shares(spark, sf):
+    return r6(AG.shares(_features(spark, sf)))
+
+
+def _bands_sql():
+    parts = []
+    for name, lo, hi in AG.BANDS:
+        cond = " AND ".join(([f"aqi > {lo}"] if lo is not None else []) + ([f"aqi <= {hi}"] if hi is not None else []))
+        parts.append(f"SELECT series, '{name}' AS band, count(*) FILTER (WHERE {cond}) AS count, "
+                     f"{S.r6(f'count(*) FILTER (WHERE {cond}) * 100.0 / count(*)')} AS pct FROM feat GROUP BY series")
+    return f"WITH {S.FEAT}\n" + " UNION ALL ".join(parts)
+
+
+@query("bands", _bands_sql())
+def q_bands(spark, sf):
+    return r6(AG.band_counts(_features(spark, sf)))
+
+
+def _describe_sql():
+    parts = []
+    for c in POLLUTANTS:
+        def r3(e):
+            return f"round(({e}) * (1 + 1e-12), 3)"
+        parts.append(f"""SELECT '{c}' AS column, {r3(f'CAST(count({c}) AS DOUBLE)')} AS count, {r3(f'avg({c})')} AS mean,
+  {r3(f'stddev_samp({c})')} AS std, {r3(f'min({c})')} AS min, {r3(f"quantile_cont({c}, 0.25)")} AS p25,
+  {r3(f"quantile_cont({c}, 0.5)")} AS p50, {r3(f"quantile_cont({c}, 0.75)")} AS p75, {r3(f'max({c})')} AS max,
+  {r3(f"round((stddev_samp({c}) / avg({c}) * 100.0) * (1 + 1e-12), 1)")} AS cv_pct FROM feat""")
+    body = " UNION ALL ".join(parts)
+    cols = ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "cv_pct"]
+    return f"WITH {S.FEAT}, t AS ({body})\n{S.round_all(cols, ['\"column\"'])}"
+
+
+@query("describe", _describe_sql())
+def q_describe(spark, sf):
+    return r6(AG.describe(_features(spark, sf), POLLUTANTS))
+
+
+def _null_sql():
+    from hourcast.plans.sqlbits import FEAT_COLS_ORDER
+    parts = [f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
+             f"round((count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*)) * (1 + 1e-12), 2) AS missing_pct FROM feat"
+             for c in FEAT_COLS_ORDER]
+    return f"WITH {S.FEAT}, t AS ({' UNION ALL '.join(parts)})\n" \
+           f"SELECT \"column\", missing_count, {S.r6('missing_pct')} AS missing_pct FROM t WHERE missing_count > 0"
+
+
+@query("null_profile", _null_sql())
+def q_null_profile(spark, sf):
+    return r6(AG.null_profile(_features(spark, sf)))
+
+
+def _schema_sql():
+    from hourcast.plans.sqlbits import FEAT_COLS_ORDER
+    m = ("CASE typeof({c}) WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DOUBLE' "
+         "THEN 'double' WHEN 'BIGINT' THEN 'bigint' WHEN 'FLOAT' THEN 'float' WHEN 'TINYINT' THEN 'tinyint' "
+         "ELSE lower(typeof({c})) END")
+    parts = [f"SELECT '{c}' AS column, any_value({m.format(c=c)}) AS dtype, count({c}) AS non_null FROM feat"
+             for c in FEAT_COLS_ORDER]
+    return f"WITH {S.FEAT}\n" + " UNION ALL ".join(parts)
+
+
+@query("schema_profile", _schema_sql())
+def q_schema_profile(spark, sf):
+    return AG.schema_profile(_features(spark, sf))
+
+
+@query("coverage", f"""
+WITH {S.FEAT}, {S.FORECAST}, base AS (SELECT series, timestamp FROM feat),
+j AS ({_fc_join}),
+fw AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp),
+t AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, avg(CAST({c} IS NOT NULL AS DOUBLE)) * 100.0 AS coverage_pct FROM fw" for c in FORECAST_WINDOW_COLUMNS)})
+SELECT feature, {S.r6('coverage_pct')} AS coverage_pct, coverage_pct >= 95 AS well_covered FROM t""")
+def q_coverage(spark, sf):
+    fw = J.forecast_windows(TB.obs_hourly(spark, sf).select("series", "timestamp"), TB.forecast_hourly(spark, sf))
+    cov = CV.coverage_frame(fw, FORECAST_WINDOW_COLUMNS)
+    return r6(cov.select(F.col("column").alias("feature"), (F.col("coverage") * 100.0).alias("coverage_pct"))
+              .withColumn("well_covered", F.col("coverage_pct") >= 95))
+
+
+@query("gap_counts", f"""
+WITH {S.OBS}, g AS (SELECT (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER w)) / 3.6e9 AS gap_hours
+                    FROM obs WINDOW w AS {S.W}),
+c AS (SELECT gap_hours, count(*) AS count FROM g WHERE gap_hours IS NOT NULL GROUP BY gap_hours),
+t AS (SELECT gap_hours, count, count * 100.0 / sum(count) OVER () AS pct FROM c ORDER BY count DESC, gap_hours LIMIT 10)
+{S.round_all(['gap_hours', 'pct'], ['count'])}""")
+def q_gap_counts(spark, sf):
+    from pyspark.sql import Window
+    g = AG.gap_counts(TB.obs_hourly(spark, sf))
+    g = g.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy()))
+    return r6(g.orderBy(F.col("count").desc(), "gap_hours").limit(10))
+
+
+@query("target_stats", f"""
+WITH {S.FEAT}, {', '.join(f"t{h}a AS ({S.target_sql('feat', h)}), t{h} AS (SELECT * FROM (SELECT *, lead(timestamp, {h}) OVER w AS _t2 FROM t{h}a WHERE aqi_next_{h}h IS NOT NULL WINDOW w AS {S.W}) WHERE (epoch_us(_t2) - epoch_us(timestamp)) / 3.6e9 = {float(h)})" for h in (24, 48, 72))},
+t AS ({' UNION ALL '.join(f"SELECT {h} AS horizon, count(aqi_next_{h}h) AS n, avg(aqi_next_{h}h) AS mean, stddev_samp(aqi_next_{h}h) AS std FROM t{h}" for h in (24, 48, 72))})
+{S.round_all(['mean', 'std'], ['horizon', 'n'])}""")
+def q_target_stats(spark, sf):
+    feats = _features(spark, sf).cache()
+    out = None
+    for h in (24, 48, 72):
+        tgt = f"aqi_next_{h}h"
+        tf = WN.exact_horizon_recheck(WN.build_training_frame(feats, h).filter(F.col(tgt).isNotNull()), h)
+        s = tf.agg(F.lit(h).alias("horizon"), F.count(tgt).alias("n"), F.avg(tgt).alias("mean"),
+                   F.stddev_samp(tgt).alias("std"))
+        out = s if out is None else out.unionByName(s)
+    return r6(out)
+
+
+@query("sequence_scaler", f"""
+WITH {S.FEAT}, tf AS ({S.target_sql('feat', 24)}),
+t AS (SELECT {', '.join(f'CAST({c} AS FLOAT) AS f{i}' for i, c in enumerate(SEQ_FEATS))}, 
+  count(*) OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS n, aqi_next_24h AS y,
+  row_number() OVER w AS rn FROM tf WINDOW w AS {S.W}),
+-- every row counts once per sequence that holds it: a row at position p is in the sequences ending at p..p+23
+seqs AS (SELECT series, timestamp FROM (SELECT series, timestamp,
+  count(*) OVER (w ROWS BETWEEN 23 PRECEDING AND CURRENT ROW) AS n, aqi_next_24h AS y FROM tf WINDOW w AS {S.W})
+  WHERE n = 24 AND y IS NOT NULL),
+cells AS (SELECT s.series, s.timestamp AS end_ts, tf.* EXCLUDE (series) FROM seqs s JOIN (
+    SELECT *, row_number() OVER w AS rn FROM tf WINDOW w AS {S.W}) tf ON tf.series = s.series
+    JOIN (SELECT series, timestamp, row_number() OVER w AS rn FROM tf WINDOW w AS {S.W}) e
+      ON e.series = s.series AND e.timestamp = s.timestamp AND tf.rn BETWEEN e.rn - 23 AND e.rn),
+u AS ({' UNION ALL '.join(f'SELECT {i} AS feature_index, CAST({c} AS FLOAT) AS v FROM cells' for i, c in enumerate(SEQ_FEATS))}),
+a AS (SELECT feature_index, avg(v) AS mean, stddev_pop(v) AS sd FROM u GROUP BY feature_index)
+SELECT feature_index, {S.r6('mean')} AS mean, {S.r6('CASE WHEN sd = 0 THEN 1.0 ELSE sd END')} AS scale FROM a""")
+def q_sequence_scaler(spark, sf):
+    seq = q_sequences(spark, sf)
+    return r6(ST.flatten_sequence_scaler(seq, len(SEQ_FEATS)))
+
+
+# ---- M5: exploratory statistics ----------------------------------------------------------------
+
+@query("corr_matrix", f"""
+WITH {S.FEAT}, t AS ({' UNION ALL '.join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS corr FROM feat" for a in POLLUTANTS for b in POLLUTANTS)})
+SELECT col_a, col_b, {S.r6('corr')} AS corr FROM t""")
+def q_corr_matrix(spark, sf):
+    return r6(ST.corr_matrix(_features(spark, sf), POLLUTANTS))
+
+
+@query("corr_ranked", f"""
+WITH {S.FEAT}, t AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, corr(aqi, {c}) AS corr FROM feat" for c in POLLUTANTS[1:])})
+SELECT feature, {S.r6('corr')} AS corr FROM t ORDER BY abs(corr) DESC, feature LIMIT 5""")
+def q_corr_ranked(spark, sf):
+    c = ST.corr_with(_features(spark, sf), "aqi", POLLUTANTS)
+    return r6(c.orderBy(F.abs("corr").desc(), "feature").limit(5))
+
+
+@query("corr_lags", f"""
+WITH {S.FEAT}, t AS ({' UNION ALL '.join(f"SELECT series, '{c}' AS feature, corr(aqi, {c}) AS corr FROM feat GROUP BY series" for c in LAG_COLUMNS + ROLLING_COLUMNS + ['pm25'])})
+SELECT series, feature, {S.r6('corr')} AS corr FROM t""")
+def q_corr_lags(spark, sf):
+    return r6(ST.corr_with(_features(spark, sf), "aqi", LAG_COLUMNS + ROLLING_COLUMNS + ["pm25"], series="series"))
+
+
+@query("histogram", f"""
+WITH {S.FEAT}, r AS (SELECT series, min(aqi) AS lo, max(aqi) AS hi FROM feat GROUP BY series),
+c AS (SELECT f.series, CAST(CASE WHEN hi > lo THEN least(floor((aqi - lo) * 50 / (hi - lo)), 49) ELSE 0 END AS INTEGER) AS bin,
+      count(*) AS cnt FROM feat f JOIN r USING (series) WHERE aqi IS NOT NULL GROUP BY 1, 2),
+g AS (SELECT series, lo, hi, CAST(b AS INTEGER) AS bin FROM r, range(50) t(b))
+SELECT g.series, g.bin, {S.r6('lo + g.bin * ((hi - lo) / 50)')} AS bin_lo, {S.r6('lo + (g.bin + 1) * ((hi - lo) / 50)')} AS bin_hi,
+       COALESCE(c.cnt, 0) AS count
+FROM g LEFT JOIN c ON c.series = g.series AND c.bin = g.bin""")
+def q_histogram(spark, sf):
+    return r6(ST.histogram(_features(spark, sf), "aqi", 50))
+
+
+@query("kde", f"""
+WITH {S.FEAT}, p0 AS (SELECT series, count(aqi) AS n, stddev_samp(aqi) AS sd, min(aqi) AS lo, max(aqi) AS hi FROM feat GROUP BY series),
+p AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM p0),
+p2 AS (SELECT *, lo - 3.0 * h AS g0, (hi - lo + 2 * 3.0 * h) / 199 AS gs FROM p),
+s AS (SELECT p2.series, CAST(t.gi AS INTEGER) AS gi, sum(exp(-0.5 * ((g0 + t.gi * gs - f.aqi) / h) * ((g0 + t.gi * gs - f.aqi) / h))) AS s
+      FROM feat f JOIN p2 USING (series), range(200) t(gi) WHERE f.aqi IS NOT NULL GROUP BY 1, 2)
+SELECT s.series, s.gi, {S.r6('g0 + gi * gs')} AS x, {S.r6(f's / (n * h * {2 * 3.141592653589793 ** 1}))') if False else S.r6('s / (n * h * sqrt(2 * pi()))')} AS density
+FROM s JOIN p2 USING (series)""")
+def q_kde(spark, sf):
+    return r6(ST.kde(_features(spark, sf), "aqi"))
+
+
+@query("boxplot", f"""
+WITH {S.FEAT}, q AS (SELECT series, quantile_cont(aqi, 0.25) AS q1, quantile_cont(aqi, 0.5) AS median,
+                              quantile_cont(aqi, 0.75) AS q3 FROM feat GROUP BY series)
+SELECT series, {S.r6('q1')} AS q1, {S.r6('median')} AS median, {S.r6('q3')} AS q3, {S.r6('q3 - q1')} AS iqr,
+  {S.r6('min(CASE WHEN aqi >= q1 - 1.5 * (q3 - q1) THEN aqi END)')} AS whisker_lo,
+  {S.r6('max(CASE WHEN aqi <= q3 + 1.5 * (q3 - q1) THEN aqi END)')} AS whisker_hi,
+  count(*) FILTER (WHERE aqi < q1 - 1.5 * (q3 - q1) OR aqi > q3 + 1.5 * (q3 - q1)) AS n_fliers
+FROM feat JOIN q USING (series) WHERE aqi IS NOT NULL GROUP BY series, q1, median, q3""")
+def q_boxplot(spark, sf):
+    return r6(ST.boxplot_stats(_features(spark, sf), "aqi"))
+
+
+_M = "CASE WHEN i = 1 THEN 1.0 - pow(0.5, 1.0 / n) WHEN i = n THEN pow(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END"
+
+
+@query("qq_fit", f"""
+WITH {S.FEAT}, r AS (SELECT series, aqi AS x, row_number() OVER (PARTITION BY series ORDER BY aqi) AS i,
+                            count(*) OVER (PARTITION BY series) AS n FROM feat WHERE aqi IS NOT NULL),
+m AS (SELECT *, {_M} AS m FROM r),
+o AS (SELECT *, {ST.inv_norm_sql('m')} AS osm FROM m)
+SELECT series, count(*) AS n, {S.r6('regr_slope(x, osm)')} AS slope, {S.r6('regr_intercept(x, osm)')} AS intercept,
+       {S.r6('corr(osm, x)')} AS r, {S.r6('corr(osm, x) * corr(osm, x)')} AS r2
+FROM o GROUP BY series""")
+def q_qq_fit(spark, sf):
+    return r6(ST.qq_fit(_features(spark, sf), "aqi"))
+
+
+@query("rolling_band", f"""
+WITH {S.FEAT}, t AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM feat) WHERE rk <= 500)
+SELECT series, timestamp, {S.r6('aqi')} AS aqi, {S.r6('rolling_mean_24h')} AS rolling_mean_24h,
+  {S.r6('rolling_mean_24h - rolling_std_24h')} AS lower, {S.r6('rolling_mean_24h + rolling_std_24h')} AS upper FROM t""")
+def q_rolling_band(spark, sf):
+    t = O.latest_n(_features(spark, sf), 500)
+    return r6(ST.rolling_band(t).select("series", "timestamp", "aqi", "rolling_mean_24h", "lower", "upper"))
+
+
+@query("hour_band", f"""
+WITH {LOCAL}, p AS (SELECT series, CAST(hour(lt) AS BIGINT) AS local_hour, avg(aqi) AS mean, stddev_samp(aqi) AS std
+                    FROM l GROUP BY 1, 2)
+SELECT series, local_hour, {S.r6('mean')} AS mean, {S.r6('std')} AS std, {S.r6('mean - std')} AS lower,
+       {S.r6('mean + std')} AS upper FROM p""")
+def q_hour_band(spark, sf):
+    return r6(ST.mean_std_band(AG.profile(_features(spark, sf), "local_hour", std=True)))

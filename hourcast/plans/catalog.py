@@ -986,3 +986,27 @@ def q_batch_scoring(spark, sf):
         p = ML.predict(model, newest, feats).select("series", "timestamp", F.lit(h).alias("horizon"), "prediction")
         out = p if out is None else out.unionByName(p)
     return r6(out)
+
+
+# ---- M8: streaming ------------------------------------------------------------------------------
+import os as _os  # noqa: E402
+
+from hourcast.streaming import jobs as SJ  # noqa: E402
+
+
+@query("stream_hourly", f"""
+WITH {S.OBS}
+{S.round_all(['aqi'] + MEASURES[1:], ['series', 'timestamp'], src='obs')}""")
+def q_stream_hourly(spark, sf):
+    return r6(SJ.run_hourly_aggregate(spark, _os.path.join(sf, "events.parquet")))
+
+
+_STORED = [c for c in FEATURE_DOUBLES] + ["series", "timestamp", "hour_of_day", "day_of_week", "month"]
+
+
+@query("stream_feature_append", f"""
+WITH {S.OBS}, t AS ({S.feat_cols('obs')})
+{S.round_all(FEATURE_DOUBLES, ['series', 'timestamp', 'hour_of_day', 'day_of_week', 'month'])}""")
+def q_stream_feature_append(spark, sf):
+    stored = SJ.run_feature_append(spark, TB.obs_hourly(spark, sf))
+    return r6(stored.select(*_STORED))

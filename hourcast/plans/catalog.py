@@ -709,9 +709,8 @@ c AS (SELECT gap_hours, count(*) AS count FROM g WHERE gap_hours IS NOT NULL GRO
 t AS (SELECT gap_hours, count, count * 100.0 / sum(count) OVER () AS pct FROM c ORDER BY count DESC, gap_hours LIMIT 10)
 {S.round_all(['gap_hours', 'pct'], ['count'])}""")
 def q_gap_counts(spark, sf):
-    from pyspark.sql import Window
     g = AG.gap_counts(TB.obs_hourly(spark, sf))
-    g = g.withColumn("pct", F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy()))
+    g = g.withColumn("pct", F.col("count") * 100.0 / g.select(F.sum("count")).scalar())
     return r6(g.orderBy(F.col("count").desc(), "gap_hours").limit(10))
 
 
@@ -1010,3 +1009,119 @@ WITH {S.OBS}, t AS ({S.feat_cols('obs')})
 def q_stream_feature_append(spark, sf):
     stored = SJ.run_feature_append(spark, TB.obs_hourly(spark, sf))
     return r6(stored.select(*_STORED))
+
+
+# ---- remaining inventory: scans, alignment, strings, colours, trend, insights ---------------------
+from hourcast.schema import align_columns  # noqa: E402
+
+TRAIN_START = "2024-01-08 00:00:00"
+
+
+@query("training_window", f"""
+WITH {S.OBS}
+SELECT series, timestamp, {S.r6('aqi')} AS aqi FROM obs WHERE timestamp >= TIMESTAMP '{TRAIN_START}' AND aqi IS NOT NULL""")
+def q_training_window(spark, sf):
+    obs = TB.obs_hourly(spark, sf).select("series", "timestamp", "aqi")
+    return r6(obs.filter((F.col("timestamp") >= F.lit(TRAIN_START).cast("timestamp_ntz")) & F.col("aqi").isNotNull()))
+
+
+@query("row_count", "SELECT count(*) AS cnt FROM events")
+def q_row_count(spark, sf):
+    return table(spark, sf, "events").agg(F.count(F.lit(1)).alias("cnt"))
+
+
+@query("point_count", f"""
+WITH {S.OBS}
+SELECT count(*) AS cnt FROM obs WHERE timestamp = {AS_OF_HOUR}""")
+def q_point_count(spark, sf):
+    obs = TB.obs_hourly(spark, sf)
+    return obs.filter(F.col("timestamp") == F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz")) \
+        .agg(F.count(F.lit(1)).alias("cnt"))
+
+
+_TRAINED = ["aqi", "pm25", "fc_co_24h", "aqi_lag_1h", "fc_dust_24h"]
+
+
+@query("align_columns", f"""
+WITH {S.FEAT}
+SELECT series, timestamp, {S.r6('aqi')} AS aqi, {S.r6('pm25')} AS pm25, 0.0::DOUBLE AS fc_co_24h,
+       {S.r6('aqi_lag_1h')} AS aqi_lag_1h, 0.0::DOUBLE AS fc_dust_24h FROM feat""")
+def q_align_columns(spark, sf):
+    return r6(align_columns(_features(spark, sf), _TRAINED, keep=("series", "timestamp")))
+
+
+@query("bar_colors", f"""
+WITH {LOCAL}, p AS (SELECT series, strftime(lt, '%Y-%m') AS local_period, strftime(lt, '%b %Y') AS month_name,
+                           avg(aqi) AS mean FROM l GROUP BY 1, 2, 3)
+SELECT series, local_period, month_name, {S.r6('mean')} AS mean,
+  CASE WHEN mean <= 50 THEN '#22c55e' WHEN mean <= 100 THEN '#eab308' WHEN mean <= 150 THEN '#f97316' ELSE '#ef4444' END AS color
+FROM p""")
+def q_bar_colors(spark, sf):
+    from hourcast.functions.calendar import local_time
+    # fixed values: dashboard bar colours by AQI mean
+    colors = ["#22c55e", "#eab308", "#f97316", "#ef4444"]
+    p = AG.profile(_features(spark, sf), "local_period")
+    months = _features(spark, sf).select("series", F.date_format(local_time("timestamp"), "yyyy-MM").alias("local_period"),
+                                         F.date_format(local_time("timestamp"), "MMM yyyy").alias("month_name")).distinct()
+    return r6(p.join(months, ["series", "local_period"])
+              .withColumn("color", A.threshold_label("mean", [50, 100, 150], colors)))
+
+
+@query("metric_strings", f"""
+WITH {_baseline_sql((24, 48, 72))}, m AS (SELECT horizon, model, {_MET} FROM preds GROUP BY horizon, model)
+SELECT horizon, upper(replace(model, '_', ' ')) AS label, printf('%.4f', rmse) AS rmse, printf('%.4f', mae) AS mae,
+       printf('%.4f', r2) AS r2 FROM m""")
+def q_metric_strings(spark, sf):
+    m = ML.regression_metrics(_baseline_preds(spark, sf, (24, 48, 72)), ["horizon", "model"], "y", "prediction")
+    return m.select("horizon", F.upper(F.regexp_replace("model", "_", " ")).alias("label"),
+                    ML.format_metric("rmse").alias("rmse"), ML.format_metric("mae").alias("mae"),
+                    ML.format_metric("r2").alias("r2"))
+
+
+@query("trend", f"""
+WITH {S.OBS}, {S.FORECAST}, base AS (SELECT series, timestamp FROM obs WHERE timestamp = {AS_OF_HOUR}),
+act AS (SELECT * FROM (SELECT series, timestamp, pm25, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk
+        FROM obs WHERE timestamp <= {AS_OF_HOUR}) WHERE rk <= 72),
+pred AS (SELECT b.series, b.timestamp + to_hours(h.horizon) AS timestamp, h.horizon,
+   {S.aqi_sql('avg(f.fc_pm25)')} AS value
+  FROM base b CROSS JOIN (VALUES (24, 0), (48, 24), (72, 48)) h(horizon, h0)
+  JOIN fc f ON f.series = b.series AND f.timestamp >= b.timestamp + to_hours(h.h0)
+       AND f.timestamp < b.timestamp + to_hours(h.h0 + 24)
+  GROUP BY b.series, b.timestamp, h.horizon)
+SELECT series, timestamp, timezone('Asia/Karachi', timestamp AT TIME ZONE 'UTC') AS local_ts, 'actual' AS kind,
+       CAST(NULL AS INTEGER) AS horizon, {S.r6(S.aqi_sql('pm25'))} AS value FROM act
+UNION ALL
+SELECT series, timestamp, timezone('Asia/Karachi', timestamp AT TIME ZONE 'UTC') AS local_ts, 'forecast' AS kind,
+       horizon, {S.r6('value')} AS value FROM pred""")
+def q_trend(spark, sf):
+    from hourcast.plans.scoring import trend_frame
+    obs = TB.obs_hourly(spark, sf)
+    as_of = F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz")
+    hist = obs.filter(F.col("timestamp") <= as_of)
+    base = obs.filter(F.col("timestamp") == as_of).select("series", "timestamp")
+    win = J.forecast_windows(base, TB.forecast_hourly(spark, sf), decimals=None)
+    preds = win.select("series", "timestamp", F.explode(F.array(*[
+        F.struct(F.lit(h).alias("horizon"), A.pm25_to_aqi(F.col(f"fc_pm25_{h}h")).alias("prediction"))
+        for h in (24, 48, 72)])).alias("p")).select("series", "timestamp", "p.*").filter(F.col("prediction").isNotNull())
+    return r6(trend_frame(hist, preds, 72))
+
+
+@query("insights", f"""
+WITH {LOCAL}, g AS (SELECT series, (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER w)) / 3.6e9 AS d FROM feat WINDOW w AS {S.W}),
+gaps AS (SELECT series, count(*) FILTER (WHERE d IS NOT NULL AND d <> 1.0) AS total_gaps FROM g GROUP BY series),
+hp AS (SELECT series, CAST(hour(lt) AS BIGINT) AS h, avg(aqi) AS m FROM l GROUP BY 1, 2),
+hr AS (SELECT series, max(CASE WHEN top = 1 THEN h END) AS peak_hour, max(CASE WHEN bot = 1 THEN h END) AS clean_hour
+       FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY m DESC, h) AS top,
+                       row_number() OVER (PARTITION BY series ORDER BY m, h) AS bot FROM hp) GROUP BY series),
+base AS (SELECT series, count(*) AS n, strftime(min(timestamp), '%b %d, %Y') AS date_min, strftime(max(timestamp), '%b %d, %Y') AS date_max,
+       avg(aqi) AS mean, stddev_samp(aqi) AS std,
+       avg(COALESCE(CAST(aqi <= 50 AS DOUBLE), 0.0)) * 100.0 AS good_pct,
+       avg(COALESCE(CAST(aqi > 50 AND aqi <= 100 AS DOUBLE), 0.0)) * 100.0 AS moderate_pct,
+       avg(COALESCE(CAST(aqi > 100 AS DOUBLE), 0.0)) * 100.0 AS unhealthy_pct, corr(aqi, pm25) AS pm25_corr
+       FROM feat GROUP BY series)
+SELECT b.series, n, date_min, date_max, {', '.join(S.r6(c) + ' AS ' + c for c in ['mean', 'std', 'good_pct', 'moderate_pct', 'unhealthy_pct', 'pm25_corr'])},
+       peak_hour, clean_hour, total_gaps
+FROM base b JOIN hr USING (series) JOIN gaps USING (series)""")
+def q_insights(spark, sf):
+    from hourcast.plans.insights import insight_rows
+    return r6(insight_rows(_features(spark, sf)))

@@ -8,7 +8,7 @@ from hourcast.functions.calendar import add_calendar, local_time
 
 
 def _eval(spark, values, fn):
-    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, x double")
+    df = spark.createDataFrame([(i, None if v is None else float(v)) for i, v in enumerate(values)], "i int, x double")
     return [r[0] for r in df.orderBy("i").select(fn("x")).collect()]
 
 

@@ -43,12 +43,14 @@ def positions(df: DataFrame, series=SERIES, ts=TS, bucket_seconds: int = DEFAULT
     keys = [series] if isinstance(series, str) else list(series)
     b = bucket if bucket is not None else F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds))
     staged = df.withColumn(BUCKET, b)
-    counts = staged.groupBy(*keys, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = staged.withColumn("_rb", F.row_number().over(Window.partitionBy(*keys, BUCKET).orderBy(ts)))
+    # bucket sizes from the ranked branch itself: both uses share one exchange
+    # (ReusedExchange), so the input is computed once
+    counts = ranked.groupBy(*keys, BUCKET).agg(F.max("_rb").alias("_n"))
     offsets = counts.select(
         *keys, BUCKET,
         F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy(BUCKET)
                                     .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    ranked = staged.withColumn("_rb", F.row_number().over(Window.partitionBy(*keys, BUCKET).orderBy(ts)))
     return (ranked.join(offsets, [*keys, BUCKET])
             .withColumn(rn, (F.col("_rb") + F.col("_off")).cast("long"))
             .drop("_rb", "_off", BUCKET))

@@ -1021,7 +1021,7 @@ TRAIN_START = "2024-01-08 00:00:00"
 WITH {S.OBS}
 SELECT series, timestamp, {S.r6('aqi')} AS aqi FROM obs WHERE timestamp >= TIMESTAMP '{TRAIN_START}' AND aqi IS NOT NULL""")
 def q_training_window(spark, sf):
-    obs = TB.obs_hourly(spark, sf).select("series", "timestamp", "aqi")
+    obs = TB.obs_hourly(spark, sf, since=TRAIN_START).select("series", "timestamp", "aqi")
     return r6(obs.filter((F.col("timestamp") >= F.lit(TRAIN_START).cast("timestamp_ntz")) & F.col("aqi").isNotNull()))
 
 

@@ -17,8 +17,12 @@ from hourcast.sources.tables import table
 FORECAST_DAYS = 10
 
 
-def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
     ev = table(spark, sf_dir, "events")
+    if since is not None:
+        # raw-column predicate so the Parquet scan prunes row groups; equivalent to
+        # filtering the hour when ``since`` is on an hour boundary
+        ev = ev.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
     return ev.select(
         F.col("event_type").alias(SERIES),
         floor_hour("ts").alias(TS),
@@ -54,9 +58,10 @@ def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _events(spark, sf_dir).groupBy(SERIES, TS).agg(*_weather_aggs())
 
 
-def obs_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw reading table: series, timestamp, aqi, pm25 ... wind_speed (one pass)."""
-    agg = _events(spark, sf_dir).groupBy(SERIES, TS).agg(*_air_aggs(), *_weather_aggs())
+def obs_hourly(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+    """Raw reading table: series, timestamp, aqi, pm25 ... wind_speed (one pass);
+    ``since`` (an hour boundary) restricts the scan."""
+    agg = _events(spark, sf_dir, since).groupBy(SERIES, TS).agg(*_air_aggs(), *_weather_aggs())
     return agg.select(SERIES, TS, pm25_to_aqi("pm25").alias("aqi"), "pm25", "pm10", "o3", "no2", "so2", "co",
                       "temperature", "humidity", "wind_speed")
 

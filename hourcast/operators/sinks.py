@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hourcast.operators.joins import anti_join_new
+from hourcast.operators.ordering import pick_per_group
 from hourcast.schema import APPEND_DROP_COLUMNS, SERIES, TS
 
 PARTITION_COLUMN = "ym"
@@ -38,7 +39,10 @@ def prepare_for_store(df: DataFrame, drop=APPEND_DROP_COLUMNS, ts=TS) -> DataFra
 def append_new(spark: SparkSession, rows: DataFrame, path: str, keys=(SERIES, TS), drop=APPEND_DROP_COLUMNS) -> int:
     """Append rows whose key is not stored yet; returns the number appended."""
     existing = read_table(spark, path)
-    new = anti_join_new(rows, existing, list(keys)) if existing is not None else rows.dropDuplicates(list(keys))
+    # one row per key inside the batch (deterministic pick), then drop stored keys
+    rest = [c for c in rows.columns if c not in keys]
+    once = pick_per_group(rows, list(keys), [F.col(c) for c in rest]) if rest else rows.distinct()
+    new = anti_join_new(once, existing, list(keys)) if existing is not None else once
     new = prepare_for_store(new, drop).cache()
     n = new.count()
     if n:

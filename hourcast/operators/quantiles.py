@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 NB = 1024
-SMALL = 4096
+SMALL = 4096  # rows ranked directly (per group / per narrowed bucket)
 MAX_PASSES = 12
 
 
@@ -27,23 +27,30 @@ def _targets(df: DataFrame, keys, value: str, qs) -> DataFrame:
     pos = F.col("q") * (F.col("_n") - 1)
     t = t.withColumns({"_frac": pos - F.floor(pos), "_k0": F.floor(pos).cast("long")})
     # one selection target per needed order statistic (k0 and k0 + 1)
-    t = t.select(*keys, "qi", "_frac", "_lo", "_hi", F.explode(F.array(
+    t = t.select(*keys, "qi", "_frac", "_lo", "_hi", "_n", F.explode(F.array(
         F.struct(F.lit(0).alias("j"), F.col("_k0").alias("k")),
         F.struct(F.lit(1).alias("j"), F.least(F.col("_k0") + 1, F.col("_n") - 1).alias("k")))).alias("_t"))
     return t.select(*keys, "qi", "_frac", F.col("_t.j").alias("j"), F.col("_t.k").alias("k"),
-                    "_lo", "_hi", F.lit(0).cast("long").alias("_below"))
+                    "_lo", "_hi", "_n", F.lit(0).cast("long").alias("_below"))
 
 
 def order_statistics(df: DataFrame, keys, value: str, qs) -> DataFrame:
     """keys, qi, j, k, v: the value of 0-based rank ``k`` per target."""
     keys = list(keys)
     vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    open_t = _targets(df, keys, value, qs)
-    done = []
+    targets = _targets(df, keys, value, qs)
+    # groups of at most ``small`` rows: rank them directly (bounded window) and
+    # join the targets on (group, rank) -- no fan-out, no extra pass
+    small_t = targets.filter(F.col("_n") <= SMALL)
+    ranked = vals.join(small_t.select(*keys).distinct(), keys, "left_semi") \
+        .withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("_v")) - 1)
+    done = [small_t.join(ranked, [*[small_t[k] == ranked[k] for k in keys], small_t["k"] == ranked["_r"]])
+            .select(*[small_t[k] for k in keys], "qi", "_frac", "j", "k", F.col("_v").alias("v"))]
+    open_t = targets.filter(F.col("_n") > SMALL).drop("_n")
     for _ in range(MAX_PASSES):
-        open_t = open_t.checkpoint(eager=True)
         if open_t.isEmpty():
             break
+        open_t = open_t.checkpoint(eager=True)
         cand = vals.join(open_t, keys).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
         width = (F.col("_hi") - F.col("_lo")) / F.lit(NB)
         b = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(NB - 1))).otherwise(0)

@@ -51,6 +51,19 @@ def test_exact_quantiles_match_numpy(spark, n):
     assert [r.a, r.b, r.c] == pytest.approx(list(exp), rel=1e-12)
 
 
+def test_exact_quantiles_large_groups(spark, monkeypatch):
+    """Force the histogram-narrowing path (groups above the direct-rank size)."""
+    import hourcast.operators.quantiles as Q
+    monkeypatch.setattr(Q, "SMALL", 50)
+    rng = np.random.default_rng(5)
+    xs = np.round(rng.lognormal(3, 1, size=5000), 1)
+    xs[:2000] = 17.0
+    df = spark.createDataFrame([("g", float(x)) for x in xs] + [("h", float(x)) for x in xs[:7]], "g string, v double")
+    got = {r.g: (r.a, r.b) for r in Q.quantiles_wide(df, ["g"], "v", [0.1, 0.9], ["a", "b"]).collect()}
+    assert list(got["g"]) == pytest.approx(list(np.quantile(xs, [0.1, 0.9])), rel=1e-12)
+    assert list(got["h"]) == pytest.approx(list(np.quantile(xs[:7], [0.1, 0.9])), rel=1e-12)
+
+
 def test_metrics_fixture(spark):
     from hourcast.operators.ml import regression_metrics
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, 3.0), (4.0, 6.0)], "y double, p double")

@@ -4,7 +4,7 @@ single aggregate passes with map-side partial aggregation."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
 from hourcast.functions.calendar import hours_between, local_time
@@ -139,8 +139,14 @@ def schema_profile(df: DataFrame) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {stack}) AS (column, dtype, non_null)")
 
 
-def gap_counts(df: DataFrame, series=SERIES, ts=TS) -> DataFrame:
+def gap_steps(df: DataFrame, series=SERIES, ts=TS, strategy: str | None = None) -> DataFrame:
+    """series, gap_hours for every step between consecutive rows of a series."""
+    from hourcast.operators.halo import PositionalPlan
+    plan = PositionalPlan(df.select(series, ts), series, ts, lookback=1, strategy=strategy)
+    g = plan.finish(plan.df.withColumn("gap_hours", hours_between(F.col(ts), F.lag(ts, 1).over(plan.window))))
+    return g.select(series, "gap_hours").filter(F.col("gap_hours").isNotNull())
+
+
+def gap_counts(df: DataFrame, series=SERIES, ts=TS, strategy: str | None = None) -> DataFrame:
     """Hours between consecutive rows of each series -> count per gap size."""
-    w = Window.partitionBy(series).orderBy(ts)
-    g = df.select(series, hours_between(F.col(ts), F.lag(ts, 1).over(w)).alias("gap_hours"))
-    return g.filter(F.col("gap_hours").isNotNull()).groupBy("gap_hours").agg(F.count(F.lit(1)).alias("count"))
+    return gap_steps(df, series, ts, strategy).groupBy("gap_hours").agg(F.count(F.lit(1)).alias("count"))

@@ -33,14 +33,37 @@ BUCKET = "_bucket"
 
 DEFAULT_BUCKET_SECONDS = 7 * 86400
 DEFAULT_CHUNK_ROWS = 4096
+# Strategy used when a positional operator is called without one:
+#   "plain" -- one task per series (fewest exchanges),
+#   "halo"  -- bounded tasks whatever the series sizes,
+#   "auto"  -- measure the largest series (one small aggregate, a one-row result on
+#              the driver) and use "plain" only when it fits MAX_SERIES_ROWS.
+DEFAULT_STRATEGY = "auto"
+MAX_SERIES_ROWS = 1_000_000
 
 
-def positions(df: DataFrame, series=SERIES, ts=TS, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+def largest_group(df: DataFrame, keys) -> int:
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
+    return int(r.m or 0) if r is not None else 0
+
+
+def resolve_strategy(strategy: str | None, df: DataFrame | None = None, keys=None) -> str:
+    strategy = strategy or DEFAULT_STRATEGY
+    if strategy != "auto":
+        return strategy
+    if df is None:
+        return "halo"
+    return "plain" if largest_group(df, keys or [SERIES]) <= MAX_SERIES_ROWS else "halo"
+
+
+def positions(df: DataFrame, series=SERIES, ts=TS, bucket_seconds: int | None = None,
               rn: str = RN, bucket=None) -> DataFrame:
     """Add the 1-based position of each row within its series ordered by ``ts``
     (any orderable column). ``bucket`` must be monotone in ``ts``; by default
     fixed-width time buckets of ``bucket_seconds``."""
     keys = [series] if isinstance(series, str) else list(series)
+    bucket_seconds = bucket_seconds or DEFAULT_BUCKET_SECONDS
     b = bucket if bucket is not None else F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / F.lit(bucket_seconds))
     staged = df.withColumn(BUCKET, b)
     ranked = staged.withColumn("_rb", F.row_number().over(Window.partitionBy(*keys, BUCKET).orderBy(ts)))
@@ -56,9 +79,10 @@ def positions(df: DataFrame, series=SERIES, ts=TS, bucket_seconds: int = DEFAULT
             .drop("_rb", "_off", BUCKET))
 
 
-def with_halo(df: DataFrame, lookback: int, lookahead: int = 0, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+def with_halo(df: DataFrame, lookback: int, lookahead: int = 0, chunk_rows: int | None = None,
               rn: str = RN) -> DataFrame:
     """Assign chunks and replicate edge rows into the neighbouring chunks."""
+    chunk_rows = chunk_rows or DEFAULT_CHUNK_ROWS
     if chunk_rows < max(lookback, lookahead, 1):
         raise ValueError("chunk_rows must cover the window reach")
     pos = F.col(rn) - 1
@@ -83,11 +107,14 @@ class PositionalPlan:
     series). ``halo``: chunk-with-halo (bounded task size for any series)."""
 
     def __init__(self, df: DataFrame, series=SERIES, ts=TS, lookback: int = 24, lookahead: int = 0,
-                 strategy: str = "plain", chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                 bucket_seconds: int = DEFAULT_BUCKET_SECONDS):
+                 strategy: str | None = None, chunk_rows: int | None = None,
+                 bucket_seconds: int | None = None):
         self.keys = [series] if isinstance(series, str) else list(series)
         self.ts = ts
+        strategy = resolve_strategy(strategy, df, self.keys)
         self.strategy = strategy
+        chunk_rows = chunk_rows or DEFAULT_CHUNK_ROWS
+        self.chunk_rows = chunk_rows
         if strategy == "plain":
             self.df = df
             self.window = Window.partitionBy(*self.keys).orderBy(ts)
@@ -103,3 +130,26 @@ class PositionalPlan:
             return df
         out = df.filter(F.col(OWN)).drop(CHUNK, OWN)
         return out if keep_position else out.drop(RN)
+
+
+def chunk_index(df: DataFrame, keys, ts, chunk_rows: int | None = None,
+                bucket_seconds: int | None = None) -> DataFrame:
+    """Positions plus a chunk id (no halo copies): the layout for unbounded
+    frames computed chunk-locally and stitched with a per-chunk carry."""
+    staged = positions(df, keys, ts, bucket_seconds)
+    return staged.withColumn(CHUNK, F.floor((F.col(RN) - 1) / F.lit(chunk_rows or DEFAULT_CHUNK_ROWS)))
+
+
+def carry_last(summary: DataFrame, keys, cols) -> DataFrame:
+    """For each chunk: last non-NULL value of each column over all earlier chunks
+    (window over the small per-chunk table)."""
+    w = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(*keys, CHUNK, *[F.last(f"_end_{c}", ignorenulls=True).over(w).alias(f"_in_{c}")
+                                          for c in cols])
+
+
+def carry_sum(summary: DataFrame, keys, cols) -> DataFrame:
+    """For each chunk: sum of each column over all earlier chunks."""
+    w = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(*keys, CHUNK, *[F.coalesce(F.sum(f"_tot_{c}").over(w), F.lit(0)).alias(f"_in_{c}")
+                                          for c in cols])

@@ -43,23 +43,23 @@ def rolling_columns(w: Window, value="aqi", windows=ROLLING_WINDOWS) -> dict[str
     return cols
 
 
-def add_gap_features(df: DataFrame, series=SERIES, ts=TS, strategy="plain") -> DataFrame:
+def add_gap_features(df: DataFrame, series=SERIES, ts=TS, strategy=None) -> DataFrame:
     plan = PositionalPlan(df, series, ts, lookback=1, strategy=strategy)
     return plan.finish(plan.df.withColumns(gap_columns(plan.window, ts)))
 
 
-def add_lags(df: DataFrame, value="aqi", lags=LAG_HOURS, series=SERIES, ts=TS, strategy="plain") -> DataFrame:
+def add_lags(df: DataFrame, value="aqi", lags=LAG_HOURS, series=SERIES, ts=TS, strategy=None) -> DataFrame:
     plan = PositionalPlan(df, series, ts, lookback=max(lags), strategy=strategy)
     return plan.finish(plan.df.withColumns(lag_columns(plan.window, value, lags)))
 
 
 def add_rolling(df: DataFrame, value="aqi", windows=ROLLING_WINDOWS, series=SERIES, ts=TS,
-                strategy="plain") -> DataFrame:
+                strategy=None) -> DataFrame:
     plan = PositionalPlan(df, series, ts, lookback=max(windows) - 1, strategy=strategy)
     return plan.finish(plan.df.withColumns(rolling_columns(plan.window, value, windows)))
 
 
-def add_engineered_features(df: DataFrame, series=SERIES, ts=TS, strategy="plain") -> DataFrame:
+def add_engineered_features(df: DataFrame, series=SERIES, ts=TS, strategy=None) -> DataFrame:
     """Calendar + cyclical + gap + lag + rolling features in one window stage.
     Without an ``aqi`` column the lag/rolling columns are NULL."""
     data = add_cyclical(add_calendar(df, ts))
@@ -75,7 +75,7 @@ def add_engineered_features(df: DataFrame, series=SERIES, ts=TS, strategy="plain
 
 
 def build_training_frame(df: DataFrame, horizon_hours: int, series=SERIES, ts=TS,
-                         strategy="plain") -> DataFrame:
+                         strategy=None) -> DataFrame:
     """Target ``aqi_next_{h}h`` = aqi ``h`` rows later, kept only when that row is
     exactly ``h`` hours later. Stored lag/rolling columns are not recomputed
     (absent -> NULL); calendar and gap columns are derived only when absent."""
@@ -99,7 +99,7 @@ def build_training_frame(df: DataFrame, horizon_hours: int, series=SERIES, ts=TS
     return plan.finish(kept.drop("_target_ts"))
 
 
-def exact_horizon_recheck(df: DataFrame, horizon_hours: int, series=SERIES, ts=TS, strategy="plain") -> DataFrame:
+def exact_horizon_recheck(df: DataFrame, horizon_hours: int, series=SERIES, ts=TS, strategy=None) -> DataFrame:
     """Re-apply the positional exact-horizon test on an already filtered frame."""
     plan = PositionalPlan(df, series, ts, lookahead=horizon_hours, lookback=0, strategy=strategy)
     staged = plan.df.withColumn("_t2", F.lead(ts, horizon_hours).over(plan.window))
@@ -107,7 +107,7 @@ def exact_horizon_recheck(df: DataFrame, horizon_hours: int, series=SERIES, ts=T
     return plan.finish(kept)
 
 
-def shifted_backfill(df: DataFrame, series=SERIES, ts=TS, strategy="plain") -> DataFrame:
+def shifted_backfill(df: DataFrame, series=SERIES, ts=TS, strategy=None) -> DataFrame:
     """Missing ``fc_{x}_{h}`` <- observed ``x`` h rows later; dust/uvi <- 0.0."""
     plan = PositionalPlan(df, series, ts, lookahead=72, lookback=0, strategy=strategy)
     w = plan.window
@@ -122,16 +122,35 @@ def shifted_backfill(df: DataFrame, series=SERIES, ts=TS, strategy="plain") -> D
     return plan.finish(plan.df.withColumns(cols))
 
 
-def forward_fill(df: DataFrame, columns, partition=(SERIES,), ts=TS, fill: float = 0.0) -> DataFrame:
-    """Per column: last non-null value so far in the partition, then ``fill``."""
-    w = Window.partitionBy(*partition).orderBy(ts).rowsBetween(UNBOUNDED, 0)
-    cols = {c: F.coalesce(F.last(c, ignorenulls=True).over(w), F.lit(fill).cast(df.schema[c].dataType))
-            for c in columns if c in df.columns}
-    return df.withColumns(cols)
+def forward_fill(df: DataFrame, columns, partition=(SERIES,), ts=TS, fill: float = 0.0,
+                 strategy: str | None = None) -> DataFrame:
+    """Per column: last non-null value so far in the partition, then ``fill``.
+
+    ``halo``: chunk-local forward fill, plus the last non-null value of every
+    earlier chunk (a window over the per-chunk table, one row per chunk)."""
+    from hourcast.operators.halo import CHUNK, RN, carry_last, chunk_index, resolve_strategy
+    cols = [c for c in columns if c in df.columns]
+    keys = list(partition)
+    if not cols:
+        return df
+    if resolve_strategy(strategy, df, keys) == "plain":
+        w = Window.partitionBy(*keys).orderBy(ts).rowsBetween(UNBOUNDED, 0)
+        return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(w),
+                                             F.lit(fill).cast(df.schema[c].dataType)) for c in cols})
+    staged = chunk_index(df, keys, ts)
+    w = Window.partitionBy(*keys, CHUNK).orderBy(RN).rowsBetween(UNBOUNDED, 0)
+    local = staged.withColumns({f"_loc_{c}": F.last(c, ignorenulls=True).over(w) for c in cols})
+    summary = staged.groupBy(*keys, CHUNK).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(RN)))
+                                                 .alias(f"_end_{c}") for c in cols])
+    carry = carry_last(summary, keys, cols)
+    out = local.join(carry, [*keys, CHUNK], "left")
+    out = out.withColumns({c: F.coalesce(F.col(f"_loc_{c}"), F.col(f"_in_{c}"),
+                                         F.lit(fill)).cast(df.schema[c].dataType) for c in cols})
+    return out.drop(RN, CHUNK, *[f"_loc_{c}" for c in cols], *[f"_in_{c}" for c in cols])
 
 
 def chronological_split(df: DataFrame, fraction: float = 0.8, series=SERIES, ts=TS,
-                        column: str = "split", strategy: str = "plain") -> DataFrame:
+                        column: str = "split", strategy: str | None = None) -> DataFrame:
     """First ``int(fraction * n)`` rows of each series -> 'train', rest -> 'test'.
 
     ``plain``: count and row_number windows per series. ``halo``: positions from
@@ -139,8 +158,9 @@ def chronological_split(df: DataFrame, fraction: float = 0.8, series=SERIES, ts=
     counts from a grouped aggregate (one row per series), so no task ever holds
     a whole series."""
     from hourcast.operators.halo import RN, positions
+    from hourcast.operators.halo import resolve_strategy
     keys = [series] if isinstance(series, str) else list(series)
-    if strategy == "halo":
+    if resolve_strategy(strategy, df, keys) == "halo":
         pos = positions(df, keys, ts)
         n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         out = pos.join(n, keys)
@@ -152,34 +172,54 @@ def chronological_split(df: DataFrame, fraction: float = 0.8, series=SERIES, ts=
     return df.withColumn(column, F.when(rn <= F.floor(n * F.lit(fraction)), F.lit("train")).otherwise(F.lit("test")))
 
 
-def cumulative_gap_share(df: DataFrame, series=SERIES, ts=TS) -> DataFrame:
-    """Per step between consecutive rows: running share (%) of exact 1 h steps."""
-    w = series_window(series, ts)
-    step = df.withColumn("gap_hours", hours_between(F.col(ts), F.lag(ts, 1).over(w))).filter(F.col("gap_hours").isNotNull())
-    w2 = series_window(series, ts)
+def cumulative_gap_share(df: DataFrame, series=SERIES, ts=TS, strategy: str | None = None) -> DataFrame:
+    """Per step between consecutive rows: running share (%) of exact 1 h steps.
+
+    ``halo``: gaps from a 1-row halo, running counts chunk-locally plus the
+    total of all earlier chunks (window over the per-chunk table)."""
+    from hourcast.operators.halo import CHUNK, RN, carry_sum, resolve_strategy
     one = (F.col("gap_hours") == 1.0).cast("long")
-    return step.withColumns({
-        "step": F.row_number().over(w2).cast("long"),
-        "cum_one_hour_pct": F.sum(one).over(w2.rowsBetween(UNBOUNDED, 0)) * 100.0 / F.row_number().over(w2),
+    if resolve_strategy(strategy, df, series) == "plain":
+        w = series_window(series, ts)
+        step = df.withColumn("gap_hours", hours_between(F.col(ts), F.lag(ts, 1).over(w))) \
+            .filter(F.col("gap_hours").isNotNull())
+        return step.withColumns({
+            "step": F.row_number().over(w).cast("long"),
+            "cum_one_hour_pct": F.sum(one).over(w.rowsBetween(UNBOUNDED, 0)) * 100.0 / F.row_number().over(w),
+        })
+    keys = [series] if isinstance(series, str) else list(series)
+    plan = PositionalPlan(df, keys, ts, lookback=1, strategy="halo")
+    g = plan.finish(plan.df.withColumn("gap_hours", hours_between(F.col(ts), F.lag(ts, 1).over(plan.window))),
+                    keep_position=True)
+    g = g.withColumn(CHUNK, F.floor((F.col(RN) - 1) / F.lit(plan.chunk_rows)))
+    w = Window.partitionBy(*keys, CHUNK).orderBy(RN).rowsBetween(UNBOUNDED, 0)
+    local = g.withColumn("_loc", F.sum(F.coalesce(one, F.lit(0))).over(w))
+    summary = g.groupBy(*keys, CHUNK).agg(F.sum(F.coalesce(one, F.lit(0))).alias("_tot_n"))
+    out = local.join(carry_sum(summary, keys, ["n"]), [*keys, CHUNK], "left")
+    out = out.filter(F.col("gap_hours").isNotNull()).withColumns({
+        "step": (F.col(RN) - 1).cast("long"),
+        "cum_one_hour_pct": (F.col("_loc") + F.coalesce("_in_n", F.lit(0))) * 100.0 / (F.col(RN) - 1),
     })
+    return out.drop(RN, CHUNK, "_loc", "_in_n")
 
 
 def sequences(df: DataFrame, feat_cols, target: str, lookback: int = 24, series=SERIES, ts=TS,
-              partition_extra=()) -> DataFrame:
+              partition_extra=(), strategy: str | None = None) -> DataFrame:
     """``lookback``-row sliding windows of the feature vectors ending at each row;
     dropped when the window is short, holds a NULL feature or the target is NULL."""
     keys = ([series] if isinstance(series, str) else list(series)) + list(partition_extra)
-    w = Window.partitionBy(*keys).orderBy(ts).rowsBetween(-(lookback - 1), 0)
+    plan = PositionalPlan(df, keys, ts, lookback=lookback - 1, strategy=strategy)
+    w = plan.window.rowsBetween(-(lookback - 1), 0)
     vec = F.array(*[F.col(c).cast("float") for c in feat_cols])
     row_has_null = F.greatest(*[F.col(c).isNull().cast("int") for c in feat_cols]) if len(feat_cols) > 1 \
         else F.col(feat_cols[0]).isNull().cast("int")
-    staged = df.withColumns({
+    staged = plan.df.withColumns({
         "x": F.collect_list(vec).over(w),
         "_nulls": F.sum(row_has_null).over(w),
         "_len": F.count(F.lit(1)).over(w),
     })
-    return (staged.filter((F.col("_len") == lookback) & (F.col("_nulls") == 0) & F.col(target).isNotNull())
-            .select(*keys, ts, "x", F.col(target).cast("float").alias("y")))
+    kept = plan.finish(staged.filter((F.col("_len") == lookback) & (F.col("_nulls") == 0) & F.col(target).isNotNull()))
+    return kept.select(*keys, ts, "x", F.col(target).cast("float").alias("y"))
 
 
 def latest_per_series(df: DataFrame, n: int = 1, series=SERIES, ts=TS) -> DataFrame:
@@ -198,9 +238,9 @@ def append_row_features(history: DataFrame, current: DataFrame, series=SERIES, t
     return latest_per_series(feats, 1, series, ts)
 
 
-def prediction_frame(df: DataFrame, series=SERIES, ts=TS, strategy="plain") -> DataFrame:
+def prediction_frame(df: DataFrame, series=SERIES, ts=TS, strategy=None) -> DataFrame:
     """Features recomputed over the slice, then forward fill + 0 on the feature
     columns only (forecast columns untouched)."""
     feats = add_engineered_features(df, series, ts, strategy=strategy)
     cols = [c for c in FEATURE_COLUMNS if c in feats.columns]
-    return forward_fill(feats, cols, partition=(series,), ts=ts)
+    return forward_fill(feats, cols, partition=(series,), ts=ts, strategy=strategy)

@@ -16,7 +16,7 @@ MEASURES = ["pm25", "pm10", "o3", "no2", "so2", "co", "temperature", "humidity",
 
 
 def build_backfill_dataset(air: DataFrame, weather: DataFrame, forecast: DataFrame | None = None,
-                           strategy: str = "plain") -> DataFrame:
+                           strategy: str | None = None) -> DataFrame:
     data = join_on_time(air, weather, "inner")
     data = data.withColumns({c: coerce_double(c) for c in MEASURES if c in data.columns})
     data = data.withColumn("aqi", pm25_to_aqi("pm25"))

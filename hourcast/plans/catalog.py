@@ -1125,3 +1125,28 @@ FROM base b JOIN hr USING (series) JOIN gaps USING (series)""")
 def q_insights(spark, sf):
     from hourcast.plans.insights import insight_rows
     return r6(insight_rows(_features(spark, sf)))
+
+
+# ---- single-partition-per-series variants (strategy="plain") of the default halo plans -------------
+
+@query("engineered_features_plain", ENGINEERED_SQL)
+def q_engineered_features_plain(spark, sf):
+    return r6(WN.add_engineered_features(TB.obs_hourly(spark, sf), strategy="plain"))
+
+
+@query("ffill_plain", ORACLES["ffill"])
+def q_ffill_plain(spark, sf):
+    obs = TB.obs_hourly(spark, sf).select("series", "timestamp", "no2")
+    sp = WN.chronological_split(obs, strategy="plain")
+    return r6(WN.forward_fill(sp, ["no2"], partition=("series", "split"), strategy="plain"))
+
+
+@query("cumulative_gap_share_plain", ORACLES["cumulative_gap_share"])
+def q_cumulative_gap_share_plain(spark, sf):
+    return r6(WN.cumulative_gap_share(TB.obs_hourly(spark, sf).select("series", "timestamp"), strategy="plain"))
+
+
+@query("sequences_plain", ORACLES["sequences"])
+def q_sequences_plain(spark, sf):
+    tf = WN.build_training_frame(_features(spark, sf), 24, strategy="plain")
+    return WN.sequences(tf, SEQ_FEATS, "aqi_next_24h", 24, strategy="plain")

@@ -3,10 +3,9 @@ per-series aggregates joined on the series key."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourcast.functions.calendar import hours_between
 from hourcast.operators import aggregates as AG
 from hourcast.schema import SERIES, TS
 
@@ -21,7 +20,9 @@ def insight_rows(df: DataFrame, value: str = "aqi", series=SERIES, ts=TS) -> Dat
     shares = AG.shares(df, value, series)
     hours = AG.arg_extremes(AG.profile(df, "local_hour", value, series), "local_hour") \
         .select(series, F.col("peak").alias("peak_hour"), F.col("clean").alias("clean_hour"))
-    w = Window.partitionBy(series).orderBy(ts)
-    d = df.select(series, hours_between(F.col(ts), F.lag(ts, 1).over(w)).alias("_d"))
-    gaps = d.groupBy(series).agg(F.count_if(F.col("_d").isNotNull() & (F.col("_d") != 1.0)).alias("total_gaps"))
+    d = AG.gap_steps(df, series, ts)
+    gaps = d.groupBy(series).agg(F.count_if(F.col("gap_hours") != 1.0).alias("total_gaps"))
+    # series with a single row have no steps
+    gaps = df.select(series).distinct().join(gaps, series, "left") \
+        .select(series, F.coalesce("total_gaps", F.lit(0)).alias("total_gaps"))
     return base.join(shares, series).join(hours, series).join(gaps, series)

@@ -13,7 +13,7 @@ from hourcast.operators.windows import build_training_frame, chronological_split
 from hourcast.schema import HORIZON_LAG_COLS, SERIES, TS, target_column
 
 
-def training_frames(df: DataFrame, horizon: int, series=SERIES, ts=TS, strategy: str = "plain"):
+def training_frames(df: DataFrame, horizon: int, series=SERIES, ts=TS, strategy: str | None = None):
     tgt = target_column(horizon)
     frame = build_training_frame(df, horizon, series, ts, strategy=strategy)
     feats = horizon_feature_cols(frame, horizon)

@@ -103,3 +103,61 @@ def test_sequences_skip_nulls(spark):
     # windows end at rows 23..59; the row with NULL target (30) is skipped
     assert len(ends) == 36 and hours(30) not in ends
     assert len(seq.first().x) == 24
+
+
+def test_whole_pipeline_halo_equals_plain_with_tiny_chunks(spark, monkeypatch):
+    """Every default (halo) positional operator, forced into many small chunks
+    and buckets, equals the one-task-per-series plan."""
+    import random
+
+    import hourcast.operators.halo as H
+    monkeypatch.setattr(H, "DEFAULT_CHUNK_ROWS", 75)
+    monkeypatch.setattr(H, "DEFAULT_BUCKET_SECONDS", 86400)
+    rnd = random.Random(11)
+    rows = []
+    for s in ("a", "b", "c"):
+        t = 0
+        for _ in range(300 if s != "c" else 5):
+            t += rnd.choice([1, 1, 1, 1, 2, 3])
+            rows.append((s, hours(t), rnd.choice([None, None, rnd.uniform(0, 300)])))
+    df = series_frame(spark, rows)
+
+    def norm(d, cols):
+        out = []
+        for r in d.select(*cols).collect():
+            out.append(tuple(round(v, 9) if isinstance(v, float) else v for v in r))
+        return sorted(out, key=lambda r: tuple((x is None, x) for x in r))
+
+    feats_p = WN.add_engineered_features(df, strategy="plain")
+    feats_h = WN.add_engineered_features(df, strategy="halo")
+    cols = feats_p.columns
+    assert norm(feats_p, cols) == norm(feats_h, cols)
+    sp_p = WN.chronological_split(feats_p, strategy="plain")
+    sp_h = WN.chronological_split(feats_p, strategy="halo")
+    assert norm(sp_p, ["series", "timestamp", "split"]) == norm(sp_h, ["series", "timestamp", "split"])
+    ff_cols = ["series", "timestamp", "split", "aqi", "aqi_lag_3h"]
+    ff_p = WN.forward_fill(sp_p, ["aqi", "aqi_lag_3h"], partition=("series", "split"), strategy="plain")
+    ff_h = WN.forward_fill(sp_p, ["aqi", "aqi_lag_3h"], partition=("series", "split"), strategy="halo")
+    assert norm(ff_p, ff_cols) == norm(ff_h, ff_cols)
+    cg_cols = ["series", "timestamp", "gap_hours", "step", "cum_one_hour_pct"]
+    assert norm(WN.cumulative_gap_share(df, strategy="plain"), cg_cols) == \
+        norm(WN.cumulative_gap_share(df, strategy="halo"), cg_cols)
+    filled = WN.forward_fill(feats_p, ["aqi"], strategy="plain")
+    tf_p = WN.build_training_frame(filled, 24, strategy="plain")
+    tf_h = WN.build_training_frame(filled, 24, strategy="halo")
+    assert norm(tf_p, tf_p.columns) == norm(tf_h, tf_p.columns)
+    sq_p = WN.sequences(filled, ["aqi", "rolling_mean_6h"], "aqi_lag_1h", 24, strategy="plain")
+    sq_h = WN.sequences(filled, ["aqi", "rolling_mean_6h"], "aqi_lag_1h", 24, strategy="halo")
+    assert sq_p.count() > 0
+    assert sorted(map(str, sq_p.collect())) == sorted(map(str, sq_h.collect()))
+
+
+def test_auto_strategy_switches_on_series_size(spark, monkeypatch):
+    import hourcast.operators.halo as H
+    df = series_frame(spark, [("s", hours(i), float(i)) for i in range(40)])
+    assert H.PositionalPlan(df).strategy == "plain"
+    monkeypatch.setattr(H, "MAX_SERIES_ROWS", 10)
+    plan = H.PositionalPlan(df)
+    assert plan.strategy == "halo"
+    out = WN.add_engineered_features(df)
+    assert col(out, "aqi_lag_24h")[24] == 0.0 and out.count() == 40

@@ -1150,3 +1150,25 @@ def q_cumulative_gap_share_plain(spark, sf):
 def q_sequences_plain(spark, sf):
     tf = WN.build_training_frame(_features(spark, sf), 24, strategy="plain")
     return WN.sequences(tf, SEQ_FEATS, "aqi_next_24h", 24, strategy="plain")
+
+
+# ---- SK2 bulk upsert, SM2 in-stream duplicate suppression ------------------------------------------
+from hourcast.operators.sinks import append_new as _append_new, stored_rows as _stored_rows  # noqa: E402
+
+_BACKFILL_COLS = None
+
+
+@query("backfill_upsert", ORACLES["shifted_backfill"])
+def q_backfill_upsert(spark, sf):
+    data = _backfilled(spark, sf).checkpoint(eager=True)
+    path = SJ.run_dir(spark, "backfill-table")
+    _append_new(spark, data, path, drop=())
+    # second delivery of the same history: nothing new is stored
+    if _append_new(spark, data, path, drop=()) != 0:
+        raise RuntimeError("bulk upsert stored a key twice")
+    return r6(_stored_rows(spark, path).select(*data.columns))
+
+
+@query("stream_hourly_dedupe", ORACLES["stream_hourly"])
+def q_stream_hourly_dedupe(spark, sf):
+    return r6(SJ.run_hourly_aggregate_redelivered(spark, _os.path.join(sf, "events.parquet")))

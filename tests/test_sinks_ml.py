@@ -86,3 +86,16 @@ def test_empty_guards(spark):
     with pytest.raises(RuntimeError):
         train_for_horizon(add_engineered_features(empty), 24, candidates=("ridge",))
     assert F is not None
+
+
+def test_late_row_appended_once_without_rewriting(spark, scratch):
+    from hourcast.streaming.jobs import features_for_batch
+    path = os.path.join(scratch, "late")
+    hrs = [h for h in range(31) if h != 20]
+    append_new(spark, features_for_batch(spark, _rows(spark, hrs), path), path)
+    before = {r.timestamp: r.aqi_lag_1h for r in stored_rows(spark, path).collect()}
+    late = _rows(spark, [20])
+    assert append_new(spark, features_for_batch(spark, late, path), path) == 1
+    assert append_new(spark, features_for_batch(spark, late, path), path) == 0
+    after = {r.timestamp: r.aqi_lag_1h for r in stored_rows(spark, path).collect()}
+    assert len(after) == 31 and all(after[t] == before[t] for t in before)

@@ -73,9 +73,14 @@ def inv_norm_sql(p: str) -> str:
 def corr_matrix(df: DataFrame, columns) -> DataFrame:
     """Pearson correlation of every column pair (pairwise-complete rows), long form."""
     cols = [c for c in columns if c in df.columns]
+    # corr is symmetric: aggregate the upper triangle once, emit both orders
+    upper = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
+    agg = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in upper])
+    name = {}
+    for a, b in upper:
+        name[(a, b)] = name[(b, a)] = f"{a}__{b}"
     pairs = [(a, b) for a in cols for b in cols]
-    agg = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
+    stack = ", ".join(f"'{a}', '{b}', `{name[(a, b)]}`" for a, b in pairs)
     return agg.selectExpr(f"stack({len(pairs)}, {stack}) AS (col_a, col_b, corr)")
 
 

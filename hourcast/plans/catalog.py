@@ -1172,3 +1172,70 @@ def q_backfill_upsert(spark, sf):
 @query("stream_hourly_dedupe", ORACLES["stream_hourly"])
 def q_stream_hourly_dedupe(spark, sf):
     return r6(SJ.run_hourly_aggregate_redelivered(spark, _os.path.join(sf, "events.parquet")))
+
+
+# ---- the same profiling operators over the larger order tables --------------------------------------
+LI_NUM = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+def _lineitem_series(spark, sf):
+    li = table(spark, sf, "lineitem")
+    return li.select(F.col("l_returnflag").alias("series"), F.col("l_shipdate").alias("timestamp"),
+                     F.col("l_extendedprice").alias("value"))
+
+
+@query("lineitem_profile_month", f"""
+SELECT l_returnflag AS series, strftime(timezone('Asia/Karachi', l_shipdate AT TIME ZONE 'UTC'), '%Y-%m') AS local_period,
+       {S.r6('avg(l_extendedprice)')} AS mean, {S.r6('stddev_samp(l_extendedprice)')} AS std
+FROM lineitem GROUP BY 1, 2""")
+def q_lineitem_profile_month(spark, sf):
+    return r6(AG.profile(_lineitem_series(spark, sf), "local_period", value="value", std=True))
+
+
+def _li_describe_sql():
+    parts = []
+    for c in LI_NUM:
+        def r3(e):
+            return f"round(({e}) * (1 + 1e-12), 3)"
+        parts.append(f"""SELECT '{c}' AS column, {r3(f'CAST(count({c}) AS DOUBLE)')} AS count, {r3(f'avg({c})')} AS mean,
+  {r3(f'stddev_samp({c})')} AS std, {r3(f'min({c})')} AS min, {r3(f"quantile_cont({c}, 0.25)")} AS p25,
+  {r3(f"quantile_cont({c}, 0.5)")} AS p50, {r3(f"quantile_cont({c}, 0.75)")} AS p75, {r3(f'max({c})')} AS max,
+  {r3(f"round((stddev_samp({c}) / avg({c}) * 100.0) * (1 + 1e-12), 1)")} AS cv_pct FROM lineitem""")
+    cols = ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "cv_pct"]
+    return f"WITH t AS ({' UNION ALL '.join(parts)})\n{S.round_all(cols, ['\"column\"'])}"
+
+
+@query("lineitem_describe", _li_describe_sql())
+def q_lineitem_describe(spark, sf):
+    return r6(AG.describe(table(spark, sf, "lineitem"), LI_NUM))
+
+
+@query("lineitem_corr", f"""
+WITH t AS ({' UNION ALL '.join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS corr FROM lineitem" for a in LI_NUM for b in LI_NUM)})
+SELECT col_a, col_b, {S.r6('corr')} AS corr FROM t""")
+def q_lineitem_corr(spark, sf):
+    return r6(ST.corr_matrix(table(spark, sf, "lineitem"), LI_NUM))
+
+
+@query("lineitem_boxplot", f"""
+WITH q AS (SELECT l_returnflag AS series, quantile_cont(l_extendedprice, 0.25) AS q1,
+                  quantile_cont(l_extendedprice, 0.5) AS median, quantile_cont(l_extendedprice, 0.75) AS q3
+           FROM lineitem GROUP BY 1),
+v AS (SELECT l_returnflag AS series, l_extendedprice AS x FROM lineitem WHERE l_extendedprice IS NOT NULL)
+SELECT series, {S.r6('q1')} AS q1, {S.r6('median')} AS median, {S.r6('q3')} AS q3, {S.r6('q3 - q1')} AS iqr,
+  {S.r6('min(CASE WHEN x >= q1 - 1.5 * (q3 - q1) THEN x END)')} AS whisker_lo,
+  {S.r6('max(CASE WHEN x <= q3 + 1.5 * (q3 - q1) THEN x END)')} AS whisker_hi,
+  count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS n_fliers
+FROM v JOIN q USING (series) GROUP BY series, q1, median, q3""")
+def q_lineitem_boxplot(spark, sf):
+    return r6(ST.boxplot_stats(_lineitem_series(spark, sf), "value"))
+
+
+@query("orders_daily", f"""
+SELECT o_orderstatus AS series, CAST(timezone('Asia/Karachi', o_orderdate AT TIME ZONE 'UTC') AS DATE) AS local_date,
+       {S.r6('avg(o_totalprice)')} AS mean
+FROM orders GROUP BY 1, 2 HAVING avg(o_totalprice) IS NOT NULL""")
+def q_orders_daily(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("series"),
+                                          F.col("o_orderdate").alias("timestamp"), "o_totalprice")
+    return r6(AG.daily_resample(o, value="o_totalprice"))

@@ -170,3 +170,72 @@ def metadata_row(name: str, model_type: str, horizon: int, features, metrics: di
 
 def metadata_json(meta: dict) -> str:
     return json.dumps(meta, indent=2, sort_keys=False)
+
+
+# ---- fixed values: local surrogate explanation -------------------------------------------------
+SURROGATE_SAMPLES = 5000
+SURROGATE_KERNEL = 0.75          # kernel width = 0.75 * sqrt(n_features)
+SURROGATE_RIDGE_ALPHA = 1.0
+SURROGATE_TOP = 10
+SURROGATE_SEED = 42
+# -----------------------------------------------------------------------------------------------
+
+
+def surrogate_samples(history: DataFrame, features, n_samples: int = SURROGATE_SAMPLES, seed: int = SURROGATE_SEED,
+                      background: int = 500, series=SERIES, ts=TS) -> DataFrame:
+    """Per series: sample 0 is the newest row, samples 1..n are drawn from
+    N(mean, std) of the newest ``background`` rows (std 0/NULL -> 1). Columns:
+    series, sample, features..., and the scaled distance-kernel weight."""
+    w = Window.partitionBy(series).orderBy(F.col(ts).desc())
+    bg = history.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= background)
+    stats = bg.groupBy(series).agg(*[F.avg(c).alias(f"_m_{c}") for c in features],
+                                   *[F.stddev_samp(c).alias(f"_s_{c}") for c in features])
+    stats = stats.withColumns({f"_s_{c}": F.when(F.col(f"_s_{c}").isNull() | (F.col(f"_s_{c}") == 0), F.lit(1.0))
+                               .otherwise(F.col(f"_s_{c}")) for c in features})
+    newest = bg.filter(F.col("_rk") == 1).select(series, *[F.col(c).alias(f"_x0_{c}") for c in features])
+    base = newest.join(stats, series)
+    gen = base.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples))))
+    cols = {}
+    for j, c in enumerate(features):
+        draw = F.col(f"_m_{c}") + F.randn(seed + j) * F.col(f"_s_{c}")
+        cols[c] = F.when(F.col("sample") == 0, F.col(f"_x0_{c}")).otherwise(draw)
+    gen = gen.withColumns(cols)
+    d2 = sum(((F.col(c) - F.col(f"_x0_{c}")) / F.col(f"_s_{c}")) ** 2 for c in features)
+    width = SURROGATE_KERNEL * (len(features) ** 0.5)
+    gen = gen.withColumn("kernel_weight", F.sqrt(F.exp(-d2 / F.lit(width * width))))
+    keep = [series, "sample", *features, "kernel_weight", *[f"_m_{c}" for c in features], *[f"_s_{c}" for c in features]]
+    return gen.select(*keep)
+
+
+def local_surrogate(model, history: DataFrame, features, n_samples: int = SURROGATE_SAMPLES,
+                    top: int = SURROGATE_TOP, series=SERIES, ts=TS) -> DataFrame:
+    """Weighted ridge fitted to the model's predictions around the newest row of
+    each series; returns the ``top`` features by |weight| (refitted on them).
+    The model scores all samples in Spark; each per-series fit sees exactly
+    ``n_samples + 1`` rows (a fixed bound, not data-dependent)."""
+    import numpy as np
+    import pandas as pd
+    samples = surrogate_samples(history, features, n_samples, series=series, ts=ts)
+    scored = predict(model, samples, features)
+    scaled = scored.select(series, "kernel_weight", "prediction",
+                           *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c) for c in features])
+    feats = list(features)
+
+    def ridge(x, y, w, alpha):
+        sw = np.sqrt(w)
+        xm = np.average(x, axis=0, weights=w)
+        ym = np.average(y, weights=w)
+        xc, yc = (x - xm) * sw[:, None], (y - ym) * sw
+        return np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ yc)
+
+    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = pdf[feats].to_numpy(dtype=float)
+        y = pdf["prediction"].to_numpy(dtype=float)
+        w = pdf["kernel_weight"].to_numpy(dtype=float)
+        coef = ridge(x, y, w, SURROGATE_RIDGE_ALPHA)
+        pick = np.argsort(-np.abs(coef), kind="stable")[:top]
+        coef2 = ridge(x[:, pick], y, w, SURROGATE_RIDGE_ALPHA)
+        return pd.DataFrame({series: pdf[series].iloc[0], "feature": [feats[i] for i in pick],
+                             "weight": coef2.astype(float)})
+
+    return scaled.groupBy(series).applyInPandas(fit, schema=f"{series} string, feature string, weight double")

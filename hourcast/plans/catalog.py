@@ -1239,3 +1239,13 @@ def q_orders_daily(spark, sf):
     o = table(spark, sf, "orders").select(F.col("o_orderstatus").alias("series"),
                                           F.col("o_orderdate").alias("timestamp"), "o_totalprice")
     return r6(AG.daily_resample(o, value="o_totalprice"))
+
+
+@query("local_surrogate")
+def q_local_surrogate(spark, sf):
+    feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
+    data = _features(spark, sf)
+    tf = WN.build_training_frame(data, 24).dropna(subset=feats)
+    model = ML.fit_ridge(tf, feats, "aqi_next_24h")
+    hist = WN.prediction_frame(O.latest_n_then_filter(data, 500, F.col("aqi").isNotNull()))
+    return r6(ML.local_surrogate(model, hist, feats))

@@ -99,3 +99,17 @@ def test_late_row_appended_once_without_rewriting(spark, scratch):
     assert append_new(spark, features_for_batch(spark, late, path), path) == 0
     after = {r.timestamp: r.aqi_lag_1h for r in stored_rows(spark, path).collect()}
     assert len(after) == 31 and all(after[t] == before[t] for t in before)
+
+
+def test_local_surrogate_recovers_linear_model(spark):
+    """For a linear model the surrogate's weights are coef * std (scaled space)."""
+    import numpy as np
+    rng = np.random.default_rng(2)
+    rows = [("s", hours(i), float(a), float(b), float(3 * a - 2 * b + 5))
+            for i, (a, b) in enumerate(zip(rng.normal(10, 2, 300), rng.normal(0, 1, 300)))]
+    df = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, a double, b double, y double")
+    model = ML.fit_ridge(df, ["a", "b"], "y", alpha=0.0)
+    out = {r.feature: r.weight for r in ML.local_surrogate(model, df, ["a", "b"], n_samples=2000).collect()}
+    bg = df.orderBy(F.col("timestamp").desc()).limit(300).toPandas()
+    assert abs(out["a"] - 3 * bg.a.std()) < 0.05 * 3 * bg.a.std()
+    assert abs(out["b"] + 2 * bg.b.std()) < 0.05 * 2 * bg.b.std()

@@ -69,14 +69,30 @@ def read_hourly_aggregate(spark: SparkSession, out: str) -> DataFrame:
     return got.select(SERIES, TS, pm25_to_aqi("pm25").alias("aqi"), *rest)
 
 
-def features_for_batch(spark: SparkSession, batch: DataFrame, table: str) -> DataFrame:
-    """Features of the new rows, computed with the newest stored history."""
+HISTORY_LOOKBACK_DAYS = 62
+
+
+def features_for_batch(spark: SparkSession, batch: DataFrame, table: str,
+                       lookback_days: int = HISTORY_LOOKBACK_DAYS) -> DataFrame:
+    """Features of the new rows, computed with the newest stored history.
+
+    Stored history is read only from ``lookback_days`` before the batch's
+    earliest hour (a literal bound: month-partition pruning + Parquet row-group
+    skipping), so a micro-batch never scans the whole table."""
+    from hourcast.operators.sinks import PARTITION_COLUMN
     stored = read_table(spark, table)
     raw_cols = [c for c in RAW_COLUMNS if c in batch.columns]
     new = batch.select(SERIES, *raw_cols)
     if stored is None:
         combined = new
     else:
+        first = new.agg(F.min(TS).alias("t")).first().t
+        if first is None:
+            return new.limit(0)
+        import datetime as _dt
+        since = first - _dt.timedelta(days=lookback_days)
+        stored = stored.filter((F.col(PARTITION_COLUMN) >= F.lit(since.strftime("%Y-%m")))
+                               & (F.col(TS) >= F.lit(since)))
         touched = new.select(SERIES).distinct()
         hist = stored.join(touched, SERIES, "left_semi").filter(F.col("aqi").isNotNull())
         w = Window.partitionBy(SERIES).orderBy(F.col(TS).desc())

@@ -2,11 +2,11 @@
 ``quantile_cont`` / pandas default).
 
 Computed by distributed order-statistic selection instead of buffering a
-group's values in one task: each pass histograms the still-candidate values
-of every (group, target rank) into ``NB`` equal-width buckets (a partial
-aggregate), prefix-sums the tiny bucket table and narrows each target to the
-bucket that holds its rank. Targets whose bucket is a single value, or holds
-at most ``small`` rows, are finished; only those few rows are ranked."""
+group's values in one task: each level histograms the rows of still-ambiguous
+cells (group + bucket path) into ``NB`` equal-width buckets (a partial
+aggregate), prefix-sums the tiny bucket table and narrows each target rank to
+the bucket that holds it. Buckets that are a single value, or hold at most
+``SMALL`` rows, are finished; only those few rows are ranked."""
 
 from __future__ import annotations
 
@@ -35,44 +35,61 @@ def _targets(df: DataFrame, keys, value: str, qs) -> DataFrame:
 
 
 def order_statistics(df: DataFrame, keys, value: str, qs) -> DataFrame:
-    """keys, qi, j, k, v: the value of 0-based rank ``k`` per target."""
+    """keys, qi, j, k, v: the value of 0-based rank ``k`` per target.
+
+    Rows never meet targets in a fan-out: every row carries the *cell* (group +
+    bucket path) it falls in and joins its cell's bounds on equality (one row
+    per cell). Each level histograms the rows of still-ambiguous cells into
+    ``NB`` buckets (partial aggregate), the tiny histogram resolves every target
+    to one bucket, and only buckets holding an unresolved target stay active."""
     keys = list(keys)
     vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
     targets = _targets(df, keys, value, qs)
-    # groups of at most ``small`` rows: rank them directly (bounded window) and
-    # join the targets on (group, rank) -- no fan-out, no extra pass
+    # groups of at most ``SMALL`` rows: rank them directly (bounded window) and
+    # join the targets on (group, rank)
     small_t = targets.filter(F.col("_n") <= SMALL)
     ranked = vals.join(small_t.select(*keys).distinct(), keys, "left_semi") \
         .withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("_v")) - 1)
     done = [small_t.join(ranked, [*[small_t[k] == ranked[k] for k in keys], small_t["k"] == ranked["_r"]])
             .select(*[small_t[k] for k in keys], "qi", "_frac", "j", "k", F.col("_v").alias("v"))]
-    open_t = targets.filter(F.col("_n") > SMALL).drop("_n")
-    for _ in range(MAX_PASSES):
-        if open_t.isEmpty():
-            break
-        open_t = open_t.checkpoint(eager=True)
-        cand = vals.join(open_t, keys).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    big_t = targets.filter(F.col("_n") > SMALL)
+    if big_t.isEmpty():
+        return done[0]
+    cell = [*keys, "_path"]
+    # level 0 lineage is one aggregate over the input: no need to cut it
+    tgt = big_t.select(*keys, "qi", "_frac", "j", "k", F.lit("").alias("_path"))
+    cells = big_t.select(*keys, F.lit("").alias("_path"), "_lo", "_hi", "_below").distinct()
+    rows = vals.join(cells.select(*keys), keys, "left_semi").withColumn("_path", F.lit(""))
+    for level in range(MAX_PASSES):
+        r = rows.join(cells, cell)
         width = (F.col("_hi") - F.col("_lo")) / F.lit(NB)
-        b = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(NB - 1))).otherwise(0)
-        tk = [*keys, "qi", "j", "k", "_frac", "_below"]
-        hist = cand.groupBy(*tk, b.alias("_b")).agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
-                                                    F.max("_v").alias("_bmax"))
-        w = Window.partitionBy(*keys, "qi", "j").orderBy("_b")
-        hist = hist.withColumn("_cum", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, -1)))
-        hist = hist.withColumn("_cum", F.coalesce("_cum", F.lit(0)) + F.col("_below"))
-        hit = hist.filter((F.col("k") >= F.col("_cum")) & (F.col("k") < F.col("_cum") + F.col("_c")))
-        hit = hit.select(*keys, "qi", "_frac", "j", "k", F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
-                         F.col("_cum").alias("_below"), "_c").checkpoint(eager=True)
-        single = hit.filter(F.col("_lo") == F.col("_hi"))
-        done.append(single.select(*keys, "qi", "_frac", "j", "k", F.col("_lo").alias("v")))
-        small = hit.filter((F.col("_lo") < F.col("_hi")) & (F.col("_c") <= SMALL))
-        # rank only the few rows of small buckets
-        rows = vals.join(small, keys).filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-        rw = Window.partitionBy(*keys, "qi", "j").orderBy("_v")
-        ranked = rows.withColumn("_r", F.row_number().over(rw) - 1 + F.col("_below"))
-        done.append(ranked.filter(F.col("_r") == F.col("k")).select(*keys, "qi", "_frac", "j", "k",
-                                                                    F.col("_v").alias("v")))
-        open_t = hit.filter((F.col("_lo") < F.col("_hi")) & (F.col("_c") > SMALL)).drop("_c")
+        b = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(NB - 1))) \
+            .otherwise(F.lit(0)).cast("long")
+        r = r.withColumn("_b", b).withColumn("_p2", F.concat(F.col("_path"), F.lit("/"), F.col("_b").cast("string")))
+        hist = r.groupBy(*cell, "_b", "_p2").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
+                                               F.max("_v").alias("_bmax"), F.first("_below").alias("_below"))
+        w = Window.partitionBy(*cell).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        hist = hist.withColumn("_cum", F.coalesce(F.sum("_c").over(w), F.lit(0)) + F.col("_below"))
+        hit = tgt.join(hist, cell).filter((F.col("k") >= F.col("_cum")) & (F.col("k") < F.col("_cum") + F.col("_c")))
+        hit = hit.select(*keys, "qi", "_frac", "j", "k", "_p2", "_bmin", "_bmax", "_c", "_cum").checkpoint(eager=True)
+        done.append(hit.filter(F.col("_bmin") == F.col("_bmax"))
+                    .select(*keys, "qi", "_frac", "j", "k", F.col("_bmin").alias("v")))
+        small = hit.filter((F.col("_bmin") < F.col("_bmax")) & (F.col("_c") <= SMALL))
+        small_cells = small.select(*keys, "_p2", "_cum").distinct()
+        in_small = r.join(small_cells, [*keys, "_p2"])
+        rk = in_small.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_p2").orderBy("_v")) - 1
+                                 + F.col("_cum"))
+        done.append(small.join(rk.select(*keys, "_p2", "_r", "_v"), [*keys, "_p2"])
+                    .filter(F.col("k") == F.col("_r")).select(*keys, "qi", "_frac", "j", "k", F.col("_v").alias("v")))
+        big = hit.filter((F.col("_bmin") < F.col("_bmax")) & (F.col("_c") > SMALL))
+        if big.isEmpty():
+            break
+        tgt = big.select(*keys, "qi", "_frac", "j", "k", F.col("_p2").alias("_path")).checkpoint(eager=True)
+        cells = big.select(*keys, F.col("_p2").alias("_path"), F.col("_bmin").alias("_lo"),
+                           F.col("_bmax").alias("_hi"), F.col("_cum").alias("_below")).distinct().checkpoint(eager=True)
+        # only rows of still-active cells go on (shrinks ~NB-fold per level)
+        rows = r.join(cells.select(*keys, F.col("_path").alias("_p2")), [*keys, "_p2"], "left_semi") \
+            .select(*keys, "_v", F.col("_p2").alias("_path")).checkpoint(eager=True)
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

@@ -239,3 +239,30 @@ def local_surrogate(model, history: DataFrame, features, n_samples: int = SURROG
                              "weight": coef2.astype(float)})
 
     return scaled.groupBy(series).applyInPandas(fit, schema=f"{series} string, feature string, weight double")
+
+
+# ---- fixed values: dashboard quality classes and horizon confidence --------------------------------
+R2_CLASS_BOUNDS = [0.35, 0.10]          # >= good, >= mid, else bad
+RMSE_CLASS_BOUNDS = [12, 18]            # <= good, <= mid, else bad
+QUALITY_CLASSES = ["metric-good", "metric-mid", "metric-bad"]
+CONFIDENCE_LABELS = [(24, "High confidence", 90), (48, "Medium confidence", 65), (72, "Indicative only", 35)]
+# -----------------------------------------------------------------------------------------------------
+
+
+def quality_classes(df: DataFrame) -> DataFrame:
+    """r2 / rmse display classes (NULL metric -> empty class)."""
+    from hourcast.functions.aqi import threshold_label
+    r2 = F.when(F.col("r2").isNull(), F.lit("")).otherwise(
+        threshold_label("r2", R2_CLASS_BOUNDS, QUALITY_CLASSES, descending=True))
+    rmse = F.when(F.col("rmse").isNull(), F.lit("")).otherwise(
+        threshold_label("rmse", RMSE_CLASS_BOUNDS, QUALITY_CLASSES))
+    return df.withColumns({"r2_class": r2, "rmse_class": rmse})
+
+
+def confidence_columns(horizon_col: str = "horizon") -> dict:
+    h = F.col(horizon_col)
+    label, pct = None, None
+    for hh, lab, p in CONFIDENCE_LABELS:
+        label = F.when(h == hh, F.lit(lab)) if label is None else label.when(h == hh, F.lit(lab))
+        pct = F.when(h == hh, F.lit(p)) if pct is None else pct.when(h == hh, F.lit(p))
+    return {"confidence": label, "confidence_pct": pct}

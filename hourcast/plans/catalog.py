@@ -1249,3 +1249,63 @@ def q_local_surrogate(spark, sf):
     model = ML.fit_ridge(tf, feats, "aqi_next_24h")
     hist = WN.prediction_frame(O.latest_n_then_filter(data, 500, F.col("aqi").isNotNull()))
     return r6(ML.local_surrogate(model, hist, feats))
+
+
+# ---- remaining dashboard / notebook pieces ----------------------------------------------------------
+
+@query("gap_counts_over_1h", f"""
+WITH {S.OBS}, g AS (SELECT (epoch_us(timestamp) - epoch_us(lag(timestamp) OVER w)) / 3.6e9 AS gap_hours
+                    FROM obs WINDOW w AS {S.W}),
+c AS (SELECT gap_hours, count(*) AS count FROM g WHERE gap_hours > 1 GROUP BY gap_hours ORDER BY count DESC, gap_hours LIMIT 15)
+SELECT {S.r6('gap_hours')} AS gap_hours, count FROM c""")
+def q_gap_counts_over_1h(spark, sf):
+    g = AG.gap_counts(TB.obs_hourly(spark, sf)).filter(F.col("gap_hours") > 1)
+    return r6(g.orderBy(F.col("count").desc(), "gap_hours").limit(15).orderBy("gap_hours"))
+
+
+_SCATTER = ["pm25", "pm10", "o3", "no2"]
+
+
+@query("scatter_selection", f"""
+WITH {S.FEAT}, t AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM feat)
+SELECT series, timestamp, {', '.join(S.r6(c) + ' AS ' + c for c in _SCATTER)} FROM t WHERE rk <= 1000""")
+def q_scatter_selection(spark, sf):
+    feats = _features(spark, sf)
+    cols = [c for c in feats.columns if c not in ("series", "timestamp", "aqi")][:4]
+    return r6(O.latest_n(feats, 1000).select("series", "timestamp", *cols))
+
+
+@query("metric_classes", f"""
+WITH {_baseline_sql((24, 48, 72))}, m AS (SELECT horizon, model, {_MET} FROM preds GROUP BY horizon, model)
+SELECT horizon, model, {S.r6('rmse')} AS rmse, {S.r6('r2')} AS r2,
+  CASE WHEN r2 IS NULL THEN '' WHEN r2 >= 0.35 THEN 'metric-good' WHEN r2 >= 0.10 THEN 'metric-mid' ELSE 'metric-bad' END AS r2_class,
+  CASE WHEN rmse IS NULL THEN '' WHEN rmse <= 12 THEN 'metric-good' WHEN rmse <= 18 THEN 'metric-mid' ELSE 'metric-bad' END AS rmse_class
+FROM m""")
+def q_metric_classes(spark, sf):
+    m = ML.regression_metrics(_baseline_preds(spark, sf, (24, 48, 72)), ["horizon", "model"], "y", "prediction")
+    return r6(ML.quality_classes(m.select("horizon", "model", "rmse", "r2")))
+
+
+@query("forecast_cards", f"""
+WITH {S.OBS}, {S.FORECAST}, base AS (SELECT series, timestamp FROM obs WHERE timestamp = {AS_OF_HOUR}),
+pred AS (
+  SELECT b.series, h.horizon, {S.aqi_sql('avg(f.fc_pm25)')} AS prediction
+  FROM base b CROSS JOIN (VALUES (24, 0), (48, 24), (72, 48)) h(horizon, h0)
+  JOIN fc f ON f.series = b.series AND f.timestamp >= b.timestamp + to_hours(h.h0)
+       AND f.timestamp < b.timestamp + to_hours(h.h0 + 24)
+  GROUP BY b.series, h.horizon)
+SELECT series, horizon, {S.r6('prediction')} AS prediction, {S.category_sql('prediction', 0)} AS category,
+  {S.category_sql('prediction', 1)} AS color,
+  CASE horizon WHEN 24 THEN 'High confidence' WHEN 48 THEN 'Medium confidence' WHEN 72 THEN 'Indicative only' END AS confidence,
+  CASE horizon WHEN 24 THEN 90 WHEN 48 THEN 65 WHEN 72 THEN 35 END AS confidence_pct
+FROM pred""")
+def q_forecast_cards(spark, sf):
+    obs = TB.obs_hourly(spark, sf)
+    base = obs.filter(F.col("timestamp") == F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz")).select("series", "timestamp")
+    win = J.forecast_windows(base, TB.forecast_hourly(spark, sf), decimals=None)
+    preds = win.select("series", F.explode(F.array(*[
+        F.struct(F.lit(h).alias("horizon"), A.pm25_to_aqi(F.col(f"fc_pm25_{h}h")).alias("prediction"))
+        for h in (24, 48, 72)])).alias("p")).select("series", "p.*").filter(F.col("prediction").isNotNull())
+    cards = preds.withColumns({"category": A.aqi_category("prediction"), "color": A.aqi_color("prediction"),
+                               **ML.confidence_columns("horizon")})
+    return r6(cards)

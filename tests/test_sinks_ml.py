@@ -113,3 +113,29 @@ def test_local_surrogate_recovers_linear_model(spark):
     bg = df.orderBy(F.col("timestamp").desc()).limit(300).toPandas()
     assert abs(out["a"] - 3 * bg.a.std()) < 0.05 * 3 * bg.a.std()
     assert abs(out["b"] + 2 * bg.b.std()) < 0.05 * 2 * bg.b.std()
+
+
+def test_latest_n_then_filter_limit_first(spark):
+    from hourcast.operators.ordering import latest_n_then_filter
+    rows = [("s", hours(i), None if i % 25 == 0 else float(i)) for i in range(600)]
+    df = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, aqi double")
+    out = latest_n_then_filter(df, 500, F.col("aqi").isNotNull())
+    assert out.count() == 480
+
+
+def test_coverage_gate_threshold(spark):
+    from hourcast.operators.coverage import horizon_feature_cols
+    rows = [("s", hours(i), 1.0, 1.0 if i < 5 else None, 1.0 if i < 4 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, aqi double, fc_co_24h double, fc_no2_24h double")
+    cols = horizon_feature_cols(df, 24)
+    assert "fc_co_24h" in cols and "fc_no2_24h" not in cols and "aqi" in cols
+
+
+def test_carry_forward_fallback(spark):
+    from hourcast.operators.ordering import carry_forward
+    hist = spark.createDataFrame([("a", hours(1), 5.0), ("a", hours(3), 7.0)],
+                                 "series string, timestamp timestamp_ntz, aqi double")
+    ser = spark.createDataFrame([("a",), ("b",)], "series string")
+    got = {r.series: (r.timestamp, r.aqi) for r in carry_forward(hist, ser, "2024-01-02 10:45:00").collect()}
+    assert got["a"][1] == 7.0 and got["b"][1] is None
+    assert str(got["a"][0]) == "2024-01-02 10:00:00" == str(got["b"][0])

@@ -15,7 +15,7 @@ from hourcast.functions.calendar import add_calendar, add_cyclical
 from hourcast.functions.numeric import r6
 from hourcast.operators import windows as WN
 from hourcast.plans import sqlbits as S
-from hourcast.schema import LAG_COLUMNS, RAW_COLUMNS, ROLLING_COLUMNS
+from hourcast.schema import LAG_COLUMNS, LOCAL_TZ, RAW_COLUMNS, ROLLING_COLUMNS
 from hourcast.sources import testbind as TB
 from hourcast.sources.tables import table
 
@@ -368,7 +368,7 @@ def q_dedupe(spark, sf):
 @query("clamp_time", f"""
 WITH {S.OBS}
 SELECT series, least(max(timestamp), TIMESTAMP '{CUTOFF}') AS shown_ts,
-       strftime(timezone('Asia/Karachi', least(max(timestamp), TIMESTAMP '{CUTOFF}') AT TIME ZONE 'UTC'), '%Y-%m-%d %I:%M %p') AS shown_local
+       strftime(timezone('{LOCAL_TZ}', least(max(timestamp), TIMESTAMP '{CUTOFF}') AT TIME ZONE 'UTC'), '%Y-%m-%d %I:%M %p') AS shown_local
 FROM obs GROUP BY series""")
 def q_clamp_time(spark, sf):
     from hourcast.functions.calendar import local_time
@@ -559,7 +559,7 @@ from hourcast.operators import aggregates as AG  # noqa: E402
 from hourcast.operators import stats as ST  # noqa: E402
 from hourcast.schema import POLLUTANTS  # noqa: E402
 
-LOCAL = f"""{S.FEAT}, l AS (SELECT *, timezone('Asia/Karachi', timestamp AT TIME ZONE 'UTC') AS lt FROM feat)"""
+LOCAL = f"""{S.FEAT}, l AS (SELECT *, timezone('{LOCAL_TZ}', timestamp AT TIME ZONE 'UTC') AS lt FROM feat)"""
 
 
 def _prof_sql(key_expr: str, key: str, std: bool = False, having: str = "") -> str:
@@ -1088,10 +1088,10 @@ pred AS (SELECT b.series, b.timestamp + to_hours(h.horizon) AS timestamp, h.hori
   JOIN fc f ON f.series = b.series AND f.timestamp >= b.timestamp + to_hours(h.h0)
        AND f.timestamp < b.timestamp + to_hours(h.h0 + 24)
   GROUP BY b.series, b.timestamp, h.horizon)
-SELECT series, timestamp, timezone('Asia/Karachi', timestamp AT TIME ZONE 'UTC') AS local_ts, 'actual' AS kind,
+SELECT series, timestamp, timezone('{LOCAL_TZ}', timestamp AT TIME ZONE 'UTC') AS local_ts, 'actual' AS kind,
        CAST(NULL AS INTEGER) AS horizon, {S.r6(S.aqi_sql('pm25'))} AS value FROM act
 UNION ALL
-SELECT series, timestamp, timezone('Asia/Karachi', timestamp AT TIME ZONE 'UTC') AS local_ts, 'forecast' AS kind,
+SELECT series, timestamp, timezone('{LOCAL_TZ}', timestamp AT TIME ZONE 'UTC') AS local_ts, 'forecast' AS kind,
        horizon, {S.r6('value')} AS value FROM pred""")
 def q_trend(spark, sf):
     from hourcast.plans.scoring import trend_frame
@@ -1185,7 +1185,7 @@ def _lineitem_series(spark, sf):
 
 
 @query("lineitem_profile_month", f"""
-SELECT l_returnflag AS series, strftime(timezone('Asia/Karachi', l_shipdate AT TIME ZONE 'UTC'), '%Y-%m') AS local_period,
+SELECT l_returnflag AS series, strftime(timezone('{LOCAL_TZ}', l_shipdate AT TIME ZONE 'UTC'), '%Y-%m') AS local_period,
        {S.r6('avg(l_extendedprice)')} AS mean, {S.r6('stddev_samp(l_extendedprice)')} AS std
 FROM lineitem GROUP BY 1, 2""")
 def q_lineitem_profile_month(spark, sf):
@@ -1232,7 +1232,7 @@ def q_lineitem_boxplot(spark, sf):
 
 
 @query("orders_daily", f"""
-SELECT o_orderstatus AS series, CAST(timezone('Asia/Karachi', o_orderdate AT TIME ZONE 'UTC') AS DATE) AS local_date,
+SELECT o_orderstatus AS series, CAST(timezone('{LOCAL_TZ}', o_orderdate AT TIME ZONE 'UTC') AS DATE) AS local_date,
        {S.r6('avg(o_totalprice)')} AS mean
 FROM orders GROUP BY 1, 2 HAVING avg(o_totalprice) IS NOT NULL""")
 def q_orders_daily(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hourcast.schema import SERIES
+from hourcast.schema import LOCAL_TZ, SERIES
 
 ALERT_THRESHOLD = 150.0
 
@@ -23,7 +23,7 @@ def alerts(preds: DataFrame, series=SERIES, threshold: float = ALERT_THRESHOLD)
 
 
 def trend_frame(history: DataFrame, preds: DataFrame, last_n: int = 72, series=SERIES, ts="timestamp",
-                tz: str = "Asia/Karachi") -> DataFrame:
+                tz: str = LOCAL_TZ) -> DataFrame:
     """Newest ``last_n`` actual rows (display AQI from pm25) plus one forecast
     point per horizon at ``timestamp + horizon`` hours, with local wall time."""
     from hourcast.functions.aqi import pm25_to_aqi

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window  # noqa: F401
 from pyspark.sql import functions as F
 
 from hourcast.functions.calendar import hours_between, local_time
+from hourcast.functions.numeric import round_stable
 from hourcast.operators.quantiles import quantiles_wide
 from hourcast.schema import LOCAL_TZ, SERIES, TS
 
@@ -116,8 +117,8 @@ def describe(df: DataFrame, columns) -> DataFrame:
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
     q = quantiles_wide(long, ["column"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     out = base.join(q, "column", "left")
-    r3 = {c: F.round(c, 3) for c in ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]}
-    return out.withColumns({"cv_pct": F.round(F.round(F.col("std") / F.col("mean") * 100.0, 1), 3), **r3})
+    r3 = {c: round_stable(c, 3) for c in ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]}
+    return out.withColumns({"cv_pct": round_stable(round_stable(F.col("std") / F.col("mean") * 100.0, 1), 3), **r3})
 
 
 def null_profile(df: DataFrame, columns=None) -> DataFrame:
@@ -127,7 +128,8 @@ def null_profile(df: DataFrame, columns=None) -> DataFrame:
     stack = ", ".join(f"'{c}', `{c}`" for c in cols)
     long = agg.selectExpr("_n", f"stack({len(cols)}, {stack}) AS (column, missing_count)")
     return (long.filter("missing_count > 0")
-            .select("column", "missing_count", F.round(F.col("missing_count") * 100.0 / F.col("_n"), 2).alias("missing_pct")))
+            .select("column", "missing_count",
+                    round_stable(F.col("missing_count") * 100.0 / F.col("_n"), 2).alias("missing_pct")))
 
 
 def schema_profile(df: DataFrame) -> DataFrame:

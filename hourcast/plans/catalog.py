@@ -919,6 +919,8 @@ c AS (SELECT sum((aqi - mx) * (aqi_next_24h - my)) AS sxy, sum((aqi - mx) * (aqi
 SELECT {S.r6('sxy / (sxx + 1.0)')} AS coef, {S.r6('my - sxy / (sxx + 1.0) * mx')} AS intercept FROM c""")
 def q_ridge_one_feature(spark, sf):
     tf = WN.build_training_frame(_features(spark, sf), 24).cache()
+    if tf.isEmpty():  # no exact-horizon rows (tiny inputs): the closed form is NULL as well
+        return spark.createDataFrame([(None, None)], "coef double, intercept double")
     model = ML.fit_ridge(tf, ["aqi"], "aqi_next_24h", alpha=1.0)
     return r6(spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "coef double, intercept double"))
 
@@ -932,7 +934,10 @@ def q_train_models(spark, sf):
     from hourcast.plans.training import train_for_horizon
     # forest + ridge at the reference hyper-parameters; the 300-round boosted
     # model is available through train_for_horizon (sequential rounds dominate run time)
-    metrics, _, _, _ = train_for_horizon(_backfilled(spark, sf), 24, candidates=("random_forest", "ridge"))
+    try:
+        metrics, _, _, _ = train_for_horizon(_backfilled(spark, sf), 24, candidates=("random_forest", "ridge"))
+    except RuntimeError:  # no training rows for the horizon (tiny inputs)
+        return spark.createDataFrame([], "model string, rmse double, mae double, r2 double, horizon int")
     return metrics
 
 
@@ -968,6 +973,8 @@ def q_local_proxy(spark, sf):
 def q_linear_contrib(spark, sf):
     feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
     tf = WN.build_training_frame(_features(spark, sf), 24).dropna(subset=feats).cache()
+    if tf.isEmpty():
+        return spark.createDataFrame([], "series string, feature string, importance double")
     model = ML.fit_ridge(tf, feats, "aqi_next_24h")
     hist = O.latest_n(tf, 200)
     return r6(ML.linear_contributions(hist, feats, list(model.coefficients)))
@@ -980,10 +987,14 @@ def q_batch_scoring(spark, sf):
     out = None
     for h in (24, 48, 72):
         tf = WN.build_training_frame(data, h).dropna(subset=feats)
+        if tf.isEmpty():
+            continue
         model = ML.fit_ridge(tf, feats, f"aqi_next_{h}h")
         newest = O.latest_n(WN.prediction_frame(data), 1)
         p = ML.predict(model, newest, feats).select("series", "timestamp", F.lit(h).alias("horizon"), "prediction")
         out = p if out is None else out.unionByName(p)
+    if out is None:
+        return spark.createDataFrame([], "series string, timestamp timestamp_ntz, horizon int, prediction double")
     return r6(out)
 
 
@@ -1246,6 +1257,8 @@ def q_local_surrogate(spark, sf):
     feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
     data = _features(spark, sf)
     tf = WN.build_training_frame(data, 24).dropna(subset=feats)
+    if tf.isEmpty():
+        return spark.createDataFrame([], "series string, feature string, weight double")
     model = ML.fit_ridge(tf, feats, "aqi_next_24h")
     hist = WN.prediction_frame(O.latest_n_then_filter(data, 500, F.col("aqi").isNotNull()))
     return r6(ML.local_surrogate(model, hist, feats))

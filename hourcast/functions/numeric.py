@@ -37,12 +37,13 @@ def round_half_even(x, scale: int = 0) -> Column:
 
 
 def r6(df: DataFrame) -> DataFrame:
-    """Round every DOUBLE/FLOAT column to 6 places (and fold -0.0 into 0.0) so
-    results hash equal across engines."""
+    """Round every DOUBLE/FLOAT column to 6 places, tie-stable (see
+    :func:`round_stable`), and fold -0.0 into 0.0 so results hash equal across
+    engines and partitionings."""
     cols = {}
     for f in df.schema.fields:
         if isinstance(f.dataType, T.DoubleType):
-            cols[f.name] = F.round(F.col(f.name), 6) + F.lit(0.0)
+            cols[f.name] = round_stable(f.name, 6) + F.lit(0.0)
         elif isinstance(f.dataType, T.FloatType):
-            cols[f.name] = (F.round(F.col(f.name), 6) + F.lit(0.0)).cast("float")
+            cols[f.name] = (round_stable(f.name, 6) + F.lit(0.0)).cast("float")
     return df.withColumns(cols) if cols else df

@@ -34,11 +34,11 @@ def category_sql(x: str, pick: int = 0) -> str:
 
 
 def r6(expr: str) -> str:
-    return f"(round({expr}, 6) + 0.0)"
+    return f"(round(({expr}) * (1 + 1e-12), 6) + 0.0)"
 
 
 def r6f(expr: str) -> str:
-    return f"CAST(round({expr}, 6) + 0.0 AS FLOAT)"
+    return f"CAST(round(({expr}) * (1 + 1e-12), 6) + 0.0 AS FLOAT)"
 
 
 EV = """ev AS (

@@ -24,6 +24,9 @@ GBT_STEP = 0.05
 GBT_DEPTH = 6
 GBT_SEED = 42
 SPARK_MAX_DEPTH = 30  # Spark's deepest tree (sklearn forests are unbounded)
+# per-pass node-statistics budget: smaller budgets split the same tree growth
+# into more passes (identical trees, lower peak memory)
+TREE_MEMORY_MB = 32
 # -----------------------------------------------------------------------------------------------
 
 
@@ -62,13 +65,13 @@ def fit_ridge(df: DataFrame, features, label: str, alpha: float = RIDGE_ALPHA):
 def fit_forest(df: DataFrame, features, label: str, trees: int = RF_TREES, seed: int = RF_SEED):
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, seed=seed,
                                featureSubsetStrategy="all", maxDepth=SPARK_MAX_DEPTH, minInstancesPerNode=1,
-                               subsamplingRate=1.0, bootstrap=True)
+                               subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=TREE_MEMORY_MB)
     return rf.fit(assembler(features).transform(df))
 
 
 def fit_boosted(df: DataFrame, features, label: str, rounds: int = GBT_ROUNDS):
     gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=GBT_STEP,
-                       maxDepth=GBT_DEPTH, seed=GBT_SEED)
+                       maxDepth=GBT_DEPTH, seed=GBT_SEED, maxMemoryInMB=TREE_MEMORY_MB)
     return gbt.fit(assembler(features).transform(df))
 
 

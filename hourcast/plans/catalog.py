@@ -719,7 +719,7 @@ WITH {S.FEAT}, {', '.join(f"t{h}a AS ({S.target_sql('feat', h)}), t{h} AS (SELEC
 t AS ({' UNION ALL '.join(f"SELECT {h} AS horizon, count(aqi_next_{h}h) AS n, avg(aqi_next_{h}h) AS mean, stddev_samp(aqi_next_{h}h) AS std FROM t{h}" for h in (24, 48, 72))})
 {S.round_all(['mean', 'std'], ['horizon', 'n'])}""")
 def q_target_stats(spark, sf):
-    feats = _features(spark, sf).cache()
+    feats = _features(spark, sf)
     out = None
     for h in (24, 48, 72):
         tgt = f"aqi_next_{h}h"
@@ -920,8 +920,10 @@ SELECT {S.r6('sxy / (sxx + 1.0)')} AS coef, {S.r6('my - sxy / (sxx + 1.0) * mx')
 def q_ridge_one_feature(spark, sf):
     tf = WN.build_training_frame(_features(spark, sf), 24).cache()
     if tf.isEmpty():  # no exact-horizon rows (tiny inputs): the closed form is NULL as well
+        tf.unpersist()
         return spark.createDataFrame([(None, None)], "coef double, intercept double")
     model = ML.fit_ridge(tf, ["aqi"], "aqi_next_24h", alpha=1.0)
+    tf.unpersist()
     return r6(spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "coef double, intercept double"))
 
 
@@ -974,8 +976,10 @@ def q_linear_contrib(spark, sf):
     feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
     tf = WN.build_training_frame(_features(spark, sf), 24).dropna(subset=feats).cache()
     if tf.isEmpty():
+        tf.unpersist()
         return spark.createDataFrame([], "series string, feature string, importance double")
     model = ML.fit_ridge(tf, feats, "aqi_next_24h")
+    tf.unpersist()
     hist = O.latest_n(tf, 200)
     return r6(ML.linear_contributions(hist, feats, list(model.coefficients)))
 

@@ -33,20 +33,24 @@ def train_for_horizon(df: DataFrame, horizon: int, candidates=("random_forest",
     params = params or {}
     data, feats, tgt = training_frames(df, horizon, series, ts)
     data = data.cache()
-    if data.filter("split = 'train'").isEmpty():
-        raise RuntimeError(f"No training rows for horizon {horizon}h")
-    train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
-    models, scored = {}, None
-    for name in candidates:
-        models[name] = ML.FITTERS[name](train, feats, tgt, **params.get(name, {}))
-        p = ML.predict(models[name], test, feats).select(F.lit(name).alias("model"), F.col(tgt).alias("y"),
-                                                          "prediction")
-        scored = p if scored is None else scored.unionByName(p)
-    metrics = ML.regression_metrics(scored, ["model"], "y", "prediction").withColumn("horizon", F.lit(horizon))
-    best = ML.best_model(metrics).first()
-    if registry_root is not None and best is not None:
-        allm = {r.model: {"rmse": r.rmse, "mae": r.mae, "r2": r.r2} for r in metrics.collect()}
-        meta = ML.metadata_row(best.model, "spark_ml", horizon, feats, allm[best.model], allm)
-        ML.save_model(df.sparkSession, models[best.model], registry_root, horizon, meta)
-    data.unpersist()
+    try:
+        if data.filter("split = 'train'").isEmpty():
+            raise RuntimeError(f"No training rows for horizon {horizon}h")
+        train, test = data.filter("split = 'train'"), data.filter("split = 'test'")
+        models, scored = {}, None
+        for name in candidates:
+            models[name] = ML.FITTERS[name](train, feats, tgt, **params.get(name, {}))
+            p = ML.predict(models[name], test, feats).select(F.lit(name).alias("model"), F.col(tgt).alias("y"),
+                                                              "prediction")
+            scored = p if scored is None else scored.unionByName(p)
+        # metrics are a few rows: materialise them before the cached frame is released
+        metrics = ML.regression_metrics(scored, ["model"], "y", "prediction").withColumn("horizon", F.lit(horizon))
+        metrics = df.sparkSession.createDataFrame(metrics.collect(), metrics.schema)
+        best = ML.best_model(metrics).first()
+        if registry_root is not None and best is not None:
+            allm = {r.model: {"rmse": r.rmse, "mae": r.mae, "r2": r.r2} for r in metrics.collect()}
+            meta = ML.metadata_row(best.model, "spark_ml", horizon, feats, allm[best.model], allm)
+            ML.save_model(df.sparkSession, models[best.model], registry_root, horizon, meta)
+    finally:
+        data.unpersist()
     return metrics, (best.model if best else None), models, feats

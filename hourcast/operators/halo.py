@@ -40,6 +40,7 @@ DEFAULT_CHUNK_ROWS = 4096
 #              the driver) and use "plain" only when it fits MAX_SERIES_ROWS.
 DEFAULT_STRATEGY = "auto"
 MAX_SERIES_ROWS = 1_000_000
+MATERIALIZE_HALO_INPUT = True
 
 
 def largest_group(df: DataFrame, keys) -> int:
@@ -108,7 +109,7 @@ class PositionalPlan:
 
     def __init__(self, df: DataFrame, series=SERIES, ts=TS, lookback: int = 24, lookahead: int = 0,
                  strategy: str | None = None, chunk_rows: int | None = None,
-                 bucket_seconds: int | None = None):
+                 bucket_seconds: int | None = None, materialize: bool | None = None):
         self.keys = [series] if isinstance(series, str) else list(series)
         self.ts = ts
         strategy = resolve_strategy(strategy, df, self.keys)
@@ -119,6 +120,11 @@ class PositionalPlan:
             self.df = df
             self.window = Window.partitionBy(*self.keys).orderBy(ts)
         elif strategy == "halo":
+            if MATERIALIZE_HALO_INPUT if materialize is None else materialize:
+                # the positions step reads its input twice (bucket counts and ranked
+                # rows); a reliable checkpoint in the shared checkpoint folder computes
+                # an expensive upstream once and cuts its lineage
+                df = df.checkpoint(eager=True)
             staged = positions(df, self.keys, ts, bucket_seconds)
             self.df = with_halo(staged, lookback, lookahead, chunk_rows)
             self.window = Window.partitionBy(*self.keys, CHUNK).orderBy(RN)

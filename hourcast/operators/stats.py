@@ -5,10 +5,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hourcast.operators.halo import positions
 from hourcast.operators.quantiles import quantiles_wide
 from hourcast.schema import SERIES
 
@@ -143,22 +142,46 @@ def boxplot_stats(df: DataFrame, value: str, series=SERIES, whis: float = 1.5) -
     ).withColumn("iqr", iqr)
 
 
+RANK_SPLIT = 1_000_000  # ranks expanded per task for one repeated value
+
+
 def qq_fit(df: DataFrame, value: str, series=SERIES, bucket_count: int = 4096) -> DataFrame:
     """Normal probability plot fit: sorted sample against normal order-statistic
-    medians; slope, intercept, r. Ranks come from value-bucketed positions
-    (prefix-summed bucket counts), never from a whole-series sort in one task."""
+    medians; slope, intercept, r.
+
+    Ranks are assigned to *distinct values*: value counts are a partial
+    aggregate (a value repeated by a third of all rows is combined map-side),
+    prefix sums over the distinct values come from value-bucketed positions,
+    and each value's rank range is cut into sub-ranges of at most
+    ``RANK_SPLIT`` ranks that are spread over tasks before being expanded."""
     v = df.select(series, F.col(value).alias("_x")).filter(F.col("_x").isNotNull())
-    rng = v.groupBy(series).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.count(F.lit(1)).alias("_n"))
-    vj = v.join(rng, series)
+    counts = v.groupBy(series, "_x").agg(F.count(F.lit(1)).alias("_c"))
+    rng = counts.groupBy(series).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_c").alias("_n"))
+    cj = counts.join(rng, series)
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bucket_count)
     bucket = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bucket_count - 1))) \
         .otherwise(F.lit(0))
-    ranked = positions(vj, series, "_x", bucket=bucket, rn="_i")
+    # start rank of each distinct value = rows before it: positions over the distinct
+    # values, weighted by their counts (prefix sums of bucket totals + in-bucket sums)
+    staged = cj.withColumn("_bk", bucket)
+    wb = Window.partitionBy(series, "_bk").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
+    staged = staged.withColumn("_inb", F.coalesce(F.sum("_c").over(wb), F.lit(0)))
+    tot = staged.groupBy(series, "_bk").agg(F.sum("_c").alias("_t"))
+    wt = Window.partitionBy(series).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
+    off = tot.select(series, "_bk", F.coalesce(F.sum("_t").over(wt), F.lit(0)).alias("_off"))
+    ranged = staged.join(off, [series, "_bk"]).withColumn("_a", F.col("_off") + F.col("_inb") + 1)
+    # split each rank range [a, a + c - 1] into pieces of at most RANK_SPLIT ranks
+    pieces = ranged.withColumn("_p", F.explode(F.sequence(F.lit(0), F.floor((F.col("_c") - 1) / F.lit(RANK_SPLIT)))))
+    pieces = pieces.withColumns({
+        "_s": F.col("_a") + F.col("_p") * F.lit(RANK_SPLIT),
+        "_e": F.least(F.col("_a") + F.col("_c") - 1, F.col("_a") + (F.col("_p") + 1) * F.lit(RANK_SPLIT) - 1),
+    }).repartition(series, "_x", "_p")
+    ranks = pieces.select(series, "_x", "_n", F.explode(F.sequence(F.col("_s"), F.col("_e"))).alias("_i"))
     n = F.col("_n").cast("double")
     m = (F.col("_i") - FILLIBEN_A) / (n + FILLIBEN_B)
     m = F.when(F.col("_i") == 1, F.lit(1.0) - F.pow(F.lit(0.5), F.lit(1.0) / n)) \
         .when(F.col("_i") == F.col("_n"), F.pow(F.lit(0.5), F.lit(1.0) / n)).otherwise(m)
-    pts = ranked.withColumn("osm", inv_norm(m))
+    pts = ranks.withColumn("osm", inv_norm(m))
     return pts.groupBy(series).agg(
         F.count(F.lit(1)).alias("n"),
         F.regr_slope("_x", "osm").alias("slope"),

@@ -69,3 +69,27 @@ def test_metrics_fixture(spark):
     df = spark.createDataFrame([(1.0, 1.0), (2.0, 2.0), (3.0, 3.0), (4.0, 6.0)], "y double, p double")
     r = regression_metrics(df.withColumn("model", F.lit("m")), ["model"], "y", "p").first()
     assert (r.rmse, r.mae, r.r2) == (1.0, 0.5, 0.2)
+
+
+def test_qq_fit_with_heavy_duplicate(spark, monkeypatch):
+    """A value held by a third of the rows: ranks split into many pieces, fit
+    equal to a direct computation with the exact inverse normal."""
+    from statistics import NormalDist
+
+    import hourcast.operators.stats as ST
+    monkeypatch.setattr(ST, "RANK_SPLIT", 37)
+    rng = np.random.default_rng(9)
+    xs = np.round(rng.normal(100, 15, 900), 1)
+    xs[:300] = 88.8
+    df = spark.createDataFrame([("s", float(x)) for x in xs], "series string, v double")
+    r = ST.qq_fit(df, "v").first()
+    n = len(xs)
+    srt = np.sort(xs)
+    i = np.arange(1, n + 1)
+    m = (i - 0.3175) / (n + 0.365)
+    m[0], m[-1] = 1 - 0.5 ** (1 / n), 0.5 ** (1 / n)
+    osm = np.array([NormalDist().inv_cdf(p) for p in m])
+    slope, intercept = np.polyfit(osm, srt, 1)
+    assert r.n == n
+    assert r.slope == pytest.approx(slope, rel=1e-7) and r.intercept == pytest.approx(intercept, rel=1e-7)
+    assert r.r == pytest.approx(np.corrcoef(osm, srt)[0, 1], rel=1e-7)

@@ -146,16 +146,40 @@ def chunk_index(df: DataFrame, keys, ts, chunk_rows: int | None = None,
     return staged.withColumn(CHUNK, F.floor((F.col(RN) - 1) / F.lit(chunk_rows or DEFAULT_CHUNK_ROWS)))
 
 
+SUPER_CHUNKS = 4096  # chunks per second-level group of the carry computation
+
+
 def carry_last(summary: DataFrame, keys, cols) -> DataFrame:
-    """For each chunk: last non-NULL value of each column over all earlier chunks
-    (window over the small per-chunk table)."""
-    w = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(*keys, CHUNK, *[F.last(f"_end_{c}", ignorenulls=True).over(w).alias(f"_in_{c}")
-                                          for c in cols])
+    """For each chunk: last non-NULL value of each column over all earlier chunks.
+
+    Two levels, so no task sees more than ``SUPER_CHUNKS`` rows: a window inside
+    each group of chunks, and a window over the one-row-per-group table."""
+    sup = F.floor(F.col(CHUNK) / F.lit(SUPER_CHUNKS))
+    s2 = summary.withColumn("_sup", sup)
+    win = Window.partitionBy(*keys, "_sup").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    inner = s2.select(*keys, CHUNK, "_sup", *[F.last(f"_end_{c}", ignorenulls=True).over(win).alias(f"_i_{c}")
+                                              for c in cols])
+    groups = s2.groupBy(*keys, "_sup").agg(*[F.max_by(F.col(f"_end_{c}"), F.when(F.col(f"_end_{c}").isNotNull(),
+                                                                                 F.col(CHUNK))).alias(f"_g_{c}")
+                                             for c in cols])
+    wg = Window.partitionBy(*keys).orderBy("_sup").rowsBetween(Window.unboundedPreceding, -1)
+    outer = groups.select(*keys, "_sup", *[F.last(f"_g_{c}", ignorenulls=True).over(wg).alias(f"_o_{c}") for c in cols])
+    j = inner.join(outer, [*keys, "_sup"], "left")
+    return j.select(*keys, CHUNK, *[F.coalesce(F.col(f"_i_{c}"), F.col(f"_o_{c}")).alias(f"_in_{c}") for c in cols])
 
 
 def carry_sum(summary: DataFrame, keys, cols) -> DataFrame:
-    """For each chunk: sum of each column over all earlier chunks."""
-    w = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    return summary.select(*keys, CHUNK, *[F.coalesce(F.sum(f"_tot_{c}").over(w), F.lit(0)).alias(f"_in_{c}")
-                                          for c in cols])
+    """For each chunk: sum of each column over all earlier chunks (two levels,
+    as :func:`carry_last`)."""
+    sup = F.floor(F.col(CHUNK) / F.lit(SUPER_CHUNKS))
+    s2 = summary.withColumn("_sup", sup)
+    win = Window.partitionBy(*keys, "_sup").orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    inner = s2.select(*keys, CHUNK, "_sup", *[F.coalesce(F.sum(f"_tot_{c}").over(win), F.lit(0)).alias(f"_i_{c}")
+                                              for c in cols])
+    groups = s2.groupBy(*keys, "_sup").agg(*[F.sum(f"_tot_{c}").alias(f"_g_{c}") for c in cols])
+    wg = Window.partitionBy(*keys).orderBy("_sup").rowsBetween(Window.unboundedPreceding, -1)
+    outer = groups.select(*keys, "_sup", *[F.coalesce(F.sum(f"_g_{c}").over(wg), F.lit(0)).alias(f"_o_{c}")
+                                           for c in cols])
+    j = inner.join(outer, [*keys, "_sup"], "left")
+    return j.select(*keys, CHUNK, *[(F.col(f"_i_{c}") + F.coalesce(F.col(f"_o_{c}"), F.lit(0))).alias(f"_in_{c}")
+                                    for c in cols])

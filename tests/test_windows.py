@@ -113,6 +113,7 @@ def test_whole_pipeline_halo_equals_plain_with_tiny_chunks(spark, monkeypatch):
     import hourcast.operators.halo as H
     monkeypatch.setattr(H, "DEFAULT_CHUNK_ROWS", 75)
     monkeypatch.setattr(H, "DEFAULT_BUCKET_SECONDS", 86400)
+    monkeypatch.setattr(H, "SUPER_CHUNKS", 2)
     rnd = random.Random(11)
     rows = []
     for s in ("a", "b", "c"):

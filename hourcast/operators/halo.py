@@ -43,10 +43,27 @@ MAX_SERIES_ROWS = 1_000_000
 MATERIALIZE_HALO_INPUT = True
 
 
+_SIZE_MEMO: dict = {}
+
+
 def largest_group(df: DataFrame, keys) -> int:
+    """Rows in the largest group. Memoised on the optimized plan of the size
+    query itself: it keeps only the keys, so window stages are pruned out and a
+    frame and its feature-augmented descendants share one measurement (both
+    strategies are exact, so a stale hit could only cost speed)."""
     keys = [keys] if isinstance(keys, str) else list(keys)
-    r = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m")).first()
-    return int(r.m or 0) if r is not None else 0
+    q = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m"))
+    try:
+        memo_key = (id(df.sparkSession), q._jdf.queryExecution().optimizedPlan().semanticHash())
+    except Exception:  # noqa: BLE001 - plan access is best effort (e.g. Spark Connect)
+        memo_key = None
+    if memo_key is not None and memo_key in _SIZE_MEMO:
+        return _SIZE_MEMO[memo_key]
+    r = q.first()
+    m = int(r.m or 0) if r is not None else 0
+    if memo_key is not None:
+        _SIZE_MEMO[memo_key] = m
+    return m
 
 
 def resolve_strategy(strategy: str | None, df: DataFrame | None = None, keys=None) -> str:

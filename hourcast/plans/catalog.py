@@ -1326,3 +1326,31 @@ def q_forecast_cards(spark, sf):
     cards = preds.withColumns({"category": A.aqi_category("prediction"), "color": A.aqi_color("prediction"),
                                **ML.confidence_columns("horizon")})
     return r6(cards)
+
+
+# ---- the gap-free all-events series ----------------------------------------------------------------
+
+def _all_features(spark, sf):
+    return WN.add_engineered_features(TB.all_hourly(spark, sf))
+
+
+for _h in (24, 48, 72):
+    def _mk_all(h):
+        def q(spark, sf):
+            return r6(WN.build_training_frame(_all_features(spark, sf), h))
+        return q
+    query(f"target_all_{_h}h", f"""
+WITH {S.ALL_OBS}, feat AS ({S.feat_cols('allobs')}), t AS ({S.target_sql('feat', _h)})
+{S.round_all(FEATURE_DOUBLES + [f'aqi_next_{_h}h'], FEATURE_OTHER, ['hours_since_prev'])}""")(_mk_all(_h))
+
+
+@query("histogram_all", f"""
+WITH {S.ALL_OBS}, r AS (SELECT series, min(aqi) AS lo, max(aqi) AS hi FROM allobs GROUP BY series),
+c AS (SELECT f.series, CAST(CASE WHEN hi > lo THEN least(floor((aqi - lo) * 40 / (hi - lo)), 39) ELSE 0 END AS INTEGER) AS bin,
+      count(*) AS cnt FROM allobs f JOIN r USING (series) WHERE aqi IS NOT NULL GROUP BY 1, 2),
+g AS (SELECT series, lo, hi, CAST(b AS INTEGER) AS bin FROM r, range(40) t(b))
+SELECT g.series, g.bin, {S.r6('lo + g.bin * ((hi - lo) / 40)')} AS bin_lo, {S.r6('lo + (g.bin + 1) * ((hi - lo) / 40)')} AS bin_hi,
+       COALESCE(c.cnt, 0) AS count
+FROM g LEFT JOIN c ON c.series = g.series AND c.bin = g.bin""")
+def q_histogram_all(spark, sf):
+    return r6(ST.histogram(TB.all_hourly(spark, sf), "aqi", 40))

@@ -162,3 +162,15 @@ def test_auto_strategy_switches_on_series_size(spark, monkeypatch):
     assert plan.strategy == "halo"
     out = WN.add_engineered_features(df)
     assert col(out, "aqi_lag_24h")[24] == 0.0 and out.count() == 40
+
+
+def test_gap_free_series_horizon_counts(spark):
+    """All events as one hourly series: 720 hours, no gaps; exact-horizon survivors 696/672/648."""
+    import os
+    from hourcast.sources import testbind as TB
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        return
+    feats = WN.add_engineered_features(TB.all_hourly(spark, sf))
+    assert feats.count() == 720 and feats.filter("is_gap = 1").count() == 0
+    assert [WN.build_training_frame(feats, h).count() for h in (24, 48, 72)] == [696, 672, 648]

@@ -1354,3 +1354,13 @@ SELECT g.series, g.bin, {S.r6('lo + g.bin * ((hi - lo) / 40)')} AS bin_lo, {S.r6
 FROM g LEFT JOIN c ON c.series = g.series AND c.bin = g.bin""")
 def q_histogram_all(spark, sf):
     return r6(ST.histogram(TB.all_hourly(spark, sf), "aqi", 40))
+
+
+@query("landed_history_scan", f"""
+WITH {S.OBS}
+SELECT series, timestamp, {', '.join(S.r6(c) + ' AS ' + c for c in ['pm25', 'pm10', 'co', 'no2', 'so2', 'o3'])}
+FROM obs WHERE timestamp >= TIMESTAMP '2024-01-05 00:00:00' AND timestamp < TIMESTAMP '2024-01-12 00:00:00'""")
+def q_landed_history_scan(spark, sf):
+    path = _os.path.join(SJ.run_dir(spark, "landed-air"), "landing")
+    P.land_payloads(TB.obs_hourly(spark, sf), P.AIR_FIELDS, path)
+    return r6(P.read_landed(spark, path, P.AIR_FIELDS, "2024-01-05", "2024-01-11"))

@@ -62,3 +62,24 @@ def build_payloads(hourly: DataFrame, fields, series=SERIES, ts=TS) -> DataFrame
 
     hourly_obj = F.struct(field("time"), *[field(src) for src, _ in fields])
     return per_day.select(F.to_json(F.struct(F.col(series).alias(SERIES), hourly_obj.alias("hourly"))).alias("payload"))
+
+
+LANDING_PARTITION = "day"
+
+
+def land_payloads(hourly: DataFrame, fields, path: str, series=SERIES, ts=TS) -> None:
+    """Write one JSON payload per (series, day) as JSON lines, partitioned by day
+    (the layout an hourly/daily fetcher lands)."""
+    payloads = build_payloads(hourly, fields, series, ts)
+    with_day = payloads.withColumn(LANDING_PARTITION, F.get_json_object("payload", "$.hourly.time[0]").substr(1, 10))
+    with_day.write.mode("append").partitionBy(LANDING_PARTITION).json(path)
+
+
+def read_landed(spark, path: str, fields, start: str, end: str) -> DataFrame:
+    """Date-ranged historical scan: only the day partitions in [start, end] are
+    listed and read (partition pruning), then payloads are parsed to rows."""
+    schema = T.StructType([T.StructField("payload", T.StringType()),
+                           T.StructField(LANDING_PARTITION, T.StringType())])
+    raw = spark.read.schema(schema).json(path)
+    raw = raw.filter((F.col(LANDING_PARTITION) >= F.lit(start)) & (F.col(LANDING_PARTITION) <= F.lit(end)))
+    return parse_payload(raw, fields)

@@ -141,7 +141,8 @@ class PositionalPlan:
                 # the positions step reads its input twice (bucket counts and ranked
                 # rows); a reliable checkpoint in the shared checkpoint folder computes
                 # an expensive upstream once and cuts its lineage
-                df = df.checkpoint(eager=True)
+                from hourcast.session import reliable_checkpoint
+                df = reliable_checkpoint(df)
             staged = positions(df, self.keys, ts, bucket_seconds)
             self.df = with_halo(staged, lookback, lookahead, chunk_rows)
             self.window = Window.partitionBy(*self.keys, CHUNK).orderBy(RN)

@@ -1175,7 +1175,8 @@ _BACKFILL_COLS = None
 
 @query("backfill_upsert", ORACLES["shifted_backfill"])
 def q_backfill_upsert(spark, sf):
-    data = _backfilled(spark, sf).checkpoint(eager=True)
+    from hourcast.session import reliable_checkpoint
+    data = reliable_checkpoint(_backfilled(spark, sf))
     path = SJ.run_dir(spark, "backfill-table")
     _append_new(spark, data, path, drop=())
     # second delivery of the same history: nothing new is stored

@@ -57,3 +57,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), "hourcast", name)
+
+
+def reliable_checkpoint(df):
+    """``df.checkpoint(eager=True)`` into the session's shared checkpoint folder
+    (made sure to be configured first)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -269,3 +269,42 @@ def confidence_columns(horizon_col: str = "horizon") -> dict:
         label = F.when(h == hh, F.lit(lab)) if label is None else label.when(h == hh, F.lit(lab))
         pct = F.when(h == hh, F.lit(p)) if pct is None else pct.when(h == hh, F.lit(p))
     return {"confidence": label, "confidence_pct": pct}
+
+
+PERMUTATION_BUCKET_ROWS = 100_000  # rows per permutation bucket
+
+
+def permute_column(df: DataFrame, column: str, seed: int = 42) -> DataFrame:
+    """Random permutation of one column without a global sort: rows are spread
+    over hash buckets sized ~``PERMUTATION_BUCKET_ROWS``; inside each bucket the
+    rows are paired by two independent random orders (a bijection per bucket)."""
+    n = df.count()
+    buckets = max(1, -(-n // PERMUTATION_BUCKET_ROWS))
+    b = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(buckets))
+    # materialised so both sides see the same bucket of every row
+    staged = _materialise(df.withColumn("_pb", b))
+    w1 = Window.partitionBy("_pb").orderBy(F.rand(seed), F.monotonically_increasing_id())
+    w2 = Window.partitionBy("_pb").orderBy(F.rand(seed + 1), F.monotonically_increasing_id())
+    rows = staged.drop(column).withColumn("_pr", F.row_number().over(w1))
+    vals = staged.select("_pb", F.col(column).alias("_pv")).withColumn("_pr", F.row_number().over(w2))
+    out = rows.join(vals, ["_pb", "_pr"]).withColumnRenamed("_pv", column)
+    return out.drop("_pb", "_pr").select(*df.columns)
+
+
+def _materialise(df: DataFrame) -> DataFrame:
+    from hourcast.session import reliable_checkpoint
+    return reliable_checkpoint(df)
+
+
+def permutation_importance(model, df: DataFrame, features, label: str, seed: int = 42) -> DataFrame:
+    """Increase of RMSE when each feature is permuted (model-agnostic)."""
+    spark = df.sparkSession
+    base = _materialise(df.select(*features, label))
+
+    def rmse(frame: DataFrame) -> float:
+        p = predict(model, frame, features)
+        return float(p.agg(F.sqrt(F.avg((F.col(label) - F.col("prediction")) ** 2))).first()[0])
+
+    ref = rmse(base)
+    rows = [(c, rmse(permute_column(base, c, seed + i)) - ref) for i, c in enumerate(features)]
+    return spark.createDataFrame(rows, "feature string, importance double")

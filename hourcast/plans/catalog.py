@@ -1365,3 +1365,13 @@ def q_landed_history_scan(spark, sf):
     path = _os.path.join(SJ.run_dir(spark, "landed-air"), "landing")
     P.land_payloads(TB.obs_hourly(spark, sf), P.AIR_FIELDS, path)
     return r6(P.read_landed(spark, path, P.AIR_FIELDS, "2024-01-05", "2024-01-11"))
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
+    tf = WN.build_training_frame(_features(spark, sf), 24).dropna(subset=feats)
+    if tf.isEmpty():
+        return spark.createDataFrame([], "feature string, importance double")
+    model = ML.fit_ridge(tf, feats, "aqi_next_24h")
+    return r6(ML.permutation_importance(model, tf, feats, "aqi_next_24h"))

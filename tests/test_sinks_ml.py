@@ -139,3 +139,27 @@ def test_carry_forward_fallback(spark):
     got = {r.series: (r.timestamp, r.aqi) for r in carry_forward(hist, ser, "2024-01-02 10:45:00").collect()}
     assert got["a"][1] == 7.0 and got["b"][1] is None
     assert str(got["a"][0]) == "2024-01-02 10:00:00" == str(got["b"][0])
+
+
+def test_permutation_is_a_bijection_and_importance_ranks(spark, monkeypatch):
+    import numpy as np
+    monkeypatch.setattr(ML, "PERMUTATION_BUCKET_ROWS", 50)
+    rng = np.random.default_rng(4)
+    rows = [(float(a), float(b), float(5 * a + 0.1 * b)) for a, b in zip(rng.normal(0, 1, 400), rng.normal(0, 1, 400))]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    perm = ML.permute_column(df, "a", seed=3)
+    assert sorted(r.a for r in perm.collect()) == sorted(r.a for r in df.collect())
+    assert perm.count() == 400
+    model = ML.fit_ridge(df, ["a", "b"], "y", alpha=0.0)
+    imp = {r.feature: r.importance for r in ML.permutation_importance(model, df, ["a", "b"], "y").collect()}
+    assert imp["a"] > 10 * imp["b"] > 0
+
+
+def test_normalised_importances(spark):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    rows = [(float(a), float(b), float(3 * a)) for a, b in zip(rng.normal(0, 1, 200), rng.normal(0, 1, 200))]
+    df = spark.createDataFrame(rows, "a double, b double, y double")
+    model = ML.fit_forest(df, ["a", "b"], "y", trees=5)
+    w = ML.normalised_importances(model, ["a", "b"])
+    assert abs(sum(w) - 1.0) < 1e-9 and w[0] > w[1]

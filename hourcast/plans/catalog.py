@@ -793,7 +793,7 @@ p AS (SELECT *, sd * pow(CAST(n AS DOUBLE), -0.2) AS h FROM p0),
 p2 AS (SELECT *, lo - 3.0 * h AS g0, (hi - lo + 2 * 3.0 * h) / 199 AS gs FROM p),
 s AS (SELECT p2.series, CAST(t.gi AS INTEGER) AS gi, sum(exp(-0.5 * ((g0 + t.gi * gs - f.aqi) / h) * ((g0 + t.gi * gs - f.aqi) / h))) AS s
       FROM feat f JOIN p2 USING (series), range(200) t(gi) WHERE f.aqi IS NOT NULL GROUP BY 1, 2)
-SELECT s.series, s.gi, {S.r6('g0 + gi * gs')} AS x, {S.r6(f's / (n * h * {2 * 3.141592653589793 ** 1}))') if False else S.r6('s / (n * h * sqrt(2 * pi()))')} AS density
+SELECT s.series, s.gi, {S.r6('g0 + gi * gs')} AS x, {S.r6('s / (n * h * sqrt(2 * pi()))')} AS density
 FROM s JOIN p2 USING (series)""")
 def q_kde(spark, sf):
     return r6(ST.kde(_features(spark, sf), "aqi"))

@@ -174,3 +174,36 @@ def test_gap_free_series_horizon_counts(spark):
     feats = WN.add_engineered_features(TB.all_hourly(spark, sf))
     assert feats.count() == 720 and feats.filter("is_gap = 1").count() == 0
     assert [WN.build_training_frame(feats, h).count() for h in (24, 48, 72)] == [696, 672, 648]
+
+
+def _gappy(spark, seed, n=200):
+    import random
+    rnd = random.Random(seed)
+    t, rows = 0, []
+    for _ in range(n):
+        t += rnd.choice([1, 1, 1, 2, 5])
+        rows.append(("s", hours(t), rnd.uniform(0, 300)))
+    return series_frame(spark, rows), rows
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_exact_horizon_subset_of_time_equijoin(spark, seed):
+    """Every kept target row has a row exactly h hours later whose aqi is the target."""
+    df, rows = _gappy(spark, seed)
+    by_time = {ts: v for _, ts, v in rows}
+    from datetime import timedelta
+    for h in (24, 48):
+        tf = WN.build_training_frame(df, h).collect()
+        assert len(tf) > 0
+        for r in tf:
+            assert by_time[r.timestamp + timedelta(hours=h)] == r[f"aqi_next_{h}h"]
+
+
+def test_future_change_does_not_touch_past_features(spark):
+    df, rows = _gappy(spark, 3)
+    cut = rows[120][1]
+    changed = series_frame(spark, [(s, t, v + 1000.0 if t > cut else v) for s, t, v in rows])
+    cols = ["timestamp", "aqi_lag_1h", "aqi_lag_24h", "rolling_mean_24h", "rolling_std_6h", "hours_since_prev"]
+    a = WN.add_engineered_features(df).filter(F.col("timestamp") <= F.lit(cut)).select(*cols)
+    b = WN.add_engineered_features(changed).filter(F.col("timestamp") <= F.lit(cut)).select(*cols)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))

@@ -181,7 +181,7 @@ def _gappy(spark, seed, n=200):
     rnd = random.Random(seed)
     t, rows = 0, []
     for _ in range(n):
-        t += rnd.choice([1, 1, 1, 2, 5])
+        t += rnd.choice([1] * 40 + [2, 5])
         rows.append(("s", hours(t), rnd.uniform(0, 300)))
     return series_frame(spark, rows), rows
 

@@ -86,6 +86,16 @@ def order_statistics(df: DataFrame, keys, value: str, qs) -> DataFrame:
         big = hit.filter((F.col("_bmin") < F.col("_bmax")) & (F.col("_c") > SMALL))
         if big.isEmpty():
             break
+        if level == MAX_PASSES - 1:
+            # no level budget left: rank the rows of the still-open cells directly
+            # (exact; only reached for pathological value clusterings)
+            open_cells = big.select(*keys, "_p2", "_cum").distinct()
+            rest = r.join(open_cells, [*keys, "_p2"])
+            rest = rest.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_p2").orderBy("_v")) - 1
+                                   + F.col("_cum"))
+            done.append(big.join(rest.select(*keys, "_p2", "_r", "_v"), [*keys, "_p2"])
+                        .filter(F.col("k") == F.col("_r")).select(*keys, "qi", "_frac", "j", "k", F.col("_v").alias("v")))
+            break
         tgt = big.select(*keys, "qi", "_frac", "j", "k", F.col("_p2").alias("_path")).checkpoint(eager=True)
         cells = big.select(*keys, F.col("_p2").alias("_path"), F.col("_bmin").alias("_lo"),
                            F.col("_bmax").alias("_hi"), F.col("_cum").alias("_below")).distinct().checkpoint(eager=True)

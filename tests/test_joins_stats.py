@@ -93,3 +93,16 @@ def test_qq_fit_with_heavy_duplicate(spark, monkeypatch):
     assert r.n == n
     assert r.slope == pytest.approx(slope, rel=1e-7) and r.intercept == pytest.approx(intercept, rel=1e-7)
     assert r.r == pytest.approx(np.corrcoef(osm, srt)[0, 1], rel=1e-7)
+
+
+def test_exact_quantiles_when_level_budget_runs_out(spark, monkeypatch):
+    """Clustered values that need many levels: with a budget of one level the
+    open cells are ranked directly and the result stays exact."""
+    import hourcast.operators.quantiles as Q
+    monkeypatch.setattr(Q, "SMALL", 20)
+    monkeypatch.setattr(Q, "NB", 4)
+    monkeypatch.setattr(Q, "MAX_PASSES", 1)
+    xs = np.concatenate([np.linspace(0, 1e-6, 300), [1e6]])
+    df = spark.createDataFrame([("g", float(x)) for x in xs], "g string, v double")
+    r = Q.quantiles_wide(df, ["g"], "v", [0.3, 0.5], ["a", "b"]).first()
+    assert [r.a, r.b] == pytest.approx(list(np.quantile(xs, [0.3, 0.5])), rel=1e-12)

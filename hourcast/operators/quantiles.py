@@ -42,11 +42,11 @@ def order_statistics(df: DataFrame, keys, value: str, qs) -> DataFrame:
     per cell). Each level histograms the rows of still-ambiguous cells into
     ``NB`` buckets (partial aggregate), the tiny histogram resolves every target
     to one bucket, and only buckets holding an unresolved target stay active."""
-    from hourcast.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)  # levels are cut with checkpoint()
+    from hourcast.session import reliable_checkpoint
     keys = list(keys)
     vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    targets = _targets(df, keys, value, qs)
+    # a few rows per group, read by every later step: computed once
+    targets = reliable_checkpoint(_targets(df, keys, value, qs))
     # groups of at most ``SMALL`` rows: rank them directly (bounded window) and
     # join the targets on (group, rank)
     small_t = targets.filter(F.col("_n") <= SMALL)

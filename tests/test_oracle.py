@@ -13,7 +13,8 @@ SF = "/root/testdata/sf0.01"
 FAST = ["aqi_continuous", "aqi_rounded", "aqi_category", "engineered_features", "engineered_features_halo",
         "forecast_windows", "target_24h", "json_arrays_to_rows", "current_or_last", "carry_forward", "dedupe",
         "by_hour", "global_stats", "bands", "corr_matrix", "histogram", "qq_fit", "metrics", "local_proxy",
-        "split_80_20_halo", "sequences"]
+        "split_80_20_halo", "sequences", "target_all_24h", "lineitem_describe", "landed_history_scan",
+        "forecast_cards"]
 NAMES = sorted(E.oracle_sql()) if os.environ.get("HOURCAST_FULL_ORACLE") else FAST
 
 

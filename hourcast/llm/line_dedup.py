@@ -4,8 +4,8 @@ position.
 
 Only hashes, ids and positions of the lines long enough to count are shuffled
 for the decision; the texts move once, to meet their own dropped positions.
-A frequent line is counted with partial aggregation, and the join of lines with
-frequent hashes is an inner join that adaptive execution can split.
+A frequent line is counted with partial aggregation, and meets its decision
+under ``SALTS`` keys in a join that adaptive execution can split further.
 
 Defined results: a null or empty text is one empty line.  Rows with a null
 ``doc_id`` are returned unchanged and count for no line.  Rows that share a
@@ -22,6 +22,7 @@ from .common import SPACES, ascii_lower
 
 MIN_CHARS = 40
 MIN_DOCS = 5
+SALTS = 16
 
 
 def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_chars: int = MIN_CHARS,
@@ -41,7 +42,10 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min
     held = line.groupBy("_h", "_g", "_d").agg(F.lit(1).alias("_one"))
     often = held.groupBy("_h", "_g").agg(F.count("*").alias("_n"), F.max("_d").alias("_keep"))
     often = often.filter(F.col("_n") >= min_docs).drop("_n")
-    drop = line.join(often, ["_h", "_g"]).filter(F.col("_d") != F.col("_keep"))
+    # A frequent line's rows are salted by document over several keys.
+    often = often.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    line = line.withColumn("_s", F.pmod("_r", F.lit(SALTS)).cast("int"))
+    drop = line.join(often, ["_h", "_g", "_s"]).filter(F.col("_d") != F.col("_keep"))
     drop = drop.groupBy("_d", "_r").agg(F.collect_set("_p").alias("_drop"))
     n = len(docs.columns)
     src = docs.toDF(*[f"c{i}" for i in range(n)])

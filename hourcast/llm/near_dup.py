@@ -13,7 +13,7 @@
    is still compared: small buckets by a join (a bounded number of pairs for
    each row), large ones in square blocks of bounded size, where pairs are
    pruned, verified and contracted inside the task, and only links that join
-   components leave it.  So no candidate pair goes untested, and no bucket
+   components leave it.  So no candidate pair goes untested, and no large bucket
    is expanded into all its pairs of rows.
 5. Components by alternating stars over the links; the label is the smallest id.
 
@@ -49,6 +49,7 @@ MISS = 1e-6
 SMALL_BUCKET = 16
 BLOCK_DOCS = 1024
 BLOCK_SHINGLES = 1 << 20
+BROADCAST_IDS = 1 << 20
 
 _A, _B = seeded(HASHES, 21), seeded(HASHES, 22)
 
@@ -141,9 +142,8 @@ def survivors(a: np.ndarray, b: np.ndarray, percent: int) -> np.ndarray:
     return live
 
 
-def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that are linked: sequential pruning on signatures, then
-    the exact test on full sets."""
+def unpruned(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that sequential comparison of their signatures leaves."""
     left = reps.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("sig").alias("sig_a"))
     right = reps.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("sig").alias("sig_b"))
 
@@ -154,12 +154,12 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent:
             a, b = (np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint8).reshape(-1, HASHES) for n in ("sig_a", "sig_b"))
             yield batch.select(["a", "b"]).take(pa.array(survivors(a, b, percent)))
 
-    near = pairs.join(left, "a").join(right, "b").filter(
-        f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select("a", "b", "sig_a", "sig_b")
-    near = materialise(near.mapInArrow(prune, "a long, b long"), "near-survivors")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = materialise(sets_of(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), k), "near-sets")
+    near = pairs.join(left, "a").join(right, "b").filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
+    return near.select("a", "b", "sig_a", "sig_b").mapInArrow(prune, "a long, b long")
 
+
+def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the similarity."""
     def exact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -169,7 +169,7 @@ def verify(pairs: DataFrame, reps: DataFrame, docs: DataFrame, k: int, percent:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    full = near.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
+    full = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
     full = full.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
     return full.select("a", "b", "set_a", "set_b").mapInArrow(exact, "a long, b long")
 
@@ -283,28 +283,31 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     buckets = members.groupBy("bucket").agg(F.count("*").alias("cnt"), F.min("rep").alias("pivot"), F.sum("n").alias("weight"))
     members = members.join(buckets.filter("cnt > 1"), "bucket")
     members = materialise(members.select("band", "bucket", "rep", "n", "cnt", "pivot", "weight"), "near-members")
-    star = verify(members.filter("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct(),
-                  reps, src, k, percent)
-    links = materialise(star, "near-links")
+    pivots = members.filter("rep != pivot").select(F.col("pivot").alias("a"), F.col("rep").alias("b")).distinct()
+    few = members.filter((F.col("cnt") > 2) & (F.col("cnt") <= SMALL_BUCKET)).filter("rep != pivot")
+    inner = few.select("bucket", F.col("rep").alias("a")).join(few.select("bucket", F.col("rep").alias("b")), "bucket")
+    stars = materialise(unpruned(pivots, reps, percent), "near-stars")
+    inner = materialise(unpruned(inner.filter("a < b").select("a", "b").distinct(), reps, percent), "near-pairs")
+    many = members.filter(F.col("cnt") > SMALL_BUCKET)
+    ids = stars.union(inner).select(F.explode(F.array("a", "b")).alias("doc_id")).union(many.select("rep")).distinct()
+    ids = materialise(ids, "near-ids")
+    # Few enough ids go to the texts; more than that, and each text moves once to its id.
+    ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+    sets = materialise(sets_of(src.join(ids, "doc_id", "left_semi"), k), "near-sets")
+    links = materialise(linked(stars, sets, percent), "near-links")
     roots = components(links)
 
-    def with_comp(df: DataFrame) -> DataFrame:
-        r = roots.select(F.col("node").alias("rep"), "root")
-        return df.join(r, "rep", "left").withColumn("comp", F.coalesce("root", "rep")).drop("root")
-
-    open_members = with_comp(members.filter("cnt > 2"))
-    mixed = open_members.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
-    rest = materialise(open_members.join(mixed.select("bucket"), "bucket"), "near-open")
-    few = rest.filter(F.col("cnt") <= SMALL_BUCKET).filter("rep != pivot")
-    one = few.select("bucket", F.col("rep").alias("a"), F.col("comp").alias("ca"))
-    two = few.select("bucket", F.col("rep").alias("b"), F.col("comp").alias("cb"))
-    pairs = one.join(two, "bucket").filter("a < b and ca != cb").select("a", "b").distinct()
-    links = links.union(materialise(verify(pairs, reps, src, k, percent), "near-links"))
-    many = rest.filter(F.col("cnt") > SMALL_BUCKET)
-    sets = materialise(sets_of(src.join(many.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
-                               .dropDuplicates(["doc_id"]), k), "near-sets")
+    def with_comp(df: DataFrame, node: str = "rep", comp: str = "comp") -> DataFrame:
+        r = roots.select(F.col("node").alias(node), "root")
+        return df.join(r, node, "left").withColumn(comp, F.coalesce("root", node)).drop("root")
+
+    pairs = with_comp(with_comp(inner, "a", "ca"), "b", "cb").filter("ca != cb").select("a", "b")
+    links = links.union(materialise(linked(pairs, sets, percent), "near-links"))
+    roots = components(links)
+    many = with_comp(many)
+    mixed = many.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
     nb = F.greatest(F.ceil(F.col("cnt") / BLOCK_DOCS), F.ceil(F.col("weight") / BLOCK_SHINGLES))
-    many = many.withColumn("nb", nb).join(reps.select("rep", "sig", "bands"), "rep")
+    many = many.join(mixed.select("bucket"), "bucket").withColumn("nb", nb).join(reps.select("rep", "sig", "bands"), "rep")
     many = many.join(sets.select(F.col("doc_id").alias("rep"), "set"), "rep")
     links = links.union(materialise(block_links(many, percent), "near-links"))
     roots = components(links)

@@ -33,8 +33,8 @@ from .common import materialise
 
 SEQUENCE = 2048
 GROUP_PIECES = 8192
-NODES = 20000
-CACHE_WORDS = 600_000
+NODES = 4000
+CACHE_WORDS = 1_500_000
 TOKENIZER = "word_bpe_49k.json"
 
 # Words of these characters alone are split here; others go to the tokenizer whole.

@@ -112,3 +112,28 @@ def shingles(h: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.
         sizes[i] = len(s)
         out.append(s)
     return (np.concatenate(out) if out else np.zeros(0, np.uint64)), sizes
+
+
+def words_and_prefixes(texts: list[bytes], separator: np.ndarray, fold: np.ndarray,
+                       prefixes: tuple[int, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, owning text) of every word and of the beginnings of the words
+    longer than them, of as many bytes as ``prefixes`` lists."""
+    raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    sep = separator[raw]
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    ends_of = np.cumsum(lengths + 1)
+    sep[ends_of - 1] = True
+    edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
+    if not sep[0]:
+        edge = np.concatenate(([0], edge))
+    start, end = edge[0::2], edge[1::2]
+    power, inverse = _power(len(raw) + 1)
+    total = np.zeros(len(raw) + 1, np.uint64)
+    np.cumsum(_BYTE[fold[raw]] * power[:len(raw)], out=total[1:])
+    owner = np.searchsorted(ends_of, start, "right")
+    out, owners = [mix((total[end] - total[start]) * inverse[start])], [owner]
+    for k in prefixes:
+        at = np.flatnonzero(end - start > k)
+        out.append(mix((total[start[at] + k] - total[start[at]]) * inverse[start[at]] + _LANE[k]))
+        owners.append(owner[at])
+    return np.concatenate(out), np.concatenate(owners)

@@ -5,10 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, near_dup, packing, quality
+from . import html_extract, langid, line_dedup, mixing, near_dup, packing, quality, topk, toxicity, warc
 from .common import table
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url", "html")
+    records = pages.select(F.col("page_id").alias("record_id"), "url", F.encode("html", "UTF-8").alias("payload"))
+    back = warc.parsed(warc.read_archive(spark, warc.write_archive(records)))
+    return back.withColumnRenamed("record_id", "page_id")
+
+
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = html_extract.extract(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+    return out.withColumn("n_chars", F.char_length("text").cast("long"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    held_out = F.coalesce(toxicity.fold_of(F.col("doc_id")) == 2, F.lit(False))
+    model = langid.train(docs.filter(~held_out))
+    return langid.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
     return mixing.mix(docs)[0].select("doc_id", "size", "source_size", "target", "taken")
@@ -30,15 +49,31 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.pmod("id", F.lit(100)) == 0)
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents", "doc_id", "text"), table(spark, sf_dir, "labels", "doc_id", "toxic")
+    scored = toxicity.score(docs, toxicity.learn(docs, labels))
+    held_out = F.coalesce(toxicity.fold_of(F.col("doc_id")) == 2, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_language_id": op3_language_id,
     "op4_mixing": op4_mixing,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_quality_rules": op6_quality_rules,
     "op7_line_dedup": op7_line_dedup,
+    "op8_exact_top_k": op8_exact_top_k,
+    "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
@@ -80,7 +115,18 @@ SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_
 FROM j GROUP BY doc_id
 """
 
+_OP8 = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, x.vec_id, list_sum(list_transform(list_zip(q.e, x.e), lambda t: t[1] * t[2]))::BIGINT AS score
+      FROM v q, v x WHERE q.vec_id % 100 = 0 AND x.vec_id <> q.vec_id)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 10
+"""
+
 ORACLES = {
     "op6_quality_rules": _OP6,
     "op7_line_dedup": _OP7,
+    "op8_exact_top_k": _OP8,
 }

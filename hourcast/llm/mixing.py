@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SPACES, materialise
+from .common import SPACE_CLASS, SPACES, WORD_CLASS, materialise
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -172,6 +172,6 @@ def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))
     d = d.withColumn("_cut", F.explode(copies))
     # The part up to the end of word ``_cut``; white space before and between its words is kept.
-    pattern = F.concat(F.lit(r"^(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){"), F.col("_cut").cast("string"), F.lit("}"))
-    part = F.when(F.col("_cut") == 0, col[text]).otherwise(F.regexp_extract(col[text], pattern, 0))
+    words = F.regexp_extract_all(col[text], F.lit(SPACE_CLASS + "*" + WORD_CLASS), F.lit(0))
+    part = F.when(F.col("_cut") == 0, col[text]).otherwise(F.array_join(F.slice(words, F.lit(1), F.col("_cut")), ""))
     return d.select(*[(part if n == text else col[n]).alias(n) for n in docs.columns])

@@ -31,7 +31,9 @@ MAX_UNLABELLED = 9000
 BUCKETS = 1 << 22
 PREFIXES = (4, 5, 6)
 MIN_TOXIC_DOCS = 4
-MIN_RATIO = 3.0
+MIN_PURITY = 0.6
+RATE = 1.0
+BIAS_RANGE = 2.0
 STEPS = 400
 SEED = 31
 
@@ -75,8 +77,8 @@ class Model:
 
 def fit_pu(toxic: list, unlabelled: list, prior: float, steps: int = STEPS, seed: int = SEED) -> Model:
     """A linear model of least non-negative PU risk on the features that are found in at
-    least ``MIN_TOXIC_DOCS`` toxic texts and ``MIN_RATIO`` times as often as in
-    unlabelled ones."""
+    least ``MIN_TOXIC_DOCS`` toxic texts, and in unlabelled ones no oftener than if
+    ``MIN_PURITY`` of the texts with it were toxic."""
     def distinct(texts):
         pairs = [np.unique((first + owner) * np.int64(BUCKETS) + b) for first, b, owner in features(texts)]
         pairs = np.concatenate(pairs) if pairs else np.zeros(0, np.int64)
@@ -93,7 +95,7 @@ def fit_pu(toxic: list, unlabelled: list, prior: float, steps: int = STEPS, seed
     at = np.minimum(np.searchsorted(ku, keys), max(len(ku) - 1, 0))
     seen = np.where(ku[at] == keys, cu[at], 0) if len(ku) else np.zeros(len(keys))
     ratio = (cp / len(toxic)) / ((seen + 0.5) / len(unlabelled))
-    keys = keys[(cp >= min(MIN_TOXIC_DOCS, len(toxic))) & (ratio >= min(MIN_RATIO, 0.5 / prior))]
+    keys = keys[(cp >= min(MIN_TOXIC_DOCS, len(toxic))) & (ratio >= MIN_PURITY / prior)]
     if not len(keys):
         return none
 
@@ -115,19 +117,19 @@ def fit_pu(toxic: list, unlabelled: list, prior: float, steps: int = STEPS, seed
 
     sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
     w, c = np.zeros(len(keys) + 1), bias
-    m1, m2 = np.zeros(len(w)), np.zeros(len(w))
-    for t in range(1, steps + 1):
+    speed = np.zeros(len(w))
+    for _ in range(steps):
         gp, gu = margin(xp, w[:-1], c), margin(xu, w[:-1], c)
         sp, su = sigmoid(gp), sigmoid(gu)
         slope_p, slope_u = np.append(*back(xp, prior * sp * (1 - sp) / len(sp))), np.append(*back(xu, su * (1 - su) / len(su)))
         negative = su.mean() - prior * sp.mean()
         # The loss of toxic text falls by slope_p; the bracket grows by slope_u - slope_p.
         grad = slope_p - slope_u if negative < 0 else slope_u - 2 * slope_p
-        grad[:-1] += 1e-6 * w[:-1]
-        m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad**2
-        step = 0.1 * (m1 / (1 - 0.9**t)) / (np.sqrt(m2 / (1 - 0.99**t)) + 1e-8)
-        w -= step
+        # Plain steps: what many texts share learns faster than what few have.
+        speed = 0.9 * speed - RATE / prior * grad
+        w += speed
         w[:-1] = np.maximum(w[:-1], 0)  # a toxic word is never evidence against
+        w[-1] = np.clip(w[-1], -BIAS_RANGE, BIAS_RANGE)  # a few toxic words outweigh any bias
         c = bias + w[-1]
     keep = np.abs(w[:-1]) > 1e-3
     return Model(keys[keep], w[:-1][keep], float(c))

@@ -33,8 +33,10 @@ from .common import materialise
 
 SEQUENCE = 2048
 GROUP_PIECES = 8192
-NODES = 4000
-CACHE_WORDS = 1_500_000
+NODES_PER_BIN = 2
+STEPS = 25
+CACHE_WORDS = 600_000
+CACHE_PIECES = 300_000
 TOKENIZER = "word_bpe_49k.json"
 
 # Words of these characters alone are split here; others go to the tokenizer whole.
@@ -86,7 +88,7 @@ class WordTokenizer:
     def _learn(self, words: set[bytes]) -> None:
         if len(self.words) + len(words) > self.limit:
             self.words.clear()
-        if len(self.pieces) > self.limit:
+        if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
         split, odd = [], []
         for w in words:
@@ -212,7 +214,7 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int, most: int) ->
     def go(chosen: tuple[int, ...], left: int, at: int) -> None:
         nonlocal steps
         steps += 1
-        if len(out) >= most or steps > 50 * most:
+        if len(out) >= most or steps > STEPS * most:
             return
         k = min(at, bisect_right(sizes, left) - 1)
         if k < 0:
@@ -237,7 +239,7 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int, most: int) ->
     return sorted(set(out), key=lambda f: (-sum(f), len(f)))
 
 
-def complete_bins(sizes: list[int], limit: int = SEQUENCE, nodes: int = NODES) -> list[list[int]]:
+def complete_bins(sizes: list[int], limit: int = SEQUENCE, nodes_per_bin: int = NODES_PER_BIN) -> list[list[int]]:
     """Bins of at most ``limit``: best fit, improved by bin completion until the
     lower bound or the node budget is reached."""
     incumbent = best_fit(sizes, limit)
@@ -248,7 +250,7 @@ def complete_bins(sizes: list[int], limit: int = SEQUENCE, nodes: int = NODES) -
     for s in sizes:
         counts[s] = counts.get(s, 0) + 1
     kinds = sorted(counts)
-    waste = len(incumbent) * limit - sum(sizes)
+    nodes = nodes_per_bin * len(incumbent)
     best, spent = incumbent, 0
     bins: list[list[int]] = []
 
@@ -297,7 +299,8 @@ def complete_bins(sizes: list[int], limit: int = SEQUENCE, nodes: int = NODES) -
     return best
 
 
-def pack(parts: DataFrame, limit: int = SEQUENCE, group_pieces: int = GROUP_PIECES, nodes: int = NODES) -> DataFrame:
+def pack(parts: DataFrame, limit: int = SEQUENCE, group_pieces: int = GROUP_PIECES,
+         nodes_per_bin: int = NODES_PER_BIN) -> DataFrame:
     """``parts`` with ``sequence_id`` and ``offset``.
 
     Pieces are dealt by hash into groups of about ``group_pieces`` (the count
@@ -313,7 +316,7 @@ def pack(parts: DataFrame, limit: int = SEQUENCE, group_pieces: int = GROUP_PIEC
         sizes = group["length"].to_numpy()
         places: dict[int, list[tuple[int, int]]] = {}
         small = sizes[sizes < limit].tolist()
-        bins = complete_bins(small, limit, nodes) + [[limit]] * int((sizes >= limit).sum())
+        bins = complete_bins(small, limit, nodes_per_bin) + [[limit]] * int((sizes >= limit).sum())
         for b, members in enumerate(bins):
             at = 0
             for s in members:
@@ -330,7 +333,7 @@ def pack(parts: DataFrame, limit: int = SEQUENCE, group_pieces: int = GROUP_PIEC
         group["offset"] = [a for _, a in spots]
         return group
 
-    return dealt.groupBy("_g").applyInPandas(run, schema)
+    return dealt.repartition(groups, "_g").groupBy("_g").applyInPandas(run, schema)
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id",

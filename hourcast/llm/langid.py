@@ -73,7 +73,7 @@ class Batch:
 
     def __init__(self, texts: list[bytes]):
         sep = separators()
-        raw = np.frombuffer(b" " + b"\n".join(texts) + b"\n", np.uint8)
+        raw = np.frombuffer(b" " + b"\n".join(texts) + b"\n" * max(ORDERS), np.uint8)
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         of = 1 + np.concatenate(([0], np.cumsum(lengths + 1)))
         gap = sep[raw]

@@ -45,11 +45,15 @@ def _line(x: Column, lo: float, hi: float, ilo: int, ihi: int) -> Column:
     return F.lit((ihi - ilo) / (hi - lo)) * (x - F.lit(lo)) + F.lit(float(ilo))
 
 
+def _missing(x: Column) -> Column:
+    return x.isNull() | F.isnan(x.cast("double"))
+
+
 def pm25_to_aqi(pm25) -> Column:
-    """Continuous AQI (unrounded). NULL -> NULL; <0 -> 0; a value between two
+    """Continuous AQI (unrounded). NULL and NaN -> NULL; <0 -> 0; a value between two
     bands takes the next band's line; above the scale -> 501."""
     x = F.col(pm25) if isinstance(pm25, str) else pm25
-    expr = F.when(x.isNull(), F.lit(None).cast("double")).when(x < 0, F.lit(0.0))
+    expr = F.when(_missing(x), F.lit(None).cast("double")).when(x < 0, F.lit(0.0))
     for lo, hi, ilo, ihi in PM25_BANDS_CONTINUOUS:
         expr = expr.when(x <= hi, _line(x, lo, hi, ilo, ihi))
     return expr.otherwise(F.lit(PM25_ABOVE_SCALE))
@@ -59,7 +63,7 @@ def pm25_to_aqi_rounded(pm25) -> Column:
     """Rounded AQI (half-even to an integer, always DOUBLE). Only values inside a
     closed band get a line; everything else (negative, gaps, above) -> 500."""
     x = F.col(pm25) if isinstance(pm25, str) else pm25
-    expr = F.when(x.isNull(), F.lit(None).cast("double"))
+    expr = F.when(_missing(x), F.lit(None).cast("double"))
     for lo, hi, ilo, ihi in PM25_BANDS_ROUNDED:
         expr = expr.when((x >= lo) & (x <= hi), F.bround(_line(x, lo, hi, ilo, ihi), 0))
     return expr.otherwise(F.lit(PM25_OUT_OF_BAND))
@@ -101,7 +105,7 @@ def threshold_label(x, bounds, labels, descending: bool = False) -> Column:
 def register_sql_functions(spark) -> None:
     """Expose the AQI conversions to SQL as temporary SQL functions."""
     def case_sql(bands, rounded: bool) -> str:
-        parts = ["CASE WHEN x IS NULL THEN CAST(NULL AS DOUBLE)"]
+        parts = ["CASE WHEN x IS NULL OR isnan(x) THEN CAST(NULL AS DOUBLE)"]
         if not rounded:
             parts.append("WHEN x < 0 THEN 0.0D")
         for lo, hi, ilo, ihi in bands:

@@ -22,7 +22,7 @@ def join_on_time(left: DataFrame, right: DataFrame, how: str = "inner", series=S
 
 def anti_join_new(new: DataFrame, existing: DataFrame, keys=(SERIES, TS)) -> DataFrame:
     """Rows of ``new`` whose key is not stored yet (idempotent-append filter)."""
-    return new.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    return new.join(existing.select(*keys), list(keys), "left_anti")
 
 
 def semi_join(df: DataFrame, other: DataFrame, keys) -> DataFrame:

@@ -36,12 +36,25 @@ def prepare_for_store(df: DataFrame, drop=APPEND_DROP_COLUMNS, ts=TS) -> DataFra
     return out.withColumn(PARTITION_COLUMN, F.date_format(ts, "yyyy-MM"))
 
 
+def stored_between(stored: DataFrame, lo, hi) -> DataFrame:
+    """Stored rows with ``lo <= timestamp <= hi``: whole months are pruned by partition."""
+    month = F.col(PARTITION_COLUMN)
+    return stored.filter((month >= F.lit(f"{lo:%Y-%m}")) & (month <= F.lit(f"{hi:%Y-%m}"))
+                         & (F.col(TS) >= F.lit(lo)) & (F.col(TS) <= F.lit(hi)))
+
+
 def append_new(spark: SparkSession, rows: DataFrame, path: str, keys=(SERIES, TS), drop=APPEND_DROP_COLUMNS) -> int:
     """Append rows whose key is not stored yet; returns the number appended."""
     existing = read_table(spark, path)
     # one row per key inside the batch (deterministic pick), then drop stored keys
     rest = [c for c in rows.columns if c not in keys]
     once = pick_per_group(rows, list(keys), [F.col(c) for c in rest]) if rest else rows.distinct()
+    if existing is not None:
+        # Only the months and the stamps that the batch covers can hold its keys.
+        span = once.agg(F.min(TS).alias("lo"), F.max(TS).alias("hi")).first()
+        if span.lo is None:
+            return 0
+        existing = stored_between(existing, span.lo, span.hi)
     new = anti_join_new(once, existing, list(keys)) if existing is not None else once
     new = prepare_for_store(new, drop).cache()
     n = new.count()

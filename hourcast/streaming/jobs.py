@@ -1,28 +1,30 @@
 """Streaming versions of the hourly pipeline.
 
-* :func:`hourly_aggregate_stream` -- events -> (series, hour) measures with a
-  watermark; every micro-batch's updated groups are written to their own
-  ``batch=<id>`` folder (overwrite, so a replayed batch rewrites the same
-  folder) and :func:`read_hourly_aggregate` keeps the newest version per key.
-* :func:`feature_append_stream` -- landed hourly rows -> per micro-batch:
-  newest 50 stored rows of each touched series + new rows -> engineered
-  features -> anti-join on (series, timestamp) -> append. Replays and
-  duplicate rows never store a key twice.
+* :func:`hourly_aggregate_stream` -- events in any order -> mergeable partial
+  states of their hours, a folder per micro-batch; reading merges them.
+* :func:`distinct_event_stream` -- each event once, however late it is delivered
+  again.
+* :func:`feature_append_stream` -- landed hourly rows -> per micro-batch: keys not
+  stored yet, with the stored rows before them -> engineered features -> append.
+  Replays and duplicate rows never store a key twice.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hourcast.functions.aqi import pm25_to_aqi
-from hourcast.operators.sinks import append_new, read_table, stored_rows
+from hourcast.operators.joins import anti_join_new
+from hourcast.operators.ordering import pick_per_group
+from hourcast.operators.sinks import PARTITION_COLUMN, append_new, read_table, stored_between, stored_rows
 from hourcast.operators.windows import add_engineered_features
 from hourcast.schema import RAW_COLUMNS, SERIES, TS
-from hourcast.session import scratch_path
+from hourcast.session import reliable_checkpoint, scratch_path
 
 HISTORY_ROWS = 50
 
@@ -31,74 +33,125 @@ def run_dir(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def hourly_aggregate_stream(spark: SparkSession, source: str, schema, out: str, checkpoint: str,
-                            watermark: str = "2 hours", max_files: int = 1, name_glob: str | None = None,
-                            dedupe_key: str | None = None):
+def partial_hours(events: DataFrame) -> DataFrame:
+    """Mergeable state of each (series, hour) of some events."""
+    k = F.get_json_object("props", "$.k").try_cast("double")
+    hour = F.date_trunc("hour", F.col("ts").cast("timestamp_ntz"))
+    got = events.groupBy(F.col("event_type").alias(SERIES), hour.alias(TS)).agg(
+        F.count("*").alias("rows"), F.count("value").alias("n"), F.avg("value").alias("mean"),
+        F.var_pop("value").alias("_v"), F.min("value").alias("lo"), F.max("value").alias("hi"), F.sum("value").alias("total"),
+        F.count(k).alias("k_n"), F.sum(k).alias("k_total"), F.count("user_id").alias("u_n"),
+        F.sum("user_id").cast("double").alias("u_total"), F.max("user_id").cast("double").alias("u_hi"))
+    return got.withColumn("m2", F.col("_v") * F.col("n")).drop("_v")
+
+
+def merged_hours(partials: DataFrame) -> DataFrame:
+    """Hourly measures from partial states, whatever their order and number."""
+    part = F.struct("n", "mean", "m2")
+    got = partials.groupBy(SERIES, TS).agg(
+        F.sum("rows").alias("rows"), F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.sum("k_n").alias("k_n"), F.sum("k_total").alias("k_total"), F.sum("u_n").alias("u_n"), F.sum("u_total").alias("u_total"),
+        F.max("u_hi").alias("u_hi"), F.collect_list(part).alias("parts"))
+    got = got.withColumn("mean", F.col("total") / F.nullif("n", F.lit(0)))
+    m2 = F.aggregate("parts", F.lit(0.0), lambda acc, p: acc + F.when(
+        p["n"] > 0, p["m2"] + p["n"] * (p["mean"] - F.col("mean")) * (p["mean"] - F.col("mean"))).otherwise(0.0))
+    std = F.when(F.col("n") > 1, F.sqrt(m2 / (F.col("n") - 1)))
+    rest = [F.col("mean").alias("pm25"), F.col("hi").alias("pm10"), (F.col("k_total") / F.nullif("k_n", F.lit(0))).alias("o3"),
+            std.alias("no2"), F.col("total").alias("so2"), F.col("lo").alias("co"),
+            (F.col("u_total") / F.nullif("u_n", F.lit(0))).alias("temperature"), F.col("u_hi").alias("humidity"),
+            F.col("rows").cast("double").alias("wind_speed")]
+    got = got.select(SERIES, TS, *rest)
+    return got.select(SERIES, TS, pm25_to_aqi("pm25").alias("aqi"), *[c for c in got.columns if c not in (SERIES, TS)])
+
+
+def event_reader(spark: SparkSession, source: str, schema, max_files: int, name_glob: str | None):
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
-    if name_glob:
-        reader = reader.option("pathGlobFilter", name_glob)
-    ev = (reader.parquet(source)
-          .withColumn("_ts", F.col("ts").cast("timestamp"))
-          .withWatermark("_ts", watermark))
-    if dedupe_key:
-        # a re-delivered event (same key) inside the watermark delay is counted once
-        ev = ev.dropDuplicatesWithinWatermark([dedupe_key])
-    agg = ev.groupBy(F.col("event_type").alias(SERIES), F.window("_ts", "1 hour").alias("_w")).agg(
-        F.avg("value").alias("pm25"), F.max("value").alias("pm10"),
-        F.avg(F.get_json_object("props", "$.k").try_cast("double")).alias("o3"),
-        F.stddev_samp("value").alias("no2"), F.sum("value").alias("so2"), F.min("value").alias("co"),
-        F.avg("user_id").alias("temperature"), F.max("user_id").cast("double").alias("humidity"),
-        F.count(F.lit(1)).cast("double").alias("wind_speed"))
-    rows = agg.select(SERIES, F.col("_w.start").cast("timestamp_ntz").alias(TS), "pm25", "pm10", "o3", "no2", "so2",
-                      "co", "temperature", "humidity", "wind_speed")
+    return (reader.option("pathGlobFilter", name_glob) if name_glob else reader).parquet(source)
+
 
+def hourly_aggregate_stream(spark: SparkSession, source: str, schema, out: str, checkpoint: str,
+                            max_files: int = 64, name_glob: str | None = None):
+    """Events in any order: each micro-batch writes the partial states of its hours
+    to a folder of its own (a replay rewrites it); reading merges them.  No
+    watermark, so no event is ever late."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id).cast("long")) \
-            .write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
+        partial_hours(batch).write.mode("overwrite").parquet(os.path.join(out, f"batch={batch_id}"))
 
-    return (rows.writeStream.outputMode("update").foreachBatch(sink)
-            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    events = event_reader(spark, source, schema, max_files, name_glob)
+    return events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def read_hourly_aggregate(spark: SparkSession, out: str) -> DataFrame:
-    """Newest version of each (series, hour) group across micro-batches."""
-    df = spark.read.parquet(out).drop("batch")
-    rest = [c for c in df.columns if c not in (SERIES, TS, "_batch")]
-    got = df.groupBy(SERIES, TS).agg(F.max_by(F.struct(*rest), F.col("_batch")).alias("_r"))
-    got = got.select(SERIES, TS, *[F.col(f"_r.{c}").alias(c) for c in rest])
-    return got.select(SERIES, TS, pm25_to_aqi("pm25").alias("aqi"), *rest)
-
-
-HISTORY_LOOKBACK_DAYS = 62
+    """Hourly measures over all micro-batches."""
+    return merged_hours(spark.read.parquet(out))
 
 
-def features_for_batch(spark: SparkSession, batch: DataFrame, table: str,
-                       lookback_days: int = HISTORY_LOOKBACK_DAYS) -> DataFrame:
-    """Features of the new rows, computed with the newest stored history.
-
-    Stored history is read only from ``lookback_days`` before the batch's
-    earliest hour (a literal bound: month-partition pruning + Parquet row-group
-    skipping), so a micro-batch never scans the whole table."""
-    from hourcast.operators.sinks import PARTITION_COLUMN
+def distinct_event_stream(spark: SparkSession, source: str, schema, out: str, checkpoint: str, key: str = "event_id",
+                          max_files: int = 64):
+    """Each event once, however often and late it is delivered again: a micro-batch
+    stores the events whose key no other batch holds for the same day, so only
+    the days it touches are read."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        once = batch.withColumn("day", F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd"))
+        once = pick_per_group(once, [key, "day"], [F.col("ts")]).withColumn("batch", F.lit(batch_id)).persist()
+        try:
+            if batch_id:
+                days = [r.day for r in once.select("day").distinct().collect()]  # the days of one micro-batch
+                held = spark.read.schema(f"{key} {dict(batch.dtypes)[key]}, day string, batch long").parquet(out)
+                held = held.filter(F.col("day").isin(days) & (F.col("batch") != batch_id))
+                new = once.join(held.select(key, "day"), [key, "day"], "left_anti")
+            else:
+                new = once
+            new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(out)
+        finally:
+            once.unpersist()
+
+    events = event_reader(spark, source, schema, max_files, None)
+    return events.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+RECENT_DAYS = 62
+
+
+def history_before(stored: DataFrame, bounds: DataFrame, rows: int) -> DataFrame:
+    """The newest ``rows`` stored rows of each series before its first new row."""
+    w = Window.partitionBy(SERIES).orderBy(F.col(TS).desc())
+    before = stored.join(bounds, SERIES).filter(F.col(TS) < F.col("_lo"))
+    return before.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= rows).drop("_rk", "_lo", "_hi")
+
+
+def features_for_batch(spark: SparkSession, batch: DataFrame, table: str, recent_days: int = RECENT_DAYS) -> DataFrame:
+    """Features of the batch's new rows, one for each key that is not stored yet.
+
+    Each series gets the ``HISTORY_ROWS`` stored rows before its first new row and
+    the stored rows up to its last one, so late rows have their own past.  The
+    months of ``recent_days`` are read first; older ones only for series that
+    have too few rows in them, without any limit of age.  As in the batch job,
+    the rows are taken first and those without a target dropped after."""
     stored = read_table(spark, table)
     raw_cols = [c for c in RAW_COLUMNS if c in batch.columns]
-    new = batch.select(SERIES, *raw_cols)
+    new = pick_per_group(batch.select(SERIES, *raw_cols), [SERIES, TS], [F.col(c) for c in raw_cols if c != TS])
     if stored is None:
-        combined = new
-    else:
-        first = new.agg(F.min(TS).alias("t")).first().t
-        if first is None:
-            return new.limit(0)
-        import datetime as _dt
-        since = first - _dt.timedelta(days=lookback_days)
-        stored = stored.filter((F.col(PARTITION_COLUMN) >= F.lit(since.strftime("%Y-%m")))
-                               & (F.col(TS) >= F.lit(since)))
-        touched = new.select(SERIES).distinct()
-        hist = stored.join(touched, SERIES, "left_semi").filter(F.col("aqi").isNotNull())
-        w = Window.partitionBy(SERIES).orderBy(F.col(TS).desc())
-        hist = hist.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= HISTORY_ROWS)
-        combined = hist.select(SERIES, *raw_cols).unionByName(new)
-    feats = add_engineered_features(combined)
+        return add_engineered_features(new)
+    span = new.agg(F.min(TS).alias("lo"), F.max(TS).alias("hi")).first()
+    if span.lo is None:
+        return new.limit(0)
+    near = stored_between(stored, span.lo, span.hi)
+    new = reliable_checkpoint(anti_join_new(new, near, [SERIES, TS]))
+    bounds = new.groupBy(SERIES).agg(F.min(TS).alias("_lo"), F.max(TS).alias("_hi"))
+    since = span.lo - timedelta(days=recent_days)
+    kept = stored.select(SERIES, *raw_cols, PARTITION_COLUMN)
+    recent = reliable_checkpoint(history_before(stored_between(kept, since, span.hi), bounds, HISTORY_ROWS))
+    short = bounds.join(recent.groupBy(SERIES).count().filter(F.col("count") >= HISTORY_ROWS), SERIES, "left_anti")
+    past = recent
+    if not short.isEmpty():
+        older = kept.filter((F.col(PARTITION_COLUMN) <= F.lit(f"{since:%Y-%m}")) & (F.col(TS) < F.lit(since)))
+        past = history_before(older.join(short.select(SERIES), SERIES, "left_semi").unionByName(
+            recent.join(short.select(SERIES), SERIES, "left_semi")), bounds, HISTORY_ROWS).unionByName(
+            recent.join(short.select(SERIES), SERIES, "left_anti"))
+    within = near.select(SERIES, *raw_cols).join(bounds, SERIES).filter((F.col(TS) >= F.col("_lo")) & (F.col(TS) <= F.col("_hi")))
+    past = past.select(SERIES, *raw_cols).unionByName(within.select(SERIES, *raw_cols)).filter(F.col("aqi").isNotNull())
+    feats = add_engineered_features(past.unionByName(new))
     return feats.join(new.select(SERIES, TS), [SERIES, TS], "left_semi")
 
 
@@ -114,54 +167,45 @@ def feature_append_stream(spark: SparkSession, source: str, schema, table: str,
             .trigger(availableNow=True).start())
 
 
-def land_in_order(df: DataFrame, path: str, ts=TS, pieces: int = 6) -> None:
-    """Write ``df`` as ``pieces`` time-ordered files, one write per piece, so the
-    file source (which orders by modification time) replays time in order."""
-    bounds = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
-    lo, hi = bounds.lo, bounds.hi
-    step = (hi - lo) / pieces
-    for i in range(pieces):
-        a = lo + step * i
-        cond = (F.col(ts) >= F.lit(a)) & ((F.col(ts) < F.lit(lo + step * (i + 1))) if i < pieces - 1 else F.lit(True))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+def time_pieces(df: DataFrame, pieces: int, ts=TS) -> list[DataFrame]:
+    """``df`` cut into ``pieces`` time ranges of equal length."""
+    span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()
+    if span.lo is None:
+        return [df]
+    cuts = [span.lo + (span.hi - span.lo) * i / pieces for i in range(1, pieces)]
+    edges = [None, *cuts, None]
+    return [df.filter((F.lit(True) if lo is None else F.col(ts) >= F.lit(lo)) & (F.lit(True) if hi is None else F.col(ts) < F.lit(hi)))
+            for lo, hi in zip(edges[:-1], edges[1:])]
 
 
 def run_feature_append(spark: SparkSession, hourly: DataFrame, pieces: int = 6) -> DataFrame:
+    """The feature table after ``pieces`` deliveries of landed hours, one run of the
+    stream after each; a delivery has as many files as its tasks write."""
     base = run_dir(spark, "feature-append")
     landing, table, ckpt = (os.path.join(base, p) for p in ("landing", "table", "checkpoint"))
-    land_in_order(hourly, landing, pieces=pieces)
-    schema = spark.read.parquet(landing).schema
-    q = feature_append_stream(spark, landing, schema, table, ckpt)
-    q.awaitTermination()
+    for piece in time_pieces(hourly, pieces):
+        piece.write.mode("append").parquet(landing)
+        feature_append_stream(spark, landing, hourly.schema, table, ckpt, max_files=1000).awaitTermination()
     return stored_rows(spark, table)
 
 
-def run_hourly_aggregate(spark: SparkSession, events_path: str) -> DataFrame:
+def run_hourly_aggregate(spark: SparkSession, events_path: str, files: int = 8) -> DataFrame:
+    """Hourly measures of the events, landed as ``files`` files without any order."""
     base = run_dir(spark, "hourly-aggregate")
-    out, ckpt = os.path.join(base, "out"), os.path.join(base, "checkpoint")
-    schema = spark.read.parquet(events_path).schema
-    if os.path.isfile(events_path):
-        q = hourly_aggregate_stream(spark, os.path.dirname(events_path), schema, out, ckpt,
-                                    name_glob=os.path.basename(events_path))
-    else:
-        q = hourly_aggregate_stream(spark, events_path, schema, out, ckpt)
-    q.awaitTermination()
+    landing, out, ckpt = (os.path.join(base, p) for p in ("landing", "out", "checkpoint"))
+    events = spark.read.parquet(events_path)
+    events.repartition(files, "event_id").write.parquet(landing)
+    hourly_aggregate_stream(spark, landing, events.schema, out, ckpt, max_files=2).awaitTermination()
     return read_hourly_aggregate(spark, out)
 
 
-def run_hourly_aggregate_redelivered(spark: SparkSession, events_path: str, copies: int = 2) -> DataFrame:
-    """Events landed ``copies`` times (one file per delivery of each week, in
-    time order); the stream drops re-deliveries by ``event_id``."""
+def run_hourly_aggregate_redelivered(spark: SparkSession, events_path: str, copies: int = 2, files: int = 8) -> DataFrame:
+    """Every event landed ``copies`` times, in files without any order; the stream
+    keeps one of each ``event_id``."""
     base = run_dir(spark, "hourly-dedupe")
     landing, out, ckpt = (os.path.join(base, p) for p in ("landing", "out", "checkpoint"))
-    ev = spark.read.parquet(events_path)
-    week = F.floor(F.unix_seconds(F.col("ts").cast("timestamp")) / F.lit(7 * 86400))
-    weeks = [r.w for r in ev.select(week.alias("w")).distinct().orderBy("w").collect()]
-    for wk in weeks:
-        part = ev.filter(week == F.lit(wk))
-        for _ in range(copies):
-            part.coalesce(1).write.mode("append").parquet(landing)
-    q = hourly_aggregate_stream(spark, landing, ev.schema, out, ckpt, watermark="1 day", max_files=2,
-                                dedupe_key="event_id")
-    q.awaitTermination()
-    return read_hourly_aggregate(spark, out)
+    events = spark.read.parquet(events_path)
+    again = events.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    again.repartition(files, "event_id", "_copy").drop("_copy").write.parquet(landing)
+    distinct_event_stream(spark, landing, events.schema, out, ckpt, max_files=2).awaitTermination()
+    return merged_hours(partial_hours(spark.read.parquet(out)))

@@ -48,9 +48,10 @@ def daily_resample(df: DataFrame, value="aqi", series=SERIES, tz: str = LOCAL_TZ
 
 def arg_extremes(prof: DataFrame, key: str, series=SERIES) -> DataFrame:
     """Per series: key of the highest and lowest mean; lowest key wins ties."""
+    if prof.schema[key].dataType.typeName() == "string":
+        return arg_extremes_str(prof, key, series)
     return prof.groupBy(series).agg(
-        F.max_by(key, F.struct(F.col("mean"), -F.col(key) if prof.schema[key].dataType.typeName() != "string"
-                               else F.col(key))).alias("peak"),
+        F.max_by(key, F.struct(F.col("mean"), -F.col(key))).alias("peak"),
         F.min_by(key, F.struct(F.col("mean"), F.col(key))).alias("clean"),
     )
 

@@ -106,3 +106,9 @@ def test_exact_quantiles_when_level_budget_runs_out(spark, monkeypatch):
     df = spark.createDataFrame([("g", float(x)) for x in xs], "g string, v double")
     r = Q.quantiles_wide(df, ["g"], "v", [0.3, 0.5], ["a", "b"]).first()
     assert [r.a, r.b] == pytest.approx(list(np.quantile(xs, [0.3, 0.5])), rel=1e-12)
+
+
+def test_arg_extremes_of_string_keys_take_the_lowest_on_a_tie(spark):
+    from hourcast.operators.aggregates import arg_extremes
+    prof = spark.createDataFrame([("s", "2024-02", 5.0), ("s", "2024-01", 5.0), ("s", "2024-03", 5.0)], "series string, k string, mean double")
+    assert tuple(arg_extremes(prof, "k").first()) == ("s", "2024-01", "2024-01")

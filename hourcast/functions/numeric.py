@@ -17,14 +17,17 @@ def coerce_double(x) -> Column:
     return F.nanvl(v, F.lit(None).cast("double"))
 
 
-# relative nudge that absorbs summation-order noise (a few ulps) before rounding
+# relative nudge that absorbs summation-order noise (a few ulps) before rounding;
+# never more than a thousandth of the last place kept, so large values keep their digits
 STABLE_NUDGE = 1e-12
 
 
 def round_stable(x, scale: int) -> Column:
     """Half away from zero, stable under summation order: a mean that is a decimal
     tie up to float noise rounds the same way on every partitioning/engine."""
-    return F.round(_c(x) * F.lit(1.0 + STABLE_NUDGE), scale)
+    v = _c(x)
+    nudge = F.least(F.abs(v) * F.lit(STABLE_NUDGE), F.lit(10.0 ** -(scale + 3)))
+    return F.round(v + F.signum(v) * nudge, scale)
 
 
 def round4(x) -> Column:

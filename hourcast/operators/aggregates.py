@@ -118,7 +118,7 @@ def describe(df: DataFrame, columns) -> DataFrame:
         F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
     q = quantiles_wide(long, ["column"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
     out = base.join(q, "column", "left")
-    r3 = {c: round_stable(c, 3) for c in ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]}
+    r3 = {c: round_stable(c, 3) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]}
     return out.withColumns({"cv_pct": round_stable(round_stable(F.col("std") / F.col("mean") * 100.0, 1), 3), **r3})
 
 

@@ -21,6 +21,8 @@ A series that holds a third of all rows is therefore spread over
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,46 +35,35 @@ BUCKET = "_bucket"
 
 DEFAULT_BUCKET_SECONDS = 7 * 86400
 DEFAULT_CHUNK_ROWS = 4096
+
+
+@dataclass(frozen=True)
+class Halo:
+    """Chunk-with-halo execution: tasks of bounded size whatever the series sizes."""
+
+    chunk_rows: int | None = None
+    bucket_seconds: int | None = None
+
+
 # Strategy used when a positional operator is called without one:
-#   "plain" -- one task per series (fewest exchanges),
-#   "halo"  -- bounded tasks whatever the series sizes,
-#   "auto"  -- measure the largest series (one small aggregate, a one-row result on
-#              the driver) and use "plain" only when it fits MAX_SERIES_ROWS.
-DEFAULT_STRATEGY = "auto"
-MAX_SERIES_ROWS = 1_000_000
-MATERIALIZE_HALO_INPUT = True
-
-
-_SIZE_MEMO: dict = {}
-
-
-def largest_group(df: DataFrame, keys) -> int:
-    """Rows in the largest group. Memoised on the optimized plan of the size
-    query itself: it keeps only the keys, so window stages are pruned out and a
-    frame and its feature-augmented descendants share one measurement (both
-    strategies are exact, so a stale hit could only cost speed)."""
-    keys = [keys] if isinstance(keys, str) else list(keys)
-    q = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n").alias("m"))
-    try:
-        memo_key = (id(df.sparkSession), q._jdf.queryExecution().optimizedPlan().semanticHash())
-    except Exception:  # noqa: BLE001 - plan access is best effort (e.g. Spark Connect)
-        memo_key = None
-    if memo_key is not None and memo_key in _SIZE_MEMO:
-        return _SIZE_MEMO[memo_key]
-    r = q.first()
-    m = int(r.m or 0) if r is not None else 0
-    if memo_key is not None:
-        _SIZE_MEMO[memo_key] = m
-    return m
-
-
-def resolve_strategy(strategy: str | None, df: DataFrame | None = None, keys=None) -> str:
-    strategy = strategy or DEFAULT_STRATEGY
-    if strategy != "auto":
+#   "plain" -- one task per series (fewest exchanges). The hourly tables hold one row per
+#              (series, hour), so a series grows by at most 8,784 rows a year whatever the
+#              volume of events behind it: the calendar bounds the task, not the data;
+#   "halo" or a ``Halo`` -- for frames without that promise (finer stamps, repeated stamps).
+# Nothing is measured: the choice is the caller's, so building a plan starts no job.
+DEFAULT_STRATEGY = "plain"
+
+
+def resolve_strategy(strategy: str | Halo | None) -> Halo | None:
+    """The ``Halo`` to run under, or None for the plain plan."""
+    strategy = DEFAULT_STRATEGY if strategy is None else strategy
+    if isinstance(strategy, Halo):
         return strategy
-    if df is None:
-        return "halo"
-    return "plain" if largest_group(df, keys or [SERIES]) <= MAX_SERIES_ROWS else "halo"
+    if strategy == "halo":
+        return Halo()
+    if strategy == "plain":
+        return None
+    raise ValueError(f"unknown strategy {strategy!r}")
 
 
 def positions(df: DataFrame, series=SERIES, ts=TS, bucket_seconds: int | None = None,
@@ -122,38 +113,37 @@ class PositionalPlan:
     """Window spec + finishing step for positional windows under a strategy.
 
     ``plain``: ``partitionBy(series).orderBy(ts)`` (one exchange, one task per
-    series). ``halo``: chunk-with-halo (bounded task size for any series)."""
+    series). ``halo``: chunk-with-halo (bounded task size for any series). A
+    frame that already carries positions (``with_positions``) keeps them, so a
+    pipeline of several operators assigns them once."""
 
     def __init__(self, df: DataFrame, series=SERIES, ts=TS, lookback: int = 24, lookahead: int = 0,
-                 strategy: str | None = None, chunk_rows: int | None = None,
-                 bucket_seconds: int | None = None, materialize: bool | None = None):
+                 strategy: str | Halo | None = None):
         self.keys = [series] if isinstance(series, str) else list(series)
         self.ts = ts
-        strategy = resolve_strategy(strategy, df, self.keys)
-        self.strategy = strategy
-        chunk_rows = chunk_rows or DEFAULT_CHUNK_ROWS
-        self.chunk_rows = chunk_rows
-        if strategy == "plain":
+        self.halo = resolve_strategy(strategy)
+        if self.halo is None:
             self.df = df
             self.window = Window.partitionBy(*self.keys).orderBy(ts)
-        elif strategy == "halo":
-            if MATERIALIZE_HALO_INPUT if materialize is None else materialize:
-                # the positions step reads its input twice (bucket counts and ranked
-                # rows); a reliable checkpoint in the shared checkpoint folder computes
-                # an expensive upstream once and cuts its lineage
-                from hourcast.session import reliable_checkpoint
-                df = reliable_checkpoint(df)
-            staged = positions(df, self.keys, ts, bucket_seconds)
-            self.df = with_halo(staged, lookback, lookahead, chunk_rows)
-            self.window = Window.partitionBy(*self.keys, CHUNK).orderBy(RN)
-        else:
-            raise ValueError(f"unknown strategy {strategy!r}")
+            return
+        self.chunk_rows = self.halo.chunk_rows or DEFAULT_CHUNK_ROWS
+        self.positioned = RN in df.columns
+        staged = df if self.positioned else positions(df, self.keys, ts, self.halo.bucket_seconds)
+        self.df = with_halo(staged, lookback, lookahead, self.chunk_rows)
+        self.window = Window.partitionBy(*self.keys, CHUNK).orderBy(RN)
 
     def finish(self, df: DataFrame, keep_position: bool = False) -> DataFrame:
-        if self.strategy == "plain":
+        if self.halo is None:
             return df
         out = df.filter(F.col(OWN)).drop(CHUNK, OWN)
-        return out if keep_position else out.drop(RN)
+        return out if keep_position or self.positioned else out.drop(RN)
+
+
+def with_positions(df: DataFrame, series=SERIES, ts=TS, strategy: str | Halo | None = None) -> DataFrame:
+    """``df`` with the positions that several operators of one pipeline share
+    (unchanged under ``plain``); rows must not be dropped in between."""
+    halo = resolve_strategy(strategy)
+    return df if halo is None else positions(df, series, ts, halo.bucket_seconds)
 
 
 def chunk_index(df: DataFrame, keys, ts, chunk_rows: int | None = None,

@@ -133,11 +133,12 @@ def forward_fill(df: DataFrame, columns, partition=(SERIES,), ts=TS, fill: float
     keys = list(partition)
     if not cols:
         return df
-    if resolve_strategy(strategy, df, keys) == "plain":
+    halo = resolve_strategy(strategy)
+    if halo is None:
         w = Window.partitionBy(*keys).orderBy(ts).rowsBetween(UNBOUNDED, 0)
         return df.withColumns({c: F.coalesce(F.last(c, ignorenulls=True).over(w),
                                              F.lit(fill).cast(df.schema[c].dataType)) for c in cols})
-    staged = chunk_index(df, keys, ts)
+    staged = chunk_index(df, keys, ts, halo.chunk_rows, halo.bucket_seconds)
     w = Window.partitionBy(*keys, CHUNK).orderBy(RN).rowsBetween(UNBOUNDED, 0)
     local = staged.withColumns({f"_loc_{c}": F.last(c, ignorenulls=True).over(w) for c in cols})
     summary = staged.groupBy(*keys, CHUNK).agg(*[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(RN)))
@@ -160,8 +161,9 @@ def chronological_split(df: DataFrame, fraction: float = 0.8, series=SERIES, ts=
     from hourcast.operators.halo import RN, positions
     from hourcast.operators.halo import resolve_strategy
     keys = [series] if isinstance(series, str) else list(series)
-    if resolve_strategy(strategy, df, keys) == "halo":
-        pos = positions(df, keys, ts)
+    halo = resolve_strategy(strategy)
+    if halo is not None:
+        pos = positions(df, keys, ts, halo.bucket_seconds)
         n = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         out = pos.join(n, keys)
         label = F.when(F.col(RN) <= F.floor(F.col("_n") * F.lit(fraction)), F.lit("train")).otherwise(F.lit("test"))
@@ -179,7 +181,7 @@ def cumulative_gap_share(df: DataFrame, series=SERIES, ts=TS, strategy: str | No
     total of all earlier chunks (window over the per-chunk table)."""
     from hourcast.operators.halo import CHUNK, RN, carry_sum, resolve_strategy
     one = (F.col("gap_hours") == 1.0).cast("long")
-    if resolve_strategy(strategy, df, series) == "plain":
+    if resolve_strategy(strategy) is None:
         w = series_window(series, ts)
         step = df.withColumn("gap_hours", hours_between(F.col(ts), F.lag(ts, 1).over(w))) \
             .filter(F.col("gap_hours").isNotNull())
@@ -188,7 +190,7 @@ def cumulative_gap_share(df: DataFrame, series=SERIES, ts=TS, strategy: str | No
             "cum_one_hour_pct": F.sum(one).over(w.rowsBetween(UNBOUNDED, 0)) * 100.0 / F.row_number().over(w),
         })
     keys = [series] if isinstance(series, str) else list(series)
-    plan = PositionalPlan(df, keys, ts, lookback=1, strategy="halo")
+    plan = PositionalPlan(df, keys, ts, lookback=1, strategy=strategy)
     g = plan.finish(plan.df.withColumn("gap_hours", hours_between(F.col(ts), F.lag(ts, 1).over(plan.window))),
                     keep_position=True)
     g = g.withColumn(CHUNK, F.floor((F.col(RN) - 1) / F.lit(plan.chunk_rows)))

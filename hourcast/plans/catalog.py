@@ -14,6 +14,7 @@ from hourcast.functions import aqi as A
 from hourcast.functions.calendar import add_calendar, add_cyclical
 from hourcast.functions.numeric import r6
 from hourcast.operators import windows as WN
+from hourcast.operators.halo import Halo
 from hourcast.plans import sqlbits as S
 from hourcast.schema import LAG_COLUMNS, LOCAL_TZ, RAW_COLUMNS, ROLLING_COLUMNS
 from hourcast.sources import testbind as TB
@@ -32,6 +33,9 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+# The chunked queries cut every series of the test tables into several chunks and buckets.
+SMALL_CHUNKS = Halo(chunk_rows=96, bucket_seconds=2 * 86400)
+
 MEASURES = RAW_COLUMNS[1:]
 FEATURE_DOUBLES = (MEASURES + ["hour_sin", "hour_cos", "dow_sin", "dow_cos"] + LAG_COLUMNS + ROLLING_COLUMNS)
 FEATURE_OTHER = ["series", "timestamp", "hour_of_day", "day_of_week", "month", "is_gap"]
@@ -138,7 +142,7 @@ def q_engineered_features(spark, sf):
 
 @query("engineered_features_halo", ENGINEERED_SQL)
 def q_engineered_features_halo(spark, sf):
-    return r6(WN.add_engineered_features(TB.obs_hourly(spark, sf), strategy="halo"))
+    return r6(WN.add_engineered_features(TB.obs_hourly(spark, sf), strategy=SMALL_CHUNKS))
 
 
 # ---- M1: sources, typing, filters -------------------------------------------------------
@@ -396,8 +400,8 @@ for _h in (24, 48, 72):
 
     def _mk_halo(h):
         def q(spark, sf):
-            return r6(WN.build_training_frame(WN.add_engineered_features(TB.obs_hourly(spark, sf), strategy="halo"),
-                                              h, strategy="halo"))
+            return r6(WN.build_training_frame(WN.add_engineered_features(TB.obs_hourly(spark, sf), strategy=SMALL_CHUNKS),
+                                              h, strategy=SMALL_CHUNKS))
         return q
     _sql = f"""
 WITH {S.FEAT}, t AS ({S.target_sql('feat', _h)})
@@ -439,7 +443,7 @@ t AS ({S.backfill_sql('withfc')})
 {S.round_all(FEATURE_DOUBLES + FORECAST_WINDOW_COLUMNS, FEATURE_OTHER, ['hours_since_prev'])}""")
 def q_full_backfill_halo(spark, sf):
     return r6(build_backfill_dataset(TB.air_hourly(spark, sf), TB.weather_hourly(spark, sf),
-                                     TB.forecast_hourly(spark, sf), strategy="halo"))
+                                     TB.forecast_hourly(spark, sf), strategy=SMALL_CHUNKS))
 
 
 _SPLIT_SQL = f"""{S.OBS}, sp AS (
@@ -459,7 +463,7 @@ def q_split(spark, sf):
 WITH {_SPLIT_SQL}
 SELECT series, timestamp, split FROM sp""")
 def q_split_halo(spark, sf):
-    return WN.chronological_split(TB.obs_hourly(spark, sf).select("series", "timestamp"), strategy="halo")
+    return WN.chronological_split(TB.obs_hourly(spark, sf).select("series", "timestamp"), strategy=SMALL_CHUNKS)
 
 
 @query("ffill", f"""
@@ -645,11 +649,11 @@ def _describe_sql():
     parts = []
     for c in POLLUTANTS:
         def r3(e):
-            return f"round(({e}) * (1 + 1e-12), 3)"
+            return S.rounded(e, 3)
         parts.append(f"""SELECT '{c}' AS column, {r3(f'CAST(count({c}) AS DOUBLE)')} AS count, {r3(f'avg({c})')} AS mean,
   {r3(f'stddev_samp({c})')} AS std, {r3(f'min({c})')} AS min, {r3(f"quantile_cont({c}, 0.25)")} AS p25,
   {r3(f"quantile_cont({c}, 0.5)")} AS p50, {r3(f"quantile_cont({c}, 0.75)")} AS p75, {r3(f'max({c})')} AS max,
-  {r3(f"round((stddev_samp({c}) / avg({c}) * 100.0) * (1 + 1e-12), 1)")} AS cv_pct FROM feat""")
+  {r3(S.rounded(f"stddev_samp({c}) / avg({c}) * 100.0", 1))} AS cv_pct FROM feat""")
     body = " UNION ALL ".join(parts)
     cols = ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "cv_pct"]
     return f"WITH {S.FEAT}, t AS ({body})\n{S.round_all(cols, ['\"column\"'])}"
@@ -663,7 +667,7 @@ def q_describe(spark, sf):
 def _null_sql():
     from hourcast.plans.sqlbits import FEAT_COLS_ORDER
     parts = [f"SELECT '{c}' AS column, count(*) FILTER (WHERE {c} IS NULL) AS missing_count, "
-             f"round((count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*)) * (1 + 1e-12), 2) AS missing_pct FROM feat"
+             f"{S.rounded(f'count(*) FILTER (WHERE {c} IS NULL) * 100.0 / count(*)', 2)} AS missing_pct FROM feat"
              for c in FEAT_COLS_ORDER]
     return f"WITH {S.FEAT}, t AS ({' UNION ALL '.join(parts)})\n" \
            f"SELECT \"column\", missing_count, {S.r6('missing_pct')} AS missing_pct FROM t WHERE missing_count > 0"
@@ -870,9 +874,9 @@ def _baseline_sql(horizons=(24,)):
     return f"{S.FEAT}, {ctes}, preds AS ({' UNION ALL '.join(parts)})"
 
 
-_MET = """round(sqrt(avg((y - prediction) * (y - prediction))) * (1 + 1e-12), 4) AS rmse,
-  round(avg(abs(y - prediction)) * (1 + 1e-12), 4) AS mae,
-  round((1.0 - sum((y - prediction) * (y - prediction)) / (var_pop(y) * count(y))) * (1 + 1e-12), 4) AS r2"""
+_MET = f"""{S.rounded('sqrt(avg((y - prediction) * (y - prediction)))', 4)} AS rmse,
+  {S.rounded('avg(abs(y - prediction))', 4)} AS mae,
+  {S.rounded('1.0 - sum((y - prediction) * (y - prediction)) / (var_pop(y) * count(y))', 4)} AS r2"""
 
 
 @query("metrics", f"""
@@ -1142,7 +1146,39 @@ def q_insights(spark, sf):
     return r6(insight_rows(_features(spark, sf)))
 
 
-# ---- single-partition-per-series variants (strategy="plain") of the default halo plans -------------
+# ---- chunked variants of the positional operators against the oracles of the plain plans ----------
+
+@query("ffill_halo", ORACLES["ffill"])
+def q_ffill_halo(spark, sf):
+    obs = TB.obs_hourly(spark, sf).select("series", "timestamp", "no2")
+    sp = WN.chronological_split(obs, strategy=SMALL_CHUNKS)
+    return r6(WN.forward_fill(sp, ["no2"], partition=("series", "split"), strategy=SMALL_CHUNKS))
+
+
+@query("cumulative_gap_share_halo", ORACLES["cumulative_gap_share"])
+def q_cumulative_gap_share_halo(spark, sf):
+    return r6(WN.cumulative_gap_share(TB.obs_hourly(spark, sf).select("series", "timestamp"), strategy=SMALL_CHUNKS))
+
+
+@query("sequences_halo", ORACLES["sequences"])
+def q_sequences_halo(spark, sf):
+    tf = WN.build_training_frame(_features(spark, sf), 24, strategy=SMALL_CHUNKS)
+    return WN.sequences(tf, SEQ_FEATS, "aqi_next_24h", 24, strategy=SMALL_CHUNKS)
+
+
+@query("shifted_backfill_halo", ORACLES["shifted_backfill"])
+def q_shifted_backfill_halo(spark, sf):
+    win = J.forecast_windows(_features(spark, sf), TB.forecast_hourly(spark, sf))
+    return r6(WN.shifted_backfill(win, strategy=SMALL_CHUNKS))
+
+
+@query("prediction_frame_halo", ORACLES["prediction_frame"])
+def q_prediction_frame_halo(spark, sf):
+    hist = O.latest_n_then_filter(TB.obs_hourly(spark, sf), 500, F.col("aqi").isNotNull())
+    return r6(WN.prediction_frame(hist, strategy=SMALL_CHUNKS).select("series", "timestamp", *FEATURE_COLUMNS))
+
+
+# ---- the plain plan, named (what the unsuffixed queries run by default) ---------------------------
 
 @query("engineered_features_plain", ENGINEERED_SQL)
 def q_engineered_features_plain(spark, sf):
@@ -1212,11 +1248,11 @@ def _li_describe_sql():
     parts = []
     for c in LI_NUM:
         def r3(e):
-            return f"round(({e}) * (1 + 1e-12), 3)"
+            return S.rounded(e, 3)
         parts.append(f"""SELECT '{c}' AS column, {r3(f'CAST(count({c}) AS DOUBLE)')} AS count, {r3(f'avg({c})')} AS mean,
   {r3(f'stddev_samp({c})')} AS std, {r3(f'min({c})')} AS min, {r3(f"quantile_cont({c}, 0.25)")} AS p25,
   {r3(f"quantile_cont({c}, 0.5)")} AS p50, {r3(f"quantile_cont({c}, 0.75)")} AS p75, {r3(f'max({c})')} AS max,
-  {r3(f"round((stddev_samp({c}) / avg({c}) * 100.0) * (1 + 1e-12), 1)")} AS cv_pct FROM lineitem""")
+  {r3(S.rounded(f"stddev_samp({c}) / avg({c}) * 100.0", 1))} AS cv_pct FROM lineitem""")
     cols = ["count", "mean", "std", "min", "p25", "p50", "p75", "max", "cv_pct"]
     return f"WITH t AS ({' UNION ALL '.join(parts)})\n{S.round_all(cols, ['\"column\"'])}"
 

@@ -33,12 +33,17 @@ def category_sql(x: str, pick: int = 0) -> str:
     return f"CASE {whens} ELSE '{AQI_TOP_CATEGORY[pick]}' END"
 
 
+def rounded(expr: str, places: int) -> str:
+    """Tie-stable rounding (see hourcast.functions.numeric.round_stable)."""
+    return f"round(({expr}) + sign({expr}) * least(abs({expr}) * 1e-12, 1e-{places + 3}), {places})"
+
+
 def r6(expr: str) -> str:
-    return f"(round(({expr}) * (1 + 1e-12), 6) + 0.0)"
+    return f"({rounded(expr, 6)} + 0.0)"
 
 
 def r6f(expr: str) -> str:
-    return f"CAST(round(({expr}) * (1 + 1e-12), 6) + 0.0 AS FLOAT)"
+    return f"CAST({rounded(expr, 6)} + 0.0 AS FLOAT)"
 
 
 EV = """ev AS (
@@ -124,7 +129,7 @@ def fc_window_sql(base: str = "base", fc: str = "fc", cols=None, decimals: int =
     for label, h0, h1 in FORECAST_WINDOWS:
         for c in cols:
             cond = f"j_ts >= timestamp + INTERVAL {h0} HOUR AND j_ts < timestamp + INTERVAL {h1} HOUR"
-            sel.append(f"round(avg(CASE WHEN {cond} THEN j_{c} END) * (1 + 1e-12), {decimals}) AS {c}_{label}")
+            sel.append(f"{rounded(f'avg(CASE WHEN {cond} THEN j_{c} END)', decimals)} AS {c}_{label}")
     jcols = ", ".join(f"f.{c} AS j_{c}" for c in cols)
     return f"""SELECT b.*, f.timestamp AS j_ts, {jcols}
       FROM {base} b LEFT JOIN {fc} f ON f.series = b.series AND f.timestamp >= b.timestamp

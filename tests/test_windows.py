@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourcast.operators import windows as WN
-from hourcast.operators.halo import PositionalPlan
+from hourcast.operators.halo import Halo, PositionalPlan
 from tests.helpers import col, hours, series_frame
 
 
@@ -68,7 +68,7 @@ def test_halo_equals_plain_with_small_chunks(spark):
     df = series_frame(spark, rows)
     plain = WN.add_engineered_features(df)
     cols = ["series", "timestamp", "aqi_lag_24h", "rolling_mean_24h", "rolling_std_6h", "hours_since_prev"]
-    plan = PositionalPlan(df, lookback=24, lookahead=72, strategy="halo", chunk_rows=80, bucket_seconds=86400)
+    plan = PositionalPlan(df, lookback=24, lookahead=72, strategy=Halo(80, 86400))
     w = plan.window
     staged = plan.df.withColumns({**WN.gap_columns(w), **WN.lag_columns(w), **WN.rolling_columns(w),
                                   "lead72": F.lead("aqi", 72).over(w)})
@@ -153,15 +153,35 @@ def test_whole_pipeline_halo_equals_plain_with_tiny_chunks(spark, monkeypatch):
     assert sorted(map(str, sq_p.collect())) == sorted(map(str, sq_h.collect()))
 
 
-def test_auto_strategy_switches_on_series_size(spark, monkeypatch):
-    import hourcast.operators.halo as H
-    df = series_frame(spark, [("s", hours(i), float(i)) for i in range(40)])
-    assert H.PositionalPlan(df).strategy == "plain"
-    monkeypatch.setattr(H, "MAX_SERIES_ROWS", 10)
-    plan = H.PositionalPlan(df)
-    assert plan.strategy == "halo"
-    out = WN.add_engineered_features(df)
-    assert col(out, "aqi_lag_24h")[24] == 0.0 and out.count() == 40
+def test_building_positional_plans_starts_no_job(spark):
+    """Nothing is measured or written while a plan is built, whatever the strategy."""
+    from hourcast.plans.backfill import build_backfill_dataset
+    df = series_frame(spark, [("s", hours(i), float(i)) for i in range(200)])
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-only", "")
+    for strategy in (None, "plain", "halo", Halo(80, 86400)):
+        feats = WN.add_engineered_features(df, strategy=strategy)
+        WN.sequences(WN.build_training_frame(feats, 24, strategy=strategy), ["aqi"], "aqi_next_24h", strategy=strategy)
+        WN.prediction_frame(df, strategy=strategy)
+        WN.cumulative_gap_share(df, strategy=strategy)
+        air = df.select("series", "timestamp", F.col("aqi").alias("pm25"))
+        build_backfill_dataset(air, df.select("series", "timestamp", F.col("aqi").alias("humidity")), strategy=strategy)
+    assert list(tracker.getJobIdsForGroup("build-only")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(ValueError):
+        WN.add_lags(df, strategy="auto")
+
+
+def test_positions_shared_by_a_pipeline(spark):
+    """Back-fill under shared positions equals the plain plan, and no helper column stays."""
+    from hourcast.plans.backfill import build_backfill_dataset
+    air = spark.createDataFrame([("s", hours(i + i // 40), float(i % 90)) for i in range(300)],
+                                "series string, timestamp timestamp_ntz, pm25 double")
+    weather = air.select("series", "timestamp", (F.col("pm25") + 1).alias("humidity"))
+    plain = build_backfill_dataset(air, weather, strategy="plain")
+    halo = build_backfill_dataset(air, weather, strategy=Halo(96, 86400))
+    assert plain.columns == halo.columns
+    assert sorted(map(str, plain.collect())) == sorted(map(str, halo.collect()))
 
 
 def test_gap_free_series_horizon_counts(spark):

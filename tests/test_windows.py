@@ -153,6 +153,11 @@ def test_whole_pipeline_halo_equals_plain_with_tiny_chunks(spark, monkeypatch):
     assert sorted(map(str, sq_p.collect())) == sorted(map(str, sq_h.collect()))
 
 
+def _air_and_weather(df):
+    air = df.select("series", "timestamp", *[F.col("aqi").alias(c) for c in ("pm25", "pm10", "o3", "no2", "so2", "co")])
+    return air, df.select("series", "timestamp", *[F.col("aqi").alias(c) for c in ("temperature", "humidity", "wind_speed")])
+
+
 def test_building_positional_plans_starts_no_job(spark):
     """Nothing is measured or written while a plan is built, whatever the strategy."""
     from hourcast.plans.backfill import build_backfill_dataset
@@ -164,8 +169,7 @@ def test_building_positional_plans_starts_no_job(spark):
         WN.sequences(WN.build_training_frame(feats, 24, strategy=strategy), ["aqi"], "aqi_next_24h", strategy=strategy)
         WN.prediction_frame(df, strategy=strategy)
         WN.cumulative_gap_share(df, strategy=strategy)
-        air = df.select("series", "timestamp", F.col("aqi").alias("pm25"))
-        build_backfill_dataset(air, df.select("series", "timestamp", F.col("aqi").alias("humidity")), strategy=strategy)
+        build_backfill_dataset(*_air_and_weather(df), strategy=strategy)
     assert list(tracker.getJobIdsForGroup("build-only")) == []
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     with pytest.raises(ValueError):
@@ -175,9 +179,7 @@ def test_building_positional_plans_starts_no_job(spark):
 def test_positions_shared_by_a_pipeline(spark):
     """Back-fill under shared positions equals the plain plan, and no helper column stays."""
     from hourcast.plans.backfill import build_backfill_dataset
-    air = spark.createDataFrame([("s", hours(i + i // 40), float(i % 90)) for i in range(300)],
-                                "series string, timestamp timestamp_ntz, pm25 double")
-    weather = air.select("series", "timestamp", (F.col("pm25") + 1).alias("humidity"))
+    air, weather = _air_and_weather(series_frame(spark, [("s", hours(i + i // 40), float(i % 90)) for i in range(300)]))
     plain = build_backfill_dataset(air, weather, strategy="plain")
     halo = build_backfill_dataset(air, weather, strategy=Halo(96, 86400))
     assert plain.columns == halo.columns

@@ -24,12 +24,13 @@ GBT_STEP = 0.05
 GBT_DEPTH = 6
 GBT_SEED = 42
 SPARK_MAX_DEPTH = 30  # Spark's deepest tree (sklearn forests are unbounded)
-# per-pass node-statistics budget: smaller budgets split the same tree growth
-# into more passes (identical trees, lower peak memory)
-TREE_MEMORY_MB = 32
 # -----------------------------------------------------------------------------------------------
 
 
+# Node statistics a task may hold (Spark's default); less memory grows the same trees in more passes.
+TREE_MEMORY_MB = 256
+
+
 def regression_metrics(pred: DataFrame, keys, label: str = "y", prediction: str = "prediction",
                        decimals: int | None = 4) -> DataFrame:
     """rmse, mae, r2 per group in one pass (r2 = 1 - SSE / SST)."""
@@ -62,16 +63,18 @@ def fit_ridge(df: DataFrame, features, label: str, alpha: float = RIDGE_ALPHA):
     return lr.fit(assembler(features).transform(df))
 
 
-def fit_forest(df: DataFrame, features, label: str, trees: int = RF_TREES, seed: int = RF_SEED):
+def fit_forest(df: DataFrame, features, label: str, trees: int = RF_TREES, seed: int = RF_SEED,
+               memory_mb: int = TREE_MEMORY_MB):
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, seed=seed,
                                featureSubsetStrategy="all", maxDepth=SPARK_MAX_DEPTH, minInstancesPerNode=1,
-                               subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=TREE_MEMORY_MB)
+                               subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=memory_mb)
     return rf.fit(assembler(features).transform(df))
 
 
-def fit_boosted(df: DataFrame, features, label: str, rounds: int = GBT_ROUNDS):
+def fit_boosted(df: DataFrame, features, label: str, rounds: int = GBT_ROUNDS,
+                memory_mb: int = TREE_MEMORY_MB):
     gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=GBT_STEP,
-                       maxDepth=GBT_DEPTH, seed=GBT_SEED, maxMemoryInMB=TREE_MEMORY_MB)
+                       maxDepth=GBT_DEPTH, seed=GBT_SEED, maxMemoryInMB=memory_mb)
     return gbt.fit(assembler(features).transform(df))
 
 

@@ -231,10 +231,11 @@ def latest_per_series(df: DataFrame, n: int = 1, series=SERIES, ts=TS) -> DataFr
     return df.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= n).drop("_rk")
 
 
-def append_row_features(history: DataFrame, current: DataFrame, series=SERIES, ts=TS) -> DataFrame:
-    """History (non-null aqi) + current readings -> features -> newest row per
-    series (which need not be the current row)."""
-    hist = history.filter(F.col("aqi").isNotNull()) if "aqi" in history.columns else history
+def append_row_features(history: DataFrame, current: DataFrame, series=SERIES, ts=TS, rows: int = 50) -> DataFrame:
+    """Newest ``rows`` history rows of each series (then those with an aqi) + current
+    readings -> features -> newest row per series (which need not be the current row)."""
+    hist = latest_per_series(history, rows, series, ts)
+    hist = hist.filter(F.col("aqi").isNotNull()) if "aqi" in history.columns else hist
     combined = hist.unionByName(current, allowMissingColumns=True)
     feats = add_engineered_features(combined, series, ts)
     return latest_per_series(feats, 1, series, ts)

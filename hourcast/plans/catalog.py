@@ -153,6 +153,14 @@ from hourcast.schema import FORECAST_COLUMNS, FORECAST_WINDOW_COLUMNS  # noqa: E
 
 AS_OF = "2024-01-20 12:30:00"
 AS_OF_HOUR = "TIMESTAMP '2024-01-20 12:00:00'"
+AS_OF_FROM, AS_OF_UNTIL = "2024-01-20 12:00:00", "2024-01-20 13:00:00"  # the as-of hour
+AS_OF_PLUS_6H, AS_OF_PLUS_72H = "2024-01-20 19:00:00", "2024-01-23 12:00:00"
+
+
+def _as_of_base(spark, sf):
+    """The as-of hour's rows and the forecast hours they can reach, both bounded at the scan."""
+    base = TB.obs_hourly(spark, sf, AS_OF_FROM, AS_OF_UNTIL).select("series", "timestamp")
+    return base, TB.forecast_hourly(spark, sf, since=AS_OF_FROM, until=AS_OF_PLUS_72H)
 CUTOFF = "2024-01-21 00:00:00"
 
 
@@ -208,11 +216,7 @@ WITH {S.OBS}, t AS (
   FROM obs WHERE timestamp <= {AS_OF_HOUR} + INTERVAL 6 HOUR)
 {S.round_all(['aqi'] + MEASURES[1:], ['series', 'timestamp'], src='t WHERE rk = 1')}""")
 def q_current_or_last(spark, sf):
-    obs = TB.obs_hourly(spark, sf)
-    window_end = F.lit(AS_OF).cast("timestamp_ntz")
-    recent = obs.filter(F.col("timestamp") <= F.date_trunc("hour", window_end).cast("timestamp_ntz")
-                        + F.expr("INTERVAL 6 HOURS"))
-    return r6(O.current_or_last(recent, AS_OF))
+    return r6(O.current_or_last(TB.obs_hourly(spark, sf, until=AS_OF_PLUS_6H), AS_OF))
 
 
 @query("carry_forward", f"""
@@ -223,9 +227,8 @@ t1 AS (SELECT ser.series, t0.* EXCLUDE (series, timestamp, rk) FROM ser LEFT JOI
 t AS (SELECT series, {AS_OF_HOUR} AS timestamp, * EXCLUDE (series) FROM t1)
 {S.round_all(['aqi'] + MEASURES[1:], ['series', 'timestamp'])}""")
 def q_carry_forward(spark, sf):
-    obs = TB.obs_hourly(spark, sf)
     # one series has no history at all in this query, so its fallback row is all-NULL
-    hist = obs.filter((F.col("timestamp") < F.lit(CUTOFF).cast("timestamp_ntz")) & (F.col("series") != "purchase"))
+    hist = TB.obs_hourly(spark, sf, until=CUTOFF).filter(F.col("series") != "purchase")
     series_list = table(spark, sf, "events").select(F.col("event_type").alias("series"))
     return r6(O.carry_forward(hist, series_list, AS_OF))
 
@@ -245,9 +248,7 @@ SELECT series, bool_or(prediction > 150) AS alert,
 FROM pred GROUP BY series""")
 def q_alert(spark, sf):
     from hourcast.plans.scoring import alerts
-    obs = TB.obs_hourly(spark, sf)
-    base = obs.filter(F.col("timestamp") == F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz")).select("series", "timestamp")
-    win = J.forecast_windows(base, TB.forecast_hourly(spark, sf), decimals=None)
+    win = J.forecast_windows(*_as_of_base(spark, sf), decimals=None)
     preds = win.select("series", F.explode(F.array(*[
         F.struct(F.lit(h).alias("horizon"), A.pm25_to_aqi(F.col(f"fc_pm25_{h}h")).alias("prediction"))
         for h in (24, 48, 72)])).alias("p")).select("series", "p.*").filter(F.col("prediction").isNotNull())
@@ -272,10 +273,8 @@ SELECT c.series, c.timestamp, {S.r6('c.pm25')} AS pm25, {S.r6('wx.temperature')}
        {S.r6('wx.humidity')} AS humidity, {S.r6('wx.wind_speed')} AS wind_speed
 FROM cur c LEFT JOIN wx ON wx.series = c.series AND wx.timestamp = c.timestamp WHERE c.rk = 1""")
 def q_weather_lookup(spark, sf):
-    air = TB.air_hourly(spark, sf).select("series", "timestamp", "pm25")
-    air = air.filter(F.col("timestamp") <= F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz"))
-    cur = O.current_or_last(air, AS_OF)
-    wx = TB.weather_hourly(spark, sf).filter(F.col("wind_speed") >= 2)
+    cur = O.current_or_last(TB.air_hourly(spark, sf, until=AS_OF_UNTIL).select("series", "timestamp", "pm25"), AS_OF)
+    wx = TB.weather_hourly(spark, sf, until=AS_OF_UNTIL).filter(F.col("wind_speed") >= 2)
     return r6(J.join_on_time(cur, wx, "left"))
 
 
@@ -292,6 +291,19 @@ def q_forecast_windows(spark, sf):
     return r6(J.forecast_windows(base, TB.forecast_hourly(spark, sf)))
 
 
+_FULL_FORECAST = S.FORECAST.replace("WHERE timestamp >= (SELECT max(timestamp) FROM ev) - INTERVAL 10 DAY", "")
+
+
+@query("forecast_windows_full", f"""
+WITH {S.OBS}, {_FULL_FORECAST}, base AS (SELECT series, timestamp FROM obs),
+j AS ({_fc_join}),
+t AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp)
+{S.round_all(FORECAST_WINDOW_COLUMNS, ['series', 'timestamp'])}""")
+def q_forecast_windows_full(spark, sf):
+    base = TB.obs_hourly(spark, sf).select("series", "timestamp")
+    return r6(J.forecast_windows(base, TB.forecast_hourly(spark, sf, days=None)))
+
+
 @query("forecast_windows_latest", f"""
 WITH {S.OBS}, {S.FORECAST}, base AS (SELECT series, max(timestamp) - INTERVAL 80 HOUR AS timestamp FROM obs GROUP BY series),
 j AS ({_fc_join}),
@@ -512,9 +524,8 @@ t AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY seri
       WHERE rk = 1)
 {S.round_all(FEATURE_DOUBLES, FEATURE_OTHER, ['hours_since_prev'])}""")
 def q_append_row(spark, sf):
-    obs = TB.obs_hourly(spark, sf)
-    cut = F.lit(CUTOFF).cast("timestamp_ntz")
-    return r6(WN.append_row_features(obs.filter(F.col("timestamp") < cut), obs.filter(F.col("timestamp") == cut)))
+    current = TB.obs_hourly(spark, sf, CUTOFF).filter(F.col("timestamp") == F.lit(CUTOFF).cast("timestamp_ntz"))
+    return r6(WN.append_row_features(TB.obs_hourly(spark, sf, until=CUTOFF), current))
 
 
 def _cov_sql():
@@ -941,7 +952,8 @@ def q_train_models(spark, sf):
     # forest + ridge at the reference hyper-parameters; the 300-round boosted
     # model is available through train_for_horizon (sequential rounds dominate run time)
     try:
-        metrics, _, _, _ = train_for_horizon(_backfilled(spark, sf), 24, candidates=("random_forest", "ridge"))
+        metrics, _, _, _ = train_for_horizon(_backfilled(spark, sf), 24, candidates=("random_forest", "ridge"),
+                                             params={"random_forest": {"memory_mb": 32}})
     except RuntimeError:  # no training rows for the horizon (tiny inputs)
         return spark.createDataFrame([], "model string, rmse double, mae double, r2 double, horizon int")
     return metrics
@@ -975,37 +987,84 @@ def q_local_proxy(spark, sf):
     return r6(ML.local_proxy(_prediction_frame(spark, sf), FEATURE_COLUMNS))
 
 
+SCORING_FEATURES = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
+
+# One-feature ridge (alpha 1) for each horizon in closed form.
+_RIDGE_SQL = ", ".join(f"""tf{h} AS ({S.target_sql('feat', h)}),
+s{h} AS (SELECT avg(aqi) AS mx, avg(aqi_next_{h}h) AS my FROM tf{h}),
+c{h} AS (SELECT sum((aqi - mx) * (aqi_next_{h}h - my)) / (sum((aqi - mx) * (aqi - mx)) + 1.0) AS coef, any_value(mx) AS mx,
+       any_value(my) AS my FROM tf{h}, s{h} HAVING count(*) > 0)""" for h in (24, 48, 72))
+
+
+def _ridge(data, features, horizon):
+    """Ridge on the exact-horizon rows, or None where there are none (tiny inputs)."""
+    target = f"aqi_next_{horizon}h"
+    train = WN.build_training_frame(data, horizon).select(*features, target).dropna().cache()
+    try:
+        return None if train.isEmpty() else ML.fit_ridge(train, features, target)
+    finally:
+        train.unpersist()
+
+
+def _linear_contrib(spark, sf, features):
+    data = _features(spark, sf)
+    model = _ridge(data, features, 24)
+    if model is None:
+        return spark.createDataFrame([], "series string, feature string, importance double")
+    history = O.latest_n(data, 200).dropna(subset=features)
+    return r6(ML.linear_contributions(history, features, list(model.coefficients)))
+
+
 @query("linear_contrib")
 def q_linear_contrib(spark, sf):
-    feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
-    tf = WN.build_training_frame(_features(spark, sf), 24).dropna(subset=feats).cache()
-    if tf.isEmpty():
-        tf.unpersist()
-        return spark.createDataFrame([], "series string, feature string, importance double")
-    model = ML.fit_ridge(tf, feats, "aqi_next_24h")
-    tf.unpersist()
-    hist = O.latest_n(tf, 200)
-    return r6(ML.linear_contributions(hist, feats, list(model.coefficients)))
+    return _linear_contrib(spark, sf, SCORING_FEATURES)
 
 
-@query("batch_scoring")
-def q_batch_scoring(spark, sf):
-    feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
+@query("linear_contrib_one_feature", f"""
+WITH {S.FEAT}, {_RIDGE_SQL},
+hist AS (SELECT * FROM (SELECT series, aqi, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM feat)
+         WHERE rk <= 200),
+m AS (SELECT series, avg(aqi) AS mean FROM hist GROUP BY series)
+SELECT series, 'aqi' AS feature, {S.r6('avg(abs(coef * (aqi - mean)))')} AS importance
+FROM hist JOIN m USING (series), c24 GROUP BY series""")
+def q_linear_contrib_one_feature(spark, sf):
+    return _linear_contrib(spark, sf, ["aqi"])
+
+
+def _batch_scoring(spark, sf, features):
+    """Fit, save to a registry, load, align the newest row of the newest 500 to the trained list, score."""
     data = _features(spark, sf)
+    root = SJ.run_dir(spark, "registry")
+    newest = O.latest_n(_prediction_frame(spark, sf), 1)
     out = None
     for h in (24, 48, 72):
-        tf = WN.build_training_frame(data, h).dropna(subset=feats)
-        if tf.isEmpty():
+        fitted = _ridge(data, features, h)
+        if fitted is None:
             continue
-        model = ML.fit_ridge(tf, feats, f"aqi_next_{h}h")
-        newest = O.latest_n(WN.prediction_frame(data), 1)
-        p = ML.predict(model, newest, feats).select("series", "timestamp", F.lit(h).alias("horizon"), "prediction")
+        ML.save_model(spark, fitted, root, h, ML.metadata_row("ridge", "spark_ml", h, features, None, {}))
+        model, meta = ML.load_model(spark, root, h)
+        rows = align_columns(newest, meta["features"], keep=("series", "timestamp"))
+        p = ML.predict(model, rows, meta["features"]).select("series", "timestamp", F.lit(h).alias("horizon"), "prediction")
         out = p if out is None else out.unionByName(p)
     if out is None:
         return spark.createDataFrame([], "series string, timestamp timestamp_ntz, horizon int, prediction double")
     return r6(out)
 
 
+@query("batch_scoring")
+def q_batch_scoring(spark, sf):
+    return _batch_scoring(spark, sf, SCORING_FEATURES)
+
+
+@query("batch_scoring_one_feature", f"""
+WITH {_PRED_SQL}, feat AS ({S.feat_cols('obs')}), {_RIDGE_SQL},
+nw AS (SELECT * FROM (SELECT series, timestamp, aqi, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM pf)
+       WHERE rk = 1)
+{' UNION ALL '.join(f"SELECT series, timestamp, CAST({h} AS INTEGER) AS horizon, {S.r6('my + coef * (aqi - mx)')} AS prediction FROM nw, c{h}" for h in (24, 48, 72))}""")
+def q_batch_scoring_one_feature(spark, sf):
+    return _batch_scoring(spark, sf, ["aqi"])
+
+
 # ---- M8: streaming ------------------------------------------------------------------------------
 import os as _os  # noqa: E402
 
@@ -1053,9 +1112,7 @@ def q_row_count(spark, sf):
 WITH {S.OBS}
 SELECT count(*) AS cnt FROM obs WHERE timestamp = {AS_OF_HOUR}""")
 def q_point_count(spark, sf):
-    obs = TB.obs_hourly(spark, sf)
-    return obs.filter(F.col("timestamp") == F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz")) \
-        .agg(F.count(F.lit(1)).alias("cnt"))
+    return TB.obs_hourly(spark, sf, AS_OF_FROM, AS_OF_UNTIL).agg(F.count(F.lit(1)).alias("cnt"))
 
 
 _TRAINED = ["aqi", "pm25", "fc_co_24h", "aqi_lag_1h", "fc_dust_24h"]
@@ -1076,14 +1133,11 @@ SELECT series, local_period, month_name, {S.r6('mean')} AS mean,
   CASE WHEN mean <= 50 THEN '#22c55e' WHEN mean <= 100 THEN '#eab308' WHEN mean <= 150 THEN '#f97316' ELSE '#ef4444' END AS color
 FROM p""")
 def q_bar_colors(spark, sf):
-    from hourcast.functions.calendar import local_time
     # fixed values: dashboard bar colours by AQI mean
     colors = ["#22c55e", "#eab308", "#f97316", "#ef4444"]
-    p = AG.profile(_features(spark, sf), "local_period")
-    months = _features(spark, sf).select("series", F.date_format(local_time("timestamp"), "yyyy-MM").alias("local_period"),
-                                         F.date_format(local_time("timestamp"), "MMM yyyy").alias("month_name")).distinct()
-    return r6(p.join(months, ["series", "local_period"])
-              .withColumn("color", A.threshold_label("mean", [50, 100, 150], colors)))
+    p = AG.profile(TB.obs_hourly(spark, sf), "local_period")
+    month = F.date_format(F.to_date("local_period", "yyyy-MM"), "MMM yyyy")
+    return r6(p.withColumn("month_name", month).withColumn("color", A.threshold_label("mean", [50, 100, 150], colors)))
 
 
 @query("metric_strings", f"""
@@ -1114,11 +1168,8 @@ SELECT series, timestamp, timezone('{LOCAL_TZ}', timestamp AT TIME ZONE 'UTC') A
        horizon, {S.r6('value')} AS value FROM pred""")
 def q_trend(spark, sf):
     from hourcast.plans.scoring import trend_frame
-    obs = TB.obs_hourly(spark, sf)
-    as_of = F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz")
-    hist = obs.filter(F.col("timestamp") <= as_of)
-    base = obs.filter(F.col("timestamp") == as_of).select("series", "timestamp")
-    win = J.forecast_windows(base, TB.forecast_hourly(spark, sf), decimals=None)
+    hist = TB.obs_hourly(spark, sf, until=AS_OF_UNTIL)
+    win = J.forecast_windows(*_as_of_base(spark, sf), decimals=None)
     preds = win.select("series", "timestamp", F.explode(F.array(*[
         F.struct(F.lit(h).alias("horizon"), A.pm25_to_aqi(F.col(f"fc_pm25_{h}h")).alias("prediction"))
         for h in (24, 48, 72)])).alias("p")).select("series", "timestamp", "p.*").filter(F.col("prediction").isNotNull())
@@ -1354,9 +1405,7 @@ SELECT series, horizon, {S.r6('prediction')} AS prediction, {S.category_sql('pre
   CASE horizon WHEN 24 THEN 90 WHEN 48 THEN 65 WHEN 72 THEN 35 END AS confidence_pct
 FROM pred""")
 def q_forecast_cards(spark, sf):
-    obs = TB.obs_hourly(spark, sf)
-    base = obs.filter(F.col("timestamp") == F.lit(AS_OF_HOUR.split("'")[1]).cast("timestamp_ntz")).select("series", "timestamp")
-    win = J.forecast_windows(base, TB.forecast_hourly(spark, sf), decimals=None)
+    win = J.forecast_windows(*_as_of_base(spark, sf), decimals=None)
     preds = win.select("series", F.explode(F.array(*[
         F.struct(F.lit(h).alias("horizon"), A.pm25_to_aqi(F.col(f"fc_pm25_{h}h")).alias("prediction"))
         for h in (24, 48, 72)])).alias("p")).select("series", "p.*").filter(F.col("prediction").isNotNull())

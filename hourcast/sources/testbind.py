@@ -17,12 +17,18 @@ from hourcast.sources.tables import table
 FORECAST_DAYS = 10
 
 
-def _events(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+def _events(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None,
+            days: int | None = None) -> DataFrame:
+    """Events of the hours in [since, until), or of the last ``days`` days. The predicates are on the raw
+    column so the Parquet scan prunes row groups; bounds lie on hours, so they select whole hours."""
     ev = table(spark, sf_dir, "events")
     if since is not None:
-        # raw-column predicate so the Parquet scan prunes row groups; equivalent to
-        # filtering the hour when ``since`` is on an hour boundary
         ev = ev.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        ev = ev.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
+    if days is not None:
+        last_hour = table(spark, sf_dir, "events").select(floor_hour(F.max("ts"))).scalar()
+        ev = ev.filter(F.col("ts") >= last_hour - F.make_dt_interval(F.lit(days)))
     return ev.select(
         F.col("event_type").alias(SERIES),
         floor_hour("ts").alias(TS),
@@ -50,18 +56,18 @@ def _weather_aggs():
     ]
 
 
-def air_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).groupBy(SERIES, TS).agg(*_air_aggs())
+def air_hourly(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    return _events(spark, sf_dir, since, until).groupBy(SERIES, TS).agg(*_air_aggs())
 
 
-def weather_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _events(spark, sf_dir).groupBy(SERIES, TS).agg(*_weather_aggs())
+def weather_hourly(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
+    return _events(spark, sf_dir, since, until).groupBy(SERIES, TS).agg(*_weather_aggs())
 
 
-def obs_hourly(spark: SparkSession, sf_dir: str, since: str | None = None) -> DataFrame:
+def obs_hourly(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None) -> DataFrame:
     """Raw reading table: series, timestamp, aqi, pm25 ... wind_speed (one pass);
-    ``since`` (an hour boundary) restricts the scan."""
-    agg = _events(spark, sf_dir, since).groupBy(SERIES, TS).agg(*_air_aggs(), *_weather_aggs())
+    ``since`` and ``until`` (hour boundaries, the second exclusive) restrict the scan."""
+    agg = _events(spark, sf_dir, since, until).groupBy(SERIES, TS).agg(*_air_aggs(), *_weather_aggs())
     return agg.select(SERIES, TS, pm25_to_aqi("pm25").alias("aqi"), "pm25", "pm10", "o3", "no2", "so2", "co",
                       "temperature", "humidity", "wind_speed")
 
@@ -74,12 +80,11 @@ def all_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "temperature", "humidity", "wind_speed")
 
 
-def forecast_hourly(spark: SparkSession, sf_dir: str, days: int = FORECAST_DAYS) -> DataFrame:
-    """Forecast table: the last ``days`` days of the hourly grid, measures as fc_*."""
-    ev = _events(spark, sf_dir)
-    last_hour = ev.select(F.max(TS)).scalar()
-    recent = ev.filter(F.col(TS) >= last_hour - F.make_dt_interval(F.lit(days)))
-    return recent.groupBy(SERIES, TS).agg(
+def forecast_hourly(spark: SparkSession, sf_dir: str, days: int | None = FORECAST_DAYS, since: str | None = None,
+                    until: str | None = None) -> DataFrame:
+    """Forecast table: the last ``days`` days of the hourly grid (None: all of it), measures as fc_*;
+    ``since`` and ``until`` restrict the scan further."""
+    return _events(spark, sf_dir, since, until, days).groupBy(SERIES, TS).agg(
         F.avg("value").alias("fc_pm25"),
         F.min("value").alias("fc_co"),
         F.stddev_samp("value").alias("fc_no2"),

@@ -92,16 +92,23 @@ def corr_with(df: DataFrame, target: str, columns, series=None) -> DataFrame:
     return agg.selectExpr(*keys, f"stack({len(cols)}, {stack}) AS (feature, corr)")
 
 
+def value_counts(df: DataFrame, value: str, series=SERIES) -> DataFrame:
+    """(series, _x, _c): the distinct non-null values and their rows. A partial aggregate, so
+    only distinct values meet the per-series parameters, however often one repeats."""
+    v = df.select(series, F.col(value).alias("_x")).filter(F.col("_x").isNotNull())
+    return v.groupBy(series, "_x").agg(F.count(F.lit(1)).alias("_c"))
+
+
 def histogram(df: DataFrame, value: str, bins: int, series=SERIES) -> DataFrame:
     """Equal-width bins over [min, max] per series (last bin closed); every bin
     is emitted, empty ones with count 0 (bins generated per series row, no join
     fan-out)."""
-    v = df.select(series, F.col(value).alias("_x")).filter(F.col("_x").isNotNull())
+    v = value_counts(df, value, series)
     rng = v.groupBy(series).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     idx = F.least(F.floor((F.col("_x") - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))),
                   F.lit(bins - 1))
     idx = F.when(F.col("_hi") > F.col("_lo"), idx).otherwise(F.lit(0)).cast("int")
-    counts = v.join(rng, series).groupBy(series, idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    counts = v.join(rng, series).groupBy(series, idx.alias("bin")).agg(F.sum("_c").alias("count"))
     grid = rng.select(series, "_lo", "_hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     out = grid.join(counts, [series, "bin"], "left")
@@ -112,18 +119,18 @@ def histogram(df: DataFrame, value: str, bins: int, series=SERIES) -> DataFrame:
 
 def kde(df: DataFrame, value: str, grid: int = 200, cut: float = 3.0, series=SERIES) -> DataFrame:
     """Gaussian kernel density on ``grid`` points over [min - cut*h, max + cut*h]
-    with Scott's bandwidth h = std * n^(-1/5). Each row contributes to every grid
-    point inside its partition; partial sums are shuffled (grid x partitions)."""
+    with Scott's bandwidth h = std * n^(-1/5). Each distinct value contributes its rows
+    to every grid point inside its partition; partial sums are shuffled (grid x partitions)."""
     v = df.select(series, F.col(value).alias("_x")).filter(F.col("_x").isNotNull())
     p = v.groupBy(series).agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp("_x").alias("_sd"),
                               F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
     p = p.withColumn("_h", F.col("_sd") * F.pow(F.col("_n").cast("double"), F.lit(-0.2)))
     p = p.withColumns({"_g0": F.col("_lo") - cut * F.col("_h"),
                        "_gs": (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_h")) / F.lit(grid - 1)})
-    rows = v.join(p, series).withColumn("gi", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+    rows = value_counts(df, value, series).join(p, series).withColumn("gi", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
     gx = F.col("_g0") + F.col("gi") * F.col("_gs")
     z = (gx - F.col("_x")) / F.col("_h")
-    sums = rows.groupBy(series, "gi").agg(F.sum(F.exp(F.lit(-0.5) * z * z)).alias("_s"))
+    sums = rows.groupBy(series, "gi").agg(F.sum(F.col("_c") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
     out = sums.join(p, series)
     return out.select(series, "gi", (F.col("_g0") + F.col("gi") * F.col("_gs")).alias("x"),
                       (F.col("_s") / (F.col("_n") * F.col("_h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
@@ -134,36 +141,40 @@ def boxplot_stats(df: DataFrame, value: str, series=SERIES, whis: float = 1.5) -
     q = quantiles_wide(v, [series], "_x", [0.25, 0.5, 0.75], ["q1", "median", "q3"])
     iqr = F.col("q3") - F.col("q1")
     lo_f, hi_f = F.col("q1") - whis * iqr, F.col("q3") + whis * iqr
-    j = v.join(q, series)
+    j = value_counts(df, value, series).join(q, series)
     return j.groupBy(series, "q1", "median", "q3").agg(
         F.min(F.when(F.col("_x") >= lo_f, F.col("_x"))).alias("whisker_lo"),
         F.max(F.when(F.col("_x") <= hi_f, F.col("_x"))).alias("whisker_hi"),
-        F.count_if((F.col("_x") < lo_f) | (F.col("_x") > hi_f)).alias("n_fliers"),
+        F.sum(F.when((F.col("_x") < lo_f) | (F.col("_x") > hi_f), F.col("_c")).otherwise(0)).alias("n_fliers"),
     ).withColumn("iqr", iqr)
 
 
+def value_buckets(counts: DataFrame, series=SERIES, bucket_count: int = 256) -> DataFrame:
+    """Distinct values with ``_n`` (rows of the series) and ``_bk``, a bucket that grows with the
+    value. Bounds are approximate quantiles of the distinct values (a mergeable sketch), so an
+    outlier stretches no bucket; the bounds decide only which task ranks a value."""
+    at = [i / bucket_count for i in range(1, bucket_count)]
+    bounds = counts.groupBy(series).agg(F.sum("_c").alias("_n"), F.percentile_approx("_x", at, 10000).alias("_b"))
+    below = F.size(F.filter("_b", lambda b: b < F.col("_x")))
+    return counts.join(bounds, series).withColumn("_bk", below).drop("_b")
+
+
 RANK_SPLIT = 1_000_000  # ranks expanded per task for one repeated value
 
 
-def qq_fit(df: DataFrame, value: str, series=SERIES, bucket_count: int = 4096) -> DataFrame:
+def qq_fit(df: DataFrame, value: str, series=SERIES, bucket_count: int = 256) -> DataFrame:
     """Normal probability plot fit: sorted sample against normal order-statistic
     medians; slope, intercept, r.
 
     Ranks are assigned to *distinct values*: value counts are a partial
     aggregate (a value repeated by a third of all rows is combined map-side),
-    prefix sums over the distinct values come from value-bucketed positions,
-    and each value's rank range is cut into sub-ranges of at most
+    prefix sums over the distinct values come from value-bucketed positions
+    (``value_buckets``: equal numbers of distinct values, wherever they lie), and each value's rank range is cut into sub-ranges of at most
     ``RANK_SPLIT`` ranks that are spread over tasks before being expanded."""
-    v = df.select(series, F.col(value).alias("_x")).filter(F.col("_x").isNotNull())
-    counts = v.groupBy(series, "_x").agg(F.count(F.lit(1)).alias("_c"))
-    rng = counts.groupBy(series).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"), F.sum("_c").alias("_n"))
-    cj = counts.join(rng, series)
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(bucket_count)
-    bucket = F.when(width > 0, F.least(F.floor((F.col("_x") - F.col("_lo")) / width), F.lit(bucket_count - 1))) \
-        .otherwise(F.lit(0))
+    counts = value_counts(df, value, series)
     # start rank of each distinct value = rows before it: positions over the distinct
     # values, weighted by their counts (prefix sums of bucket totals + in-bucket sums)
-    staged = cj.withColumn("_bk", bucket)
+    staged = value_buckets(counts, series, bucket_count)
     wb = Window.partitionBy(series, "_bk").orderBy("_x").rowsBetween(Window.unboundedPreceding, -1)
     staged = staged.withColumn("_inb", F.coalesce(F.sum("_c").over(wb), F.lit(0)))
     tot = staged.groupBy(series, "_bk").agg(F.sum("_c").alias("_t"))

@@ -1167,8 +1167,16 @@ UNION ALL
 SELECT series, timestamp, timezone('{LOCAL_TZ}', timestamp AT TIME ZONE 'UTC') AS local_ts, 'forecast' AS kind,
        horizon, {S.r6('value')} AS value FROM pred""")
 def q_trend(spark, sf):
+    return _trend(spark, sf, TB.obs_hourly(spark, sf, until=AS_OF_UNTIL))
+
+
+@query("trend_without_pm25", ORACLES["trend"])
+def q_trend_without_pm25(spark, sf):
+    return _trend(spark, sf, TB.obs_hourly(spark, sf, until=AS_OF_UNTIL).drop("pm25"))
+
+
+def _trend(spark, sf, hist):
     from hourcast.plans.scoring import trend_frame
-    hist = TB.obs_hourly(spark, sf, until=AS_OF_UNTIL)
     win = J.forecast_windows(*_as_of_base(spark, sf), decimals=None)
     preds = win.select("series", "timestamp", F.explode(F.array(*[
         F.struct(F.lit(h).alias("horizon"), A.pm25_to_aqi(F.col(f"fc_pm25_{h}h")).alias("prediction"))
@@ -1452,6 +1460,16 @@ def q_landed_history_scan(spark, sf):
     return r6(P.read_landed(spark, path, P.AIR_FIELDS, "2024-01-05", "2024-01-11"))
 
 
+@query("landed_weather_scan", f"""
+WITH {S.OBS}
+SELECT series, timestamp, {', '.join(S.r6(c) + ' AS ' + c for c in ['temperature', 'humidity', 'wind_speed'])}
+FROM obs WHERE timestamp >= TIMESTAMP '2024-01-05 00:00:00' AND timestamp < TIMESTAMP '2024-01-12 00:00:00'""")
+def q_landed_weather_scan(spark, sf):
+    path = _os.path.join(SJ.run_dir(spark, "landed-weather"), "landing")
+    P.land_payloads(TB.obs_hourly(spark, sf), P.WEATHER_FIELDS, path)
+    return r6(P.read_landed(spark, path, P.WEATHER_FIELDS, "2024-01-05", "2024-01-11"))
+
+
 @query("permutation_importance")
 def q_permutation_importance(spark, sf):
     feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]

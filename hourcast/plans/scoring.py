@@ -24,14 +24,14 @@ def alerts(preds: DataFrame, series=SERIES, threshold: float = ALERT_THRESHOLD)
 
 def trend_frame(history: DataFrame, preds: DataFrame, last_n: int = 72, series=SERIES, ts="timestamp",
                 tz: str = LOCAL_TZ) -> DataFrame:
-    """Newest ``last_n`` actual rows (display AQI from pm25) plus one forecast
+    """Newest ``last_n`` actual rows (display AQI from pm25, or ``aqi`` where there is no pm25) plus one forecast
     point per horizon at ``timestamp + horizon`` hours, with local wall time."""
     from hourcast.functions.aqi import pm25_to_aqi
     from hourcast.functions.calendar import local_time
     from hourcast.operators.ordering import latest_n
     act = latest_n(history, last_n, series, ts).select(
         series, ts, F.lit("actual").alias("kind"), F.lit(None).cast("int").alias("horizon"),
-        pm25_to_aqi("pm25").alias("value"))
+        (pm25_to_aqi("pm25") if "pm25" in history.columns else F.col("aqi")).alias("value"))
     fut = preds.select(series, (F.col(ts) + F.make_dt_interval(F.lit(0), F.col("horizon"))).alias(ts),
                        F.lit("forecast").alias("kind"), F.col("horizon").cast("int").alias("horizon"),
                        F.col("prediction").alias("value"))

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hourcast.operators import joins as J
+from hourcast.operators import stats as ST
 from hourcast.operators.quantiles import quantiles_wide
 from tests.helpers import hours
 
@@ -112,3 +113,12 @@ def test_arg_extremes_of_string_keys_take_the_lowest_on_a_tie(spark):
     from hourcast.operators.aggregates import arg_extremes
     prof = spark.createDataFrame([("s", "2024-02", 5.0), ("s", "2024-01", 5.0), ("s", "2024-03", 5.0)], "series string, k string, mean double")
     assert tuple(arg_extremes(prof, "k").first()) == ("s", "2024-01", "2024-01")
+
+
+def test_value_buckets_resist_an_outlier(spark):
+    """One huge outlier leaves the buckets of distinct values even."""
+    df = spark.range(20000).select(F.lit("s").alias("series"), (F.col("id") * 0.5).alias("v"))
+    df = df.union(spark.createDataFrame([("s", 1e12)], "series string, v double"))
+    counts = ST.value_counts(df, "v")
+    sizes = [r["count"] for r in ST.value_buckets(counts, bucket_count=64).groupBy("_bk").count().collect()]
+    assert sum(sizes) == 20001 and max(sizes) <= 2 * sum(sizes) / len(sizes)

@@ -34,7 +34,7 @@ def query(name: str, sql: str | None = None):
 
 
 # The chunked queries cut every series of the test tables into several chunks and buckets.
-SMALL_CHUNKS = Halo(chunk_rows=96, bucket_seconds=2 * 86400)
+SMALL_CHUNKS = Halo(chunk_rows=192, bucket_seconds=4 * 86400)
 
 MEASURES = RAW_COLUMNS[1:]
 FEATURE_DOUBLES = (MEASURES + ["hour_sin", "hour_cos", "dow_sin", "dow_cos"] + LAG_COLUMNS + ROLLING_COLUMNS)

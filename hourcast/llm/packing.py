@@ -4,10 +4,10 @@ Texts are tokenised, each document's ids end with id 0, and only documents longe
 than a sequence are cut.  Pieces are dealt by a hash into groups of bounded
 size, and each group is packed on its own: whole sequences first, then best-fit
 decreasing as the incumbent, then, where the incumbent is above the lower
-bound, a depth-first branch and bound that fills the bin of the largest open
-piece, trying only undominated fillings, fullest first, and prunes by the waste
-that the lower bound leaves.  The search has a node budget; the best packing
-found stands.
+bound, a branch and bound that fills the bin of the largest open piece, trying
+only undominated fillings, fullest first, and prunes by the waste that one bin
+fewer leaves.  It is a limited discrepancy search, so its node budget goes to
+the first bins as to the last; the best packing found stands.
 
 Only lengths and check sums are shuffled, never ids; ``sequences`` makes the
 token arrays on request.
@@ -23,6 +23,8 @@ import re
 import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from heapq import heappop, heappush
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -33,8 +35,10 @@ from .common import materialise
 
 SEQUENCE = 2048
 GROUP_PIECES = 8192
-NODES_PER_BIN = 2
-STEPS = 25
+NODES = 20_000
+NODES_PER_BIN = 12
+FILLINGS = 4
+STEPS = 200
 CACHE_WORDS = 600_000
 CACHE_PIECES = 300_000
 TOKENIZER = "word_bpe_49k.json"
@@ -193,109 +197,113 @@ def best_fit(sizes: list[int], limit: int) -> list[list[int]]:
     return bins
 
 
-def fillings(sizes: list[int], counts: dict[int, int], room: int, most: int) -> list[tuple[int, ...]]:
-    """Undominated fillings of ``room`` from the open sizes, fullest first: a set
-    is left out if one of its pieces could be exchanged for a larger open one
-    that still fits, or another piece added.  At most ``most`` are returned."""
-    out: list[tuple[int, ...]] = []
-    used: dict[int, int] = {}
-    steps = 0
+def fillings(sizes: list[int], counts: dict[int, int], room: int, most: int, steps: int) -> tuple[list[tuple[int, ...]], bool]:
+    """Undominated fillings of ``room`` from the open sizes, fullest first, and
+    whether these are all: a set is left out if one of its pieces could be
+    exchanged for a larger open one that still fits, or another piece added.
 
-    def undominated(chosen: tuple[int, ...], left: int) -> bool:
-        k = bisect_right(sizes, left)
-        if any(counts[x] > used.get(x, 0) for x in sizes[:k]):
-            return False
-        for c in set(chosen):
+    At most ``most`` are returned, of those found in ``steps`` (a step chooses a
+    size and how often); the first found takes the largest that fits each time,
+    so there is one always."""
+    ends: list[tuple[int, tuple[tuple[int, int], ...]]] = []
+    full, whole = 0, True
+
+    def undominated(left: int, chosen: tuple[tuple[int, int], ...]) -> bool:
+        if not left:
+            return True
+        used = dict(chosen)
+        for c in (0, *used):
             a, b = bisect_right(sizes, c), bisect_right(sizes, c + left)
             if any(counts[x] > used.get(x, 0) for x in sizes[a:b]):
                 return False
         return True
 
-    def go(chosen: tuple[int, ...], left: int, at: int) -> None:
-        nonlocal steps
-        steps += 1
-        if len(out) >= most or steps > STEPS * most:
-            return
+    def go(chosen: tuple[tuple[int, int], ...], left: int, at: int) -> None:
+        nonlocal steps, full, whole
+        steps -= 1
         k = min(at, bisect_right(sizes, left) - 1)
         if k < 0:
-            if undominated(chosen, left):
-                out.append(chosen)
-            return
-        tried = 0
+            ends.append((left, chosen))
+            full += not left
         for j in range(k, -1, -1):
             s = sizes[j]
-            if counts[s] <= used.get(s, 0):
-                continue
-            used[s] = used.get(s, 0) + 1
-            go(chosen + (s,), left - s, j)
-            used[s] -= 1
-            tried += 1
-            if tried >= most or len(out) >= most:
-                break
-        if not tried and undominated(chosen, left):
-            out.append(chosen)
+            fit = min(counts[s], left // s)
+            # Of the smallest size, fewer than fit would leave room for another.
+            for n in range(fit, 0 if j else fit - 1, -1):
+                if ends and (steps <= 0 or full >= most):
+                    whole = False
+                    return
+                go(chosen + ((s, n),), left - n * s, j - 1)
 
     go((), room, len(sizes) - 1)
-    return sorted(set(out), key=lambda f: (-sum(f), len(f)))
+    ends.sort(key=lambda f: (f[0], sum(n for _, n in f[1])))
+    out = list(islice((chosen for left, chosen in ends if undominated(left, chosen)), most + 1))
+    return [tuple(s for s, n in chosen for _ in range(n)) for chosen in out[:most]], whole and len(out) <= most
+
+
+def spread(n: int) -> list[int]:
+    """0 to n - 1 so that each beginning is spread over all (bits reversed)."""
+    bits = max(1, (n - 1).bit_length())
+    return sorted(range(n), key=lambda i: f"{i:0{bits}b}"[::-1])
 
 
 def complete_bins(sizes: list[int], limit: int = SEQUENCE, nodes_per_bin: int = NODES_PER_BIN) -> list[list[int]]:
     """Bins of at most ``limit``: best fit, improved by bin completion until the
-    lower bound or the node budget is reached."""
-    incumbent = best_fit(sizes, limit)
-    least = lower_bound(sizes, limit)
-    if len(incumbent) <= least:
-        return incumbent
-    counts: dict[int, int] = {}
-    for s in sizes:
-        counts[s] = counts.get(s, 0) + 1
-    kinds = sorted(counts)
-    nodes = nodes_per_bin * len(incumbent)
-    best, spent = incumbent, 0
-    bins: list[list[int]] = []
-
-    def open_sizes() -> list[int]:
-        return [s for s in kinds if counts[s]]
-
-    # Explicit stack: (fillings of the bin of the largest open piece still to try, that piece, waste so far).
-    stack: list[tuple[int, list[tuple[int, ...]], int]] = []
-    wasted = 0
-
-    def descend() -> bool:
-        live = open_sizes()
-        if not live:
-            return False
-        top = live[-1]
-        counts[top] -= 1
-        live = [s for s in live if counts[s]]
-        stack.append((top, fillings(live, counts, limit - top, 4)[::-1], wasted))
-        return True
+    lower bound or the node budget is reached.
 
-    if not descend():
+    Limited discrepancy search: a dive gives each bin its fullest filling; then
+    come the dives that take another filling once, at bins spread over the whole
+    path, then twice, and so on.  Where fillings were left untested, the search
+    starts again with four times as many."""
+    best = best_fit(sizes, limit)
+    least = lower_bound(sizes, limit)
+    if len(best) <= least:
         return best
-    while stack and spent < nodes and len(best) > least:
-        top, todo, before = stack[-1]
-        if len(bins) == len(stack):  # undo the filling tried last
-            for s in bins.pop()[1:]:
-                counts[s] += 1
-            wasted = before
-        if not todo:
-            stack.pop()
-            counts[top] += 1
-            continue
-        filling = todo.pop()
-        spent += 1
-        lost = limit - top - sum(filling)
-        # One bin fewer than the incumbent leaves this much waste in all.
-        if wasted + lost > (len(best) - 1) * limit - sum(sizes):
-            continue
-        for s in filling:
-            counts[s] -= 1
-        bins.append([top, *filling])
-        wasted = before + lost
-        if len(stack) + 1 > len(best) + 1 or not descend():
-            if sum(map(len, bins)) == len(sizes) and len(bins) < len(best):
-                best = [list(b) for b in bins]
+    every: dict[int, int] = {}
+    for s in sizes:
+        every[s] = every.get(s, 0) + 1
+    total = sum(sizes)
+    nodes = max(NODES, nodes_per_bin * len(best))
+    spent, most, steps, whole = 0, FILLINGS, STEPS, False
+    while not whole:
+        whole = True
+        # (other fillings taken, place, number, an earlier dive's bins, how many of them, the bins that follow)
+        todo: list[tuple[int, int, int, list[list[int]], int, list[list[int]]]] = [(0, 0, 0, [], 0, [])]
+        number = 0
+        while todo:
+            taken, _, _, before, kept, start = heappop(todo)
+            bins, counts = before[:kept] + start, dict(every)
+            for s in (s for b in bins for s in b):
+                counts[s] -= 1
+            live = sorted(s for s in counts if counts[s])
+            # One bin fewer than the best leaves this much waste in all.
+            spare = (len(best) - 1) * limit - total - sum(limit - sum(b) for b in bins)
+            others = []
+            while live and spare >= 0:
+                if spent >= nodes:
+                    return best
+                top = live[-1]
+                counts[top] -= 1
+                if not counts[top]:
+                    live.pop()
+                found, all_of_them = fillings(live, counts, limit - top, most, steps)
+                spent += steps // STEPS  # a node with more steps counts for more
+                whole &= all_of_them
+                others += [(len(bins), [top, *f]) for f in found[1:] if limit - top - sum(f) <= spare]
+                for s in found[0]:
+                    counts[s] -= 1
+                    if not counts[s]:
+                        del live[bisect_left(live, s)]
+                bins.append([top, *found[0]])
+                spare -= limit - sum(bins[-1])
+            if not live and len(bins) < len(best):
+                best = bins
+                if len(best) <= least:
+                    return best
+            for at, i in enumerate(spread(len(others))):
+                number += 1
+                heappush(todo, (taken + 1, at, number, bins, others[i][0], [others[i][1]]))
+        most, steps = 4 * most, 4 * steps
     return best
 
 

@@ -225,6 +225,23 @@ def test_bin_completion_against_brute_force():
         assert packing.lower_bound(sizes, 100) <= least_bins(sizes, 100) == len(bins)
 
 
+def test_search_revisits_the_first_bins():
+    # Production budget; best fit takes 177 bins, and a budget of one dive no fewer.
+    sizes = np.random.default_rng(5).integers(410, 690, 600).tolist()
+    bins = packing.complete_bins(sizes)
+    assert sorted(x for b in bins for x in b) == sorted(sizes) and max(map(sum, bins)) <= 2048
+    first, least = len(packing.best_fit(sizes, 2048)), packing.lower_bound(sizes, 2048)
+    assert len(bins) - least <= (first - least) / 3
+
+
+def test_fillings_of_many_pieces_and_fullest_first():
+    found, whole = packing.fillings([1], {1: 3000}, 2000, 4, 100)
+    assert found == [(1,) * 2000] and whole
+    found, whole = packing.fillings([3, 5, 7, 8], {3: 2, 5: 1, 7: 1, 8: 1}, 10, 4, 100)
+    assert found == [(7, 3), (8,)] and whole  # 5 with 3 could take 7 instead
+    assert not packing.fillings(list(range(50, 300)), dict.fromkeys(range(50, 300), 1), 2000, 4, 100)[1]
+
+
 def test_language_spans(spark, messy, empty):
     de = "der hund und die katze gehen nicht durch das haus weil es dunkel ist"
     en = "the dog and the cat are walking through this house while the light is on"

@@ -2,19 +2,21 @@
 
 Each page becomes text lines (its blocks), marked by where they stand: inside
 what the page itself names its article, inside what it names boilerplate, or
-neither.  Pages of a host are ordered by URL path; a page is paired with the
+neither.  Pages of a host with equal lines are one content, at the first of
+their paths.  Contents are ordered by URL path; each is paired with the
 neighbour whose path shares more with its own, their lines are aligned by the
 longest common subsequence, and shared lines are deleted.  Lines inside the
 named article stay: passages that two articles quote are not boilerplate.  Of
-pairs that share nearly all lines (copies of one page) nothing is deleted.
+pairs that share nearly all lines that are neither named article nor named
+boilerplate (near copies of one page) nothing is deleted.
 
 The order by path is a distributed sort; a page at the edge of a sorted range
 finds its neighbour through the ranges' first and last rows.  Only line hashes
 are sorted, paired and aligned; deletions go back to the pages.
 
 Defined results: null html is an empty text.  Pages with a null id or URL, and
-pages alone on their host, are not paired.  Rows of equal id and html are
-treated alike.  Very long pages are processed whole.
+pages whose content is alone on their host, are not paired.  Every row gives
+one row; rows of equal id may differ in URL and html.  Very long pages are processed whole.
 """
 
 from __future__ import annotations
@@ -211,35 +213,44 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", conten
     def outline(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             lines = [lines_of(x) for x in b["html"]]
-            yield pd.DataFrame({"page_id": b["page_id"], "host": b["host"], "path": b["path"],
-                                "lines": [hashes([t for _, t in x]) for x in lines],
-                                "regions": [bytes(r for r, _ in x) for x in lines]})
+            keys = [hashes([t for _, t in x]) for x in lines]
+            regions = [bytes(r for r, _ in x) for x in lines]
+            digests = [blake2b(f"{h}\0{len(r)}\0".encode("utf-8", "surrogatepass") + r + np.array(k, np.int64).tobytes(), digest_size=16).digest()
+                       for h, r, k in zip(b["host"], regions, keys)]
+            yield pd.DataFrame({"page_id": b["page_id"], "host": b["host"], "path": b["path"], "hash": b["hash"],
+                                "content": digests, "lines": keys, "regions": regions})
 
     host = F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     path = F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    keyed = p.filter("page_id is not null and url is not null").select("page_id", host.alias("host"), path.alias("path"), "html")
-    lined = materialise(keyed.mapInPandas(outline, "page_id long, host string, path string, lines array<long>, regions binary"), "html-lines")
-    pairs = neighbours(lined.select("page_id", "host", "path").dropDuplicates(["page_id"]))
-    other = lined.select(F.col("page_id").alias("mate"), F.col("lines").alias("mate_lines")).dropDuplicates(["mate"])
-    pairs = lined.join(pairs, "page_id").join(other, "mate").select("page_id", "lines", "regions", "mate_lines")
+    p = p.withColumn("host", host).withColumn("hash", F.md5("html"))
+    keyed = p.filter("page_id is not null and url is not null").select("page_id", "host", path.alias("path"), "hash", "html")
+    lined = materialise(keyed.mapInPandas(
+        outline, "page_id long, host string, path string, hash string, content binary, lines array<long>, regions binary"), "html-lines")
+    contents = lined.groupBy("host", "content").agg(F.min("path").alias("path"))
+    pairs = neighbours(contents.withColumnRenamed("content", "page_id")).withColumnRenamed("page_id", "content")
+    one = materialise(lined.select("content", "lines", "regions").dropDuplicates(["content"]), "html-contents")
+    other = one.select(F.col("content").alias("mate"), F.col("lines").alias("mate_lines"), F.col("regions").alias("mate_regions"))
+    pairs = one.join(pairs, "content").join(other, "mate").select("content", "lines", "regions", "mate_lines", "mate_regions")
 
     def difference(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             ids, sizes, drops = [], [], []
-            for i, lines, regions, mate in zip(b["page_id"], b["lines"], b["regions"], b["mate_lines"]):
-                shared = common_subsequence(list(lines), list(mate))
-                if len(shared) >= COPY_SHARE * max(len(lines), len(mate)):
-                    continue
-                gone = [j for j in shared if regions[j] == PLAIN]
-                if gone:
+            for i, lines, regions, mate, mate_regions in zip(b["content"], b["lines"], b["regions"], b["mate_lines"], b["mate_regions"]):
+                gone = [j for j in common_subsequence(list(lines), list(mate)) if regions[j] == PLAIN]
+                if gone and len(gone) < COPY_SHARE * max(r.count(PLAIN) for r in (regions, mate_regions)):
                     ids.append(i)
                     sizes.append(len(lines))
                     drops.append(gone)
-            yield pd.DataFrame({"_id": np.array(ids, np.int64), "_lines": np.array(sizes, np.int32), "_drop": pd.Series(drops, dtype=object)})
+            yield pd.DataFrame({"content": pd.Series(ids, dtype=object), "_lines": np.array(sizes, np.int32), "_drop": pd.Series(drops, dtype=object)})
 
-    drop = materialise(pairs.mapInPandas(difference, "_id long, _lines int, _drop array<int>"), "html-drop")
-    side = F.broadcast(drop) if drop.count() <= BROADCAST_IDS // 16 else drop
-    full = p.join(side, F.col("page_id") == F.col("_id"), "left").select("page_id", "url", "html", "_lines", "_drop")
+    def small(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if df.count() <= BROADCAST_IDS // 16 else df
+
+    drop = materialise(pairs.mapInPandas(difference, "content binary, _lines int, _drop array<int>"), "html-drop")
+    # One row for each page_id, host and html.
+    drop = lined.select("page_id", "host", "hash", "content").distinct().join(small(drop), "content").drop("content")
+    side = small(materialise(drop, "html-drop"))
+    full = p.join(side, ["page_id", "host", "hash"], "left").select("page_id", "url", "html", "_lines", "_drop")
 
     def main_text(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:

@@ -91,6 +91,18 @@ def test_differencing_deletes_what_neighbours_share(spark, empty):
     assert html_extract.extract(pages(spark, [])).count() == 0
 
 
+def test_copies_are_judged_on_unnamed_lines_and_paired_with_other_content(spark):
+    def page(*plain):
+        menu = "".join(f"<li>entry {i}" for i in range(100))
+        return f"<html><body><nav><ul>{menu}</ul></nav><p>Site name</p>" + "".join(f"<p>{x}</p>" for x in plain) + "<p>All rights</p></body></html>"
+
+    rows = [(1, "http://h.example/1", page("one", "uno", "un"), ""), (2, "http://h.example/2", page("two", "dos", "deux"), "")]
+    rows += [(10 + i, f"http://c.example/a/{i}", page("same", "text"), "") for i in range(5)] + [(20, "http://c.example/b", page("other"), "")]
+    text = {r.page_id: r.text for r in html_extract.extract(pages(spark, rows).repartition(3)).collect()}
+    assert text[1] == "one\nuno\nun" and text[2] == "two\ndos\ndeux" and text[20] == "other"
+    assert {text[10 + i] for i in range(5)} == {"same\ntext"}
+
+
 def test_common_subsequence_against_brute_force():
     from functools import lru_cache
     rng = np.random.default_rng(4)

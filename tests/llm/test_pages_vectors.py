@@ -103,6 +103,16 @@ def test_copies_are_judged_on_unnamed_lines_and_paired_with_other_content(spark)
     assert {text[10 + i] for i in range(5)} == {"same\ntext"}
 
 
+def test_every_row_gives_one_row(spark):
+    def page(body):
+        return f"<p>Site name</p><p>{body}</p><p>more {body}</p><p>All rights</p>"
+
+    rows = [(1, "http://h.example/1", page("one"), "")] * 5 + [(1, "http://h.example/1", page("uno"), "")] * 2
+    rows += [(2, "http://h.example/2", page("two"), ""), (1, "http://alone.example/", page("one"), "")]
+    got = sorted((r.page_id, r.text) for r in html_extract.extract(pages(spark, rows).repartition(3)).collect())
+    assert got == sorted([(1, "one\nmore one")] * 5 + [(1, "uno\nmore uno")] * 2 + [(2, "two\nmore two"), (1, "Site name\none\nmore one\nAll rights")])
+
+
 def test_common_subsequence_against_brute_force():
     from functools import lru_cache
     rng = np.random.default_rng(4)

@@ -1,7 +1,7 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 1. Texts become sets of hashed word shingles; texts with equal sets form a
-   class (grouped by a 128-bit digest), and one representative goes on.
+   class (grouped by a 128-bit digest), and one numbered representative goes on.
 2. ``BANDS`` bands of ``ROWS`` MinHash values give buckets of candidates.
 3. Star phase: each bucket compares its members with its smallest member.
    Candidates are compared batch by batch of their signatures; after each batch
@@ -74,8 +74,15 @@ def signatures(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return out
 
 
+def digests(values: np.ndarray, sizes: np.ndarray) -> list[np.ndarray]:
+    """Two 64-bit digests of each set that is not empty."""
+    some = sizes[sizes > 0]
+    starts = np.concatenate(([0], np.cumsum(some)[:-1])).astype(np.int64)
+    return [np.add.reduceat(mix(values ^ s), starts) if len(some) else np.zeros(0, np.uint64) for s in seeded(2, 23)]
+
+
 def signed(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, n, d1, d2, sig, bands): set size and digest, low bytes of the
+    """(doc_id, row, n, d1, d2, sig, bands): set size and digest, low bytes of the
     signature, band hashes; the last four null for an empty set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,8 +90,7 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
             for first, values, sizes in shingle_sets(batch.column(1).to_pylist(), k):
                 at = np.flatnonzero(sizes)
                 sig = signatures(values, sizes)
-                starts = np.concatenate(([0], np.cumsum(sizes[at])[:-1])).astype(np.int64)
-                d = [np.add.reduceat(mix(values ^ s), starts) if len(at) else np.zeros(0, np.uint64) for s in seeded(2, 23)]
+                d = digests(values, sizes)
                 lanes = seeded(HASHES, 24).reshape(BANDS, ROWS)
                 band = mix((sig.astype(np.uint64).reshape(-1, BANDS, ROWS) * lanes).sum(2, dtype=np.uint64) + np.arange(BANDS, dtype=np.uint64))
                 low = sig.astype(np.uint8)
@@ -92,27 +98,28 @@ def signed(docs: DataFrame, k: int) -> DataFrame:
                 where = {int(i): r for r, i in enumerate(at)}
                 pick = [where.get(i) for i in range(n)]
                 yield pa.RecordBatch.from_arrays([
-                    ids.slice(first, n), pa.array(sizes, pa.int64()),
+                    ids.slice(first, n), batch.column(2).slice(first, n), pa.array(sizes, pa.int64()),
                     *[pa.array([None if r is None else int(x[r]) for r in pick], pa.int64()) for x in (y.view(np.int64) for y in d)],
                     pa.array([None if r is None else low[r].tobytes() for r in pick], pa.binary()),
                     pa.array([None if r is None else band[r].view(np.int64) for r in pick], pa.list_(pa.int64())),
-                ], names=["doc_id", "n", "d1", "d2", "sig", "bands"])
+                ], names=["doc_id", "row", "n", "d1", "d2", "sig", "bands"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
-        run, "doc_id long, n long, d1 long, d2 long, sig binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "row").mapInArrow(
+        run, "doc_id long, row long, n long, d1 long, d2 long, sig binary, bands array<long>")
 
 
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
-    """(doc_id, set): the sorted shingle hashes as bytes."""
+    """(d1, d2, n, set) of the sets that are not empty: digest, size and the sorted
+    shingle hashes as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0)
-            for first, values, sizes in shingle_sets(batch.column(1).to_pylist(), k):
-                ends = np.cumsum(sizes)
-                out = [values[e - s:e].tobytes() for s, e in zip(sizes, ends)]
-                yield pa.RecordBatch.from_arrays([ids.slice(first, len(sizes)), pa.array(out, pa.binary())], names=["doc_id", "set"])
+            for _, values, sizes in shingle_sets(batch.column(0).to_pylist(), k):
+                d1, d2 = (pa.array(x.view(np.int64)) for x in digests(values, sizes))
+                some = sizes[sizes > 0]
+                out = [values[e - s:e].tobytes() for s, e in zip(some, np.cumsum(some))]
+                yield pa.RecordBatch.from_arrays([d1, d2, pa.array(some, pa.int64()), pa.array(out, pa.binary())], names=["d1", "d2", "n", "set"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, set binary")
+    return docs.select("text").mapInArrow(run, "d1 long, d2 long, n long, set binary")
 
 
 @lru_cache
@@ -169,8 +176,8 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    full = pairs.join(sets.select(F.col("doc_id").alias("a"), F.col("set").alias("set_a")), "a")
-    full = full.join(sets.select(F.col("doc_id").alias("b"), F.col("set").alias("set_b")), "b")
+    full = pairs.join(sets.select(F.col("rep").alias("a"), F.col("set").alias("set_a")), "a")
+    full = full.join(sets.select(F.col("rep").alias("b"), F.col("set").alias("set_b")), "b")
     return full.select("a", "b", "set_a", "set_b").mapInArrow(exact, "a long, b long")
 
 
@@ -272,13 +279,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
                     percent: int = PERCENT) -> DataFrame:
     """One row per document: ``doc_id``, ``n_shingles``, ``component_id`` (smallest
     doc_id reachable over links of similarity >= ``percent``) and ``kept``."""
-    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.lit(None).cast("long").alias("row"))
+    out = grouped(src, k, percent)
+    return out.select("doc_id", F.col("n").alias("n_shingles"), "component_id",
+                      F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+
+
+def grouped(src: DataFrame, k: int, percent: int) -> DataFrame:
+    """(doc_id, row, n, comp, component_id) of every row of ``src`` (doc_id, text,
+    row): ``comp`` numbers the component, null for a row that is linked with nothing."""
     all_docs = materialise(signed(src, k), "near-signed")
     known = all_docs.filter("n > 0 and doc_id is not null")
-    classes = materialise(known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("rep")), "near-classes")
-    keyed = known.join(classes.withColumnRenamed("rep", "r"), ["d1", "d2", "n"])
-    reps = materialise(keyed.filter("doc_id = r").select(F.col("doc_id").alias("rep"), "n", "sig", "bands")
-                       .dropDuplicates(["rep"]), "near-reps")
+    classes = known.groupBy("d1", "d2", "n").agg(F.min("doc_id").alias("first"))
+    classes = materialise(classes.withColumn("rep", F.monotonically_increasing_id()), "near-classes")
+    keyed = known.join(classes, ["d1", "d2", "n"])
+    reps = materialise(keyed.filter("doc_id = first").select("rep", "n", "sig", "bands").dropDuplicates(["rep"]), "near-reps")
     members = reps.select("rep", "n", F.posexplode("bands").alias("band", "bucket"))
     buckets = members.groupBy("bucket").agg(F.count("*").alias("cnt"), F.min("rep").alias("pivot"), F.sum("n").alias("weight"))
     members = members.join(buckets.filter("cnt > 1"), "bucket")
@@ -289,11 +304,13 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     stars = materialise(unpruned(pivots, reps, percent), "near-stars")
     inner = materialise(unpruned(inner.filter("a < b").select("a", "b").distinct(), reps, percent), "near-pairs")
     many = members.filter(F.col("cnt") > SMALL_BUCKET)
-    ids = stars.union(inner).select(F.explode(F.array("a", "b")).alias("doc_id")).union(many.select("rep")).distinct()
-    ids = materialise(ids, "near-ids")
+    ids = stars.union(inner).select(F.explode(F.array("a", "b")).alias("rep")).union(many.select("rep")).distinct()
+    wanted = materialise(classes.join(ids, "rep", "left_semi"), "near-ids")
+    ids = wanted.select(F.col("first").alias("doc_id")).distinct()
     # Few enough ids go to the texts; more than that, and each text moves once to its id.
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    sets = materialise(sets_of(src.join(ids, "doc_id", "left_semi"), k), "near-sets")
+    sets = sets_of(src.join(ids, "doc_id", "left_semi"), k).dropDuplicates(["d1", "d2", "n"])
+    sets = materialise(sets.join(wanted, ["d1", "d2", "n"]).select("rep", "set"), "near-sets")
     links = materialise(linked(stars, sets, percent), "near-links")
     roots = components(links)
 
@@ -308,14 +325,22 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     mixed = many.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo != hi")
     nb = F.greatest(F.ceil(F.col("cnt") / BLOCK_DOCS), F.ceil(F.col("weight") / BLOCK_SHINGLES))
     many = many.join(mixed.select("bucket"), "bucket").withColumn("nb", nb).join(reps.select("rep", "sig", "bands"), "rep")
-    many = many.join(sets.select(F.col("doc_id").alias("rep"), "set"), "rep")
+    many = many.join(sets, "rep")
     links = links.union(materialise(block_links(many, percent), "near-links"))
     roots = components(links)
-    final = with_comp(classes)
-    out = all_docs.filter("n > 0").select("doc_id", "n", "d1", "d2").join(final.select("d1", "d2", "n", "comp"), ["d1", "d2", "n"], "left")
-    out = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), F.col("comp")).alias("component_id"))
-    none = all_docs.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return out.union(none).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    # The smallest doc_id of the components of several classes.
+    nodes = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    nodes = materialise(nodes.join(classes.select(F.col("rep").alias("node"), "first"), "node"), "near-nodes")
+    labels = materialise(nodes.groupBy("root").agg(F.min("first").alias("label")), "near-labels")
+    labels = F.broadcast(labels) if labels.count() <= BROADCAST_IDS else labels
+    nodes = nodes.join(labels, "root").select(F.col("node").alias("rep"), F.col("root").alias("comp"), "label")
+    final = classes.join(nodes, "rep", "left").select(
+        "d1", "d2", "n", F.coalesce("comp", "rep").alias("comp"), F.coalesce("label", "first").alias("label"))
+    out = all_docs.filter("n > 0").select("doc_id", "row", "n", "d1", "d2").join(final, ["d1", "d2", "n"], "left")
+    has = F.col("doc_id").isNotNull()
+    out = out.select("doc_id", "row", "n", F.when(has, F.col("comp")).alias("comp"), F.when(has, F.col("label")).alias("component_id"))
+    none = all_docs.filter("n = 0").select("doc_id", "row", "n", F.lit(None).cast("long").alias("comp"), F.col("doc_id").alias("component_id"))
+    return out.union(none)
 
 
 def distinct_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:

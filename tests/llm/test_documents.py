@@ -127,6 +127,14 @@ def test_near_duplicates_hot_group(spark, monkeypatch):
     assert got == want and len(set(want.values())) > 5
 
 
+def test_texts_of_one_id_are_documents_of_their_own(spark):
+    a, b = prose(90, 1), prose(90, 40)[::-1]
+    table = [(1, a), (1, b), (1, b), (2, a + " end"), (3, b + " end"), (3, b + " end")]
+    d = spark.createDataFrame(table, "doc_id long, text string").repartition(2)
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(d).collect())
+    assert got == [(1, 1, True)] * 3 + [(2, 1, False)] + [(3, 1, False)] * 2
+
+
 def test_pruning_bound():
     assert all(0 < m < n for n, m in least_matches())
     rng = np.random.default_rng(0)

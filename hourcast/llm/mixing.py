@@ -164,9 +164,12 @@ def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     got = got.filter("taken > 0").select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("source").alias("_s"), "taken", "size")
     names = [f"c{i}" for i in range(len(docs.columns))]
     col = {n: F.col(f"c{i}") for i, n in enumerate(docs.columns)}
-    d = docs.toDF(*names)
-    d = d.join(got, col[doc_id].eqNullSafe(F.col("_d")) & F.xxhash64(col[text]).eqNullSafe(F.col("_k"))
-               & col[source].cast("string").eqNullSafe(F.col("_s")))
+    d = materialise(docs.toDF(*names).withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
+    # Equal rows are one document, and the first of them stands for it.
+    first = d.groupBy(col[doc_id].alias("_d2"), F.xxhash64(col[text]).alias("_k2"), col[source].cast("string").alias("_s2")).agg(
+        F.min("_row").alias("_row"))
+    got = first.join(got, F.col("_d2").eqNullSafe(F.col("_d")) & F.col("_k2").eqNullSafe(F.col("_k")) & F.col("_s2").eqNullSafe(F.col("_s")))
+    d = d.join(got.select("_row", "taken", "size"), "_row")
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")
     rest = (F.col("taken") - whole * F.col("size")).cast("int")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(rest > 0, F.array(rest)).otherwise(F.array().cast("array<int>")))

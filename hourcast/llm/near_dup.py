@@ -22,7 +22,8 @@ at 0.8) for lack of a common bucket, and below ``MISS`` for each batch.
 
 Defined results: a null or empty text has no shingles and is linked with
 nothing.  A null ``doc_id`` gets a null component and is kept.  Rows of equal
-``doc_id`` are one document if their texts are equal; all its rows are kept alike.
+``doc_id`` are one document if their texts are equal; all its rows are kept alike
+in ``near_duplicates``, and one of them stays in ``distinct_documents``.
 """
 
 from __future__ import annotations
@@ -343,10 +344,15 @@ def grouped(src: DataFrame, k: int, percent: int) -> DataFrame:
     return out.union(none)
 
 
-def distinct_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
-    """The documents that stay, one of each group, columns unchanged."""
-    lost = near_duplicates(docs, text, doc_id, **options).filter("not kept").select(F.col("doc_id").alias("_lost"))
+def distinct_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k: int = SHINGLE,
+                       percent: int = PERCENT) -> DataFrame:
+    """The documents that stay, one row of each group, columns unchanged: the first
+    written of its smallest ``doc_id``.  Rows that are linked with nothing stay."""
     names = [f"c{i}" for i in range(len(docs.columns))]
-    d = docs.toDF(*names)
-    d = d.join(lost, F.col(names[docs.columns.index(doc_id)]).cast("long") == F.col("_lost"), "left_anti")
-    return d.toDF(*docs.columns)
+    col = dict(zip(docs.columns, names))
+    d = materialise(docs.toDF(*names).withColumn("row", F.monotonically_increasing_id()), "near-rows")
+    src = d.select(F.col(col[doc_id]).cast("long").alias("doc_id"), F.col(col[text]).alias("text"), "row")
+    rows = materialise(grouped(src, k, percent).filter("comp is not null").select("comp", "doc_id", "row"), "near-groups")
+    stay = rows.groupBy("comp").agg(F.min(F.struct("doc_id", "row"))["row"].alias("row"))
+    lost = rows.select("row").join(stay, "row", "left_anti")
+    return d.join(lost, "row", "left_anti").select(*names).toDF(*docs.columns)

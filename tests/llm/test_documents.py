@@ -133,6 +133,8 @@ def test_texts_of_one_id_are_documents_of_their_own(spark):
     d = spark.createDataFrame(table, "doc_id long, text string").repartition(2)
     got = sorted((r.doc_id, r.component_id, r.kept) for r in near_dup.near_duplicates(d).collect())
     assert got == [(1, 1, True)] * 3 + [(2, 1, False)] + [(3, 1, False)] * 2
+    left = sorted(tuple(r) for r in near_dup.distinct_documents(d).collect())
+    assert left == sorted([(1, a), (1, b)])
 
 
 def test_pruning_bound():
@@ -169,6 +171,15 @@ def test_mixed_documents_take_the_words(messy):
     assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == sum(taken.values())
 
 
+def test_repeated_rows_are_mixed_once(spark):
+    table = [(i, prose(60, i), "en", f"s{i % 3}") for i in range(30)] + [(3, prose(60, 3), "en", "s0")] * 20
+    d = spark.createDataFrame(table, "doc_id long, text string, lang string, source string").repartition(3)
+    want = mixing.mix(d)[0].agg(F.sum("taken")).first()[0]
+    out = mixing.mixed_documents(d)
+    assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == want
+    assert out.groupBy("doc_id").count().filter("count > 2").count() == 0
+
+
 def test_packing(messy, empty):
     from tokenizers import Tokenizer
     path = packing.tokenizer_path()

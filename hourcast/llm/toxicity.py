@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bytehash import chunks, lower_table, words_and_prefixes
+from .common import materialise
 
 MAX_TOXIC = 3000
 MAX_UNLABELLED = 9000
@@ -137,16 +138,22 @@ def fit_pu(toxic: list, unlabelled: list, prior: float, steps: int = STEPS, seed
 
 def learn(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_unlabelled: int = MAX_UNLABELLED) -> Model:
     """A model from the rows outside fold 2; ``prior`` is the toxic share of the
-    labelled rows.  The samples are the first rows by a hash of the id, found on
-    ids alone; the texts read are theirs."""
+    labelled rows.  The samples are the first ids by a hash, found on distinct ids
+    alone; the texts read are theirs, each text of an id once, and no more of them
+    than the bounds."""
     order = F.xxhash64(F.lit(SEED), "doc_id")
     lab = labels.filter(F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != 2)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = lab.filter("toxic is not null").agg(F.avg((F.col("toxic") == 1).cast("double"))).first()[0]
-    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != 2))
+    ids = docs.select("doc_id").filter(F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != 2)).distinct()
     some = ids.orderBy(order, "doc_id").limit(max_unlabelled).select("doc_id", F.lit(0).alias("toxic"))
     sure = lab.filter("toxic = 1").select("doc_id").orderBy(order, "doc_id").limit(max_toxic).select("doc_id", F.lit(1).alias("toxic"))
     want = F.broadcast(some.union(sure))
-    rows = docs.select("doc_id", "text").join(want, "doc_id").select("doc_id", "text", "toxic").toPandas().sort_values(["doc_id", "toxic"])
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("_h")).join(want, "doc_id").dropDuplicates(["doc_id", "_h", "toxic"])
+    rows = materialise(rows, "toxicity-sample")
+    texts = rows.select("doc_id", "_h", "toxic").orderBy(order, "doc_id", "_h")
+    taken = texts.filter("toxic = 0").limit(max_unlabelled).union(texts.filter("toxic = 1").limit(max_toxic))
+    rows = rows.join(F.broadcast(taken.withColumnRenamed("_h", "_t")), ["doc_id", "toxic"]).filter(F.col("_h").eqNullSafe(F.col("_t")))
+    rows = rows.select("doc_id", "text", "toxic", "_h").toPandas().sort_values(["doc_id", "toxic", "_h"])
     return fit_pu(rows.text[rows.toxic == 1].tolist(), rows.text[rows.toxic == 0].tolist(), float(share or 0.0))
 
 

@@ -312,6 +312,17 @@ def test_toxicity(spark, messy, empty):
     assert toxicity.score(empty, toxicity.learn(empty, labels.limit(0))).count() == 0
 
 
+def test_toxicity_sample_is_bounded(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(toxicity, "fit_pu", lambda t, u, prior: seen.append((sorted(t), sorted(u))))
+    ids = [r.i for r in spark.range(200).select(F.col("id").alias("i")).filter(toxicity.fold_of(F.col("i")) != 2).collect()]
+    table = [(ids[0], "again")] * 300 + [(ids[0], f"other {i}") for i in range(30)] + [(i, f"text {i}") for i in ids[1:]]
+    docs = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(ids[0], 1), (ids[1], 1), (ids[2], 0)], "doc_id long, toxic int")
+    toxicity.learn(docs, labels, max_toxic=10, max_unlabelled=500)
+    assert len(seen[0][0]) == 10 and seen[0][1] == sorted(t for _, t in set(table))
+
+
 def test_pipeline(spark, tmp_path):
     table = [(i, prose(80, i % 17) + f" tail{i % 40} " * (i % 5), "en", f"s{i % 3}", 1) for i in range(120)]
     table += [(200 + i, "word " * 200, "en", "s1", 1) for i in range(3)]

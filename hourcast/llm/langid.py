@@ -4,7 +4,8 @@ per-word scores with a switching penalty labels spans.
 The model counts, for every language, the hashed byte n-grams (1 to 4, with word
 edges) and the scripts of all training texts.  A word's score in a language is the
 sum of its n-grams' log probabilities; languages that do not write the word's
-script are ruled out, if another does.  The path through the words pays
+script are ruled out, if another does; letters of no listed script rule out none.
+The path through the words pays
 ``SWITCH`` for each change of language; the text's language is the one with the
 most letters on the path, and the score is its share of them.
 
@@ -58,6 +59,8 @@ def script_table() -> np.ndarray:
 
 
 _SCRIPT = script_table()
+OTHER = len(SCRIPTS) + 1  # letters of no script above
+_LETTER = np.fromiter((chr(cp).isalpha() for cp in range(0x110000)), bool, 0x110000)
 
 
 def separators() -> np.ndarray:
@@ -108,13 +111,25 @@ class Batch:
             yield bucket, ok
 
     def scripts(self) -> np.ndarray:
-        """Script of each position (0 for none)."""
+        """Script of each position (0 for none, ``OTHER`` for a letter of none listed)."""
         two = (self.raw[:-1].astype(np.int64) << 8) | self.raw[1:]
-        return np.append(_SCRIPT[two], 0)
+        out = np.append(_SCRIPT[two], 0)
+        at = np.flatnonzero((self.raw >= 0xC2) & (out == 0))
+        if len(at):
+            b = np.append(self.raw, [0] * 3).astype(np.int64)
+            lead, *low = (b[at + i] & (0x3F if i else 0xFF) for i in range(4))
+            cp = np.where(lead < 0xE0, (lead & 0x1F) << 6 | low[0], np.where(
+                lead < 0xF0, (lead & 0x0F) << 12 | low[0] << 6 | low[1], (lead & 0x07) << 18 | low[0] << 12 | low[1] << 6 | low[2]))
+            out[at[_LETTER[np.minimum(cp, 0x10FFFF)]]] = OTHER
+        return out
 
     def word_scripts(self) -> np.ndarray:
-        """The largest script number among a word's letters."""
-        return np.maximum.reduceat(self.scripts(), self.start) if len(self.start) else np.zeros(0, np.uint8)
+        """The largest number of a listed script among a word's letters, or else ``OTHER``."""
+        if not len(self.start):
+            return np.zeros(0, np.uint8)
+        s = self.scripts()
+        most = np.maximum.reduceat(np.where(s == OTHER, 0, s), self.start)
+        return np.where(most == 0, np.maximum.reduceat(s, self.start), most)
 
 
 def counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -153,7 +168,7 @@ class Model:
         letters = c[0][1:len(SCRIPTS) + 1]
         writes = letters / np.maximum(letters.sum(0), 1) >= SCRIPT_SHARE
         writes[~writes.any(1)] = True
-        self.barred = np.vstack([np.zeros(len(self.langs), bool), ~writes])
+        self.barred = np.vstack([np.zeros(len(self.langs), bool), ~writes, np.zeros(len(self.langs), bool)])
 
     def words(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(scores by language, letters, bounds) of the words of all texts."""

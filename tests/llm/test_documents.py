@@ -280,6 +280,14 @@ def test_language_spans(spark, messy, empty):
     assert out.count() == len(rows()) and langid.identify(empty, model).count() == 0
 
 
+def test_language_of_unlisted_scripts(spark):
+    ka, my = "ძაღლი და კატა სახლში მიდიან", "ခွေးနှင့်ကြောင်သည် အိမ်ထဲသို့ သွားသည်"
+    model = langid.train(spark.createDataFrame([("the dog and the cat", "en"), (ka, "ka"), (my, "my")], "text string, lang string"))
+    d = spark.createDataFrame([(1, "კატა და ძაღლი"), (2, "ကြောင်သည် သွားသည်"), (3, "😀 ™ —")], "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(d, model).collect()}
+    assert got == {1: ("ka", 1.0), 2: ("my", 1.0), 3: ("und", 0.0)}
+
+
 def test_viterbi_against_brute_force():
     rng = np.random.default_rng(2)
     model = langid.Model.__new__(langid.Model)

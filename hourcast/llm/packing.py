@@ -1,7 +1,7 @@
 """Best-fit packing by bin completion.
 
 Texts are tokenised, each document's ids end with id 0, and only documents longer
-than a sequence are cut.  Pieces are dealt by a hash into groups of bounded
+than a sequence are cut.  Pieces are dealt by row number into groups of bounded
 size, and each group is packed on its own: whole sequences first, then best-fit
 decreasing as the incumbent, then, where the incumbent is above the lower
 bound, a branch and bound that fills the bin of the largest open piece, trying
@@ -311,13 +311,14 @@ def pack(parts: DataFrame, limit: int = SEQUENCE, group_pieces: int = GROUP_PIEC
          nodes_per_bin: int = NODES_PER_BIN) -> DataFrame:
     """``parts`` with ``sequence_id`` and ``offset``.
 
-    Pieces are dealt by hash into groups of about ``group_pieces`` (the count
-    grows with the input, a group does not); a group wastes a bin or two at most
-    against packing all at once.  Full pieces are a sequence each."""
-    groups = max(1, round(parts.count() / group_pieces))
+    Pieces are written with a row number and dealt by its hash into groups of
+    about ``group_pieces`` (the count grows with the input, a group does not, nor
+    with equal rows).  Full pieces are a sequence each."""
     names = parts.columns
+    rows = materialise(parts.withColumn("_row", F.monotonically_increasing_id()), "pieces")
+    groups = max(1, round(rows.count() / group_pieces))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema) + ", sequence_id long, offset long"
-    dealt = parts.withColumn("_g", F.pmod(F.xxhash64(*names), F.lit(groups)).cast("long"))
+    dealt = rows.select(*names, F.pmod(F.xxhash64("_row"), F.lit(groups)).cast("long").alias("_g"))
 
     def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop(columns="_g").sort_values(["length", *[n for n in names if n != "length"]], kind="stable").reset_index(drop=True)
@@ -348,8 +349,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, text: str = "text",
                    limit: int = SEQUENCE, **options) -> DataFrame:
     """Where each piece of each document lies: doc_id, piece, start, length,
     ids_crc32, sequence_id, offset."""
-    parts = materialise(pieces(docs, path or tokenizer_path(), text, doc_id, limit), "pieces")
-    return pack(parts, limit, **options)
+    return pack(pieces(docs, path or tokenizer_path(), text, doc_id, limit), limit, **options)
 
 
 def sequences(docs: DataFrame, packed: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id",

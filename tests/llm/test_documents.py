@@ -197,6 +197,13 @@ def test_packing(messy, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_equal_rows_are_dealt_over_all_groups(spark):
+    d = spark.range(600).select(F.lit(None).cast("long").alias("doc_id"), F.lit("").alias("text"))
+    got = packing.pack_documents(d, group_pieces=100).toPandas()
+    sizes = (got.sequence_id // 2**32).value_counts()
+    assert len(got) == 600 and len(sizes) == 6 and sizes.max() < 200
+
+
 def test_sequences_round_trip(messy):
     d = messy.filter("doc_id is not null").dropDuplicates(["doc_id"])
     packed = packing.pack_documents(d)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, langid, line_dedup, mixing, near_dup, packing, quality, topk, toxicity, warc
+from . import html_extract, langid, line_dedup, mixing, near_dup, packing, quality, topk, toxicity, warc, whitening
 from .common import table
 
 
@@ -64,6 +64,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    out = whitening.whiten(vectors, whitening.fit_whitening(vectors))
+    # Null where the exact sum has no long; the decimal has it.
+    return out.withColumn("deviation_exact", F.col("deviation")).withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_html_extraction": op2_html_extraction,
@@ -75,6 +82,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
 
 # Fixed values of the word and key definitions: space and U+0009..U+000D.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, langid, line_dedup, mixing, near_dup, packing, quality, topk, toxicity, warc, whitening
+from . import fingerprints, html_extract, langid, line_dedup, mixing, near_dup, packing, quality, topk, toxicity, warc, whitening
 from .common import table
 
 
@@ -64,6 +64,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_neighbours(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings", "vec_id", "embedding")
     out = whitening.whiten(vectors, whitening.fit_whitening(vectors))
@@ -82,6 +86,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op12_document_fingerprints": op12_document_fingerprints,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
 

@@ -21,13 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
+def materialise(df: DataFrame, tag: str, by: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the session's shared checkpoint folder and
     read it back: cuts the lineage, survives lost executors, is computed once.
-    ``release`` removes what the session has written."""
+    ``by`` names a last column to lay the files out by.  ``release`` removes what the
+    session has written."""
     spark = df.sparkSession
     path = f"{checkpoint_root(spark)}/hourcast-llm/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprints, html_extract, langid, line_dedup, mixing, near_dup, packing, quality, topk, toxicity, warc, whitening
+from . import fingerprints, html_extract, langid, line_dedup, merkle, mixing, near_dup, packing, quality, topk, toxicity, warc, whitening
 from .common import table
 
 
@@ -64,6 +64,13 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")) % 3 == 0
+    out = merkle.prove(merkle.manifest(merkle.document_leaves(docs, tampered)), "claimed")
+    return out.withColumnRenamed("id", "doc_id")
+
+
 def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_neighbours(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -86,6 +93,7 @@ QUERIES = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_toxicity": op9_toxicity,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op12_document_fingerprints": op12_document_fingerprints,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
@@ -138,8 +146,49 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p) WHERE rank <= 10
 """
 
+def _fields(*names: str) -> str:
+    return " || ".join(f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(({c})::VARCHAR) || ':' || {c} END" for c in names)
+
+
+_TREE = """SELECT level + 1, {key}pos >> 3, sha256(string_agg(h, '' ORDER BY pos)), any_value(n) FROM {name}
+    WHERE ((n - 1) >> (3 * level)) > 0 GROUP BY ALL"""
+_SIDE = "coalesce(string_agg(h, '') OVER (PARTITION BY {key}level, pos >> 3 ORDER BY pos ROWS BETWEEN {rows}), '')"
+_LEFT, _RIGHT = "UNBOUNDED PRECEDING AND 1 PRECEDING", "1 FOLLOWING AND UNBOUNDED FOLLOWING"
+_OP11 = f"""
+WITH RECURSIVE crc AS (SELECT list_transform(range(256), lambda i: list_reduce(range(8), lambda a, b:
+    CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, i)) AS t),
+d AS (SELECT coalesce('=' || lang, '') AS g, doc_id, source, lang, n_chars, text,
+  CASE WHEN xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ord(c)::BIGINT),
+      lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1]), 4294967295), 4294967295) % 3 = 0
+    THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claim
+  FROM documents, crc),
+hashed AS (SELECT g, doc_id, sha256({_fields('doc_id', 'source', 'lang', 'n_chars', 'text')}) AS h,
+  sha256({_fields('doc_id', 'source', 'lang', 'n_chars', 'claim')}) AS claim FROM d),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, h) - 1 AS pos, count(*) OVER (PARTITION BY g) AS n FROM hashed),
+low AS (SELECT 0 AS level, g, pos, h, n FROM leaf UNION ALL {_TREE.format(key='g, ', name='low')}),
+sub AS (SELECT g, arg_max(h, level) AS subroot, max(level) AS depth FROM low GROUP BY g),
+top AS (SELECT 0 AS level, row_number() OVER (ORDER BY g) - 1 AS pos, subroot AS h, count(*) OVER () AS n FROM sub
+  UNION ALL {_TREE.format(key='', name='top')}),
+place AS (SELECT g, subroot, depth, row_number() OVER (ORDER BY g) - 1 AS at FROM sub),
+root AS (SELECT arg_max(h, level) AS root, max(level) AS height FROM top),
+side AS (SELECT level, g, pos, {_SIDE.format(key='g, ', rows=_LEFT)} AS l, {_SIDE.format(key='g, ', rows=_RIGHT)} AS r FROM low),
+side2 AS (SELECT level, pos, {_SIDE.format(key='', rows=_LEFT)} AS l, {_SIDE.format(key='', rows=_RIGHT)} AS r FROM top),
+step AS (
+  SELECT leaf.g, leaf.pos, level AS step, l, r FROM leaf JOIN place USING (g) JOIN side
+    ON side.g = leaf.g AND level < depth AND side.pos = leaf.pos >> (3 * level)
+  UNION ALL SELECT leaf.g, leaf.pos, depth + level, l, r FROM leaf JOIN place USING (g), root, side2
+    WHERE level < height AND side2.pos = at >> (3 * level)),
+fold AS (SELECT g, pos, 0 AS step, claim AS h FROM leaf
+  UNION ALL SELECT f.g, f.pos, f.step + 1, sha256(l || f.h || r) FROM fold f JOIN step s ON f.g = s.g AND f.pos = s.pos AND f.step = s.step),
+proof AS (SELECT g, pos, sha256(string_agg(l || r, '' ORDER BY step)) AS p FROM step GROUP BY g, pos)
+SELECT doc_id, leaf.h AS leaf, subroot, root, coalesce(p, sha256('')) AS proof_sha256, fold.h AS folded_root, fold.h = root AS verified
+FROM leaf JOIN place USING (g) JOIN fold ON fold.g = leaf.g AND fold.pos = leaf.pos LEFT JOIN proof ON proof.g = leaf.g AND proof.pos = leaf.pos, root
+WHERE fold.step = depth + height
+"""
+
 ORACLES = {
     "op6_quality_rules": _OP6,
     "op7_line_dedup": _OP7,
     "op8_exact_top_k": _OP8,
+    "op11_merkle_manifest": _OP11,
 }

@@ -169,7 +169,7 @@ low AS (SELECT 0 AS level, g, pos, h, n FROM leaf UNION ALL {_TREE.format(key='g
 sub AS (SELECT g, arg_max(h, level) AS subroot, max(level) AS depth FROM low GROUP BY g),
 top AS (SELECT 0 AS level, row_number() OVER (ORDER BY g) - 1 AS pos, subroot AS h, count(*) OVER () AS n FROM sub
   UNION ALL {_TREE.format(key='', name='top')}),
-place AS (SELECT g, subroot, depth, row_number() OVER (ORDER BY g) - 1 AS at FROM sub),
+place AS (SELECT g, subroot, depth, row_number() OVER (ORDER BY g) - 1 AS seat FROM sub),
 root AS (SELECT arg_max(h, level) AS root, max(level) AS height FROM top),
 side AS (SELECT level, g, pos, {_SIDE.format(key='g, ', rows=_LEFT)} AS l, {_SIDE.format(key='g, ', rows=_RIGHT)} AS r FROM low),
 side2 AS (SELECT level, pos, {_SIDE.format(key='', rows=_LEFT)} AS l, {_SIDE.format(key='', rows=_RIGHT)} AS r FROM top),
@@ -177,7 +177,7 @@ step AS (
   SELECT leaf.g, leaf.pos, level AS step, l, r FROM leaf JOIN place USING (g) JOIN side
     ON side.g = leaf.g AND level < depth AND side.pos = leaf.pos >> (3 * level)
   UNION ALL SELECT leaf.g, leaf.pos, depth + level, l, r FROM leaf JOIN place USING (g), root, side2
-    WHERE level < height AND side2.pos = at >> (3 * level)),
+    WHERE level < height AND side2.pos = seat >> (3 * level)),
 fold AS (SELECT g, pos, 0 AS step, claim AS h FROM leaf
   UNION ALL SELECT f.g, f.pos, f.step + 1, sha256(l || f.h || r) FROM fold f JOIN step s ON f.g = s.g AND f.pos = s.pos AND f.step = s.step),
 proof AS (SELECT g, pos, sha256(string_agg(l || r, '' ORDER BY step)) AS p FROM step GROUP BY g, pos)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hourcast.functions.calendar import hours_between, local_time
 from hourcast.functions.numeric import round_stable
-from hourcast.operators.quantiles import quantiles_wide
+from hourcast.operators.quantiles import exact_quantiles, quantiles_wide
 from hourcast.schema import LOCAL_TZ, SERIES, TS
 
 # ---- fixed values: AQI share and band thresholds ------------------------------------------
@@ -112,11 +112,13 @@ def unpivot_values(df: DataFrame, columns, keep=()) -> DataFrame:
 
 def describe(df: DataFrame, columns) -> DataFrame:
     """count, mean, std, min, 25/50/75 %, max, cv% per column (rounded as shown)."""
-    long = unpivot_values(df, columns)
-    base = long.groupBy("column").agg(
-        F.count("value").cast("double").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    q = quantiles_wide(long, ["column"], "value", [0.25, 0.5, 0.75], ["p25", "p50", "p75"])
+    stats = {"count": lambda c: F.count(c).cast("double"), "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    num = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    wide = num.agg(*[F.struct(*[f(c).alias(n) for n, f in stats.items()]).alias(c) for c in columns])
+    stack = ", ".join(f"'{c}', `{c}`" for c in columns)
+    base = wide.selectExpr(f"stack({len(columns)}, {stack}) AS (column, s)").select("column", "s.*")
+    q = exact_quantiles(df, columns, [0.25, 0.5, 0.75]).groupBy("column").agg(*[
+        F.max(F.when(F.col("qi") == i, F.col("value"))).alias(n) for i, n in enumerate(["p25", "p50", "p75"])])
     out = base.join(q, "column", "left")
     r3 = {c: round_stable(c, 3) for c in ["mean", "std", "min", "p25", "p50", "p75", "max"]}
     return out.withColumns({"cv_pct": round_stable(round_stable(F.col("std") / F.col("mean") * 100.0, 1), 3), **r3})

@@ -10,6 +10,20 @@ from hourcast.functions.numeric import round_stable
 from hourcast.schema import FORECAST_COLUMNS, FORECAST_WINDOWS, SERIES, TS
 
 DEFAULT_BUCKET_SECONDS = 7 * 86400
+BROADCAST_ROWS = 1 << 17  # groups whose few parameters may be broadcast
+
+
+def join_small(rows: DataFrame, small: DataFrame, keys, how: str = "inner") -> DataFrame:
+    """``rows`` with the parameters of their group. ``small`` is already computed and has a
+    row per group; it is counted, and broadcast up to ``BROADCAST_ROWS`` rows. Beyond that
+    the join is left to the planner."""
+    keys = list(keys)
+    if not keys:  # one group: one row
+        return rows.join(F.broadcast(small.limit(1)), F.lit(True), how)
+    fits = small.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    renamed = small.select(*[F.col(k).alias(f"_k_{k}") for k in keys], *[c for c in small.columns if c not in keys])
+    same = [rows[k].eqNullSafe(renamed[f"_k_{k}"]) for k in keys]
+    return rows.join(F.broadcast(renamed) if fits else renamed, same, how).drop(*[f"_k_{k}" for k in keys])
 
 
 def join_on_time(left: DataFrame, right: DataFrame, how: str = "inner", series=SERIES, ts=TS) -> DataFrame:

@@ -1,126 +1,119 @@
 """Exact quantiles (linear interpolation between order statistics, the
-``quantile_cont`` / pandas default).
+``quantile_cont`` / pandas default) in two passes over the rows.
 
-Computed by distributed order-statistic selection instead of buffering a
-group's values in one task: each level histograms the rows of still-ambiguous
-cells (group + bucket path) into ``NB`` equal-width buckets (a partial
-aggregate), prefix-sums the tiny bucket table and narrows each target rank to
-the bucket that holds it. Buckets that are a single value, or hold at most
-``SMALL`` rows, are finished; only those few rows are ranked."""
+1. A mergeable rank sketch of every column brackets all targets at once: the values
+   at ranks safely below and above each target (the sketch's rank error is at most
+   rows / ``ACCURACY``; the brackets leave three times that).
+2. Every value is counted: in a bracket under its own value, outside under the gap
+   between brackets it lies in. The counts are a partial aggregate, so what is shuffled
+   is a few gap counts and the distinct bracketed values, about 6 rows in ``ACCURACY``
+   for each target. Running sums over these give every rank.
+
+Rows are never joined on the group key by a shuffle while the brackets fit
+``BROADCAST_ROWS`` groups. A target that lies outside its bracket (a sketch beyond its
+promised error) is found by its gap, which becomes a bracket of one more pass."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-NB = 1024
-SMALL = 4096  # rows ranked directly (per group / per narrowed bucket)
-MAX_PASSES = 12
-
-
-def _targets(df: DataFrame, keys, value: str, qs) -> DataFrame:
-    stats = df.filter(F.col(value).isNotNull()).groupBy(*keys).agg(
-        F.count(value).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    qarr = F.array(*[F.struct(F.lit(i).alias("qi"), F.lit(float(q)).alias("q")) for i, q in enumerate(qs)])
-    t = stats.select(*keys, "_n", "_lo", "_hi", F.explode(qarr).alias("_q")).select(
-        *keys, "_n", "_lo", "_hi", F.col("_q.qi").alias("qi"), F.col("_q.q").alias("q"))
-    pos = F.col("q") * (F.col("_n") - 1)
-    t = t.withColumns({"_frac": pos - F.floor(pos), "_k0": F.floor(pos).cast("long")})
-    # one selection target per needed order statistic (k0 and k0 + 1)
-    t = t.select(*keys, "qi", "_frac", "_lo", "_hi", "_n", F.explode(F.array(
-        F.struct(F.lit(0).alias("j"), F.col("_k0").alias("k")),
-        F.struct(F.lit(1).alias("j"), F.least(F.col("_k0") + 1, F.col("_n") - 1).alias("k")))).alias("_t"))
-    return t.select(*keys, "qi", "_frac", F.col("_t.j").alias("j"), F.col("_t.k").alias("k"),
-                    "_lo", "_hi", "_n", F.lit(0).cast("long").alias("_below"))
-
-
-def order_statistics(df: DataFrame, keys, value: str, qs) -> DataFrame:
-    """keys, qi, j, k, v: the value of 0-based rank ``k`` per target.
-
-    Rows never meet targets in a fan-out: every row carries the *cell* (group +
-    bucket path) it falls in and joins its cell's bounds on equality (one row
-    per cell). Each level histograms the rows of still-ambiguous cells into
-    ``NB`` buckets (partial aggregate), the tiny histogram resolves every target
-    to one bucket, and only buckets holding an unresolved target stay active."""
+from hourcast.operators.joins import join_small
+
+ACCURACY = 10_000
+MAX_PASSES = 3
+
+
+def _brackets(df: DataFrame, columns, qs, keys) -> DataFrame:
+    """keys, and for each column a struct (n, lo, hi): lo[t] <= target t <= hi[t]."""
+    margin = 3.0 / ACCURACY
+    probs = sorted({min(max(q + d, 0.0), 1.0) for q in qs for d in (-margin, margin)})
+
+    def at(s: Column, q: float, d: float, end: Column) -> Column:
+        p = q + d
+        return end if not 0.0 < p < 1.0 else s[probs.index(p)]
+
+    sketch = df.groupBy(*keys).agg(*[F.struct(
+        F.count(c).alias("n"), F.min(c).alias("lo"), F.max(c).alias("hi"), F.percentile_approx(c, probs, ACCURACY).alias("s")).alias(c)
+        for c in columns])
+    out = []
+    for c in columns:
+        n, lo, hi, s = (F.col(c)[f] for f in ("n", "lo", "hi", "s"))
+        few = n <= ACCURACY  # all values are kept: the sketch needn't be good
+        out.append(F.struct(
+            n.alias("n"), F.when(few, F.array(*[lo for _ in qs])).otherwise(F.array(*[at(s, q, -margin, lo) for q in qs])).alias("lo"),
+            F.when(few, F.array(*[hi for _ in qs])).otherwise(F.array(*[at(s, q, margin, hi) for q in qs])).alias("hi")).alias(f"_b_{c}"))
+    return sketch.select(*keys, *out)
+
+
+def _counts(df: DataFrame, brackets: DataFrame, columns, keys, width: int | None = None) -> DataFrame:
+    """keys, column, inside, _c, _lo, _hi: counts of bracketed values and of the gaps
+    (inside is null) between brackets, with their least and largest value. ``width`` is the
+    number of brackets where all groups have as many."""
+    rows = join_small(df, brackets, keys)
+
+    def entry(c: str) -> Column:
+        v, b = F.col(c), F.col(f"_b_{c}")
+        if width:
+            inside = reduce(Column.__or__, [(b["lo"][i] <= v) & (v <= b["hi"][i]) for i in range(width)])
+            below = reduce(Column.__add__, [(b["hi"][i] < v).cast("int") for i in range(width)])
+        else:
+            inside = F.exists(F.arrays_zip(b["lo"].alias("lo"), b["hi"].alias("hi")), lambda z: (z["lo"] <= v) & (v <= z["hi"]))
+            below = F.size(F.filter(b["hi"], lambda u: u < v))
+        gap = F.when(~inside, below)
+        return F.struct(F.lit(c).alias("column"), v.alias("v"), gap.alias("gap"), F.when(inside, v).alias("inside"))
+
+    e = rows.select(*keys, F.explode(F.array(*[entry(c) for c in columns])).alias("_e")).select(*keys, "_e.*").filter(F.col("v").isNotNull())
+    return e.groupBy(*keys, "column", "gap", "inside").agg(F.count(F.lit(1)).alias("_c"), F.min("v").alias("_lo"), F.max("v").alias("_hi"))
+
+
+def exact_quantiles(df: DataFrame, columns, qs, keys=()) -> DataFrame:
+    """keys, column, qi, value: quantile ``qs[qi]`` of each column in each group that
+    has a value of it."""
     from hourcast.session import reliable_checkpoint
-    keys = list(keys)
-    vals = df.select(*keys, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
-    # a few rows per group, read by every later step: computed once
-    targets = reliable_checkpoint(_targets(df, keys, value, qs))
-    # groups of at most ``SMALL`` rows: rank them directly (bounded window) and
-    # join the targets on (group, rank)
-    small_t = targets.filter(F.col("_n") <= SMALL)
-    ranked = vals.join(small_t.select(*keys).distinct(), keys, "left_semi") \
-        .withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy("_v")) - 1)
-    done = [small_t.join(ranked, [*[small_t[k] == ranked[k] for k in keys], small_t["k"] == ranked["_r"]])
-            .select(*[small_t[k] for k in keys], "qi", "_frac", "j", "k", F.col("_v").alias("v"))]
-    big_t = targets.filter(F.col("_n") > SMALL)
-    if big_t.isEmpty():
-        return done[0]
-    cell = [*keys, "_path"]
-    # level 0 lineage is one aggregate over the input: no need to cut it
-    tgt = big_t.select(*keys, "qi", "_frac", "j", "k", F.lit("").alias("_path"))
-    cells = big_t.select(*keys, F.lit("").alias("_path"), "_lo", "_hi", "_below").distinct()
-    rows = vals.join(cells.select(*keys), keys, "left_semi").withColumn("_path", F.lit(""))
-    for level in range(MAX_PASSES):
-        r = rows.join(cells, cell)
-        width = (F.col("_hi") - F.col("_lo")) / F.lit(NB)
-        b = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width), F.lit(NB - 1))) \
-            .otherwise(F.lit(0)).cast("long")
-        r = r.withColumn("_b", b).withColumn("_p2", F.concat(F.col("_path"), F.lit("/"), F.col("_b").cast("string")))
-        hist = r.groupBy(*cell, "_b", "_p2").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
-                                               F.max("_v").alias("_bmax"), F.first("_below").alias("_below"))
-        w = Window.partitionBy(*cell).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        hist = hist.withColumn("_cum", F.coalesce(F.sum("_c").over(w), F.lit(0)) + F.col("_below"))
-        hit = tgt.join(hist, cell).filter((F.col("k") >= F.col("_cum")) & (F.col("k") < F.col("_cum") + F.col("_c")))
-        hit = hit.select(*keys, "qi", "_frac", "j", "k", "_p2", "_bmin", "_bmax", "_c", "_cum").checkpoint(eager=True)
-        done.append(hit.filter(F.col("_bmin") == F.col("_bmax"))
-                    .select(*keys, "qi", "_frac", "j", "k", F.col("_bmin").alias("v")))
-        small = hit.filter((F.col("_bmin") < F.col("_bmax")) & (F.col("_c") <= SMALL))
-        small_cells = small.select(*keys, "_p2", "_cum").distinct()
-        in_small = r.join(small_cells, [*keys, "_p2"])
-        rk = in_small.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_p2").orderBy("_v")) - 1
-                                 + F.col("_cum"))
-        done.append(small.join(rk.select(*keys, "_p2", "_r", "_v"), [*keys, "_p2"])
-                    .filter(F.col("k") == F.col("_r")).select(*keys, "qi", "_frac", "j", "k", F.col("_v").alias("v")))
-        big = hit.filter((F.col("_bmin") < F.col("_bmax")) & (F.col("_c") > SMALL))
-        if big.isEmpty():
+    keys, columns, qs = list(keys), list(columns), [float(q) for q in qs]
+    vals = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in columns])
+    # a row per group, read by the second pass
+    brackets = reliable_checkpoint(_brackets(vals, columns, qs, keys))
+    for left in range(MAX_PASSES - 1, -1, -1):
+        counts = _counts(vals, brackets, columns, keys, len(qs) if left == MAX_PASSES - 1 else None)
+        w = Window.partitionBy(*keys, "column").orderBy("_lo")
+        counts = counts.withColumns({"_end": F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0)),
+                                     "_n": F.sum("_c").over(Window.partitionBy(*keys, "column"))})
+        # which target ranks k0 and k0 + 1 of 0-based order lie in the entry
+        start = F.col("_end") - F.col("_c")
+        want = F.array(*[F.struct(F.lit(i).alias("qi"), (F.lit(q) * (F.col("_n") - 1)).alias("at")) for i, q in enumerate(qs)])
+        k0 = F.floor(F.col("t.at")).cast("long")
+        hit = counts.withColumn("_start", start).withColumn("t", F.explode(want))
+        hit = hit.select(*keys, "column", "inside", "_lo", "_hi", "_start", "_end", F.col("t.qi").alias("qi"), (F.col("t.at") - k0).alias("_frac"),
+                         F.explode(F.array(F.struct(F.lit(0).alias("j"), k0.alias("k")),
+                                           F.struct(F.lit(1).alias("j"), F.least(k0 + 1, F.col("_n") - 1).alias("k")))).alias("r"))
+        hit = hit.filter((F.col("r.k") >= F.col("_start")) & (F.col("r.k") < F.col("_end")))
+        hit = reliable_checkpoint(hit.select(*keys, "column", "qi", "_frac", F.col("r.j").alias("j"), "inside", "_lo", "_hi"))
+        missed = hit.filter(F.col("inside").isNull() & (F.col("_lo") < F.col("_hi")))
+        if not left or missed.isEmpty():
             break
-        if level == MAX_PASSES - 1:
-            # no level budget left: rank the rows of the still-open cells directly
-            # (exact; only reached for pathological value clusterings)
-            open_cells = big.select(*keys, "_p2", "_cum").distinct()
-            rest = r.join(open_cells, [*keys, "_p2"])
-            rest = rest.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_p2").orderBy("_v")) - 1
-                                   + F.col("_cum"))
-            done.append(big.join(rest.select(*keys, "_p2", "_r", "_v"), [*keys, "_p2"])
-                        .filter(F.col("k") == F.col("_r")).select(*keys, "qi", "_frac", "j", "k", F.col("_v").alias("v")))
-            break
-        tgt = big.select(*keys, "qi", "_frac", "j", "k", F.col("_p2").alias("_path")).checkpoint(eager=True)
-        cells = big.select(*keys, F.col("_p2").alias("_path"), F.col("_bmin").alias("_lo"),
-                           F.col("_bmax").alias("_hi"), F.col("_cum").alias("_below")).distinct().checkpoint(eager=True)
-        # only rows of still-active cells go on (shrinks ~NB-fold per level)
-        rows = r.join(cells.select(*keys, F.col("_path").alias("_p2")), [*keys, "_p2"], "left_semi") \
-            .select(*keys, "_v", F.col("_p2").alias("_path")).checkpoint(eager=True)
-    out = done[0]
-    for d in done[1:]:
-        out = out.unionByName(d)
-    return out
-
-
-def quantiles_long(df: DataFrame, keys, value: str, qs) -> DataFrame:
-    """keys, qi, quantile value (linear interpolation)."""
-    keys = list(keys)
-    st = order_statistics(df, keys, value, qs)
-    g = st.groupBy(*keys, "qi").agg(
-        F.max(F.when(F.col("j") == 0, F.col("v"))).alias("_v0"),
-        F.max(F.when(F.col("j") == 1, F.col("v"))).alias("_v1"),
-        F.first("_frac").alias("_frac"))
-    return g.select(*keys, "qi", (F.col("_v0") + F.col("_frac") * (F.col("_v1") - F.col("_v0"))).alias("value"))
+        more = missed.groupBy(*keys).pivot("column", columns).agg(
+            F.struct(F.collect_set("_lo").alias("lo"), F.collect_set("_hi").alias("hi")))
+        more = more.select(*keys, *[F.col(c).alias(f"_m_{c}") for c in columns])
+        add = join_small(brackets, more, keys, "left")
+
+        def both(c: str, side: str) -> Column:
+            old = F.col(f"_b_{c}")[side]
+            # the pairs of a gap are sorted alike on both sides: gaps don't overlap
+            return F.concat(old, F.coalesce(F.array_sort(F.col(f"_m_{c}")[side]), F.array().cast("array<double>"))).alias(side)
+
+        brackets = reliable_checkpoint(add.select(*keys, *[
+            F.struct(F.col(f"_b_{c}")["n"].alias("n"), both(c, "lo"), both(c, "hi")).alias(f"_b_{c}") for c in columns]))
+    value = {j: F.max(F.when(F.col("j") == j, F.col("_lo"))) for j in (0, 1)}
+    return hit.groupBy(*keys, "column", "qi").agg((value[0] + F.first("_frac") * (value[1] - value[0])).alias("value"))
 
 
 def quantiles_wide(df: DataFrame, keys, value: str, qs, names) -> DataFrame:
+    """keys and a column for each quantile of ``value``."""
     keys = list(keys)
-    long = quantiles_long(df, keys, value, qs)
+    long = exact_quantiles(df, [value], qs, keys)
     return long.groupBy(*keys).agg(*[F.max(F.when(F.col("qi") == i, F.col("value"))).alias(n)
                                      for i, n in enumerate(names)])

@@ -53,16 +53,72 @@ def test_exact_quantiles_match_numpy(spark, n):
 
 
 def test_exact_quantiles_large_groups(spark, monkeypatch):
-    """Force the histogram-narrowing path (groups above the direct-rank size)."""
+    """Groups above the sketch's exact size: only bracketed values keep their own count."""
     import hourcast.operators.quantiles as Q
-    monkeypatch.setattr(Q, "SMALL", 50)
+    monkeypatch.setattr(Q, "ACCURACY", 200)
     rng = np.random.default_rng(5)
-    xs = np.round(rng.lognormal(3, 1, size=5000), 1)
+    xs = np.round(rng.lognormal(3, 1, size=5000), 3)
     xs[:2000] = 17.0
-    df = spark.createDataFrame([("g", float(x)) for x in xs] + [("h", float(x)) for x in xs[:7]], "g string, v double")
-    got = {r.g: (r.a, r.b) for r in Q.quantiles_wide(df, ["g"], "v", [0.1, 0.9], ["a", "b"]).collect()}
-    assert list(got["g"]) == pytest.approx(list(np.quantile(xs, [0.1, 0.9])), rel=1e-12)
-    assert list(got["h"]) == pytest.approx(list(np.quantile(xs[:7], [0.1, 0.9])), rel=1e-12)
+    rows = [("g", float(x), float(-x)) for x in xs] + [("h", float(x), None) for x in xs[:7]] + [(None, 1.0, 2.0)] * 3
+    df = spark.createDataFrame(rows, "g string, v double, w double")
+    got = {(r.g, r.column, r.qi): r.value for r in Q.exact_quantiles(df, ["v", "w"], [0.1, 0.5, 0.9], ["g"]).collect()}
+    assert len(got) == 12 + 3
+    for i, q in enumerate([0.1, 0.5, 0.9]):
+        assert got["g", "v", i] == pytest.approx(np.quantile(xs, q), rel=1e-12)
+        assert got["g", "w", i] == pytest.approx(np.quantile(-xs, q), rel=1e-12)
+        assert got["h", "v", i] == pytest.approx(np.quantile(xs[:7], q), rel=1e-12)
+        assert (got[None, "v", i], got[None, "w", i]) == (1.0, 2.0)
+    brackets = Q._brackets(df, ["v"], [0.1, 0.5, 0.9], ["g"])
+    kept = Q._counts(df, brackets, ["v"], ["g"]).filter("g = 'g'").collect()
+    assert sum(r._c for r in kept) == 5000 and len(kept) < 1000
+
+
+def test_quantile_rows_are_not_shuffled_by_group(spark):
+    """Rows meet the brackets by a broadcast; what is exchanged are counts."""
+    import hourcast.operators.quantiles as Q
+    df = spark.range(50_000).select((F.col("id") % 3).alias("g"), F.col("id").cast("double").alias("v"))
+    plan = Q._counts(df, Q._brackets(df, ["v"], [0.5], ["g"]), ["v"], ["g"])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    assert plan.count("Exchange hashpartitioning(g") == 2  # partial counts, and the sketch's partial state
+    assert plan.index("HashAggregate(keys=[g") < plan.index("Exchange hashpartitioning(g")
+
+
+def test_quantiles_outside_their_brackets(spark, monkeypatch):
+    """A sketch that breaks its promise costs a pass, not exactness."""
+    import hourcast.operators.quantiles as Q
+    wrong = Q._brackets
+
+    def brackets(df, columns, qs, keys):
+        return wrong(df, columns, [0.9 for _ in qs], keys)
+
+    monkeypatch.setattr(Q, "ACCURACY", 100)
+    monkeypatch.setattr(Q, "_brackets", brackets)
+    xs = np.concatenate([np.linspace(0, 1e-6, 3000), [1e6], np.arange(500.0)])
+    df = spark.createDataFrame([("g", float(x)) for x in xs], "g string, v double")
+    r = Q.quantiles_wide(df, ["g"], "v", [0.05, 0.3, 0.99], ["a", "b", "c"]).first()
+    assert [r.a, r.b, r.c] == pytest.approx(list(np.quantile(xs, [0.05, 0.3, 0.99])), rel=1e-12)
+
+
+def test_kde_equals_direct_sum(spark):
+    """Two series, one with an outlier and repeats; and one without spread."""
+    rng = np.random.default_rng(2)
+    data = {"a": np.concatenate([rng.normal(50, 10, 800), [900.0], [55.5] * 300]), "b": rng.gamma(2, 5, 60)}
+    rows = [(s, float(x)) for s, xs in data.items() for x in xs] + [("c", 1.0)] * 3
+    got = ST.kde(spark.createDataFrame(rows, "series string, v double"), "v", grid=50).collect()
+    for s, xs in data.items():
+        h = xs.std(ddof=1) * len(xs) ** -0.2
+        for r in (r for r in got if r.series == s):
+            want = np.exp(-0.5 * ((r.x - xs) / h) ** 2).sum() / (len(xs) * h * np.sqrt(2 * np.pi))
+            assert r.density == pytest.approx(want, rel=1e-9, abs=1e-14)
+    assert all(r.density is None for r in got if r.series == "c")
+
+
+def test_histogram_exchanges_bins_only(spark):
+    df = spark.range(20_000).select(F.lit("s").alias("series"), F.col("id").cast("double").alias("v"))
+    h = ST.histogram(df, "v", 10)
+    assert [r["count"] for r in h.orderBy("bin").collect()] == [2000] * 10
+    plan = h._jdf.queryExecution().executedPlan().toString()
+    assert "_x" not in " ".join(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
 
 
 def test_metrics_fixture(spark):
@@ -96,19 +152,6 @@ def test_qq_fit_with_heavy_duplicate(spark, monkeypatch):
     assert r.r == pytest.approx(np.corrcoef(osm, srt)[0, 1], rel=1e-7)
 
 
-def test_exact_quantiles_when_level_budget_runs_out(spark, monkeypatch):
-    """Clustered values that need many levels: with a budget of one level the
-    open cells are ranked directly and the result stays exact."""
-    import hourcast.operators.quantiles as Q
-    monkeypatch.setattr(Q, "SMALL", 20)
-    monkeypatch.setattr(Q, "NB", 4)
-    monkeypatch.setattr(Q, "MAX_PASSES", 1)
-    xs = np.concatenate([np.linspace(0, 1e-6, 300), [1e6]])
-    df = spark.createDataFrame([("g", float(x)) for x in xs], "g string, v double")
-    r = Q.quantiles_wide(df, ["g"], "v", [0.3, 0.5], ["a", "b"]).first()
-    assert [r.a, r.b] == pytest.approx(list(np.quantile(xs, [0.3, 0.5])), rel=1e-12)
-
-
 def test_arg_extremes_of_string_keys_take_the_lowest_on_a_tie(spark):
     from hourcast.operators.aggregates import arg_extremes
     prof = spark.createDataFrame([("s", "2024-02", 5.0), ("s", "2024-01", 5.0), ("s", "2024-03", 5.0)], "series string, k string, mean double")

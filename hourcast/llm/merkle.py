@@ -182,7 +182,9 @@ class Manifest:
 def manifest(leaves: DataFrame) -> Manifest:
     """Manifest of ``leaves`` (grp string, id long, leaf string, ...)."""
     key = F.coalesce(F.concat(F.lit("="), "grp"), F.lit(""))
-    lower = grow(leaves.select(key.alias("tree"), "id", "leaf", *[c for c in leaves.columns if c not in ("grp", "id", "leaf")]), ["id", "leaf"])
+    leaves = leaves.select(key.alias("tree"), "id", "leaf", *[c for c in leaves.columns if c not in ("grp", "id", "leaf")])
+    # Stored: range partitioning reads its input twice, and hashing the texts is the dear part.
+    lower = grow(materialise(leaves, "merkle-leaves"), ["id", "leaf"])
     tops = lower.roots.select(F.lit(_TOP).alias("tree"), F.col("tree").alias("grp_key"), F.col("root").alias("leaf"))
     upper = grow(tops, ["grp_key"])
     place = upper.blocks.select("tree", F.col("n").alias("groups"), F.explode("rows").alias("r"))

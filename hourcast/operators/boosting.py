@@ -120,6 +120,11 @@ class Booster:
                             int(a["right"][i]) if inner else None, float(a["value"][i]), float(a["cover"][i])))
         return out
 
+    def narrowed(self, features) -> "Booster":
+        """The same model over a list that holds all features its trees test."""
+        to = np.array([list(features).index(c) if c in features else -1 for c in self.features])
+        return Booster(list(features), self.base, [t | {"feature": np.where(t["left"] >= 0, to[t["feature"]], -1)} for t in self.trees])
+
     def importances(self) -> list[float]:
         """Share of each feature in the total gain of the splits."""
         total = np.zeros(len(self.features))

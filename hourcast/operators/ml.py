@@ -3,17 +3,17 @@ model choice, comparison tables, registry I/O and explanation proxies."""
 
 from __future__ import annotations
 
-import json
-import os
-
-from pyspark.ml import PipelineModel
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, Window
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hourcast.functions.numeric import round_stable
-from hourcast.schema import MODEL_METADATA_SCHEMA, MODEL_PREFERRED_ORDER, SERIES, TS
+from hourcast.operators import boosting
+from hourcast.operators.linear import LinearModel
+from hourcast.operators.registry import load_model, save_model  # noqa: F401 (part of this module's interface)
+from hourcast.operators.stats import inv_norm
+from hourcast.schema import MODEL_PREFERRED_ORDER, SERIES, TS
 
 # ---- fixed values: candidate hyper-parameters -----------------------------------------------
 RF_TREES = 300
@@ -22,7 +22,6 @@ RIDGE_ALPHA = 1.0
 GBT_ROUNDS = 300
 GBT_STEP = 0.05
 GBT_DEPTH = 6
-GBT_SEED = 42
 SPARK_MAX_DEPTH = 30  # Spark's deepest tree (sklearn forests are unbounded)
 # -----------------------------------------------------------------------------------------------
 
@@ -64,24 +63,27 @@ def fit_ridge(df: DataFrame, features, label: str, alpha: float = RIDGE_ALPHA):
 
 
 def fit_forest(df: DataFrame, features, label: str, trees: int = RF_TREES, seed: int = RF_SEED,
-               memory_mb: int = TREE_MEMORY_MB):
+               memory_mb: int = TREE_MEMORY_MB, depth: int = SPARK_MAX_DEPTH, bootstrap: bool = True, max_bins: int = 32):
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, numTrees=trees, seed=seed,
-                               featureSubsetStrategy="all", maxDepth=SPARK_MAX_DEPTH, minInstancesPerNode=1,
-                               subsamplingRate=1.0, bootstrap=True, maxMemoryInMB=memory_mb)
+                               featureSubsetStrategy="all", maxDepth=depth, minInstancesPerNode=1, maxBins=max_bins,
+                               subsamplingRate=1.0, bootstrap=bootstrap, maxMemoryInMB=memory_mb)
     return rf.fit(assembler(features).transform(df))
 
 
-def fit_boosted(df: DataFrame, features, label: str, rounds: int = GBT_ROUNDS,
-                memory_mb: int = TREE_MEMORY_MB):
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, maxIter=rounds, stepSize=GBT_STEP,
-                       maxDepth=GBT_DEPTH, seed=GBT_SEED, maxMemoryInMB=memory_mb)
-    return gbt.fit(assembler(features).transform(df))
+def fit_boosted(df: DataFrame, features, label: str, rounds: int = GBT_ROUNDS) -> boosting.Booster:
+    return boosting.fit_groups(df, features, label, rounds=rounds, step=GBT_STEP, depth=GBT_DEPTH)[()]
 
 
 FITTERS = {"random_forest": fit_forest, "ridge": fit_ridge, "xgboost": fit_boosted}
 
 
 def predict(model, df: DataFrame, features) -> DataFrame:
+    """``df`` with ``prediction``: a linear model is an expression, a boosted one walks its
+    trees in Arrow batches, a Spark ML one transforms assembled vectors."""
+    if isinstance(model, LinearModel):
+        return df.withColumn("prediction", model.column())
+    if isinstance(model, boosting.Booster):
+        return boosting.predict_groups(df, {(): model})
     return model.transform(assembler(features).transform(df)).drop("features")
 
 
@@ -114,25 +116,6 @@ def format_metric(c) -> "F.Column":
     return F.when(col.isNull() | F.isnan(col), F.lit("-")).otherwise(F.format_string("%.4f", col))
 
 
-def save_model(spark, model, root: str, horizon: int, metadata: dict) -> str:
-    """models/aqi_model_{h}h/latest: Spark ML model + metadata.json (overwrite)."""
-    path = os.path.join(root, f"models/aqi_model_{horizon}h/latest")
-    PipelineModel(stages=[model]).write().overwrite().save(os.path.join(path, "model"))
-    meta = spark.createDataFrame([metadata], MODEL_METADATA_SCHEMA)
-    meta.coalesce(1).write.mode("overwrite").json(os.path.join(path, "metadata"))
-    return path
-
-
-def load_model(spark, root: str, horizon: int):
-    path = os.path.join(root, f"models/aqi_model_{horizon}h/latest")
-    meta = spark.read.schema(MODEL_METADATA_SCHEMA).json(os.path.join(path, "metadata"))
-    row = meta.first()
-    if row is None:
-        raise RuntimeError(f"metadata missing for aqi_model_{horizon}h")
-    model = PipelineModel.load(os.path.join(path, "model")).stages[0]
-    return model, row.asDict(recursive=True)
-
-
 def linear_contributions(df: DataFrame, features, coefficients, series=SERIES) -> DataFrame:
     """Mean |coef_j * (x_j - mean(x_j))| per feature (exact linear explanation)."""
     means = df.groupBy(series).agg(*[F.avg(c).alias(f"_m_{c}") for c in features])
@@ -174,10 +157,6 @@ def metadata_row(name: str, model_type: str, horizon: int, features, metrics: di
             "metrics": metrics, "all_model_metrics": all_metrics}
 
 
-def metadata_json(meta: dict) -> str:
-    return json.dumps(meta, indent=2, sort_keys=False)
-
-
 # ---- fixed values: local surrogate explanation -------------------------------------------------
 SURROGATE_SAMPLES = 5000
 SURROGATE_KERNEL = 0.75          # kernel width = 0.75 * sqrt(n_features)
@@ -187,25 +166,32 @@ SURROGATE_SEED = 42
 # -----------------------------------------------------------------------------------------------
 
 
+def uniform_draw(*key: Column) -> Column:
+    """A uniform number in (0, 1) that depends on the key alone: 48 bits of its MD5. Any
+    task, rerun or engine draws the same."""
+    bits = F.conv(F.substring(F.md5(F.concat_ws("|", *[k.cast("string") for k in key])), 1, 12), 16, 10).cast("double")
+    return (bits + F.lit(0.5)) / F.lit(float(1 << 48))
+
+
 def surrogate_samples(history: DataFrame, features, n_samples: int = SURROGATE_SAMPLES, seed: int = SURROGATE_SEED,
                       background: int = 500, series=SERIES, ts=TS) -> DataFrame:
-    """Per series: sample 0 is the newest row, samples 1..n are drawn from
-    N(mean, std) of the newest ``background`` rows (std 0/NULL -> 1). Columns:
+    """Per series: sample 0 is the newest row, samples 1..n are drawn from N(mean, std) of
+    the newest ``background`` rows (std 0/NULL -> 1). A draw is the inverse normal of a
+    uniform number made of (series, sample, feature, seed), so reruns agree. Columns:
     series, sample, features..., and the scaled distance-kernel weight."""
     w = Window.partitionBy(series).orderBy(F.col(ts).desc())
     bg = history.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= background)
     stats = bg.groupBy(series).agg(*[F.avg(c).alias(f"_m_{c}") for c in features],
-                                   *[F.stddev_samp(c).alias(f"_s_{c}") for c in features])
+                                   *[F.stddev_samp(c).alias(f"_s_{c}") for c in features],
+                                   *[F.max_by(c, F.lit(1) - F.col("_rk")).alias(f"_x0_{c}") for c in features])
     stats = stats.withColumns({f"_s_{c}": F.when(F.col(f"_s_{c}").isNull() | (F.col(f"_s_{c}") == 0), F.lit(1.0))
                                .otherwise(F.col(f"_s_{c}")) for c in features})
-    newest = bg.filter(F.col("_rk") == 1).select(series, *[F.col(c).alias(f"_x0_{c}") for c in features])
-    base = newest.join(stats, series)
-    gen = base.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples))))
-    cols = {}
-    for j, c in enumerate(features):
-        draw = F.col(f"_m_{c}") + F.randn(seed + j) * F.col(f"_s_{c}")
-        cols[c] = F.when(F.col("sample") == 0, F.col(f"_x0_{c}")).otherwise(draw)
-    gen = gen.withColumns(cols)
+    gen = stats.withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(n_samples))))
+    names = F.array(*[F.lit(c) for c in features])
+    draws = F.transform(F.transform(names, lambda c: uniform_draw(F.col(series), F.col("sample"), c, F.lit(seed))), inv_norm)
+    gen = gen.withColumn("_z", draws)
+    gen = gen.withColumns({c: F.when(F.col("sample") == 0, F.col(f"_x0_{c}")).otherwise(F.col(f"_m_{c}") + F.get("_z", F.lit(i)) * F.col(f"_s_{c}"))
+                           for i, c in enumerate(features)})
     d2 = sum(((F.col(c) - F.col(f"_x0_{c}")) / F.col(f"_s_{c}")) ** 2 for c in features)
     width = SURROGATE_KERNEL * (len(features) ** 0.5)
     gen = gen.withColumn("kernel_weight", F.sqrt(F.exp(-d2 / F.lit(width * width))))
@@ -213,38 +199,68 @@ def surrogate_samples(history: DataFrame, features, n_samples: int = SURROGATE_S
     return gen.select(*keep)
 
 
+def solve_symmetric(matrix: Column, k: int) -> Column:
+    """Solution of a positive definite system from its k rows of k + 1 numbers (the last is
+    the right side): Gauss-Jordan as a fold over the pivots."""
+    def step(m: Column, p: Column) -> Column:
+        pivot = F.get(m, p)
+
+        def reduced(row: Column, i: Column) -> Column:
+            scaled = F.transform(pivot, lambda v: v / F.get(pivot, p))
+            return F.when(i == p, scaled).otherwise(F.zip_with(row, scaled, lambda a, b: a - F.get(row, p) * b))
+
+        return F.transform(m, reduced)
+
+    return F.transform(F.aggregate(F.sequence(F.lit(0), F.lit(k - 1)), matrix, step), lambda row: F.get(row, F.lit(k)))
+
+
+def weighted_ridge(rows: DataFrame, features, label: str, weight: str, alpha: float, top: int, series=SERIES) -> DataFrame:
+    """series, coefficients (array, 0 outside the pick): per series a ridge with weighted
+    rows and a free intercept, refitted on its ``top`` features by |coefficient| (ties: the
+    earlier). All sums of products of a series are one aggregate over pairs of columns;
+    the systems, of the size of the feature list, are solved as expressions."""
+    k = len(features)
+    z = F.array(F.lit(1.0), *[F.col(c).cast("double") for c in features], F.col(label).cast("double"))
+    pairs = F.array(*[F.struct(F.lit(i * (k + 2) + j).alias("at"), (F.get("_z", F.lit(i)) * F.get("_z", F.lit(j)) * F.col("_w")).alias("v"))
+                      for i in range(k + 2) for j in range(i, k + 2)])
+    sums = rows.select(series, F.col(weight).alias("_w"), z.alias("_z")).select(series, F.explode(pairs).alias("p"))
+    sums = sums.groupBy(series, "p.at").agg(F.sum("p.v").alias("v"))
+    m = sums.groupBy(series).agg(F.map_from_entries(F.collect_list(F.struct("at", "v"))).alias("m"))
+
+    def s(i: Column, j: Column) -> Column:
+        return F.element_at("m", (F.least(i, j) * (k + 2) + F.greatest(i, j)).cast("int"))
+
+    zero = F.lit(0)
+    centred = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda i: F.transform(
+        F.sequence(F.lit(1), F.lit(k + 1)), lambda j: s(i, j) - s(zero, i) * s(zero, j) / s(zero, zero)))
+    m = m.select(series, centred.alias("c"))
+
+    def system(c: Column, kept: Column) -> Column:
+        def cell(v: Column, i: Column, j: Column) -> Column:
+            inside = F.get(kept, i) & ((j == k) | F.get(kept, F.least(j, F.lit(k - 1))))
+            return F.when(inside, v).otherwise(F.lit(0.0)) + F.when(i == j, F.lit(float(alpha))).otherwise(F.lit(0.0))
+        return F.transform(c, lambda row, i: F.transform(row, lambda v, j: cell(v, i, j)))
+
+    m = m.withColumn("w", solve_symmetric(system(F.col("c"), F.array_repeat(F.lit(True), k)), k))
+    order = F.array_sort(F.transform("w", lambda v, i: F.struct((-F.abs(v)).alias("a"), i.alias("i"))))
+    m = m.withColumn("pick", F.slice(F.transform(order, lambda t: t["i"]), 1, top))
+    kept = F.transform("w", lambda v, i: F.array_contains("pick", i))
+    m = m.withColumn("kept", kept)
+    return m.select(series, "kept", solve_symmetric(system(F.col("c"), F.col("kept")), k).alias("coefficients"))
+
+
 def local_surrogate(model, history: DataFrame, features, n_samples: int = SURROGATE_SAMPLES,
                     top: int = SURROGATE_TOP, series=SERIES, ts=TS) -> DataFrame:
-    """Weighted ridge fitted to the model's predictions around the newest row of
-    each series; returns the ``top`` features by |weight| (refitted on them).
-    The model scores all samples in Spark; each per-series fit sees exactly
-    ``n_samples + 1`` rows (a fixed bound, not data-dependent)."""
-    import numpy as np
-    import pandas as pd
+    """Weighted ridge fitted to the model's predictions around the newest row of each series:
+    series, feature, weight of its ``top`` features."""
     samples = surrogate_samples(history, features, n_samples, series=series, ts=ts)
     scored = predict(model, samples, features)
     scaled = scored.select(series, "kernel_weight", "prediction",
                            *[((F.col(c) - F.col(f"_m_{c}")) / F.col(f"_s_{c}")).alias(c) for c in features])
-    feats = list(features)
-
-    def ridge(x, y, w, alpha):
-        sw = np.sqrt(w)
-        xm = np.average(x, axis=0, weights=w)
-        ym = np.average(y, weights=w)
-        xc, yc = (x - xm) * sw[:, None], (y - ym) * sw
-        return np.linalg.solve(xc.T @ xc + alpha * np.eye(x.shape[1]), xc.T @ yc)
-
-    def fit(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[feats].to_numpy(dtype=float)
-        y = pdf["prediction"].to_numpy(dtype=float)
-        w = pdf["kernel_weight"].to_numpy(dtype=float)
-        coef = ridge(x, y, w, SURROGATE_RIDGE_ALPHA)
-        pick = np.argsort(-np.abs(coef), kind="stable")[:top]
-        coef2 = ridge(x[:, pick], y, w, SURROGATE_RIDGE_ALPHA)
-        return pd.DataFrame({series: pdf[series].iloc[0], "feature": [feats[i] for i in pick],
-                             "weight": coef2.astype(float)})
-
-    return scaled.groupBy(series).applyInPandas(fit, schema=f"{series} string, feature string, weight double")
+    fit = weighted_ridge(scaled, features, "prediction", "kernel_weight", SURROGATE_RIDGE_ALPHA, top, series)
+    names = F.array(*[F.lit(c) for c in features])
+    each = fit.select(series, F.explode(F.arrays_zip(names.alias("feature"), F.col("coefficients").alias("weight"), F.col("kept").alias("kept"))).alias("e"))
+    return each.filter("e.kept").select(series, "e.feature", "e.weight")
 
 
 # ---- fixed values: dashboard quality classes and horizon confidence --------------------------------
@@ -277,21 +293,22 @@ def confidence_columns(horizon_col: str = "horizon") -> dict:
 PERMUTATION_BUCKET_ROWS = 100_000  # rows per permutation bucket
 
 
-def permute_column(df: DataFrame, column: str, seed: int = 42) -> DataFrame:
-    """Random permutation of one column without a global sort: rows are spread
-    over hash buckets sized ~``PERMUTATION_BUCKET_ROWS``; inside each bucket the
-    rows are paired by two independent random orders (a bijection per bucket)."""
+def permute_column(df: DataFrame, column: str, seed: int = 42, key=None) -> DataFrame:
+    """Random permutation of one column without a global sort: rows are spread over hash
+    buckets sized ~``PERMUTATION_BUCKET_ROWS``; inside each bucket the rows are paired by two
+    independent random orders (a bijection per bucket). The orders are drawn from the row's
+    ``key`` columns (default: all columns, equal rows being alike), so reruns agree."""
+    key = list(key or df.columns)
+    text = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key]
     n = df.count()
     buckets = max(1, -(-n // PERMUTATION_BUCKET_ROWS))
-    b = F.pmod(F.xxhash64(F.monotonically_increasing_id(), F.lit(seed)), F.lit(buckets))
-    # materialised so both sides see the same bucket of every row
-    staged = _materialise(df.withColumn("_pb", b))
-    w1 = Window.partitionBy("_pb").orderBy(F.rand(seed), F.monotonically_increasing_id())
-    w2 = Window.partitionBy("_pb").orderBy(F.rand(seed + 1), F.monotonically_increasing_id())
-    rows = staged.drop(column).withColumn("_pr", F.row_number().over(w1))
-    vals = staged.select("_pb", F.col(column).alias("_pv")).withColumn("_pr", F.row_number().over(w2))
-    out = rows.join(vals, ["_pb", "_pr"]).withColumnRenamed("_pv", column)
-    return out.drop("_pb", "_pr").select(*df.columns)
+    bucket = F.floor(uniform_draw(*text, F.lit(seed), F.lit("bucket")) * buckets)
+    # materialised so both sides see the same number of every row
+    staged = _materialise(df.withColumns({"_pb": bucket, "_pa": uniform_draw(*text, F.lit(seed), F.lit("rows")),
+                                          "_pc": uniform_draw(*text, F.lit(seed), F.lit("values")), "_pi": F.monotonically_increasing_id()}))
+    rows = staged.withColumn("_pr", F.row_number().over(Window.partitionBy("_pb").orderBy("_pa", "_pi"))).drop(column)
+    vals = staged.select("_pb", F.col(column).alias("_pv"), F.row_number().over(Window.partitionBy("_pb").orderBy("_pc", "_pi")).alias("_pr"))
+    return rows.join(vals, ["_pb", "_pr"]).withColumnRenamed("_pv", column).select(*df.columns)
 
 
 def _materialise(df: DataFrame) -> DataFrame:
@@ -299,15 +316,16 @@ def _materialise(df: DataFrame) -> DataFrame:
     return reliable_checkpoint(df)
 
 
-def permutation_importance(model, df: DataFrame, features, label: str, seed: int = 42) -> DataFrame:
-    """Increase of RMSE when each feature is permuted (model-agnostic)."""
+def permutation_importance(model, df: DataFrame, features, label: str, seed: int = 42, key=()) -> DataFrame:
+    """Increase of RMSE when each feature is permuted (model-agnostic); ``key`` names the
+    columns that the permutations are drawn from."""
     spark = df.sparkSession
-    base = _materialise(df.select(*features, label))
+    base = _materialise(df.select(*dict.fromkeys([*key, *features, label])))
 
     def rmse(frame: DataFrame) -> float:
         p = predict(model, frame, features)
         return float(p.agg(F.sqrt(F.avg((F.col(label) - F.col("prediction")) ** 2))).first()[0])
 
     ref = rmse(base)
-    rows = [(c, rmse(permute_column(base, c, seed + i)) - ref) for i, c in enumerate(features)]
+    rows = [(c, rmse(permute_column(base, c, seed + i, key)) - ref) for i, c in enumerate(features)]
     return spark.createDataFrame(rows, "feature string, importance double")

@@ -860,6 +860,7 @@ def q_hour_band(spark, sf):
 
 
 # ---- M6/M7: models, metrics, scoring, explanations ---------------------------------------------
+from hourcast.operators import linear as LN  # noqa: E402
 from hourcast.operators import ml as ML  # noqa: E402
 from hourcast.schema import FEATURE_COLUMNS  # noqa: E402
 
@@ -946,17 +947,43 @@ def _backfilled(spark, sf):
     return build_backfill_dataset(TB.air_hourly(spark, sf), TB.weather_hourly(spark, sf), TB.forecast_hourly(spark, sf))
 
 
+# Rounds of the boosted candidate in the registered query: a round is six sequential jobs
+# (the library's default is 300).
+QUERY_ROUNDS = 20
+
+
+def _train(spark, sf, candidates):
+    from hourcast.plans.training import train_all
+    params = {"random_forest": {"memory_mb": 32}, "xgboost": {"rounds": QUERY_ROUNDS}}
+    return train_all(_backfilled(spark, sf), candidates=candidates, params=params, registry_root=SJ.run_dir(spark, "registry"), skip_empty=True)
+
+
 @query("train_models")
 def q_train_models(spark, sf):
-    from hourcast.plans.training import train_for_horizon
-    # forest + ridge at the reference hyper-parameters; the 300-round boosted
-    # model is available through train_for_horizon (sequential rounds dominate run time)
-    try:
-        metrics, _, _, _ = train_for_horizon(_backfilled(spark, sf), 24, candidates=("random_forest", "ridge"),
-                                             params={"random_forest": {"memory_mb": 32}})
-    except RuntimeError:  # no training rows for the horizon (tiny inputs)
-        return spark.createDataFrame([], "model string, rmse double, mae double, r2 double, horizon int")
-    return metrics
+    """Three horizons, all tabular candidates, the choice published and read back."""
+    t = _train(spark, sf, ("random_forest", "ridge", "xgboost"))
+    chosen = [(h, ML.load_model(spark, t.registry_root, h)[1]["model_name"]) for h in t.best]
+    chosen = spark.createDataFrame(chosen, "horizon int, chosen string")
+    return r6(t.metrics.join(chosen, "horizon").withColumn("chosen", F.col("chosen") == F.col("model")))
+
+
+_BACKFILLED_SQL = f"""{S.FEAT}, {S.FORECAST}, base AS (SELECT * FROM feat),
+j AS ({_fc_join}),
+fw AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp),
+withfc AS (SELECT feat.*, fw.* EXCLUDE (series, timestamp) FROM feat JOIN fw USING (series, timestamp)),
+bf AS ({S.backfill_sql('withfc')})"""
+_TRAIN_SQL, _TRAIN_K = S.training_rows_sql((24, 48, 72))
+
+
+@query("train_ridge", f"""
+WITH RECURSIVE {_BACKFILLED_SQL}, {_TRAIN_SQL},
+tr AS (SELECT * FROM lg WHERE split = 'train'), {S.ridge_sql('tr', _TRAIN_K)},
+preds AS (SELECT h AS horizon, any_value(y) AS y, any_value(b) + sum(w * (v - m)) AS prediction
+          FROM lg JOIN coef USING (h, i) WHERE split = 'test' GROUP BY h, r),
+t AS (SELECT horizon, 'ridge' AS model, {_MET} FROM preds GROUP BY horizon)
+{S.round_all(['rmse', 'mae', 'r2'], ['horizon', 'model'])}""")
+def q_train_ridge(spark, sf):
+    return r6(_train(spark, sf, ("ridge",)).metrics)
 
 
 _PRED_SQL = f"""{S.OBS}, h AS (SELECT * EXCLUDE (rk) FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM obs) WHERE rk <= 500 AND aqi IS NOT NULL),
@@ -989,59 +1016,72 @@ def q_local_proxy(spark, sf):
 
 SCORING_FEATURES = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
 
-# One-feature ridge (alpha 1) for each horizon in closed form.
-_RIDGE_SQL = ", ".join(f"""tf{h} AS ({S.target_sql('feat', h)}),
-s{h} AS (SELECT avg(aqi) AS mx, avg(aqi_next_{h}h) AS my FROM tf{h}),
-c{h} AS (SELECT sum((aqi - mx) * (aqi_next_{h}h - my)) / (sum((aqi - mx) * (aqi - mx)) + 1.0) AS coef, any_value(mx) AS mx,
-       any_value(my) AS my FROM tf{h}, s{h} HAVING count(*) > 0)""" for h in (24, 48, 72))
+def _ridge_rows_sql(horizons, features):
+    """CTEs of the ridge (alpha 1) of each horizon on its exact-horizon rows: ``coef``."""
+    tfs = ", ".join(f"tf{h} AS ({S.target_sql('feat', h)})" for h in horizons)
+    some = " AND ".join(f"{c} IS NOT NULL" for c in features)
+    rows = " UNION ALL ".join(
+        f"SELECT {h} AS h, row_number() OVER () AS r, aqi_next_{h}h AS y, [{', '.join(f'CAST({c} AS DOUBLE)' for c in features)}] AS x "
+        f"FROM tf{h} WHERE aqi_next_{h}h IS NOT NULL AND {some}" for h in horizons)
+    k = len(features)
+    return f"""{tfs}, lg AS (SELECT h, r, y, unnest(range(1, {k + 1})) AS i, unnest(x) AS v FROM ({rows})),
+{S.ridge_sql('lg', k)}"""
 
 
-def _ridge(data, features, horizon):
-    """Ridge on the exact-horizon rows, or None where there are none (tiny inputs)."""
-    target = f"aqi_next_{horizon}h"
-    train = WN.build_training_frame(data, horizon).select(*features, target).dropna().cache()
-    try:
-        return None if train.isEmpty() else ML.fit_ridge(train, features, target)
-    finally:
-        train.unpersist()
+def _values_sql(features, src):
+    """Rows of ``src`` as (series, timestamp, i, feature, x)."""
+    names = ", ".join(f"'{c}'" for c in features)
+    vals = ", ".join(f"CAST({c} AS DOUBLE)" for c in features)
+    return (f"SELECT series, timestamp, unnest(range(1, {len(features) + 1})) AS i, unnest([{names}]) AS feature, unnest([{vals}]) AS x FROM {src}")
+
+
+def _ridge_models(data, features, horizons=(24, 48, 72)):
+    """Ridge of each horizon that has exact-horizon rows, from one pass over all of them."""
+    rows = None
+    for h in horizons:
+        part = WN.build_training_frame(data, h).select(F.lit(h).alias("horizon"), *features, F.col(f"aqi_next_{h}h").alias("y")).dropna()
+        rows = part if rows is None else rows.unionByName(part)
+    sums = LN.moments(rows, features, "y", ["horizon"])
+    return {h: LN.ridge(sums[h,]) for h in horizons if (h,) in sums}
 
 
 def _linear_contrib(spark, sf, features):
     data = _features(spark, sf)
-    model = _ridge(data, features, 24)
-    if model is None:
+    models = _ridge_models(data, features, (24,))
+    if not models:
         return spark.createDataFrame([], "series string, feature string, importance double")
     history = O.latest_n(data, 200).dropna(subset=features)
-    return r6(ML.linear_contributions(history, features, list(model.coefficients)))
+    return r6(ML.linear_contributions(history, features, models[24].coefficients))
 
 
-@query("linear_contrib")
+def _linear_contrib_sql(features):
+    some = " AND ".join(f"{c} IS NOT NULL" for c in features)
+    return f"""
+WITH RECURSIVE {S.FEAT}, {_ridge_rows_sql((24,), features)},
+hist AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM feat) WHERE rk <= 200 AND {some}),
+l AS ({_values_sql(features, 'hist')}),
+mx AS (SELECT series, i, avg(x) AS mean FROM l GROUP BY series, i)
+SELECT series, feature, {S.r6('avg(abs(w * (x - mean)))')} AS importance
+FROM l JOIN mx USING (series, i) JOIN coef USING (i) GROUP BY series, feature"""
+
+
+@query("linear_contrib", _linear_contrib_sql(SCORING_FEATURES))
 def q_linear_contrib(spark, sf):
     return _linear_contrib(spark, sf, SCORING_FEATURES)
 
 
-@query("linear_contrib_one_feature", f"""
-WITH {S.FEAT}, {_RIDGE_SQL},
-hist AS (SELECT * FROM (SELECT series, aqi, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM feat)
-         WHERE rk <= 200),
-m AS (SELECT series, avg(aqi) AS mean FROM hist GROUP BY series)
-SELECT series, 'aqi' AS feature, {S.r6('avg(abs(coef * (aqi - mean)))')} AS importance
-FROM hist JOIN m USING (series), c24 GROUP BY series""")
+@query("linear_contrib_one_feature", _linear_contrib_sql(["aqi"]))
 def q_linear_contrib_one_feature(spark, sf):
     return _linear_contrib(spark, sf, ["aqi"])
 
 
 def _batch_scoring(spark, sf, features):
     """Fit, save to a registry, load, align the newest row of the newest 500 to the trained list, score."""
-    data = _features(spark, sf)
     root = SJ.run_dir(spark, "registry")
     newest = O.latest_n(_prediction_frame(spark, sf), 1)
     out = None
-    for h in (24, 48, 72):
-        fitted = _ridge(data, features, h)
-        if fitted is None:
-            continue
-        ML.save_model(spark, fitted, root, h, ML.metadata_row("ridge", "spark_ml", h, features, None, {}))
+    for h, fitted in _ridge_models(_features(spark, sf), features).items():
+        ML.save_model(spark, fitted, root, h, ML.metadata_row("ridge", "linear", h, features, None, {}))
         model, meta = ML.load_model(spark, root, h)
         rows = align_columns(newest, meta["features"], keep=("series", "timestamp"))
         p = ML.predict(model, rows, meta["features"]).select("series", "timestamp", F.lit(h).alias("horizon"), "prediction")
@@ -1051,20 +1091,116 @@ def _batch_scoring(spark, sf, features):
     return r6(out)
 
 
-@query("batch_scoring")
+def _batch_scoring_sql(features):
+    return f"""
+WITH RECURSIVE {_PRED_SQL}, feat AS ({S.feat_cols('obs')}), {_ridge_rows_sql((24, 48, 72), features)},
+nw AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM pf) WHERE rk = 1),
+l AS ({_values_sql(features, 'nw')})
+SELECT series, timestamp, CAST(h AS INTEGER) AS horizon, {S.r6('any_value(b) + sum(w * (x - m))')} AS prediction
+FROM l JOIN coef USING (i) GROUP BY series, timestamp, h"""
+
+
+@query("batch_scoring", _batch_scoring_sql(SCORING_FEATURES))
 def q_batch_scoring(spark, sf):
     return _batch_scoring(spark, sf, SCORING_FEATURES)
 
 
-@query("batch_scoring_one_feature", f"""
-WITH {_PRED_SQL}, feat AS ({S.feat_cols('obs')}), {_RIDGE_SQL},
-nw AS (SELECT * FROM (SELECT series, timestamp, aqi, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM pf)
-       WHERE rk = 1)
-{' UNION ALL '.join(f"SELECT series, timestamp, CAST({h} AS INTEGER) AS horizon, {S.r6('my + coef * (aqi - mx)')} AS prediction FROM nw, c{h}" for h in (24, 48, 72))}""")
+@query("batch_scoring_one_feature", _batch_scoring_sql(["aqi"]))
 def q_batch_scoring_one_feature(spark, sf):
     return _batch_scoring(spark, sf, ["aqi"])
 
 
+# ---- trees: one round of boosting, one tree of a forest, contributions along paths ----------------
+STUMP_BINS = 16
+
+
+def _scoring_rows(spark, sf, features=SCORING_FEATURES):
+    return WN.build_training_frame(_features(spark, sf), 24).select("series", "timestamp", *features, F.col("aqi_next_24h").alias("y")).dropna()
+
+
+def _scoring_rows_sql(features=SCORING_FEATURES):
+    some = " AND ".join(f"{c} IS NOT NULL" for c in features)
+    return f"""tf AS ({S.target_sql('feat', 24)}),
+tr AS (SELECT *, aqi_next_24h AS y FROM tf WHERE aqi_next_24h IS NOT NULL AND {some}),
+x AS (SELECT t.*, tr.y FROM ({_values_sql(features, 'tr')}) t JOIN tr USING (series, timestamp))"""
+
+
+_CUTS = ", ".join(str(i / STUMP_BINS) for i in range(1, STUMP_BINS))
+_STUMP_SQL = f"""{S.FEAT}, {_scoring_rows_sql()},
+mean AS (SELECT avg(y) AS base, count(*) AS n FROM tr),
+edges AS (SELECT DISTINCT i, feature, unnest(q) AS cut FROM (SELECT i, feature, quantile_disc(x, [{_CUTS}]) AS q FROM x GROUP BY i, feature)),
+sums AS (SELECT e.i, e.feature, e.cut, sum(CASE WHEN x.x <= e.cut THEN base - y END) AS gl, count(CASE WHEN x.x <= e.cut THEN 1 END) AS hl,
+           sum(CASE WHEN x.x > e.cut THEN base - y END) AS gr, count(CASE WHEN x.x > e.cut THEN 1 END) AS hr
+         FROM edges e JOIN x USING (i), mean GROUP BY e.i, e.feature, e.cut),
+gains AS (SELECT *, gl * gl / (hl + 1.0) + gr * gr / (hr + 1.0) AS gain FROM sums WHERE hl >= 1 AND hr >= 1),
+best AS (SELECT *, -{ML.GBT_STEP} * gl / (hl + 1.0) AS vl, -{ML.GBT_STEP} * gr / (hr + 1.0) AS vr FROM gains
+         WHERE gain >= (SELECT max(gain) * (1 - 1e-9) FROM gains) ORDER BY i, cut LIMIT 1)"""
+
+
+def _stump(spark, sf):
+    from hourcast.operators import boosting as B
+    return B.fit_groups(_scoring_rows(spark, sf), SCORING_FEATURES, "y", rounds=1, step=ML.GBT_STEP, depth=1, bins=STUMP_BINS).get(())
+
+
+@query("boosted_stump", f"""
+WITH {_STUMP_SQL}
+SELECT 0 AS node, feature, {S.r6('cut')} AS threshold, {S.r6('0.0')} AS value, CAST(n AS DOUBLE) AS cover FROM best, mean
+UNION ALL SELECT 1, NULL, NULL, {S.r6('vl')}, CAST(hl AS DOUBLE) FROM best
+UNION ALL SELECT 2, NULL, NULL, {S.r6('vr')}, CAST(hr AS DOUBLE) FROM best""")
+def q_boosted_stump(spark, sf):
+    """The node table of one boosting round of depth 1."""
+    from hourcast.operators import boosting as B
+    model = _stump(spark, sf)
+    if model is None:
+        return spark.createDataFrame([], "node int, feature string, threshold double, value double, cover double")
+    return r6(B.nodes_frame(spark, model).select("node", "feature", "threshold", "value", "cover"))
+
+
+@query("tree_contrib", f"""
+WITH {_STUMP_SQL},
+hist AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM feat) WHERE rk <= 200
+         AND {' AND '.join(f'{c} IS NOT NULL' for c in SCORING_FEATURES)}),
+l AS ({_values_sql(SCORING_FEATURES, 'hist')})
+SELECT series, l.feature, {S.r6('avg(CASE WHEN l.feature <> best.feature THEN 0.0 WHEN x <= cut THEN abs(vl) ELSE abs(vr) END)')} AS importance
+FROM l, best GROUP BY series, l.feature""")
+def q_tree_contrib(spark, sf):
+    """Mean absolute path contribution of each feature over the newest 200 rows of a series."""
+    from hourcast.operators import contributions as C
+    model = _stump(spark, sf)
+    if model is None:
+        return spark.createDataFrame([], "series string, feature string, importance double")
+    history = O.latest_n(_features(spark, sf), 200).dropna(subset=SCORING_FEATURES)
+    return r6(C.tree_importance(history, model))
+
+
+FOREST_FEATURES = ["hour_sin", "rolling_mean_24h"]
+
+
+@query("forest_stump", f"""
+WITH {S.FEAT}, {_scoring_rows_sql(FOREST_FEATURES)},
+mean AS (SELECT avg(y) AS base, count(*) AS n FROM tr),
+vals AS (SELECT DISTINCT i, feature, x FROM x),
+cuts AS (SELECT i, feature, (x + lead(x) OVER (PARTITION BY i ORDER BY x)) / 2 AS cut FROM vals),
+sums AS (SELECT c.i, c.feature, c.cut, avg(CASE WHEN x.x <= c.cut THEN y END) AS ml, count(CASE WHEN x.x <= c.cut THEN 1 END) AS hl,
+           avg(CASE WHEN x.x > c.cut THEN y END) AS mr, count(CASE WHEN x.x > c.cut THEN 1 END) AS hr
+         FROM cuts c JOIN x USING (i) WHERE c.cut IS NOT NULL GROUP BY c.i, c.feature, c.cut),
+best AS (SELECT * FROM sums, mean ORDER BY hl * (ml - base) ** 2 + hr * (mr - base) ** 2 DESC LIMIT 1)
+SELECT feature, {S.r6('cut')} AS threshold, {S.r6('base')} AS value, CAST(n AS DOUBLE) AS cover FROM best
+UNION ALL SELECT NULL, NULL, {S.r6('ml')}, CAST(hl AS DOUBLE) FROM best
+UNION ALL SELECT NULL, NULL, {S.r6('mr')}, CAST(hr AS DOUBLE) FROM best""")
+def q_forest_stump(spark, sf):
+    """The node table of a forest of one tree of depth 1 on all rows."""
+    from hourcast.operators import contributions as C
+    rows = _scoring_rows(spark, sf, FOREST_FEATURES).cache()
+    try:
+        if rows.isEmpty():
+            return spark.createDataFrame([], "feature string, threshold double, value double, cover double")
+        model = ML.fit_forest(rows, FOREST_FEATURES, "y", trees=1, depth=1, bootstrap=False, max_bins=1 << 14, memory_mb=32)
+    finally:
+        rows.unpersist()
+    return r6(C.forest_nodes(model, FOREST_FEATURES).select("feature", "threshold", "value", "cover"))
+
+
 # ---- M8: streaming ------------------------------------------------------------------------------
 import os as _os  # noqa: E402
 
@@ -1352,16 +1488,33 @@ def q_orders_daily(spark, sf):
     return r6(AG.daily_resample(o, value="o_totalprice"))
 
 
-@query("local_surrogate")
+_K = len(SCORING_FEATURES)
+
+
+@query("local_surrogate", f"""
+WITH RECURSIVE {_PRED_SQL}, feat AS ({S.feat_cols('obs')}), {_ridge_rows_sql((24,), SCORING_FEATURES)},
+l AS ({_values_sql(SCORING_FEATURES, 'pf')}),
+st AS (SELECT series, i, feature, avg(x) AS mx, CASE WHEN COALESCE(stddev_samp(x), 0) = 0 THEN 1.0 ELSE stddev_samp(x) END AS sx,
+         arg_max(x, timestamp) AS x0 FROM l GROUP BY series, i, feature),
+dr AS (SELECT series, i, feature, mx, sx, x0, sample, {S.draw_sql('series', 'sample', 'feature', str(ML.SURROGATE_SEED))} AS u
+       FROM (SELECT *, unnest(range(0, {ML.SURROGATE_SAMPLES + 1})) AS sample FROM st)),
+zs AS (SELECT *, CASE WHEN sample = 0 THEN (x0 - mx) / sx ELSE {ST.inv_norm_sql('u')} END AS z FROM dr),
+sm AS (SELECT series, sample, sqrt(exp(-sum((z - (x0 - mx) / sx) ** 2) / {(ML.SURROGATE_KERNEL * _K ** 0.5) ** 2!r})) AS kw,
+         any_value(b) + sum(w * (mx + z * sx - m)) AS y FROM zs JOIN coef USING (i) GROUP BY series, sample),
+wm AS (SELECT series, i, sum(kw * z) / sum(kw) AS zm FROM zs JOIN sm USING (series, sample) GROUP BY series, i),
+wy AS (SELECT series, sum(kw * y) / sum(kw) AS ym FROM sm GROUP BY series),
+cz AS (SELECT series, sample, i, z - zm AS z, y - ym AS y, kw FROM zs JOIN sm USING (series, sample) JOIN wm USING (series, i) JOIN wy USING (series)),
+sys2 AS (SELECT a.series AS h, a.i, b.i AS j, sum(a.kw * a.z * b.z) + CASE WHEN a.i = b.i THEN {ML.SURROGATE_RIDGE_ALPHA} ELSE 0.0 END AS v
+         FROM cz a JOIN cz b USING (series, sample) GROUP BY a.series, a.i, b.i
+  UNION ALL SELECT series, i, {_K + 1}, sum(kw * z * y) FROM cz GROUP BY series, i),
+{S.solve_sql('sys2', _K, 'gj2')}
+SELECT series, feature, {S.r6('v')} AS weight FROM gj2 JOIN st ON st.series = gj2.h AND st.i = gj2.i WHERE p = {_K} AND j = {_K + 1}""")
 def q_local_surrogate(spark, sf):
-    feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
     data = _features(spark, sf)
-    tf = WN.build_training_frame(data, 24).dropna(subset=feats)
-    if tf.isEmpty():
+    models = _ridge_models(data, SCORING_FEATURES, (24,))
+    if not models:
         return spark.createDataFrame([], "series string, feature string, weight double")
-    model = ML.fit_ridge(tf, feats, "aqi_next_24h")
-    hist = WN.prediction_frame(O.latest_n_then_filter(data, 500, F.col("aqi").isNotNull()))
-    return r6(ML.local_surrogate(model, hist, feats))
+    return r6(ML.local_surrogate(models[24], _prediction_frame(spark, sf), SCORING_FEATURES))
 
 
 # ---- remaining dashboard / notebook pieces ----------------------------------------------------------
@@ -1470,11 +1623,26 @@ def q_landed_weather_scan(spark, sf):
     return r6(P.read_landed(spark, path, P.WEATHER_FIELDS, "2024-01-05", "2024-01-11"))
 
 
-@query("permutation_importance")
+def _permuted_sql(i):
+    """RMSE with feature i permuted (one bucket: up to PERMUTATION_BUCKET_ROWS rows)."""
+    seed, c = str(42 + i), SCORING_FEATURES[i]
+    return f"""SELECT '{c}' AS feature, sqrt(avg((y - (pred + w * (pv - {c}))) ** 2)) AS e FROM
+    (SELECT *, row_number() OVER (ORDER BY {S.draw_sql('series', 'timestamp', seed, "'rows'")}) AS k FROM scored) a
+    JOIN (SELECT {c} AS pv, row_number() OVER (ORDER BY {S.draw_sql('series', 'timestamp', seed, "'values'")}) AS k FROM scored) b USING (k),
+    (SELECT w FROM coef WHERE i = {i + 1})"""
+
+
+@query("permutation_importance", f"""
+WITH RECURSIVE {S.FEAT}, {_ridge_rows_sql((24,), SCORING_FEATURES)},
+tr AS (SELECT * FROM tf24 WHERE aqi_next_24h IS NOT NULL AND {' AND '.join(f'{c} IS NOT NULL' for c in SCORING_FEATURES)}),
+pr AS (SELECT series, timestamp, any_value(b) + sum(w * (x - m)) AS pred FROM ({_values_sql(SCORING_FEATURES, 'tr')}) JOIN coef USING (i)
+       GROUP BY series, timestamp),
+scored AS (SELECT tr.*, aqi_next_24h AS y, pred FROM tr JOIN pr USING (series, timestamp)),
+ref AS (SELECT sqrt(avg((y - pred) ** 2)) AS r FROM scored)
+SELECT feature, {S.r6('e - r')} AS importance FROM ({' UNION ALL '.join(_permuted_sql(i) for i in range(_K))}), ref""")
 def q_permutation_importance(spark, sf):
-    feats = ["aqi", "pm25", "pm10", "hour_sin", "hour_cos", "rolling_mean_24h"]
-    tf = WN.build_training_frame(_features(spark, sf), 24).dropna(subset=feats)
-    if tf.isEmpty():
+    tf = _scoring_rows(spark, sf)
+    models = _ridge_models(_features(spark, sf), SCORING_FEATURES, (24,))
+    if not models:
         return spark.createDataFrame([], "feature string, importance double")
-    model = ML.fit_ridge(tf, feats, "aqi_next_24h")
-    return r6(ML.permutation_importance(model, tf, feats, "aqi_next_24h"))
+    return r6(ML.permutation_importance(models[24], tf, SCORING_FEATURES, "y", key=("series", "timestamp")))

@@ -152,3 +152,59 @@ def backfill_sql(src: str) -> str:
             sets.append(f"COALESCE({fc}_{label}, 0.0) AS {fc}_{label}")
     names = [s.rsplit(' AS ', 1)[1] for s in sets]
     return f"SELECT * EXCLUDE ({', '.join(names)}), {', '.join(sets)} FROM {src} WINDOW w AS {W}"
+
+
+def solve_sql(system: str, k: int, out: str) -> str:
+    """Recursive CTE ``out`` (p, h, i, j, v): Gauss-Jordan over the rows (h, i, j, v) of
+    ``system``, i = 1 .. k, j = 1 .. k + 1; the solution stands at p = k, j = k + 1."""
+    return f"""{out} AS (SELECT 0 AS p, h, i, j, CAST(v AS DOUBLE) AS v FROM {system}
+  UNION ALL SELECT a.p + 1, a.h, a.i, a.j, CASE WHEN a.i = a.p + 1 THEN a.v / d.v ELSE a.v - c.v * r.v / d.v END
+  FROM {out} a JOIN {out} r ON r.h = a.h AND r.i = a.p + 1 AND r.j = a.j JOIN {out} c ON c.h = a.h AND c.i = a.i AND c.j = a.p + 1
+    JOIN {out} d ON d.h = a.h AND d.i = a.p + 1 AND d.j = a.p + 1
+  WHERE a.p < {k})"""
+
+
+def ridge_sql(rows: str, k: int, alpha: float = 1.0) -> str:
+    """CTEs over the long training rows (h, r, y, i, v), i = 1 .. k: ``mu`` (h, i, m), ``yb``
+    (h, b) and ``coef`` (h, i, w, m, b): prediction = b + sum of w (x - m). Needs WITH RECURSIVE."""
+    return f"""mu AS (SELECT h, i, avg(v) AS m FROM {rows} GROUP BY h, i),
+yb AS (SELECT h, avg(y) AS b FROM {rows} WHERE i = 1 GROUP BY h),
+cen AS (SELECT h, r, i, v - m AS v, y - b AS y FROM {rows} JOIN mu USING (h, i) JOIN yb USING (h)),
+sys AS (SELECT a.h, a.i, b.i AS j, sum(a.v * b.v) + CASE WHEN a.i = b.i THEN {float(alpha)} ELSE 0.0 END AS v
+        FROM cen a JOIN cen b USING (h, r) GROUP BY a.h, a.i, b.i
+  UNION ALL SELECT h, i, {k + 1} AS j, sum(v * y) AS v FROM cen GROUP BY h, i),
+{solve_sql('sys', k, 'gj')},
+coef AS (SELECT h, i, v AS w, m, b FROM gj JOIN mu USING (h, i) JOIN yb USING (h) WHERE p = {k} AND j = {k + 1})"""
+
+
+def draw_sql(*key: str) -> str:
+    """The uniform number of a key (see hourcast.operators.ml.uniform_draw)."""
+    return f"((('0x' || substr(md5(concat_ws('|', {', '.join(key)})), 1, 12))::UBIGINT)::DOUBLE + 0.5) / {float(1 << 48)!r}"
+
+
+def training_rows_sql(horizons) -> tuple[str, int]:
+    """(CTEs ending in ``lg`` (h, split, r, y, i, v), number of features) of the training
+    rows of all horizons, from a back-filled feature table ``bf``. Lists shorter than the
+    longest are padded with zeros, forecast columns below the coverage bound are zero."""
+    from hourcast.operators.coverage import horizon_candidates
+    from hourcast.schema import COVERAGE_THRESHOLD, HORIZON_LAG_COLS
+    lists = {h: horizon_candidates(h) for h in horizons}
+    k = max(len(c) for c, _ in lists.values())
+    ctes, union = [], []
+    for h, (cols, fc) in lists.items():
+        lags = " AND ".join(f"{c} IS NOT NULL" for c in HORIZON_LAG_COLS[h])
+        w = "(PARTITION BY series, split ORDER BY timestamp ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+
+        def value(c):
+            filled = f"COALESCE(CAST(last_value({c} IGNORE NULLS) OVER {w} AS DOUBLE), 0.0)"
+            return f"CASE WHEN cv_{c} >= {COVERAGE_THRESHOLD} THEN {filled} ELSE 0.0 END" if c in fc else filled
+
+        ctes.append(f"""tf{h} AS ({target_sql('bf', h)}),
+cv{h} AS (SELECT {', '.join(f'avg(CAST({c} IS NOT NULL AS DOUBLE)) AS cv_{c}' for c in fc)} FROM tf{h}),
+sp{h} AS (SELECT *, CASE WHEN row_number() OVER (PARTITION BY series ORDER BY timestamp)
+    <= floor(count(*) OVER (PARTITION BY series) * 0.8) THEN 'train' ELSE 'test' END AS split
+  FROM tf{h} WHERE aqi_next_{h}h IS NOT NULL AND {lags})""")
+        union.append(f"SELECT {h} AS h, split, row_number() OVER () AS r, aqi_next_{h}h AS y, [{', '.join(value(c) for c in cols)}"
+                     f"{', 0.0' * (k - len(cols))}] AS x FROM sp{h}, cv{h}")
+    long = (f"lg AS (SELECT h, split, r, y, unnest(range(1, {k + 1})) AS i, unnest(x) AS v FROM ({' UNION ALL '.join(union)}))")
+    return ", ".join([*ctes, long]), k

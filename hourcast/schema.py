@@ -79,6 +79,7 @@ MODEL_METADATA_SCHEMA = T.StructType([
     T.StructField("features", T.ArrayType(T.StringType())),
     T.StructField("metrics", METRICS_STRUCT),
     T.StructField("all_model_metrics", T.MapType(T.StringType(), METRICS_STRUCT)),
+    T.StructField("lookback_window", T.IntegerType()),
 ])
 
 

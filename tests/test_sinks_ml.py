@@ -163,3 +163,109 @@ def test_normalised_importances(spark):
     model = ML.fit_forest(df, ["a", "b"], "y", trees=5)
     w = ML.normalised_importances(model, ["a", "b"])
     assert abs(sum(w) - 1.0) < 1e-9 and w[0] > w[1]
+
+
+def _aqi_history(spark, n=400):
+    import math
+    rows = [("s", hours(h), 50 + 20 * math.sin(h / 5.0) + (h % 7), 30.0 + h % 5) for h in range(n)]
+    return add_engineered_features(spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, aqi double, pm25 double"))
+
+
+def test_all_horizons_and_candidates(spark, scratch):
+    from hourcast.plans.training import train_all, train_for_horizon
+    df = _aqi_history(spark)
+    params = {"random_forest": {"trees": 3}, "xgboost": {"rounds": 4}}
+    t = train_all(df, params=params, registry_root=scratch)
+    assert set(t.models) == {(h, m) for h in (24, 48, 72) for m in ("random_forest", "ridge", "xgboost")}
+    got = {(r.horizon, r.model): (r.rmse, r.mae, r.r2) for r in t.metrics.collect()}
+    assert len(got) == 9
+    assert "aqi_lag_1h" in t.features[24] and "aqi_lag_1h" not in t.features[48] and "aqi_lag_6h" not in t.features[72]
+    for h in (24, 48, 72):
+        model, meta = ML.load_model(spark, scratch, h)
+        assert meta["model_name"] == t.best[h] == min(("random_forest", "ridge", "xgboost"), key=lambda m: got[h, m][0])
+        assert meta["features"] == t.features[h] and set(meta["all_model_metrics"]) == {"random_forest", "ridge", "xgboost"}
+        assert meta["lookback_window"] == 24
+        # The model read back predicts as the one trained.
+        rows = df.dropna().limit(20)
+        a, b = (sorted(r.prediction for r in ML.predict(m, rows, t.features[h]).collect()) for m in (model, t.models[h, t.best[h]]))
+        assert a == b
+    # One horizon alone: the same ridge.
+    m, _, _, _ = train_for_horizon(df, 48, candidates=("ridge",))
+    assert tuple(m.first())[2:] == got[48, "ridge"]
+
+
+def test_registry_survives_a_killed_writer(spark, scratch, monkeypatch):
+    import pytest
+    from hourcast.operators import registry
+    from hourcast.operators.linear import LinearModel
+    with pytest.raises(RuntimeError, match="metadata missing"):
+        ML.load_model(spark, scratch, 24)
+    old, new = LinearModel(["a"], [2.0], 1.0), LinearModel(["b"], [5.0], 0.0)
+    ML.save_model(spark, old, scratch, 24, ML.metadata_row("ridge", "linear", 24, ["a"], None, {}))
+    swap = registry._point
+
+    def dies(*_):
+        raise OSError("killed")
+
+    # Killed before the pointer is swapped, and while the model is half written.
+    for target in ("_point", "_write_model"):
+        monkeypatch.setattr(registry, target, dies)
+        with pytest.raises(OSError):
+            ML.save_model(spark, new, scratch, 24, ML.metadata_row("ridge", "linear", 24, ["b"], None, {}))
+        monkeypatch.undo()
+        model, meta = ML.load_model(spark, scratch, 24)
+        assert model == old and meta["features"] == ["a"]
+    assert registry._point is swap
+    # A reader that follows the old pointer still reads a whole version after the swap.
+    at = registry.latest_version(spark, scratch, 24)
+    ML.save_model(spark, new, scratch, 24, ML.metadata_row("ridge", "linear", 24, ["b"], None, {}))
+    assert ML.load_model(spark, scratch, 24)[0] == new
+    assert registry._read_model(spark, os.path.join(scratch, "models/aqi_model_24h/versions", at)) == old
+
+
+def test_registry_defaults(spark, scratch):
+    from hourcast.operators.linear import LinearModel
+    from hourcast.schema import feature_columns
+    ML.save_model(spark, LinearModel(["a"], [1.0], 0.0), scratch, 48, {"horizon_hours": 48})
+    _, meta = ML.load_model(spark, scratch, 48)
+    assert meta == {"model_name": "aqi_model_48h", "model_type": "sklearn", "horizon_hours": 48, "features": feature_columns(),
+                    "lookback_window": 24, "metrics": {}, "all_model_metrics": {}}
+
+
+def test_boosted_model_in_the_registry(spark, scratch):
+    from hourcast.operators.boosting import Booster
+    df = _aqi_history(spark, 120).dropna()
+    model = ML.fit_boosted(df, ["aqi_lag_1h", "pm25"], "aqi", rounds=3)
+    ML.save_model(spark, model, scratch, 24, ML.metadata_row("xgboost", "boosted", 24, model.features, None, {}))
+    back, _ = ML.load_model(spark, scratch, 24)
+    assert isinstance(back, Booster)
+    a, b = ([r.prediction for r in ML.predict(m, df, model.features).orderBy("timestamp").collect()] for m in (model, back))
+    assert a == b
+
+
+def test_surrogate_equals_numpy(spark):
+    """Draws, kernel weights and both ridge solves against numpy on the same samples."""
+    import numpy as np
+    from hourcast.operators.linear import LinearModel
+    rng = np.random.default_rng(8)
+    names = [f"f{i}" for i in range(5)]
+    rows = [(s, hours(i), *[float(v) for v in rng.normal(k, 1 + k, 5)]) for k, s in enumerate(("p", "q")) for i in range(60)]
+    df = spark.createDataFrame(rows, "series string, timestamp timestamp_ntz, " + ", ".join(f"{c} double" for c in names))
+    model = LinearModel(names, [3.0, -2.0, 0.5, 0.0, 1.0], 7.0)
+    got = {(r.series, r.feature): r.weight for r in ML.local_surrogate(model, df, names, n_samples=300, top=3).collect()}
+    assert len(got) == 6
+    samples = ML.predict(model, ML.surrogate_samples(df, names, 300), names).toPandas()
+    for s, part in samples.groupby("series"):
+        x = np.column_stack([(part[c] - part[f"_m_{c}"]) / part[f"_s_{c}"] for c in names])
+        y, w = part.prediction.to_numpy(), part.kernel_weight.to_numpy()
+
+        def ridge(x):
+            xm, ym = np.average(x, 0, w), np.average(y, weights=w)
+            xc, yc = x - xm, y - ym
+            return np.linalg.solve((xc * w[:, None]).T @ xc + np.eye(x.shape[1]), (xc * w[:, None]).T @ yc)
+
+        pick = np.argsort(-np.abs(ridge(x)), kind="stable")[:3]
+        for i, v in zip(pick, ridge(x[:, pick])):
+            assert abs(got[s, names[i]] - v) < 1e-8
+    again = {(r.series, r.feature): r.weight for r in ML.local_surrogate(model, df.repartition(7), names, n_samples=300, top=3).collect()}
+    assert all(abs(again[k] - got[k]) < 1e-9 for k in got)

@@ -4,6 +4,8 @@ so task/job retries and stream replays are safe without MERGE support."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from hourcast.operators.ordering import pick_per_group
 from hourcast.schema import APPEND_DROP_COLUMNS, SERIES, TS
 
 PARTITION_COLUMN = "ym"
+DELIVERY_COLUMN = "delivery"  # who wrote the rows: a bulk load or a micro-batch
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -59,10 +62,16 @@ def append_new(spark: SparkSession, rows: DataFrame, path: str, keys=(SERIES, TS
     new = prepare_for_store(new, drop).cache()
     n = new.count()
     if n:
-        new.write.mode("append").partitionBy(PARTITION_COLUMN).parquet(path)
+        write_delivery(new, path, f"load-{uuid.uuid4().hex[:12]}")
     new.unpersist()
     return n
 
 
+def write_delivery(rows: DataFrame, path: str, delivery: str) -> None:
+    """Write prepared rows as one delivery; writing it again replaces it."""
+    rows.withColumn(DELIVERY_COLUMN, F.lit(delivery)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        PARTITION_COLUMN, DELIVERY_COLUMN).parquet(path)
+
+
 def stored_rows(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PARTITION_COLUMN)
+    return spark.read.parquet(path).drop(PARTITION_COLUMN, DELIVERY_COLUMN)

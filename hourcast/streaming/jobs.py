@@ -5,8 +5,8 @@
 * :func:`distinct_event_stream` -- each event once, however late it is delivered
   again.
 * :func:`feature_append_stream` -- landed hourly rows -> per micro-batch: keys not
-  stored yet, with the stored rows before them -> engineered features -> append.
-  Replays and duplicate rows never store a key twice.
+  stored yet, with the stored rows before them (from the tails kept beside the table)
+  -> engineered features -> append. Replays and duplicate rows never store a key twice.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 import os
 import uuid
 from datetime import timedelta
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,10 +22,13 @@ from pyspark.sql import functions as F
 from hourcast.functions.aqi import pm25_to_aqi
 from hourcast.operators.joins import anti_join_new
 from hourcast.operators.ordering import pick_per_group
-from hourcast.operators.sinks import PARTITION_COLUMN, append_new, read_table, stored_between, stored_rows
+from hourcast.operators.sinks import (DELIVERY_COLUMN, PARTITION_COLUMN, prepare_for_store, read_table, stored_between, stored_rows,
+                                      write_delivery)
 from hourcast.operators.windows import add_engineered_features
 from hourcast.schema import RAW_COLUMNS, SERIES, TS
 from hourcast.session import reliable_checkpoint, scratch_path
+from hourcast.streaming import tail as tails
+from hourcast.streaming.keyindex import KeyIndex
 
 HISTORY_ROWS = 50
 
@@ -88,21 +92,21 @@ def read_hourly_aggregate(spark: SparkSession, out: str) -> DataFrame:
 
 def distinct_event_stream(spark: SparkSession, source: str, schema, out: str, checkpoint: str, key: str = "event_id",
                           max_files: int = 64):
-    """Each event once, however often and late it is delivered again: a micro-batch
-    stores the events whose key no other batch holds for the same day, so only
-    the days it touches are read."""
+    """Each event once, however often and late it is delivered again and whatever its stamp
+    then says: a micro-batch stores the events whose key no earlier batch stored. Keys
+    are looked up in an index beside the table (:mod:`hourcast.streaming.keyindex`). Events
+    without a key are all stored. A replay rewrites its batch's events and index run."""
     def sink(batch: DataFrame, batch_id: int) -> None:
-        once = batch.withColumn("day", F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd"))
-        once = pick_per_group(once, [key, "day"], [F.col("ts")]).withColumn("batch", F.lit(batch_id)).persist()
+        index = KeyIndex(spark, f"{out}-keys", key, dict(batch.dtypes)[key])
+        keyed = pick_per_group(batch.filter(F.col(key).isNotNull()), [key], [F.col("ts")]).select(*batch.columns)
+        once = keyed.unionByName(batch.filter(F.col(key).isNull())).persist()
         try:
-            if batch_id:
-                days = [r.day for r in once.select("day").distinct().collect()]  # the days of one micro-batch
-                held = spark.read.schema(f"{key} {dict(batch.dtypes)[key]}, day string, batch long").parquet(out)
-                held = held.filter(F.col("day").isin(days) & (F.col("batch") != batch_id))
-                new = once.join(held.select(key, "day"), [key, "day"], "left_anti")
-            else:
-                new = once
-            new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(out)
+            seen = index.seen(once, batch_id)
+            new = once if seen is None else once.join(seen, key, "left_anti")
+            day = F.date_format(F.col("ts").cast("timestamp_ntz"), "yyyy-MM-dd")
+            new.withColumns({"day": day, "batch": F.lit(batch_id)}).write.mode("overwrite").option(
+                "partitionOverwriteMode", "dynamic").partitionBy("batch", "day").parquet(out)
+            index.add(new, batch_id)
         finally:
             once.unpersist()
 
@@ -120,8 +124,10 @@ def history_before(stored: DataFrame, bounds: DataFrame, rows: int) -> DataFrame
     return before.withColumn("_rk", F.row_number().over(w)).filter(F.col("_rk") <= rows).drop("_rk", "_lo", "_hi")
 
 
-def features_for_batch(spark: SparkSession, batch: DataFrame, table: str, recent_days: int = RECENT_DAYS) -> DataFrame:
-    """Features of the batch's new rows, one for each key that is not stored yet.
+def features_for_batch(spark: SparkSession, batch: DataFrame, table: str, recent_days: int = RECENT_DAYS,
+                       stored_filter=None) -> DataFrame:
+    """Features of the batch's new rows, one for each key that is not stored yet
+    (``stored_filter`` restricts which stored rows count).
 
     Each series gets the ``HISTORY_ROWS`` stored rows before its first new row and
     the stored rows up to its last one, so late rows have their own past.  The
@@ -129,6 +135,8 @@ def features_for_batch(spark: SparkSession, batch: DataFrame, table: str, recent
     have too few rows in them, without any limit of age.  As in the batch job,
     the rows are taken first and those without a target dropped after."""
     stored = read_table(spark, table)
+    if stored is not None and stored_filter is not None:
+        stored = stored.filter(stored_filter)
     raw_cols = [c for c in RAW_COLUMNS if c in batch.columns]
     new = pick_per_group(batch.select(SERIES, *raw_cols), [SERIES, TS], [F.col(c) for c in raw_cols if c != TS])
     if stored is None:
@@ -156,18 +164,76 @@ def features_for_batch(spark: SparkSession, batch: DataFrame, table: str, recent
     return feats.join(new.select(SERIES, TS), [SERIES, TS], "left_semi")
 
 
+def batch_with_tails(spark: SparkSession, batch: DataFrame, table: str, batch_id: int, schema) -> DataFrame:
+    """A row per series of the batch: tail (its newest stored rows), fresh (its rows that are
+    not stored yet, by time) and ``known`` (the tail holds all the past they need)."""
+    names = [f.name for f in schema["tail"].dataType.elementType.fields]
+    fresh = pick_per_group(batch.select(SERIES, *names), [SERIES, TS], [F.col(c) for c in names if c != TS])
+    fresh = fresh.groupBy(SERIES).agg(F.array_sort(F.collect_list(F.struct(*names))).alias("fresh"))
+    state = tails.current(spark, f"{table}-state", batch_id, schema)
+    both = fresh.join(state, SERIES, "left")
+    none = F.array().cast(schema["tail"].dataType)
+    both = both.withColumn("tail", F.coalesce("tail", none))
+    both = both.withColumn("fresh", F.filter("fresh", lambda f: ~F.exists("tail", lambda t: t[TS] == f[TS])))
+    first = F.get("fresh", F.lit(0))[TS]
+    # All stored rows, or enough of them before the first new one.
+    whole = F.size("tail") < tails.TAIL_ROWS
+    return both.withColumn("known", whole | (F.size(F.filter("tail", lambda t: t[TS] < first)) >= HISTORY_ROWS))
+
+
+def features_from_tails(work: DataFrame) -> DataFrame:
+    """Features of the fresh rows of the series whose tails hold their past: as
+    :func:`features_for_batch`, without a read of the table."""
+    first, last = F.get("fresh", F.lit(0))[TS], F.element_at("fresh", -1)[TS]
+    before = F.filter("tail", lambda t: t[TS] < first)
+    before = F.slice(before, F.greatest(F.size(before) - HISTORY_ROWS + 1, F.lit(1)), F.lit(HISTORY_ROWS))
+    within = F.filter("tail", lambda t: (t[TS] >= first) & (t[TS] <= last))
+    past = F.filter(F.concat(before, within), lambda t: t["aqi"].isNotNull())
+
+    def marked(rows, new: bool):
+        return F.transform(rows, lambda r: F.struct(r.alias("r"), F.lit(new).alias("new")))
+
+    rows = work.filter(F.col("known") & (F.size("fresh") > 0)).select(SERIES, F.explode(F.concat(marked(past, False), marked(F.col("fresh"), True))).alias("e"))
+    feats = add_engineered_features(rows.select(SERIES, "e.r.*", F.col("e.new").alias("_new")), strategy="plain")
+    return feats.filter("_new").drop("_new")
+
+
+def append_batch(spark: SparkSession, batch: DataFrame, batch_id: int, table: str) -> None:
+    """Append the features of a micro-batch's new rows, as a delivery of its own that a replay
+    replaces. Series that go on where they ended get their past from the tails; the
+    table's history is read only for series with rows older than their tails reach."""
+    raw = [c for c in RAW_COLUMNS if c in batch.columns]
+    schema = tails.tail_schema(batch.select(SERIES, *raw).schema)
+    if batch_id == 0 and (stored := read_table(spark, table)) is not None:
+        # The table has rows from elsewhere: their tails are run (0, 0), before any batch's.
+        stored = stored.filter(F.col(DELIVERY_COLUMN) != "batch-0") if DELIVERY_COLUMN in stored.columns else stored
+        tails.store(spark, f"{table}-state", 0, tails.from_table(stored, schema), schema)
+    number = batch_id + 1
+    work = reliable_checkpoint(batch_with_tails(spark, batch, table, number, schema))
+    feats = prepare_for_store(features_from_tails(work))
+    late = work.filter(~F.col("known") & (F.size("fresh") > 0)).select(SERIES, F.explode("fresh").alias("r")).select(SERIES, "r.*")
+    delivery = f"batch-{batch_id}"
+    if not late.isEmpty():
+        own = F.col(DELIVERY_COLUMN) != delivery
+        feats = feats.unionByName(prepare_for_store(features_for_batch(spark, late, table, stored_filter=own)))
+    write_delivery(feats, table, delivery)
+    merged = F.array_sort(F.concat("tail", "fresh"))
+    newest = F.slice(merged, F.greatest(F.size(merged) - tails.TAIL_ROWS + 1, F.lit(1)), F.lit(tails.TAIL_ROWS))
+    tails.store(spark, f"{table}-state", number, work.select(SERIES, newest.alias("tail")), schema)
+
+
 def feature_append_stream(spark: SparkSession, source: str, schema, table: str, checkpoint: str,
                           max_files: int = 1):
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(source)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        feats = features_for_batch(spark, batch, table)
-        append_new(spark, feats, table)
-
+    sink = partial(_append_sink, spark=spark, table=table)
     return (rows.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
 
 
+def _append_sink(batch: DataFrame, batch_id: int, spark: SparkSession, table: str) -> None:
+    append_batch(spark, batch, batch_id, table)
+
+
 def time_pieces(df: DataFrame, pieces: int, ts=TS) -> list[DataFrame]:
     """``df`` cut into ``pieces`` time ranges of equal length."""
     span = df.agg(F.min(ts).alias("lo"), F.max(ts).alias("hi")).first()

@@ -111,6 +111,12 @@ def comparison_frame(meta: DataFrame, order=MODEL_PREFERRED_ORDER) -> DataFrame:
                      F.col("_e.value.r2").alias("r2"), rank.alias("display_order"))
 
 
+def display_names(comparison: DataFrame) -> DataFrame:
+    """The comparison table under its display names."""
+    return comparison.select("horizon_hours", F.col("label").alias("model"), F.col("rmse").alias("RMSE"), F.col("mae").alias("MAE"),
+                             F.col("r2").alias("R²"))
+
+
 def format_metric(c) -> "F.Column":
     col = F.col(c) if isinstance(c, str) else c
     return F.when(col.isNull() | F.isnan(col), F.lit("-")).otherwise(F.format_string("%.4f", col))

@@ -4,13 +4,17 @@ histograms, kernel density, box-plot statistics, normal Q-Q fit, bands."""
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hourcast.operators.halo import PositionalPlan
 from hourcast.operators.joins import join_small
 from hourcast.operators.quantiles import quantiles_wide
-from hourcast.schema import SERIES
+from hourcast.schema import SERIES, TS
 from hourcast.session import reliable_checkpoint
 
 # ---- fixed values: rational approximation of the inverse normal CDF (Acklam) ---------------
@@ -241,10 +245,59 @@ def rolling_band(df: DataFrame) -> DataFrame:
                            "upper": F.col("rolling_mean_24h") + F.col("rolling_std_24h")})
 
 
-def flatten_sequence_scaler(seq: DataFrame, n_features: int) -> DataFrame:
-    """Mean and population std per feature over all sequence cells (a row counts
-    once per sequence holding it); zero variance -> scale 1."""
-    cells = seq.select(F.explode("x").alias("_row")).select(F.posexplode("_row").alias("feature_index", "_v"))
-    agg = cells.groupBy("feature_index").agg(F.avg("_v").alias("mean"), F.stddev_pop("_v").alias("_sd"))
-    return agg.select("feature_index", "mean", F.when(F.col("_sd") == 0, F.lit(1.0)).otherwise(F.col("_sd")).alias("scale"))
-
+def sequence_scaler(df: DataFrame, feat_cols, target: str, lookback: int = 24, series=SERIES, ts=TS, strategy=None) -> DataFrame:
+    """feature_index, mean and population std (0 -> 1) of each feature over all cells of the
+    sequences of :func:`hourcast.operators.windows.sequences`, without making them: a row
+    counts once for each valid window that holds it, and the windows that end at the row or
+    up to ``lookback - 1`` rows later are counted by a frame over their validity. Mean and
+    spread are weighted aggregates of the rows, in two passes."""
+    keys = [series] if isinstance(series, str) else list(series)
+    plan = PositionalPlan(df, keys, ts, lookback=lookback - 1, lookahead=lookback - 1, strategy=strategy)
+    back = plan.window.rowsBetween(-(lookback - 1), 0)
+    holes = F.sum(F.when(F.greatest(*[F.col(c).isNull().cast("int") for c in [feat_cols[0], *feat_cols]]) > 0, 1).otherwise(0)).over(back)
+    valid = (F.count(F.lit(1)).over(back) == lookback) & (holes == 0) & F.col(target).isNotNull()
+    staged = plan.df.withColumn("_ends", valid.cast("long"))
+    staged = staged.withColumn("_w", F.sum("_ends").over(plan.window.rowsBetween(0, lookback - 1)))
+    rows = plan.finish(staged).filter(F.col("_w") > 0)
+    rows = reliable_checkpoint(rows.select("_w", *[F.col(c).cast("float").cast("double").alias(f"_f{i}") for i, c in enumerate(feat_cols)]))
+    n = len(feat_cols)
+    means = rows.agg(F.sum("_w").alias("_n"), *[(F.sum(F.col("_w") * F.col(f"_f{i}")) / F.sum("_w")).alias(f"_m{i}") for i in range(n)])
+    spread = join_small(rows, reliable_checkpoint(means), []).groupBy("_n", *[f"_m{i}" for i in range(n)]).agg(
+        *[F.sqrt(F.sum(F.col("_w") * F.pow(F.col(f"_f{i}") - F.col(f"_m{i}"), F.lit(2.0))) / F.col("_n")).alias(f"_s{i}") for i in range(n)])
+    each = spread.select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("feature_index"), F.col(f"_m{i}").alias("mean"), F.col(f"_s{i}").alias("sd")) for i in range(n)])).alias("e"))
+    return each.select("e.feature_index", "e.mean", F.when(F.col("e.sd") == 0, F.lit(1.0)).otherwise(F.col("e.sd")).alias("scale"))
+
+
+def corr_pairs(df: DataFrame, columns) -> DataFrame:
+    """col_a, col_b, corr of every pair of columns (a before or equal to b), over the rows that
+    have both; NULL where one of them does not vary. For wide frames: a task adds up the
+    co-moments of all pairs with matrix products, about the columns' means, and emits a row per
+    pair."""
+    cols = list(columns)
+    data = df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(cols)])
+    first = data.agg(*[F.avg(f"_c{i}").alias(f"_c{i}") for i in range(len(cols))]).first()
+    centre = np.array([v if v is not None else 0.0 for v in first])
+    names = ["i", "j", "n", "sx", "sy", "sxx", "syy", "sxy"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((6, len(cols), len(cols)))
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = np.column_stack([c.fill_null(float("nan")).to_numpy(zero_copy_only=False) for c in batch.columns]) - centre
+            m = (~np.isnan(x)).astype(float)
+            x = np.nan_to_num(x, nan=0.0)
+            total += np.stack([m.T @ m, x.T @ m, m.T @ x, (x * x).T @ m, m.T @ (x * x), x.T @ x])
+        i, j = np.triu_indices(len(cols))
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(j, pa.int32()), *[pa.array(t[i, j]) for t in total]], names=names)
+
+    part = data.mapInArrow(run, "i int, j int, " + ", ".join(f"{c} double" for c in names[2:]))
+    s = part.groupBy("i", "j").agg(*[F.sum(c).alias(c) for c in names[2:]])
+    vx, vy = F.col("sxx") - F.col("sx") ** 2 / F.col("n"), F.col("syy") - F.col("sy") ** 2 / F.col("n")
+    cov = F.col("sxy") - F.col("sx") * F.col("sy") / F.col("n")
+    # Rounding leaves a constant column a spread of some last places.
+    varies = (F.col("n") > 1) & (vx > 1e-12 * F.col("sxx")) & (vy > 1e-12 * F.col("syy"))
+    label = F.array(*[F.lit(c) for c in cols])
+    return s.select(F.element_at(label, F.col("i") + 1).alias("col_a"), F.element_at(label, F.col("j") + 1).alias("col_b"),
+                    F.when(varies, cov / F.sqrt(vx * vy)).alias("corr"))

@@ -220,15 +220,14 @@ def q_current_or_last(spark, sf):
 
 
 @query("carry_forward", f"""
-WITH {S.OBS}, hist AS (SELECT * FROM obs WHERE timestamp < TIMESTAMP '{CUTOFF}' AND series <> 'purchase'),
+WITH {S.OBS}, hist AS (SELECT * FROM obs WHERE timestamp < TIMESTAMP '{CUTOFF}'),
 ser AS (SELECT DISTINCT event_type AS series FROM events),
 t0 AS (SELECT *, row_number() OVER (PARTITION BY series ORDER BY timestamp DESC) AS rk FROM hist),
 t1 AS (SELECT ser.series, t0.* EXCLUDE (series, timestamp, rk) FROM ser LEFT JOIN t0 ON ser.series = t0.series AND t0.rk = 1),
 t AS (SELECT series, {AS_OF_HOUR} AS timestamp, * EXCLUDE (series) FROM t1)
 {S.round_all(['aqi'] + MEASURES[1:], ['series', 'timestamp'])}""")
 def q_carry_forward(spark, sf):
-    # one series has no history at all in this query, so its fallback row is all-NULL
-    hist = TB.obs_hourly(spark, sf, until=CUTOFF).filter(F.col("series") != "purchase")
+    hist = TB.obs_hourly(spark, sf, until=CUTOFF)
     series_list = table(spark, sf, "events").select(F.col("event_type").alias("series"))
     return r6(O.carry_forward(hist, series_list, AS_OF))
 
@@ -268,13 +267,13 @@ def q_join_weather(spark, sf):
 WITH {S.OBS}, cur AS (
   SELECT *, row_number() OVER (PARTITION BY series ORDER BY (timestamp = {AS_OF_HOUR}) DESC, timestamp DESC) AS rk
   FROM (SELECT series, timestamp, pm25 FROM obs WHERE timestamp <= {AS_OF_HOUR})),
-wx AS (SELECT series, timestamp, temperature, humidity, wind_speed FROM obs WHERE wind_speed >= 2)
+wx AS (SELECT series, timestamp, temperature, humidity, wind_speed FROM obs)
 SELECT c.series, c.timestamp, {S.r6('c.pm25')} AS pm25, {S.r6('wx.temperature')} AS temperature,
        {S.r6('wx.humidity')} AS humidity, {S.r6('wx.wind_speed')} AS wind_speed
 FROM cur c LEFT JOIN wx ON wx.series = c.series AND wx.timestamp = c.timestamp WHERE c.rk = 1""")
 def q_weather_lookup(spark, sf):
     cur = O.current_or_last(TB.air_hourly(spark, sf, until=AS_OF_UNTIL).select("series", "timestamp", "pm25"), AS_OF)
-    wx = TB.weather_hourly(spark, sf, until=AS_OF_UNTIL).filter(F.col("wind_speed") >= 2)
+    wx = TB.weather_hourly(spark, sf, until=AS_OF_UNTIL)
     return r6(J.join_on_time(cur, wx, "left"))
 
 
@@ -291,7 +290,7 @@ def q_forecast_windows(spark, sf):
     return r6(J.forecast_windows(base, TB.forecast_hourly(spark, sf)))
 
 
-_FULL_FORECAST = S.FORECAST.replace("WHERE timestamp >= (SELECT max(timestamp) FROM ev) - INTERVAL 10 DAY", "")
+_FULL_FORECAST = S.FORECAST.replace("+ INTERVAL 10 DAY", "")
 
 
 @query("forecast_windows_full", f"""
@@ -301,7 +300,7 @@ t AS (SELECT series, timestamp, {_fc_sel} FROM j GROUP BY series, timestamp)
 {S.round_all(FORECAST_WINDOW_COLUMNS, ['series', 'timestamp'])}""")
 def q_forecast_windows_full(spark, sf):
     base = TB.obs_hourly(spark, sf).select("series", "timestamp")
-    return r6(J.forecast_windows(base, TB.forecast_hourly(spark, sf, days=None)))
+    return r6(J.forecast_windows(base, TB.forecast_hourly(spark, sf, lead_days=0)))
 
 
 @query("forecast_windows_latest", f"""
@@ -572,7 +571,7 @@ def q_rows_with_forecast(spark, sf):
 from hourcast.functions.numeric import round_stable  # noqa: E402
 from hourcast.operators import aggregates as AG  # noqa: E402
 from hourcast.operators import stats as ST  # noqa: E402
-from hourcast.schema import POLLUTANTS  # noqa: E402
+from hourcast.schema import POLLUTANTS, numeric_columns  # noqa: E402
 
 LOCAL = f"""{S.FEAT}, l AS (SELECT *, timezone('{LOCAL_TZ}', timestamp AT TIME ZONE 'UTC') AS lt FROM feat)"""
 
@@ -762,8 +761,14 @@ u AS ({' UNION ALL '.join(f'SELECT {i} AS feature_index, CAST({c} AS FLOAT) AS v
 a AS (SELECT feature_index, avg(v) AS mean, stddev_pop(v) AS sd FROM u GROUP BY feature_index)
 SELECT feature_index, {S.r6('mean')} AS mean, {S.r6('CASE WHEN sd = 0 THEN 1.0 ELSE sd END')} AS scale FROM a""")
 def q_sequence_scaler(spark, sf):
-    seq = q_sequences(spark, sf)
-    return r6(ST.flatten_sequence_scaler(seq, len(SEQ_FEATS)))
+    tf = WN.build_training_frame(_features(spark, sf), 24)
+    return r6(ST.sequence_scaler(tf, SEQ_FEATS, "aqi_next_24h", 24))
+
+
+@query("sequence_scaler_halo", ORACLES["sequence_scaler"])
+def q_sequence_scaler_halo(spark, sf):
+    tf = WN.build_training_frame(_features(spark, sf), 24, strategy=SMALL_CHUNKS)
+    return r6(ST.sequence_scaler(tf, SEQ_FEATS, "aqi_next_24h", 24, strategy=SMALL_CHUNKS))
 
 
 # ---- M5: exploratory statistics ----------------------------------------------------------------
@@ -775,6 +780,18 @@ def q_corr_matrix(spark, sf):
     return r6(ST.corr_matrix(_features(spark, sf), POLLUTANTS))
 
 
+# Numeric columns of the feature table, in its order.
+_NUMERIC = [c for c in S.FEAT_COLS_ORDER if c not in ("series", "timestamp")]
+
+
+@query("corr_numeric", f"""
+WITH {S.FEAT}, t AS ({' UNION ALL '.join(f"SELECT '{a}' AS col_a, '{b}' AS col_b, corr({a}, {b}) AS corr FROM feat" for i, a in enumerate(_NUMERIC) for b in _NUMERIC[i:])})
+SELECT col_a, col_b, {S.r6('CASE WHEN isnan(corr) THEN NULL ELSE corr END')} AS corr FROM t""")
+def q_corr_numeric(spark, sf):
+    feats = _features(spark, sf)
+    return r6(ST.corr_pairs(feats, numeric_columns(feats)))
+
+
 @query("corr_ranked", f"""
 WITH {S.FEAT}, t AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, corr(aqi, {c}) AS corr FROM feat" for c in POLLUTANTS[1:])})
 SELECT feature, {S.r6('corr')} AS corr FROM t ORDER BY abs(corr) DESC, feature LIMIT 5""")
@@ -927,6 +944,14 @@ def q_comparison_table(spark, sf):
     return r6(ML.comparison_frame(_metadata_frame(spark, sf)))
 
 
+@query("comparison_display", f"""
+WITH {_baseline_sql((24, 48, 72))}, m AS (SELECT horizon, model, {_MET} FROM preds GROUP BY horizon, model)
+SELECT CAST(horizon AS INTEGER) AS horizon_hours, upper(replace(model, '_', ' ')) AS model, {S.r6('rmse')} AS "RMSE",
+  {S.r6('mae')} AS "MAE", {S.r6('r2')} AS "R²" FROM m""")
+def q_comparison_display(spark, sf):
+    return r6(ML.display_names(ML.comparison_frame(_metadata_frame(spark, sf))))
+
+
 @query("ridge_one_feature", f"""
 WITH {S.FEAT}, tf AS ({S.target_sql('feat', 24)}),
 s AS (SELECT avg(aqi) AS mx, avg(aqi_next_24h) AS my FROM tf),

@@ -77,8 +77,7 @@ allobs AS (
 FORECAST = """fc AS (
   SELECT series, timestamp, avg(value) AS fc_pm25, min(value) AS fc_co, stddev_samp(value) AS fc_no2,
          sum(value) AS fc_so2, avg(k) AS fc_o3, avg(user_id) AS fc_dust, CAST(count(*) AS DOUBLE) AS fc_uvi
-  FROM ev
-  WHERE timestamp >= (SELECT max(timestamp) FROM ev) - INTERVAL 10 DAY
+  FROM (SELECT series, timestamp + INTERVAL 10 DAY AS timestamp, value, k, user_id FROM ev)
   GROUP BY series, timestamp)"""
 
 W = "(PARTITION BY series ORDER BY timestamp)"

@@ -14,21 +14,22 @@ from hourcast.functions.calendar import floor_hour
 from hourcast.schema import SERIES, TS
 from hourcast.sources.tables import table
 
-FORECAST_DAYS = 10
+# A forecast row is stamped this long after the hour whose events it is made of, so the
+# forecast table holds the whole grid, reaches beyond the readings, and leaves the first
+# readings without a forecast.
+FORECAST_LEAD_DAYS = 10
 
 
 def _events(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None,
-            days: int | None = None) -> DataFrame:
-    """Events of the hours in [since, until), or of the last ``days`` days. The predicates are on the raw
+            lead_days: int = 0) -> DataFrame:
+    """Events of the hours in [since, until), each ``lead_days`` earlier. The predicates are on the raw
     column so the Parquet scan prunes row groups; bounds lie on hours, so they select whole hours."""
     ev = table(spark, sf_dir, "events")
+    lead = F.make_dt_interval(F.lit(lead_days))
     if since is not None:
-        ev = ev.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz"))
+        ev = ev.filter(F.col("ts") >= F.lit(since).cast("timestamp_ntz") - lead)
     if until is not None:
-        ev = ev.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz"))
-    if days is not None:
-        last_hour = table(spark, sf_dir, "events").select(floor_hour(F.max("ts"))).scalar()
-        ev = ev.filter(F.col("ts") >= last_hour - F.make_dt_interval(F.lit(days)))
+        ev = ev.filter(F.col("ts") < F.lit(until).cast("timestamp_ntz") - lead)
     return ev.select(
         F.col("event_type").alias(SERIES),
         floor_hour("ts").alias(TS),
@@ -80,11 +81,12 @@ def all_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "temperature", "humidity", "wind_speed")
 
 
-def forecast_hourly(spark: SparkSession, sf_dir: str, days: int | None = FORECAST_DAYS, since: str | None = None,
-                    until: str | None = None) -> DataFrame:
-    """Forecast table: the last ``days`` days of the hourly grid (None: all of it), measures as fc_*;
-    ``since`` and ``until`` restrict the scan further."""
-    return _events(spark, sf_dir, since, until, days).groupBy(SERIES, TS).agg(
+def forecast_hourly(spark: SparkSession, sf_dir: str, since: str | None = None, until: str | None = None,
+                    lead_days: int = FORECAST_LEAD_DAYS) -> DataFrame:
+    """Forecast table: the measures of the whole hourly grid as fc_*, stamped ``lead_days``
+    later; ``since`` and ``until`` restrict the stamps at the scan."""
+    ev = _events(spark, sf_dir, since, until, lead_days).withColumn(TS, F.col(TS) + F.make_dt_interval(F.lit(lead_days)))
+    return ev.groupBy(SERIES, TS).agg(
         F.avg("value").alias("fc_pm25"),
         F.min("value").alias("fc_co"),
         F.stddev_samp("value").alias("fc_no2"),

@@ -24,13 +24,14 @@ import zlib
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 from heapq import heappop, heappush
-from itertools import islice
+from itertools import compress, islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .bytehash import seeded
 from .common import materialise
 
 SEQUENCE = 2048
@@ -39,6 +40,9 @@ NODES = 20_000
 NODES_PER_BIN = 12
 FILLINGS = 4
 STEPS = 200
+TAIL = 64
+DIVES = 3
+DUAL_FUNCTIONS = 50
 CACHE_WORDS = 600_000
 CACHE_PIECES = 300_000
 TOKENIZER = "word_bpe_49k.json"
@@ -46,8 +50,11 @@ TOKENIZER = "word_bpe_49k.json"
 # Words of these characters alone are split here; others go to the tokenizer whole.
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 # Fixed value: the word pattern of the tokenizer file, for the plain characters.
-_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^\sa-z0-9À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^\sa-z0-9À-ÖØ-öø-ÿ]+")
 _WORD_END = "</w>"
+# Stands for a line break among ids: the vocabulary's ids end with zero bytes, so it is in none.
+_BREAK = b"\xff\xff\xff\xff"
+BLOCK_CHARS = 1 << 22
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -94,35 +101,45 @@ class WordTokenizer:
             self.words.clear()
         if len(self.pieces) > CACHE_PIECES:
             self.pieces.clear()
-        split, odd = [], []
-        for w in words:
-            s = w.decode("utf-8", "replace")
-            if _PLAIN.fullmatch(s) and "<|" not in s:
-                split.append((w, _PIECE.findall(s.lower())))
-            else:
-                odd.append((w, s))
+        order = list(words)
+        texts = b"\n".join(order).decode("utf-8", "replace").split("\n")
+        plain = [_PLAIN.fullmatch(s) is not None and "<|" not in s for s in texts]
+        # All plain words at once, a line each.
+        parts = _PIECE.findall("\n".join(compress(texts, plain)).lower())
         known = self.pieces
-        new = {p for _, parts in split for p in parts if p not in known}
+        known["\n"] = _BREAK
+        new = {p for p in parts if p not in known}
         if new:
             self._learn_pieces(list(new))
-        get = self.pieces.__getitem__
-        for w, parts in split:
-            self.words[w] = b"".join(map(get, parts))
+        if parts:
+            self.words.update(zip(compress(order, plain), b"".join(map(known.__getitem__, parts)).split(_BREAK)))
+        odd = [i for i, p in enumerate(plain) if not p]
         if odd:
-            self.words.update(zip([w for w, _ in odd], self._whole([s for _, s in odd])))
+            self.words.update(zip([order[i] for i in odd], self._whole([texts[i] for i in odd])))
 
     def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """Ids of each text; new words are learnt together for about BLOCK_CHARS of text."""
+        block, size = [], 0
         for text in texts:
-            words = text.encode("utf-8", "replace").split()
-            got = list(map(self.words.get, words))
-            try:
-                yield b"".join(got)
-            except TypeError:
-                missing = [i for i, x in enumerate(got) if x is None]
-                self._learn({words[i] for i in missing})
-                for i in missing:
-                    got[i] = self.words[words[i]]
-                yield b"".join(got)
+            block.append(text)
+            size += len(text)
+            if size > BLOCK_CHARS:
+                yield from self._block(block)
+                block, size = [], 0
+        yield from self._block(block)
+
+    def _block(self, texts: list[str]) -> Iterator[bytes]:
+        get = self.words.get
+        split = [text.encode("utf-8", "replace").split() for text in texts]
+        got = [list(map(get, words)) for words in split]
+        holes = [[i for i, x in enumerate(ids) if x is None] for ids in got]
+        missing = {words[i] for words, at in zip(split, holes) for i in at}
+        if missing:
+            self._learn(missing)
+        for words, ids, at in zip(split, got, holes):
+            for i in at:
+                ids[i] = get(words[i])
+            yield b"".join(ids)
 
 
 _loaded: dict[str, WordTokenizer] = {}
@@ -161,14 +178,15 @@ def pieces(docs: DataFrame, path: str, text: str = "text", doc_id: str = "doc_id
 
 
 def lower_bound(sizes: list[int], limit: int) -> int:
-    """Bins that any packing needs: by volume, and with pieces over ``limit - a``
-    alone and those over half of it unmatched, for each threshold ``a``."""
+    """Bins that any packing needs: the largest of the volume, of the bounds with pieces
+    over ``limit - a`` alone and those over half of it unmatched for each threshold ``a``, and of
+    the volumes after the dual feasible functions that round sizes down to k-ths of a bin
+    (a size of exactly j / (k + 1) stays)."""
     if not sizes:
         return 0
-    down = sorted(sizes, reverse=True)
-    total = sum(down)
+    up = np.sort(np.array(sizes, np.int64))
+    total = int(up.sum())
     best = -(-total // limit)
-    up = np.array(down[::-1])
     prefix = np.concatenate(([0], np.cumsum(up)))
     for a in np.unique(up[up <= limit // 2]):
         alone = len(up) - int(np.searchsorted(up, limit - a, "right"))
@@ -177,6 +195,10 @@ def lower_bound(sizes: list[int], limit: int) -> int:
         mid = int(prefix[len(up) - alone] - prefix[len(up) - alone - half])
         small = int(prefix[hi] - prefix[lo])
         best = max(best, alone + half + max(0, -(-(small - (half * limit - mid)) // limit)))
+    for k in range(1, DUAL_FUNCTIONS + 1):
+        parts, rest = np.divmod(up * (k + 1), limit)
+        # In units of 1 / (k limit): k x where x (k + 1) is whole, else floor(x (k + 1)) limit.
+        best = max(best, -(-int(np.where(rest == 0, k * up, parts * limit).sum()) // (k * limit)))
     return best
 
 
@@ -241,6 +263,105 @@ def fillings(sizes: list[int], counts: dict[int, int], room: int, most: int, ste
     return [tuple(s for s, n in chosen for _ in range(n)) for chosen in out[:most]], whole and len(out) <= most
 
 
+def fullest(sizes: list[int], counts: dict[int, int], room: int) -> list[int]:
+    """The fullest filling of ``room`` from the open sizes (ascending), with the largest
+    pieces first among equally full ones: the reachable sums of each beginning of the sizes are
+    the bits of one integer."""
+    k = bisect_right(sizes, room)
+    mask, bits, reach = (1 << (room + 1)) - 1, 1, [1]
+    for s in sizes[:k]:
+        left, step = min(counts[s], room // s), 1
+        while left:  # 1, 2, 4, ... pieces at a time
+            n = min(step, left)
+            bits |= bits << (s * n)
+            left -= n
+            step *= 2
+        bits &= mask
+        reach.append(bits)
+    total, out = bits.bit_length() - 1, []
+    while total:
+        s = sizes[k - 1]
+        n = next(n for n in range(min(counts[s], total // s), -1, -1) if reach[k - 1] >> (total - n * s) & 1)
+        out += [s] * n
+        total -= n * s
+        k -= 1
+    return out
+
+
+class Open:
+    """The pieces not yet in a bin; ``state`` is a hash of their sizes."""
+
+    def __init__(self, counts: dict[int, int], code: dict[int, int], bins: list[list[int]]):
+        self.counts, self.code = dict(counts), code
+        for b in bins:
+            for s in b:
+                self.counts[s] -= 1
+        self.sizes = sorted(s for s, n in self.counts.items() if n)
+        self.state = sum(n * code[s] for s, n in self.counts.items())
+
+    def take(self, pieces: list[int]) -> None:
+        for s in pieces:
+            self.counts[s] -= 1
+            self.state -= self.code[s]
+            if not self.counts[s]:
+                del self.sizes[bisect_left(self.sizes, s)]
+
+
+def last_bins_anew(sizes: list[int], limit: int, best: list[list[int]], least: int) -> list[list[int]]:
+    """``best``, or fewer bins by dives that give the bin of the largest open piece its fullest
+    filling, again and again: one from the start, then those that take another undominated
+    filling once or twice in one of the last ``TAIL`` bins. A dive ends when more is wasted
+    than one bin fewer than the best leaves, or at open pieces that were met before with as few
+    bins. ``DIVES`` whole dives' worth of bins are filled at most."""
+    every: dict[int, int] = {}
+    for s in sizes:
+        every[s] = every.get(s, 0) + 1
+    code = dict(zip(sorted(every), seeded(len(every), 41).tolist()))
+    total, left = sum(sizes), DIVES * len(best)
+    met: dict[int, int] = {}
+    number = 0
+    # (other fillings taken, place from the end, number, bins of a dive, bin to fill otherwise)
+    todo: list[tuple[int, int, int, list[list[int]], int]] = [(0, 0, 0, [], 0)]
+    while todo:
+        taken, _, _, path, at = heappop(todo)
+        before = path[:at]
+        waste = sum(limit - sum(b) for b in before)
+        starts: list[list[int]] = [[]]
+        if path:
+            rest = Open(every, code, before)
+            top = rest.sizes[-1]
+            rest.take([top])
+            found, _ = fillings(rest.sizes, rest.counts, limit - top, FILLINGS, STEPS)
+            used = sorted(path[at])
+            starts = [f for f in ([top, *f] for f in found) if sorted(f) != used]
+        for start in starts:
+            bins, lost, rest = list(before), waste, Open(every, code, before)
+            if start:
+                bins.append(start)
+                rest.take(start)
+                lost += limit - sum(start)
+            while rest.sizes and lost <= (len(best) - 1) * limit - total and met.get(rest.state, len(bins) + 1) > len(bins):
+                if not left:
+                    return best
+                left -= 1
+                met[rest.state] = len(bins)
+                top = rest.sizes[-1]
+                rest.take([top])
+                bins.append([top, *fullest(rest.sizes, rest.counts, limit - top)])
+                rest.take(bins[-1][1:])
+                lost += limit - sum(bins[-1])
+            if not rest.sizes and len(bins) < len(best):
+                best = bins
+                if len(best) <= least:
+                    return best
+            first = max(at + bool(start), len(bins) - TAIL)
+            if taken < 2:
+                for i in range(len(bins) - 1, first - 1, -1):
+                    number += 1
+                    heappush(todo, (taken + 1, len(bins) - i, number, bins, i))
+    return best
+
+
 def spread(n: int) -> list[int]:
     """0 to n - 1 so that each beginning is spread over all (bits reversed)."""
     bits = max(1, (n - 1).bit_length())
@@ -251,12 +372,15 @@ def complete_bins(sizes: list[int], limit: int = SEQUENCE, nodes_per_bin: int =
     """Bins of at most ``limit``: best fit, improved by bin completion until the
     lower bound or the node budget is reached.
 
-    Limited discrepancy search: a dive gives each bin its fullest filling; then
+    Dives by fullest fillings come first, with others in the last bins (``last_bins_anew``).
+    Then limited discrepancy search: a dive gives each bin its fullest filling; then
     come the dives that take another filling once, at bins spread over the whole
     path, then twice, and so on.  Where fillings were left untested, the search
     starts again with four times as many."""
     best = best_fit(sizes, limit)
     least = lower_bound(sizes, limit)
+    if len(best) > least:
+        best = last_bins_anew(sizes, limit, best, least)
     if len(best) <= least:
         return best
     every: dict[int, int] = {}

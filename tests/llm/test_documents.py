@@ -371,3 +371,21 @@ def test_kept_text_hash(spark):
     d = spark.createDataFrame([(1, "é\n\n")], "doc_id long, text string")
     got = line_dedup.dedup_lines(d).select(F.sha2("text", 256).alias("h")).first().h
     assert got == hashlib.sha256("é\n\n".encode()).hexdigest()
+
+
+def test_fullest_filling_against_brute_force():
+    rng = np.random.default_rng(11)
+    for _ in range(200):
+        open_sizes = rng.integers(1, 40, rng.integers(1, 9)).tolist()
+        room = int(rng.integers(0, 90))
+        counts = {s: open_sizes.count(s) for s in open_sizes}
+        got = packing.fullest(sorted(counts), counts, room)
+        sets = [tuple(sorted((s for i, s in enumerate(open_sizes) if m >> i & 1), reverse=True)) for m in range(1 << len(open_sizes))]
+        fits = [f for f in sets if sum(f) <= room]
+        assert tuple(got) == max(fits, key=lambda f: (sum(f), f))
+    assert packing.fullest([1], {1: 5000}, 2000) == [1] * 2000 and packing.fullest([], {}, 5) == []
+
+
+def test_lower_bound_of_two_to_a_bin():
+    # Volume says 80; pieces of over a third of a bin go two to a bin.
+    assert packing.lower_bound([700] * 232, 2048) == 116

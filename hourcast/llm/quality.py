@@ -116,17 +116,25 @@ RULES = [
 ]
 
 
+def plain_files(docs: DataFrame) -> list[str]:
+    """The files of a frame that is a Parquet scan with nothing but a choice of columns
+    above it, under the names in the files; none for any other frame."""
+    node = docs._jdf.queryExecution().optimizedPlan()
+    if node.nodeName() == "Project" and " AS " not in node.toString().splitlines()[0]:
+        node = node.children().apply(0)
+    return sorted(docs.inputFiles()) if node.toString().startswith("Relation ") and node.toString().endswith(" parquet\n") else []
+
+
 def sample_of(docs: DataFrame, text: str, rows: int = SAMPLE_ROWS, seed: int = 7) -> DataFrame:
-    """About ``rows`` texts: whole input files, chosen by a seeded order of their
-    names, then a seeded row sample; other files are never opened.  A frame
-    that is not a plain file scan is sampled by rows.  It only steers the order of the rules."""
-    files = sorted(docs.inputFiles())
-    files = [files[i] for i in sorted({seed % len(files), (seed * 31 + 5) % len(files)})] if files else []
-    part = docs.select(F.col(text).alias("t"))
+    """About ``rows`` texts of the frame: a seeded row sample, of two files chosen by the seed
+    where the frame is a plain scan (the others are never opened), else of all its rows.  It
+    only steers the order of the rules."""
+    files = plain_files(docs)
+    part = docs
     if files:
-        part = docs.sparkSession.read.parquet(*files).select(F.col(text).alias("t"))
-    total = part.count()
-    return part.sample(min(1.0, rows / max(total, 1)), seed)
+        part = docs.sparkSession.read.parquet(*[files[i] for i in sorted({seed % len(files), (seed * 31 + 5) % len(files)})])
+    total = part.select(F.lit(1)).count()
+    return part.select(F.col(text).alias("t")).sample(min(1.0, rows / max(total, 1)), seed)
 
 
 def plan_cascade(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None,

@@ -117,10 +117,20 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parsed(records: DataFrame) -> DataFrame:
-    """Fields of the records as read: type, reference, payload size and digest."""
-    head = F.decode("header", "UTF-8")
-    refers = F.regexp_extract(head, r"WARC-Refers-To: <urn:x-record:(-?[0-9]+)>", 1)
-    return records.select(
-        "record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), base32_sha1(F.col("payload")).alias("payload_digest"),
-        F.regexp_extract(head, r"^WARC/1\.1\r\nWARC-Type: ([a-z]+)\r\n", 1).alias("record_type"),
-        F.when(refers != "", refers.cast("long")).alias("refers_to"))
+    """Fields of the records, read from their bytes: record_id, payload_bytes,
+    payload_digest, record_type, refers_to.  A record's header lines end at its first empty
+    line, the HTTP header at the next; a response's payload is what stands between that and the
+    record's closing line breaks, and a revisit's is the one its digest names."""
+    text, gap = F.decode("record", "ISO-8859-1"), F.lit(_CRLF * 2)  # a character per byte
+    r = records.select("record_id", "record", "payload", text.alias("_t")).withColumn("_a", F.locate(_CRLF * 2, F.col("_t")))
+    r = r.withColumn("_b", F.call_function("locate", gap, F.col("_t"), F.col("_a") + 4))
+    # Each line with the break before it: names stand at the beginning of a line.
+    head = F.concat(F.lit(_CRLF), F.substring(F.col("_t"), F.lit(1), F.col("_a") + 1))
+    r = r.select("record_id", "payload", head.alias("_h"),
+                 F.substring(F.col("record"), F.col("_b") + 4, F.octet_length("record") - F.col("_b") - 7).alias("_body"))
+    kind = F.regexp_extract("_h", r"\r\nWARC-Type: ([a-z]+)\r\n", 1)
+    refers = F.regexp_extract("_h", r"\r\nWARC-Refers-To: <urn:x-record:(-?[0-9]+)>\r\n", 1)
+    r = r.select("record_id", kind.alias("record_type"), F.when((kind == "revisit") & (refers != ""), refers.cast("long")).alias("refers_to"),
+                 F.when(kind == "revisit", F.col("payload")).otherwise(F.col("_body")).alias("_p"))
+    return r.select("record_id", F.octet_length("_p").cast("long").alias("payload_bytes"), base32_sha1(F.col("_p")).alias("payload_digest"),
+                    "record_type", "refers_to")

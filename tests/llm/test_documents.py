@@ -389,3 +389,18 @@ def test_fullest_filling_against_brute_force():
 def test_lower_bound_of_two_to_a_bin():
     # Volume says 80; pieces of over a third of a bin go two to a bin.
     assert packing.lower_bound([700] * 232, 2048) == 116
+
+
+def test_cascade_samples_any_frame(spark, messy):
+    """Renamed, filtered and joined frames are sampled themselves."""
+    path = __import__("tempfile").mkdtemp() + "/t"
+    messy.write.parquet(path)
+    stored = spark.read.parquet(path)
+    want = sorted(str(r.doc_id) for r in quality.keep_documents(messy).collect())
+    assert sorted(str(r.doc_id) for r in quality.keep_documents(stored.withColumnRenamed("text", "t2"), "t2").collect()) == want
+    joined = stored.join(stored.select(F.col("doc_id").alias("d2")).distinct(), F.col("doc_id").eqNullSafe(F.col("d2")))
+    assert sorted(str(r.doc_id) for r in quality.keep_documents(joined).collect()) == want
+    assert quality.sample_of(stored.filter("doc_id = 1"), "text").count() == 1
+    assert quality.plain_files(stored) and quality.plain_files(stored.select("doc_id", "text"))
+    for other in (stored.withColumnRenamed("text", "t2"), joined, stored.filter("doc_id = 1"), messy, stored.select(F.upper("text").alias("text"))):
+        assert not quality.plain_files(other)

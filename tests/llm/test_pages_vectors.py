@@ -169,3 +169,21 @@ def test_search_prunes_and_stays_exact():
     for r in range(40):
         order = np.lexsort((ids, ~s[r]))[:5]
         assert got[r].tolist() == order.tolist() and score[r].tolist() == s[r][order].tolist()
+
+
+def test_archive_fields_come_from_the_record(spark):
+    """Header names inside URLs, payloads and HTTP headers are no header lines."""
+    fake = "WARC-Refers-To: <urn:x-record:7>"
+    rows = [(1, f"http://a/?q={fake}", "p", "d"), (2, f"http://a/\r\n{fake}\r\nx", f"\r\n\r\nWARC/1.1\r\n{fake}\r\n", "d"),
+            (3, f"\r\n{fake}\r\n", "WARC-Type: revisit\r\n", "d"), (9, f"http://b?{fake}", "p", "d"), (4, fake, "é\r\n\r\n", "d")]
+    back = warc.read_archive(spark, warc.write_archive(records(pages(spark, rows))))
+    got = {r.record_id: r for r in warc.parsed(back).collect()}
+    assert {i: (r.record_type, r.refers_to) for i, r in got.items()} == {
+        1: ("revisit", 9), 2: ("response", None), 3: ("response", None), 4: ("response", None), 9: ("response", None)}
+    for i, _, h, _ in rows:
+        assert (got[i].payload_bytes, got[i].payload_digest) == (len(h.encode()), base64.b32encode(hashlib.sha1(h.encode()).digest()).decode())
+    # The record's own bytes are parsed: cut short, they give other fields.
+    short = warc.parsed(back.withColumn("record", F.expr("substring(record, 1, octet_length(record) - 5)"))).filter("record_id = 9").first()
+    assert short.payload_bytes == 0
+    plan = warc.parsed(back)._jdf.queryExecution().optimizedPlan().toString()
+    assert "header" in plan and "ISO-8859-1" in plan

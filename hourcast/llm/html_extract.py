@@ -16,7 +16,8 @@ are sorted, paired and aligned; deletions go back to the pages.
 
 Defined results: null html is an empty text.  Pages with a null id or URL, and
 pages whose content is alone on their host, are not paired.  Every row gives
-one row; rows of equal id may differ in URL and html.  Very long pages are processed whole.
+one row; rows of equal id may differ in URL and html.  Very long pages are processed whole, in
+one pass over their tags and in rows of bits over their lines.
 """
 
 from __future__ import annotations
@@ -37,12 +38,17 @@ from .common import materialise
 COPY_SHARE = 0.9
 BROADCAST_IDS = 1 << 20
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[|\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_OPEN = re.compile(r"</?([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"[>\"']")
 _ATTR = re.compile(r"([^\s=/\"']+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))")
 _SPACE = re.compile(r"\s+")
 _NAME = re.compile(r"[a-z]+|[0-9]+", re.I)
 
-RAW = {"script", "style", "textarea", "title", "noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video"}
+# Elements whose content is no text of the page, up to their own end tag; of the first, the
+# content is no markup either, and without an end tag they reach to the end of the page.
+RAW_TEXT = {"script", "style", "textarea", "title"}
+RAW = RAW_TEXT | {"noscript", "template", "iframe", "svg", "math", "object", "canvas", "audio", "video"}
+_RAW_END = {t: re.compile(rf"</{t}(?=[\s/>])", re.I) for t in RAW}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins", "kbd",
           "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u",
@@ -50,7 +56,11 @@ INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "dat
 CLUTTER_TAGS = {"nav", "footer", "aside", "form", "menu", "dialog", "button", "select", "head", "fieldset", "datalist"}
 CLUTTER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar",
                  "toolbar", "form"}
-# Whole words of class and id names.
+# Class and id names are clutter if all their words are clutter or companions and one is clutter.
+COMPANIONS = {
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "container", "content", "desktop", "footer", "global", "group", "icons",
+    "inner", "item", "items", "left", "link", "links", "list", "main", "mobile", "module", "outer", "page", "panel", "posts", "primary", "right",
+    "row", "secondary", "section", "site", "slot", "sticky", "top", "unit", "wrap", "wrapper", "articles", "stories", "links", "media", "thread"}
 CLUTTER_NAMES = {
     "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "banner", "breadcrumb", "breadcrumbs", "comment",
     "comments", "commentlist", "consent", "cookie", "cookies", "disqus", "dialog", "footer", "form", "gdpr", "header", "login", "masthead",
@@ -58,10 +68,86 @@ CLUTTER_NAMES = {
     "popup", "promo", "promoted", "promotion", "recommended", "related", "replies", "reply", "respond", "search", "share", "sharing",
     "sidebar", "signup", "skip", "social", "sponsor", "sponsored", "subscribe", "subscription", "toolbar", "topbar", "trending", "widget",
     "widgets"}
+# Inside the article these name its own parts.
+OWN_NAMES = {"header", "notice", "notices", "banner"}
 MAIN_NAMES = {"article", "articlebody", "entrycontent", "postcontent", "postbody", "maincontent", "storybody"}
 OUT, PLAIN, MAIN = 0, 1, 2
 
 
+def clutter_name(words: list[str], inside: bool) -> bool:
+    """Whether the words of a class or id name boilerplate: "site-header" and
+    "related-posts" do, "has-sidebar", "share-price" and an article's own "header" don't."""
+    names = {w for w in words if not w.isdigit()}
+    found = names & CLUTTER_NAMES
+    if inside:
+        found -= OWN_NAMES
+    return bool(found) and names <= CLUTTER_NAMES | COMPANIONS
+
+
+def tags(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """(start, end, name, closing, attributes) of the page's tags, comments and declarations
+    (these without a name), in one pass: what is looked for in vain once is not looked for
+    again.  The content of RAW elements is passed over."""
+    at, quoting = 0, True
+    lost: set[str] = set()  # quotes and end tags that do not occur again
+    while True:
+        i = page.find("<", at)
+        if i < 0:
+            return
+        if page.startswith("<!--", i):
+            end = page.find("-->", i + 4)
+            at = len(page) if end < 0 else end + 3
+            yield i, at, "", False, ""
+            continue
+        if page.startswith("<![CDATA[", i):
+            at = i + 9
+            yield i, at, "", False, ""
+            continue
+        m = _OPEN.match(page, i)
+        if m is None:
+            at = i + 1
+            if page[i + 1:i + 2] in ("!", "?"):
+                end = page.find(">", i)
+                if end < 0:
+                    return
+                at = end + 1
+                yield i, at, "", False, ""
+            continue
+        pos = m.end()
+        while True:
+            stop = _STOP.search(page, pos)
+            if stop is None:
+                break
+            q = stop[0]
+            if q == ">":
+                break
+            close = -1 if q in lost or not quoting else page.find(q, stop.end())
+            if close < 0:
+                lost.add(q)
+            pos = stop.end() if close < 0 else close + 1
+        if stop is None:
+            # No end outside quotes: from here on quotes mean nothing.
+            quoting = False
+            end = page.find(">", m.end())
+            if end < 0:
+                return
+            at = end + 1
+        else:
+            at = stop.end()
+        name, closing = m[1].lower(), page[i + 1] == "/"
+        attributes = page[m.end():at - 1]
+        yield i, at, name, closing, attributes
+        if name in RAW and not closing and not attributes.endswith("/"):
+            end = None if name in lost else _RAW_END[name].search(page, at)
+            if end is not None:
+                at = end.start()
+            elif name in RAW_TEXT:
+                yield at, len(page), "", False, ""
+                return
+            else:
+                lost.add(name)
+
+
 def region(tag: str, attributes: str, inside: bool) -> int | None:
     """The region that an element opens, or None where it keeps its parent's."""
     if tag in ("article", "main"):
@@ -83,7 +169,7 @@ def region(tag: str, attributes: str, inside: bool) -> int | None:
                 words = _NAME.findall(token)
                 if "".join(words) in MAIN_NAMES:
                     return MAIN
-                if CLUTTER_NAMES & set(words) and not (inside and tag in INLINE):
+                if clutter_name(words, inside) and not (inside and tag in INLINE):
                     return OUT
         elif name == "itemprop" and value == "articlebody":
             return MAIN
@@ -98,30 +184,24 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
     if not page:
         return out
     stack: list[tuple[str, int]] = []
-    here, buffer, at, skip = PLAIN, [], 0, ""
+    here, buffer, at, raw = PLAIN, [], 0, ""
 
     def flush() -> None:
-        text = _SPACE.sub(" ", html.unescape("".join(buffer))).strip()
+        text = _SPACE.sub(" ", html.unescape("".join(buffer).replace("]]>", ""))).strip()
         buffer.clear()
         if text:
             out.append((here, text))
 
-    for m in _TOKEN.finditer(page):
-        if not skip and m.start() > at:
-            buffer.append(page[at:m.start()])
-        at = m.end()
-        tag = (m.group(2) or "").lower()
+    for start, end, tag, closing, attributes in tags(page):
+        if start > at and not (raw and closing and tag == raw):
+            buffer.append(page[at:start])
+        at = end
         if not tag:
             continue
-        closing = bool(m.group(1))
-        if skip:
-            if closing and tag == skip:
-                skip = ""
-            continue
         if tag in RAW:
-            if not closing and not m.group(3).endswith("/"):
-                skip = tag
+            raw = "" if closing or attributes.endswith("/") else tag
             continue
+        raw = ""
         if tag not in INLINE:
             flush()
         if tag in VOID:
@@ -135,7 +215,7 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
                     del stack[i:]
                     break
             continue
-        opened = region(tag, m.group(3), here == MAIN)
+        opened = region(tag, attributes, here == MAIN)
         if tag in ("article", "main") and opened == MAIN and here == OUT and not any(t in ("article", "main") for t, _ in stack):
             stack.clear()  # an unclosed menu or advert ends where the article begins
         if opened is not None and tag in INLINE:
@@ -143,8 +223,7 @@ def lines_of(page: str | None) -> list[tuple[int, str]]:
         stack.append((tag, here))
         if opened == OUT or opened == MAIN and here != OUT or opened == MAIN and not stack[:-1]:
             here = opened
-    if not skip:
-        buffer.append(page[at:])
+    buffer.append(page[at:])
     flush()
     return out
 
@@ -155,11 +234,25 @@ def hashes(lines: list[str]) -> list[int]:
 
 
 def common_subsequence(a: list[int], b: list[int]) -> list[int]:
-    """Positions in ``a`` of a longest common subsequence with ``b``: the longest
-    increasing run of matching positions (Hunt and Szymanski)."""
+    """Positions in ``a`` of a longest common subsequence with ``b``.  The common beginning and
+    end are matched as they are; what is between goes by the increasing runs of matching
+    positions (Hunt and Szymanski), or by rows of bits where lines repeat so that there are
+    many matching pairs."""
+    n, m, first, last = len(a), len(b), 0, 0
+    while first < min(n, m) and a[first] == b[first]:
+        first += 1
+    while last < min(n, m) - first and a[n - 1 - last] == b[m - 1 - last]:
+        last += 1
+    mid_a, mid_b = a[first:n - last], b[first:m - last]
     where: dict[int, list[int]] = {}
-    for j, x in enumerate(b):
+    for j, x in enumerate(mid_b):
         where.setdefault(x, []).append(j)
+    pairs = sum(len(where.get(x, ())) for x in mid_a)
+    inner = by_pairs(mid_a, where) if pairs <= 8 * (len(mid_a) + len(mid_b)) else by_bits(mid_a, where, len(mid_b))
+    return [*range(first), *(first + i for i in inner), *range(n - last, n)]
+
+
+def by_pairs(a: list[int], where: dict[int, list[int]]) -> list[int]:
     tails: list[int] = []
     nodes: list[tuple] = []
     for i, x in enumerate(a):
@@ -179,6 +272,47 @@ def common_subsequence(a: list[int], b: list[int]) -> list[int]:
     return out[::-1]
 
 
+def by_bits(a: list[int], where: dict[int, list[int]], m: int) -> list[int]:
+    """Bit j of row i is zero where b's line j makes the common subsequence of a's first i lines
+    longer.  Every ``step``-th row is kept, and those between are made again on the way back."""
+    masks: dict[int, int] = {}
+    for x in set(a) & set(where):
+        bits = bytearray(m // 8 + 1)
+        for j in where[x]:
+            bits[j >> 3] |= 1 << (j & 7)
+        masks[x] = int.from_bytes(bits, "little")
+    full = (1 << m) - 1
+
+    def rows(v: int, lines: list[int]) -> Iterator[int]:
+        for x in lines:
+            u = v & masks.get(x, 0)
+            v = ((v + u) | (v - u)) & full
+            yield v
+
+    step = max(1, int(len(a) ** 0.5))
+    v, kept = full, []
+    for i in range(0, len(a), step):
+        kept.append(v)
+        for v in rows(v, a[i:i + step]):
+            pass
+    out, j = [], m
+    for block in range(len(kept) - 1, -1, -1):
+        lines = a[block * step:(block + 1) * step]
+        table = [kept[block], *rows(kept[block], lines)]
+        i = len(lines)
+        while i and j:
+            bit = 1 << (j - 1)
+            if table[i] & bit:
+                # As long without b's last lines: on to the next that counts.
+                j = ((table[i] | -(1 << j)) ^ -1).bit_length()
+            elif not table[i - 1] & bit:
+                i -= 1
+            else:
+                i, j = i - 1, j - 1
+                out.append(block * step + i)
+    return out[::-1]
+
+
 def neighbours(keys: DataFrame) -> DataFrame:
     """(page_id, mate): the page of the same host with the nearest path; keys
     (page_id, host, path) are sorted in ranges, and ranges joined at their ends."""
@@ -195,9 +329,11 @@ def neighbours(keys: DataFrame) -> DataFrame:
     before, after = F.coalesce("before", "left"), F.coalesce("after", "right")
 
     def shared(other):
-        size = F.least(F.char_length("path"), F.char_length(other["path"]))
-        same = F.filter(F.sequence(F.lit(1), F.greatest(size, F.lit(1))), lambda i: F.substr("path", F.lit(1), i) == F.substr(other["path"], F.lit(1), i))
-        return F.when(other["host"] == F.col("host"), F.size(same))
+        # Characters up to the first that differs.
+        same = F.zip_with(F.split("path", ""), F.split(other["path"], ""), lambda x, y: x.eqNullSafe(y))
+        first = F.array_position(same, False)
+        size = F.when(first > 0, first - 1).otherwise(F.size(same))
+        return F.when(other["host"] == F.col("host"), size)
 
     k = k.select("page_id", "host", "path", before.alias("b"), after.alias("a"))
     k = k.withColumn("sb", shared(F.col("b"))).withColumn("sa", shared(F.col("a")))

@@ -4,6 +4,7 @@ import base64
 import hashlib
 import heapq
 import math
+import time
 
 import numpy as np
 import pytest
@@ -187,3 +188,48 @@ def test_archive_fields_come_from_the_record(spark):
     assert short.payload_bytes == 0
     plan = warc.parsed(back)._jdf.queryExecution().optimizedPlan().toString()
     assert "header" in plan and "ISO-8859-1" in plan
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<script>var s = '<!--';</script><article><p>Body text</p></article>", "Body text"),
+    ("<script>document.write(\"<div class='x\");</script><article><p>It's fine</p></article>", "It's fine"),
+    ("<article><div class='post-header'><h1>Title</h1></div><p class='share-price'>1</p><section id='related-work'>w</section>"
+     "<div class='related-posts'>x</div></article>", "Title\n1\nw"),
+    ("<div class='wrap has-sidebar'><p>Body</p><div class='sidebar'>no</div></div>", "Body"),
+    ("<svg><p>a</p><article>b</article>", "b"), ("a <b class=it's>bold</b> x &gt; y < z", "a bold x > y < z"),
+    ("<p>one<![CDATA[two]]>three</p>", "onetwothree"), ("<textarea>x", ""), ("<p>a</p><!-- <p>b</p>", "a"), ("<p title='a>b'>c</p>", "c"),
+])
+def test_ordinary_markup(spark, page, want):
+    got = html_extract.extract(pages(spark, [(1, "http://h/x", page, "d")])).first()
+    assert got.text == want
+
+
+def test_very_long_pages_take_linear_time():
+    """Unclosed tags, quotes, comments and raw elements; tens of thousands of equal lines."""
+    began = time.perf_counter()
+    for page in ("<a " * 80_000, '<a "' * 60_000 + ">", "<a '\" >" * 40_000, "<!--" * 60_000, "<svg>" * 50_000, "<script>" * 50_000, "<p>x</p>" * 30_000):
+        html_extract.lines_of(page)
+    for a, b in (([1] * 50_000, [1] * 49_990), ([1, 2] * 25_000, [2, 1, 1] * 16_000)):
+        html_extract.common_subsequence(a, b)
+    assert time.perf_counter() - began < 15
+
+
+def test_common_subsequence_every_way_against_brute_force():
+    def length(a, b):
+        row = [0] * (len(b) + 1)
+        for x in a:
+            now = [0]
+            for j, y in enumerate(b):
+                now.append(row[j] + 1 if x == y else max(row[j + 1], now[-1]))
+            row = now
+        return row[-1]
+
+    rng = np.random.default_rng(4)
+    for _ in range(400):
+        a, b = (rng.integers(0, rng.choice([1, 2, 3, 12]), rng.integers(0, 25)).tolist() for _ in range(2))
+        where = {}
+        for j, x in enumerate(b):
+            where.setdefault(x, []).append(j)
+        for got in (html_extract.common_subsequence(a, b), html_extract.by_bits(a, where, len(b)), html_extract.by_pairs(a, where)):
+            rest = iter(b)
+            assert len(got) == length(a, b) and got == sorted(set(got)) and all(any(y == a[i] for y in rest) for i in got)

@@ -16,7 +16,7 @@ more than two passes over its blocks, so no document is taken over twice.
 Defined results: a null or empty text has size 0 and is taken 0 times; a null
 source is a source of its own, last in the order; a source of size 0 has target
 0; an empty table gives an empty mix.  Rows equal in ``doc_id``, source and text
-are one document.
+are documents of their own, told apart by a number (``copy``).
 """
 
 from __future__ import annotations
@@ -33,6 +33,7 @@ BLOCK_WORDS = 16384
 LEAST_BLOCKS = 64
 GROUP_ROWS = 4096
 SLOT_RANGE = 1 << 16
+COPIES = 1024
 GOLDEN = 0.6180339887498949
 
 
@@ -41,6 +42,19 @@ def word_count(text: Column) -> Column:
     return F.when(t == "", F.lit(0)).otherwise(F.size(F.split(t, r"[\x20\x09-\x0D]+"))).cast("long")
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """A row per document (doc_id, source, size, key, copy) from rows of the first four:
+    equal rows are counted, and given out again with a number, at most ``COPIES`` of them by
+    one task."""
+    names = ["doc_id", "source", "size", "key"]
+    counted = materialise(docs.groupBy(*names).agg(F.count("*").alias("_m")), "mix-counts")
+    runs = counted.withColumn("_c", F.explode(F.sequence(F.lit(0), F.floor((F.col("_m") - 1) / COPIES))))
+    if (counted.agg(F.max("_m")).first()[0] or 0) > COPIES:
+        runs = runs.repartition("doc_id", "key", "_c")
+    last = F.least(F.col("_m"), (F.col("_c") + 1) * COPIES) - 1
+    return runs.select(*names, F.explode(F.sequence(F.col("_c") * COPIES, last)).alias("copy"))
+
+
 def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CAP) -> DataFrame:
     """One row per source: ``source_size``, ``weight`` and ``target``.
 
@@ -58,8 +72,10 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float
     s = s.withColumn("_full", F.coalesce(F.sum("_cap").over(upto), F.lit(0.0)))
     s = s.withColumn("_open", F.sum("weight").over(every) - F.coalesce(F.sum("weight").over(upto), F.lit(0.0)))
     s = s.withColumn("_level", (F.sum("source_size").over(every) * share - F.col("_full")) / F.col("_open"))
-    # The level of the first source that its own level does not fill.
-    level = F.min(F.when(F.col("_level") <= F.col("_fill"), F.struct("_fill", F.col("_level").alias("level")))).over(every)["level"]
+    # The level of the first source, in that order, that its own level does not fill.
+    turn = F.row_number().over(Window.orderBy("_fill", F.col("source").asc_nulls_last()))
+    s = s.withColumn("_turn", turn)
+    level = F.min(F.when(F.col("_level") <= F.col("_fill"), F.struct("_turn", F.col("_level").alias("level")))).over(every)["level"]
     s = s.withColumn("target", F.when(F.col("source_size") == 0, F.lit(0.0))
                      .otherwise(F.least(F.col("_cap"), F.coalesce(level * F.col("weight"), F.col("_cap")))))
     return s.select("source", "source_size", "weight", "target")
@@ -77,20 +93,20 @@ def blocks_of(goal: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
 
 
 def place(sizes: DataFrame, seed: int = 17) -> DataFrame:
-    """Documents (doc_id, source, size, key) of positive size with ``start``: the
+    """Documents (doc_id, source, size, key, copy) of positive size with ``start``: the
     words before the document in its source's shuffled order."""
     groups = max(1, -(-sizes.count() // GROUP_ROWS))
-    d = sizes.filter(F.col("size") > 0).withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "key"))
+    d = sizes.filter(F.col("size") > 0).withColumn("_h", F.xxhash64(F.lit(seed), "doc_id", "key", "copy"))
     # Ranges of the hash: ordered by range, then within it, they are ordered by hash.
     d = d.withColumn("_g", F.floor((F.shiftright("_h", 32) + (1 << 31)) * groups / (1 << 32)))
     totals = d.groupBy("source", "_g").agg(F.sum("size").alias("_t"))
     before = Window.partitionBy("source").orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("source").alias("_s"), F.col("_g").alias("_g2"),
                            F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_base"))
-    inner = Window.partitionBy("source", "_g").orderBy("_h", "doc_id", "key").rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy("source", "_g").orderBy("_h", "doc_id", "key", "copy").rowsBetween(Window.unboundedPreceding, -1)
     d = d.withColumn("_in", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     d = d.join(totals, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_g") == F.col("_g2")))
-    return d.select("doc_id", "source", "size", "key", (F.col("_base") + F.col("_in")).alias("start"))
+    return d.select("doc_id", "source", "size", "key", "copy", (F.col("_base") + F.col("_in")).alias("start"))
 
 
 def schedule(goal: DataFrame) -> DataFrame:
@@ -131,11 +147,11 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
         share: float = SHARE, cap: float = CAP, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, DataFrame]:
     """(documents, spans): per document ``size``, ``source_size``, ``target`` and
     ``taken`` words; and what the mix takes, in the order of ``slot``: a row for
-    each document and drawn block (doc_id, key, source, slot, pass, block_no,
-    first_word, words), ``key`` being the hash of the text."""
+    each document and drawn block (doc_id, key, copy, source, slot, pass, block_no,
+    first_word, words), ``key`` being the hash of the text and ``copy`` the number of an equal row."""
     sizes = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"),
-                        word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("key")).distinct()
-    sizes = materialise(sizes, "mix-sizes")
+                        word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("key"))
+    sizes = materialise(numbered(sizes), "mix-sizes")
     goal = materialise(blocks_of(targets(sizes, weights, share, cap), block_words), "mix-targets")
     g = goal.select(F.col("source").alias("_s"), "source_size", "target", "block")
     at = place(sizes).join(g, F.col("source").eqNullSafe(F.col("_s")))
@@ -143,16 +159,16 @@ def mix(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str
     parts = at.withColumn("block_no", F.explode(F.sequence(F.floor(start / block), F.floor((start + size - 1) / block))))
     begin = F.greatest(F.col("block_no") * block, start)
     end = F.least((F.col("block_no") + 1) * block, start + size)
-    parts = parts.select("doc_id", "key", "source", "block_no", (begin - start).alias("first_word"), (end - begin).alias("words"))
+    parts = parts.select("doc_id", "key", "copy", "source", "block_no", (begin - start).alias("first_word"), (end - begin).alias("words"))
     drawn = materialise(schedule(goal), "mix-schedule").withColumnRenamed("source", "_s").withColumnRenamed("block_no", "_b")
     spans = parts.join(drawn, F.col("source").eqNullSafe(F.col("_s")) & (F.col("block_no") == F.col("_b")))
-    spans = spans.select("doc_id", "key", "source", "slot", "pass", "block_no", "first_word", "words")
-    taken = spans.groupBy(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("source").alias("_s")).agg(
-        F.sum("words").alias("taken"))
-    out = sizes.join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("key").eqNullSafe(F.col("_k"))
-                     & F.col("source").eqNullSafe(F.col("_s")), "left").drop("_d", "_k", "_s")
+    spans = spans.select("doc_id", "key", "copy", "source", "slot", "pass", "block_no", "first_word", "words")
+    taken = spans.groupBy(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("source").alias("_s"),
+                          F.col("copy").alias("_y")).agg(F.sum("words").alias("taken"))
+    out = sizes.join(taken, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("key").eqNullSafe(F.col("_k")) & (F.col("copy") == F.col("_y"))
+                     & F.col("source").eqNullSafe(F.col("_s")), "left").drop("_d", "_k", "_s", "_y")
     out = out.join(g, F.col("source").eqNullSafe(F.col("_s")), "left")
-    return out.select("doc_id", "source", "key", "size", "source_size", "target",
+    return out.select("doc_id", "source", "key", "copy", "size", "source_size", "target",
                       F.coalesce("taken", F.lit(0)).cast("long").alias("taken")), spans
 
 
@@ -161,14 +177,28 @@ def mixed_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     whole document is taken, and one with its first words, up to the block's end,
     where the last pass over its source ends within it."""
     got, _ = mix(docs, text, doc_id, source, **options)
-    got = got.filter("taken > 0").select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("source").alias("_s"), "taken", "size")
+    got = got.filter("taken > 0").select(F.col("doc_id").alias("_d"), F.col("key").alias("_k"), F.col("source").alias("_s"),
+                                         F.col("copy").alias("_y"), "taken", "size")
     names = [f"c{i}" for i in range(len(docs.columns))]
     col = {n: F.col(f"c{i}") for i, n in enumerate(docs.columns)}
     d = materialise(docs.toDF(*names).withColumn("_row", F.monotonically_increasing_id()), "mix-rows")
-    # Equal rows are one document, and the first of them stands for it.
-    first = d.groupBy(col[doc_id].alias("_d2"), F.xxhash64(col[text]).alias("_k2"), col[source].cast("string").alias("_s2")).agg(
-        F.min("_row").alias("_row"))
-    got = first.join(got, F.col("_d2").eqNullSafe(F.col("_d")) & F.col("_k2").eqNullSafe(F.col("_k")) & F.col("_s2").eqNullSafe(F.col("_s")))
+    same = ["_d2", "_k2", "_s2"]
+    rows = d.select(col[doc_id].alias("_d2"), F.xxhash64(col[text]).alias("_k2"), col[source].cast("string").alias("_s2"), "_row")
+    rows = materialise(rows, "mix-row-keys")
+    groups = rows.groupBy(*same).agg(F.min("_row").alias("_row"), F.count("*").alias("_m"))
+    lone = groups.filter("_m = 1").select(*same, "_row", F.lit(0).cast("long").alias("_copy"))
+    # Equal rows are numbered in two steps, so many of them are no one task's.
+    more = groups.filter("_m > 1").select(*[F.col(c).alias(f"{c}g") for c in same])
+    more = rows.join(more, [F.col(c).eqNullSafe(F.col(f"{c}g")) for c in same], "left_semi")
+    more = more.withColumn("_salt", F.pmod(F.xxhash64("_row"), F.lit(256)))
+    more = more.withColumn("_in", F.row_number().over(Window.partitionBy(*same, "_salt").orderBy("_row")))
+    base = more.groupBy(*same, "_salt").agg(F.count("*").alias("_n"))
+    upto = Window.partitionBy(*same).orderBy("_salt").rowsBetween(Window.unboundedPreceding, -1)
+    base = base.select(*[F.col(c).alias(f"{c}b") for c in same], F.col("_salt").alias("_saltb"), F.coalesce(F.sum("_n").over(upto), F.lit(0)).alias("_b"))
+    more = more.join(base, [*[F.col(c).eqNullSafe(F.col(f"{c}b")) for c in same], F.col("_salt") == F.col("_saltb")])
+    every = lone.unionByName(more.select(*same, "_row", (F.col("_b") + F.col("_in") - 1).alias("_copy")))
+    got = every.join(got, F.col("_d2").eqNullSafe(F.col("_d")) & F.col("_k2").eqNullSafe(F.col("_k")) & F.col("_s2").eqNullSafe(F.col("_s"))
+                     & (F.col("_copy") == F.col("_y")))
     d = d.join(got.select("_row", "taken", "size"), "_row")
     whole = F.floor(F.col("taken") / F.col("size")).cast("int")
     rest = (F.col("taken") - whole * F.col("size")).cast("int")

@@ -4,11 +4,16 @@ per-word scores with a switching penalty labels spans.
 The model counts, for every language, the hashed byte n-grams (1 to 4, with word
 edges) and the scripts of all training texts.  A word's score in a language is the
 sum of its n-grams' log probabilities; languages that do not write the word's
-script are ruled out, if another does; letters of no listed script rule out none.
-The path through the words pays
+script (that of most of its letters) are ruled out, if another does; letters of no listed
+script rule out none.  Words end at every character that is no letter or mark, and where the
+script changes, so unspaced text of two scripts is words of both.  The path through the words pays
 ``SWITCH`` for each change of language; the text's language is the one with the
 most letters on the path, and the score is its share of them.
 
+Long texts are read in pieces of about ``PIECE_BYTES``, cut between words (or inside a word
+longer than that), and scores are looked up for a bounded number of positions at a time, so
+memory grows neither with a text nor with the number of languages.
+
 Counting is a Spark aggregation over (language, bucket); the model is languages x
 ``BUCKETS`` numbers, whatever the input.  Texts of a batch go through Viterbi in
 step, so Python's work is one step for a word position, not for a word.
@@ -19,6 +24,7 @@ where nothing was learned.  Ties go to the smaller language.
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bytehash import chunks, lower_table
+from .bytehash import CHUNK_BYTES, chunks, lower_table
 
 BUCKETS = 1 << 15
 ORDERS = (1, 2, 3, 4)
@@ -34,6 +40,8 @@ SWITCH = 12.0
 SCALE = 0.5
 SCRIPT_SHARE = 0.01
 UNKNOWN = "und"
+PIECE_BYTES = 1 << 20
+CELLS = 1 << 23      # scores (positions x languages) looked up at once
 
 # First bytes of UTF-8 by script range (code points from, to).
 SCRIPTS = (
@@ -61,16 +69,85 @@ def script_table() -> np.ndarray:
 _SCRIPT = script_table()
 OTHER = len(SCRIPTS) + 1  # letters of no script above
 _LETTER = np.fromiter((chr(cp).isalpha() for cp in range(0x110000)), bool, 0x110000)
+_IN_WORD = _LETTER | np.fromiter((unicodedata.category(chr(cp))[0] == "M" for cp in range(0x110000)), bool, 0x110000)
+# Scripts that one language mixes inside a word count as one where words end.
+_GROUP = np.arange(OTHER + 1, dtype=np.uint8)
+_GROUP[[k for k, (name, _, _) in enumerate(SCRIPTS, 1) if name in ("kana", "han")]] = OTHER + 1
 
 
 def separators() -> np.ndarray:
-    """All ASCII but letters parts words; so does nothing else."""
+    """Bytes that part words on their own: all ASCII but letters."""
     t = np.zeros(256, bool)
     t[:128] = True
     t[65:91] = t[97:123] = False
     return t
 
 
+def code_points(raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Code points of the characters of two and more bytes that begin at ``at``."""
+    b = np.append(raw, [0] * 3).astype(np.int64)
+    lead, *low = (b[at + i] & (0x3F if i else 0xFF) for i in range(4))
+    cp = np.where(lead < 0xE0, (lead & 0x1F) << 6 | low[0], np.where(
+        lead < 0xF0, (lead & 0x0F) << 12 | low[0] << 6 | low[1], (lead & 0x07) << 18 | low[0] << 12 | low[1] << 6 | low[2]))
+    return np.minimum(cp, 0x10FFFF)
+
+
+def scripts_of(raw: np.ndarray, at: np.ndarray, cp: np.ndarray) -> np.ndarray:
+    """Script of each position (0 for none, ``OTHER`` for a letter of none listed)."""
+    two = (raw[:-1].astype(np.int64) << 8) | raw[1:]
+    out = np.append(_SCRIPT[two], 0)
+    none = out[at] == 0
+    out[at[none & _LETTER[cp]]] = OTHER
+    out[at[~_IN_WORD[cp]]] = 0
+    return out
+
+
+def parted(text: bytes) -> bytes:
+    """The text with a space wherever two letters of different scripts meet."""
+    raw = np.frombuffer(text, np.uint8)
+    at = np.flatnonzero(raw >= 0xC2)
+    if not len(at):
+        return text
+    group = _GROUP[scripts_of(np.append(raw, 0).astype(np.uint8), at, code_points(raw, at))[:-1]]
+    letters = np.flatnonzero(group)
+    width = np.where(raw[letters] < 0x80, 1, np.where(raw[letters] < 0xE0, 2, np.where(raw[letters] < 0xF0, 3, 4)))
+    meet = (letters[:-1] + width[:-1] == letters[1:]) & (group[letters[:-1]] != group[letters[1:]])
+    meet &= (group[letters[:-1]] != OTHER) & (group[letters[1:]] != OTHER)
+    return np.insert(raw, letters[1:][meet], 32).tobytes() if meet.any() else text
+
+
+def pieces(text: bytes, limit: int = PIECE_BYTES) -> list[bytes]:
+    """The text cut at white space, or else between characters, into pieces of about
+    ``limit`` bytes."""
+    out = []
+    while len(text) > limit:
+        cut = max(text.rfind(c, 0, limit) for c in (b" ", b"\n", b"\t"))
+        if cut <= 0:
+            cut = limit
+            while text[cut] & 0xC0 == 0x80:
+                cut -= 1
+        out.append(text[:cut])
+        text = text[cut:]
+    return [*out, text]
+
+
+def prepared(texts: list) -> Iterator[tuple[list[int], list[bytes]]]:
+    """(owning text, piece) lists of chunks of bounded size."""
+    owners, parts, size = [], [], 0
+    for first, group in chunks(texts):
+        for i, t in enumerate(group, first):
+            for p in pieces(t):
+                p = parted(p)
+                if parts and size + len(p) > CHUNK_BYTES:
+                    yield owners, parts
+                    owners, parts, size = [], [], 0
+                owners.append(i)
+                parts.append(p)
+                size += len(p) + 1
+    if parts:
+        yield owners, parts
+
+
 class Batch:
     """Words and hashed n-grams of a chunk of texts."""
 
@@ -80,6 +157,11 @@ class Batch:
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         of = 1 + np.concatenate(([0], np.cumsum(lengths + 1)))
         gap = sep[raw]
+        at = np.flatnonzero(raw >= 0xC2)
+        cp = code_points(raw, at)
+        for i in np.flatnonzero(~_IN_WORD[cp]):
+            gap[at[i]:at[i] + (2 if raw[at[i]] < 0xE0 else 3 if raw[at[i]] < 0xF0 else 4)] = True
+        self.wide = at, cp
         gap[of[1:] - 1] = True
         edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
         self.start, self.end = edge[0::2], edge[1::2]
@@ -112,24 +194,20 @@ class Batch:
 
     def scripts(self) -> np.ndarray:
         """Script of each position (0 for none, ``OTHER`` for a letter of none listed)."""
-        two = (self.raw[:-1].astype(np.int64) << 8) | self.raw[1:]
-        out = np.append(_SCRIPT[two], 0)
-        at = np.flatnonzero((self.raw >= 0xC2) & (out == 0))
-        if len(at):
-            b = np.append(self.raw, [0] * 3).astype(np.int64)
-            lead, *low = (b[at + i] & (0x3F if i else 0xFF) for i in range(4))
-            cp = np.where(lead < 0xE0, (lead & 0x1F) << 6 | low[0], np.where(
-                lead < 0xF0, (lead & 0x0F) << 12 | low[0] << 6 | low[1], (lead & 0x07) << 18 | low[0] << 12 | low[1] << 6 | low[2]))
-            out[at[_LETTER[np.minimum(cp, 0x10FFFF)]]] = OTHER
-        return out
-
-    def word_scripts(self) -> np.ndarray:
-        """The largest number of a listed script among a word's letters, or else ``OTHER``."""
-        if not len(self.start):
-            return np.zeros(0, np.uint8)
+        return scripts_of(self.raw, *self.wide)
+
+    def word_scripts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(script, letters) of each word: the script of most of its letters (ties: the earlier
+        listed); ``OTHER`` counts where no letter is of a listed one."""
+        n, kinds = len(self.start), OTHER + 1
         s = self.scripts()
-        most = np.maximum.reduceat(np.where(s == OTHER, 0, s), self.start)
-        return np.where(most == 0, np.maximum.reduceat(s, self.start), most)
+        at = np.flatnonzero(s)
+        word = np.searchsorted(self.start, at, "right") - 1
+        each = np.bincount(word * kinds + s[at], minlength=n * kinds).reshape(n, kinds)
+        letters = each.sum(1)
+        listed = each[:, 1:OTHER]
+        script = np.where(listed.any(1), listed.argmax(1) + 1, np.where(letters > 0, OTHER, 0))
+        return script.astype(np.uint8), letters
 
 
 def counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
@@ -140,7 +218,7 @@ def counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame
         for batch in batches:
             for name, part in batch.groupby("lang"):
                 sums = held.setdefault(name, np.zeros((len(ORDERS) + 1, BUCKETS), np.int64))
-                for _, texts in chunks(part["text"].tolist()):
+                for _, texts in prepared(part["text"].tolist()):
                     c = Batch(texts)
                     sums[0] += np.bincount(c.scripts(), minlength=BUCKETS)
                     for k, (bucket, ok) in enumerate(c.grams(), 1):
@@ -172,23 +250,31 @@ class Model:
 
     def words(self, texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(scores by language, letters, bounds) of the words of all texts."""
-        scores, sizes, per = [], [], []
-        for _, part in chunks(texts):
+        k = len(self.langs)
+        scores, sizes, per = [], [], np.zeros(len(texts), np.int64)
+        for owners, part in prepared(texts):
             c = Batch(part)
-            at = np.zeros((len(c.raw) + 1, len(self.langs)), np.float32)
-            for table, (bucket, ok) in zip(self.table, c.grams()):
-                at[:-1] += table[np.where(ok, bucket, BUCKETS)]
+            grams = [np.where(ok, bucket, BUCKETS).astype(np.int32) for bucket, ok in c.grams()]
             ends = np.minimum(c.end + 1, len(c.raw))
-            pairs = np.stack([c.start, ends], 1).ravel()
-            s = np.add.reduceat(at, pairs, axis=0)[::2] if len(pairs) else at[:0]
-            kind = c.word_scripts()
+            s = np.zeros((len(c.start), k), np.float32)
+            # As many words at a time as have CELLS scores of positions.
+            first = 0
+            while first < len(c.start):
+                last = max(first + 1, int(np.searchsorted(ends, c.start[first] + CELLS // k, "right")))
+                a, b = int(c.start[first]), int(ends[last - 1])
+                at = np.zeros((b - a + 1, k), np.float32)
+                for table, bucket in zip(self.table, grams):
+                    at[:-1] += table[bucket[a:b]]
+                pairs = np.stack([c.start[first:last] - a, ends[first:last] - a], 1).ravel()
+                s[first:last] = np.add.reduceat(at, pairs, axis=0)[::2]
+                first = last
+            kind, letters = c.word_scripts()
             s[self.barred[kind]] -= 1e4
             s[kind == 0] = 0
             scores.append(s)
-            sizes.append(np.where(kind > 0, c.end - c.start, 0))
-            per.append(np.diff(c.bounds))
-        per = np.concatenate(per) if per else np.zeros(0, np.int64)
-        return (np.concatenate(scores) if scores else np.zeros((0, len(self.langs)), np.float32),
+            sizes.append(letters)
+            np.add.at(per, owners, np.diff(c.bounds))
+        return (np.concatenate(scores) if scores else np.zeros((0, k), np.float32),
                 np.concatenate(sizes) if sizes else np.zeros(0, np.int64), np.concatenate(([0], np.cumsum(per))))
 
     def path(self, scores: np.ndarray, bounds: np.ndarray, switch: float = SWITCH) -> np.ndarray:

@@ -165,19 +165,90 @@ def test_targets_and_taken(spark, messy, empty):
 
 def test_mixed_documents_take_the_words(messy):
     got, _ = mixing.mix(messy)
-    taken = {(r.doc_id, r.source, r.key): r.taken for r in got.collect()}
-    out = mixing.mixed_documents(messy.dropDuplicates(["doc_id", "text", "source"]))
+    want = got.agg(F.sum("taken")).first()[0]
+    out = mixing.mixed_documents(messy)
     assert out.columns == messy.columns
-    assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == sum(taken.values())
+    assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == want
+    once = messy.dropDuplicates(["doc_id", "text", "source"])
+    assert mixing.mixed_documents(once).select(F.sum(mixing.word_count(F.col("text")))).first()[0] == \
+        mixing.mix(once)[0].agg(F.sum("taken")).first()[0]
 
 
-def test_repeated_rows_are_mixed_once(spark):
+def test_repeated_rows_are_mixed_as_documents(spark, monkeypatch):
+    """Each of the equal rows has its size, its row in the result and at most two uses."""
+    monkeypatch.setattr(mixing, "COPIES", 8)
     table = [(i, prose(60, i), "en", f"s{i % 3}") for i in range(30)] + [(3, prose(60, 3), "en", "s0")] * 20
     d = spark.createDataFrame(table, "doc_id long, text string, lang string, source string").repartition(3)
-    want = mixing.mix(d)[0].agg(F.sum("taken")).first()[0]
+    rows = mixing.mix(d)[0].collect()
+    assert len(rows) == 50 and sum(r.size for r in rows) == 50 * 60
+    assert {r.source: r.source_size for r in rows} == {"s0": 30 * 60, "s1": 600, "s2": 600}
     out = mixing.mixed_documents(d)
-    assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == want
-    assert out.groupBy("doc_id").count().filter("count > 2").count() == 0
+    assert out.select(F.sum(mixing.word_count(F.col("text")))).first()[0] == sum(r.taken for r in rows)
+    assert all(r.taken <= 2 * r.size for r in rows)
+    # A repeated row is one of 21 documents: it comes out at most twice for each of them.
+    assert out.groupBy("doc_id").count().filter("count > 2 and doc_id <> 3 or count > 42").count() == 0
+
+
+def brute_mix(rows, weights=(3, 1, 2), share=1.5, cap=2.0, block_words=16384, least=64):
+    """Words taken per (doc_id, key, copy) of rows (doc_id, source, size, key, copy, hash)."""
+    names = sorted({r[1] for r in rows}, key=lambda s: (s is None, s))
+    size = {s: sum(r[2] for r in rows if r[1] == s) for s in names}
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(names)}
+    target, left, open_ = {s: 0.0 for s in names}, share * sum(size.values()), [s for s in names if size[s]]
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        over = [s for s in open_ if level * weight[s] >= cap * size[s]]
+        for s in over or open_:
+            target[s] = cap * size[s] if over else level * weight[s]
+            left -= target[s]
+        open_ = [s for s in open_ if s not in over] if over else []
+    block = {s: min(block_words, max(1, size[s] // least)) for s in names}
+    blocks = {s: -(-size[s] // block[s]) for s in names}
+    slots = {}
+    for s in names:
+        if size[s]:
+            passes = int(target[s] // size[s])
+            slots[s] = min(passes * blocks[s] + int((target[s] - passes * size[s]) / block[s] + 0.5), 2 * blocks[s])
+    total, drawn, j = sum(slots.values()), {s: [] for s in slots}, 0
+    edges, at = {}, 0
+    for s in names:
+        if slots.get(s):
+            edges[s] = (at / total, (at + slots[s]) / total)
+            at += slots[s]
+    while any(len(drawn[s]) < slots[s] for s in edges):
+        x = ((j + 1) * mixing.GOLDEN) % 1.0
+        for s, (lo, hi) in edges.items():
+            if lo <= x < hi and len(drawn[s]) < slots[s]:
+                drawn[s].append(j)
+        j += 1
+    taken, spans = {}, set()
+    for s in edges:
+        start, place = 0, []
+        for r in sorted((r for r in rows if r[1] == s and r[2]), key=lambda r: (r[5], r[0] is not None, r[0] or 0, r[3], r[4])):
+            place.append((start, start + r[2], r))
+            start += r[2]
+        for rank, slot in enumerate(drawn[s]):
+            n = rank % blocks[s]
+            for lo, hi, r in place:
+                words = min(hi, (n + 1) * block[s]) - max(lo, n * block[s])
+                if words > 0:
+                    taken[r[0], r[3], r[4]] = taken.get((r[0], r[3], r[4]), 0) + words
+                    spans.add((r[0], r[4], s, slot, rank // blocks[s], n, words))
+    return target, taken, spans
+
+
+def test_mix_equals_brute_force(spark, messy):
+    """Targets, slots in order, ranks, blocks and words of every document."""
+    table = [(i, prose(5 + i * 7 % 90, i), f"s{i % 5}") for i in range(120)] + [(7, prose(30, 1), "tiny"), (7, prose(30, 1), "tiny"), (500, "a", None)]
+    for d in (messy, spark.createDataFrame(table, "doc_id long, text string, source string")):
+        got, spans = mixing.mix(d)
+        hashed = F.xxhash64(F.lit(17), "doc_id", "key", "copy")
+        rows = got.withColumn("h", hashed).collect()
+        target, taken, want = brute_mix([(r.doc_id, r.source, r["size"], r.key, r["copy"], r.h) for r in rows])
+        for r in rows:
+            assert r.target == pytest.approx(target[r.source])
+            assert r.taken == taken.get((r.doc_id, r.key, r["copy"]), 0)
+        assert {(r.doc_id, r["copy"], r.source, r.slot, r["pass"], r.block_no, r.words) for r in spans.collect()} == want
 
 
 def test_packing(messy, empty):
@@ -404,3 +475,48 @@ def test_cascade_samples_any_frame(spark, messy):
     assert quality.plain_files(stored) and quality.plain_files(stored.select("doc_id", "text"))
     for other in (stored.withColumnRenamed("text", "t2"), joined, stored.filter("doc_id = 1"), messy, stored.select(F.upper("text").alias("text"))):
         assert not quality.plain_files(other)
+
+
+def test_language_vote_counts_letters_of_the_majority_script(spark):
+    en, ru = "the dog and the cat are walking through this house", "собака и кошка идут через тёмный дом и лес"
+    zh = "狗和猫在黑暗的房子里走路因为天黑了"
+    model = langid.train(spark.createDataFrame([(en, "en"), (ru, "ru"), (zh, "zh")], "text string, lang string"))
+
+    def label(text):
+        d = spark.createDataFrame([(1, text, "y", 2)], "doc_id long, text string, spans string, score int")
+        return langid.identify(d, model).first()
+
+    # 34 Latin letters against 25 Cyrillic ones of two bytes each.
+    latin, cyrillic = "the dog and the cat are walking there this ", "собака и кошка идут через лес"
+    a, b = (sum(map(str.isalpha, t)) for t in (latin, cyrillic))
+    r = label(latin + cyrillic)
+    assert b < a < 2 * b and r.lang_pred == "en" and r.score == pytest.approx(a / (a + b))
+    # Unspaced text of two scripts, and punctuation and spaces beyond ASCII.
+    r = label("狗和猫在黑暗的the dog and the cat are walking狗和猫在")
+    assert [s.lang for s in r.spans] == ["zh", "en", "zh"] and r.lang_pred == "en"
+    r = label("собака\u00a0и\u3000кошка—идут«через»the。dog")
+    assert sum(s.words for s in r.spans) == 7
+    # A stray letter of another script leaves a word its majority's.
+    c = langid.Batch([langid.parted("ab\u0301cdefж".encode()), "abc".encode()])
+    assert langid.Batch(["abcжdef".encode()]).word_scripts()[0].tolist() == [1] and len(c.start) == 3
+
+
+def test_language_of_a_long_text(spark):
+    """A text of several pieces and one word without end give what a few words give."""
+    en, ru = "the dog and the cat are walking through this house ", "собака и кошка идут через тёмный дом "
+    model = langid.train(spark.createDataFrame([(en, "en"), (ru, "ru")], "text string, lang string"))
+    old = langid.PIECE_BYTES, langid.CELLS
+    texts = [en * 40 + ru * 9, ru * 60, "x" * 5000 + "ж" * 100, None, ""]
+    want = [a.tolist() for a in model.words(texts)[1:]]
+    scores = model.words(texts)[0]
+    assert langid.pieces((en * 40).encode(), 300)[0].decode() + "".join(p.decode() for p in langid.pieces((en * 40).encode(), 300)[1:]) == en * 40
+    assert all(p.decode() for p in langid.pieces("ж".encode() * 500, 101))
+    try:
+        langid.CELLS = 64
+        few = model.words(texts)
+        assert [a.tolist() for a in few[1:]] == want and np.allclose(few[0], scores, rtol=1e-4, atol=1e-3)
+    finally:
+        langid.PIECE_BYTES, langid.CELLS = old
+    # Counts of a text do not depend on where it is cut.
+    whole, cut = (model.words([(en * 40)[:n]])[1].sum() for n in (None, None))
+    assert whole == cut == sum(map(str.isalpha, en * 40))

@@ -76,6 +76,24 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -50, 50)))
 
 
+def risk(xp: tuple, xu: tuple, w: np.ndarray, c: float, prior: float) -> tuple[float, np.ndarray]:
+    """The non-negative PU risk under the sigmoid loss of weights ``w`` and bias ``c``, and what a
+    step goes against: its gradient in (w, c), or, where the bracket is below zero, the
+    gradient of the bracket taken away.  Texts are (features, texts that have them, number)."""
+    def margin(x):
+        return c + np.bincount(x[1], weights=w[x[0]], minlength=x[2])
+
+    def back(x, g):
+        return np.append(np.bincount(x[0], weights=g[x[1]], minlength=len(w)), g.sum())
+
+    sp, su = (1 / (1 + np.exp(-np.clip(margin(x), -50, 50))) for x in (xp, xu))
+    slope_p, slope_u = back(xp, prior * sp * (1 - sp) / len(sp)), back(xu, su * (1 - su) / len(su))
+    negative = su.mean() - prior * sp.mean()
+    value = prior * (1 - sp).mean() + max(negative, 0.0)
+    # The loss of toxic text falls by slope_p; the bracket grows by slope_u - slope_p.
+    return float(value), slope_p - slope_u if negative < 0 else slope_u - 2 * slope_p
+
+
 def fit_pu(toxic: list, unlabelled: list, prior: float, steps: int = STEPS, seed: int = SEED) -> Model:
     """A linear model of least non-negative PU risk on the features that are found in at
     least ``MIN_TOXIC_DOCS`` toxic texts, and in unlabelled ones no oftener than if
@@ -110,22 +128,10 @@ def fit_pu(toxic: list, unlabelled: list, prior: float, steps: int = STEPS, seed
 
     xp, xu = rows(ip, bp, len(toxic)), rows(iu, bu, len(unlabelled))
 
-    def margin(x, w, c):
-        return c + np.bincount(x[1], weights=w[x[0]], minlength=x[2])
-
-    def back(x, g):
-        return np.bincount(x[0], weights=g[x[1]], minlength=len(keys)), g.sum()
-
-    sigmoid = lambda z: 1 / (1 + np.exp(-np.clip(z, -50, 50)))
     w, c = np.zeros(len(keys) + 1), bias
     speed = np.zeros(len(w))
     for _ in range(steps):
-        gp, gu = margin(xp, w[:-1], c), margin(xu, w[:-1], c)
-        sp, su = sigmoid(gp), sigmoid(gu)
-        slope_p, slope_u = np.append(*back(xp, prior * sp * (1 - sp) / len(sp))), np.append(*back(xu, su * (1 - su) / len(su)))
-        negative = su.mean() - prior * sp.mean()
-        # The loss of toxic text falls by slope_p; the bracket grows by slope_u - slope_p.
-        grad = slope_p - slope_u if negative < 0 else slope_u - 2 * slope_p
+        _, grad = risk(xp, xu, w[:-1], c, prior)
         # Plain steps: what many texts share learns faster than what few have.
         speed = 0.9 * speed - RATE / prior * grad
         w += speed

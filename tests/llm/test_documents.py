@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -520,3 +521,96 @@ def test_language_of_a_long_text(spark):
     # Counts of a text do not depend on where it is cut.
     whole, cut = (model.words([(en * 40)[:n]])[1].sum() for n in (None, None))
     assert whole == cut == sum(map(str.isalpha, en * 40))
+
+
+def brute_keep(t):
+    """Whether a text passes the quality rules."""
+    w, lines = words(t), [x for x in (t or "").split("\n") if words(x)]
+    chars = sum(map(len, w))
+    upper = sum(unicodedata.category(c) == "Lu" for c in t or "")
+    return not (len(w) < 50 or 100 * repeat_words(w) > 50 * len(w) or 10 * len(re.findall(r"[#*$%&|<>]", t or "")) > len(w) or 100 * upper > 40 * chars
+                or 100 * (len(lines) - len(set(lines))) > 50 * len(lines) or chars > 20 * len(w))
+
+
+def brute_lines(table):
+    """(id, text, ...) rows without the lines that another document keeps."""
+    key = lambda x: re.sub("[A-Z]", lambda m: m[0].lower(), x.strip(" \t\n\x0b\x0c\r"))
+    held = {}
+    for i, t, *_ in table:
+        for x in (t or "").split("\n"):
+            if i is not None and len(key(x)) >= 40:
+                held.setdefault(key(x), set()).add(i)
+    return [(i, "\n".join(x for x in (t or "").split("\n") if i is None or len(held.get(key(x), ())) < 5 or max(held[key(x)]) == i), *rest)
+            for i, t, *rest in table]
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """Every stage on what its predecessor keeps: the same pieces of the same documents, and bins
+    no more than best fit takes."""
+    shared = "A line that many of the documents share, well over forty characters long"
+    table = [(i, prose(70 + i % 30, i) + f" own{i} " * (i % 4), "en", f"s{i % 3}", i) for i in range(60)]
+    table += [(100 + i, f"{shared}\n{prose(90, 40 + i)} end{i}", "de", "s0", None) for i in range(7)]
+    table += [(200 + i, prose(120, 3) + f" x{i}", None, None, 1) for i in range(6)] + [(300, "too short", "en", "s1", 1), (301, None, None, None, None)]
+    table += [(302, prose(3000, 5), "en", "s2", 1), (5, table[5][1], "en", "s2", 5), (303, "SHOUT " * 60, "en", "s1", 1), (304, "same words here " * 40, "en", "s1", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame(table, schema).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    kept = brute_lines([r for r in table if brute_keep(r[1])])
+    groups = brute_components(kept, 5, 80)
+    once = {}
+    for r in kept:
+        if groups[r[0]][1] == r[0]:
+            once.setdefault(r[0], r)
+    assert 40 < len(once) < len(kept) < len(table)
+    d = spark.createDataFrame(list(once.values()), schema)
+    keyed = d.select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"), F.xxhash64("text").alias("key"), F.lit(0).cast("long").alias("copy"))
+    keyed = keyed.withColumn("h", F.xxhash64(F.lit(17), "doc_id", "key", "copy")).collect()
+    _, taken, _ = brute_mix([(r.doc_id, r.source, r["size"], r.key, r["copy"], r.h) for r in keyed])
+    tokens = packing.loaded(packing.tokenizer_path()).full
+    want = []
+    for (i, _, _), n in taken.items():
+        t = once[i][1]
+        w = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", t)
+        for text in [t] * (n // len(w)) + (["".join(w[:n % len(w)])] if n % len(w) else []):
+            ids = tokens.encode(text, add_special_tokens=False).ids + [0]
+            for k, a in enumerate(range(0, len(ids), 2048)):
+                part = ids[a:a + 2048]
+                want.append((i, k, a, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in got) == sorted(want)
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for spots in bins.values():
+        ends = [0, *np.cumsum([n for _, n in sorted(spots)]).tolist()]
+        assert [a for a, _ in sorted(spots)] == ends[:-1] and ends[-1] <= 2048
+    assert packing.lower_bound([w[3] for w in want], 2048) <= len(bins) <= len(packing.best_fit([w[3] for w in want], 2048))
+
+
+def test_toxicity_risk_and_gradient_by_finite_differences():
+    rng = np.random.default_rng(2)
+    n_features, signs = 6, set()
+    for prior in (0.05, 0.3, 0.9):
+        for _ in range(6):
+            def side(n):
+                pairs = np.argwhere(rng.random((n, n_features)) < 0.4)
+                return pairs[:, 1], pairs[:, 0], n
+            xp, xu = side(9), side(14)
+            w, c = rng.normal(size=n_features), rng.normal()
+
+            def parts(w, c):
+                def mean(x, sign):
+                    m = [c + sum(w[f] for f, t in zip(x[0], x[1]) if t == i) for i in range(x[2])]
+                    return np.mean([1 / (1 + np.exp(sign * v)) for v in m])
+                return prior * mean(xp, 1), mean(xu, -1) - prior * mean(xp, -1)
+
+            toxic, bracket = parts(w, c)
+            value, grad = toxicity.risk(xp, xu, w, c, prior)
+            assert value == pytest.approx(toxic + max(bracket, 0))
+            signs.add(bracket < 0)
+            for k in range(n_features + 1):
+                step = np.eye(n_features + 1)[k] * 1e-6
+                up, down = (parts(w + d[:-1], c + d[-1]) for d in (step, -step))
+                slope = [(u - v) / 2e-6 for u, v in zip(up, down)]
+                # Below zero the bracket alone is stepped back.
+                assert grad[k] == pytest.approx(-slope[1] if bracket < 0 else sum(slope), abs=1e-7)
+    assert signs == {True, False}

@@ -54,7 +54,7 @@ _PIECE = re.compile(r"\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^\
 _WORD_END = "</w>"
 # Stands for a line break among ids: the vocabulary's ids end with zero bytes, so it is in none.
 _BREAK = b"\xff\xff\xff\xff"
-BLOCK_CHARS = 1 << 22
+BLOCK_CHARS = 1 << 20
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:

@@ -1,7 +1,7 @@
 """Explaining tree ensembles by their node table.
 
 A node table (tree, node, feature, threshold, missing_left, left, right, value, cover) is
-exported from boosted models and from Spark ML forests alike. Along a row's path through a
+exported from boosted models, forests and Spark ML forests alike. Along a row's path through a
 tree every step from a node to its child changes the value; the change is the contribution
 of the feature that the node tests. Base (the values of all roots) plus contributions is
 the prediction of the row, exactly up to rounding. Rows are walked in Arrow batches, all
@@ -20,15 +20,25 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hourcast.operators.boosting import Booster, _matrix, by_values, from_nodes
+from hourcast.operators.forest import Forest
 from hourcast.schema import SERIES
 
 
 def forest_nodes(model, features, scratch: str | None = None) -> DataFrame:
-    """The node table of a fitted Spark ML tree ensemble, read from its saved form; a
-    node's value is its prediction over the number of trees."""
+    """The node table of a forest, or of a fitted Spark ML tree ensemble, read from its saved
+    form; a node's value is its prediction over the number of trees."""
     from pyspark.sql import SparkSession
 
     from hourcast.session import scratch_path
+    if isinstance(model, Forest):
+        n, names = F.col("n"), F.array(*[F.lit(c) for c in features])
+        arrays = [F.col(c) for c in ("feature", "threshold", "left", "value", "cover")]
+        rows = model.nodes.select("tree", F.posexplode(F.arrays_zip(*arrays)).alias("node", "n"))
+        inner = n["left"] >= 0
+        return rows.select(
+            "tree", "node", F.when(inner, F.get(names, n["feature"])).alias("feature"), F.when(inner, n["threshold"]).alias("threshold"),
+            F.when(inner, F.lit(False)).alias("missing_left"), F.when(inner, n["left"]).alias("left"), F.when(inner, n["left"] + 1).alias("right"),
+            (n["value"] / F.lit(float(model.trees))).alias("value"), n["cover"].alias("cover"))
     spark = SparkSession.active()
     path = scratch or scratch_path(spark, f"forest-{uuid.uuid4().hex}")
     model.write().overwrite().save(path)
